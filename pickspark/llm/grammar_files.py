@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import CUT, MEMO, PATTERN, UNSAFE
+from .bpe import CUT, PATTERN, UNSAFE, byte_letters
 from .common import chunks, shared_dir, text_or_empty
 
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
+#: Entries kept in each memo table before it is emptied.
+MEMO = 200_000
 #: A pair is replaced while it occurs so often; rounds and rules of a block, at most.
 LEAST, ROUNDS, RULES_A_ROUND = 24, 10, 2048
 
@@ -33,39 +35,52 @@ BLOCKS = "shard int, block int, start_in_shard long, n_tokens long, doc_ids arra
 
 
 class LibraryEncoder:
-    """The library's ids. Each distinct stretch between spaces (where pre-tokens always begin) is given
-    to the library once and kept; only then its ids are put together."""
+    """The library's ids. A text is cut at spaces (where pre-tokens always begin), stretches that are not
+    known yet are cut into pre-tokens, and each distinct pre-token is given to the library's model once."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.at_special = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
-        self.memo: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.find = regex.compile(PATTERN).findall
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.at_special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        self.stretches: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def ask(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def ask(self, stretch: str) -> bytes:
+        out = []
+        for p in self.find(stretch):
+            ids = self.pieces.get(p)
+            if ids is None:
+                tokens = self.tokenize(p.encode().decode("latin-1").translate(self.letters))
+                ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                if len(self.pieces) > MEMO:
+                    self.pieces.clear()
+                if len(p) < 100:
+                    self.pieces[p] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
         if self.at_special is not None and self.at_special.search(text):
-            return np.frombuffer(self.ask([text])[0], "<u4")
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         first, *rest = CUT.split(text) if UNSAFE.search(text) else text.split(" ")
-        memo = self.memo
-        head = self.ask([first])[0]
+        known = self.stretches
         try:
-            return np.frombuffer(head + b"".join(map(memo.__getitem__, rest)), "<u4")
+            ids = b"".join(map(known.__getitem__, rest))
         except KeyError:
-            new = [u for u in dict.fromkeys(rest) if u not in memo]
-            got = dict(zip(new, self.ask([" " + u for u in new])))
-            out = head + b"".join([memo.get(u) or got[u] for u in rest])
-            if len(memo) + len(got) > MEMO:
-                memo.clear()
-            memo.update((u, ids) for u, ids in got.items() if len(u) < 100)
-            return np.frombuffer(out, "<u4")
+            new = {u: self.ask(" " + u) for u in set(rest) if u not in known}
+            ids = b"".join([known.get(u) or new[u] for u in rest])
+            if len(known) + len(new) > MEMO:
+                known.clear()
+            known.update((u, i) for u, i in new.items() if len(u) < 100)
+        return np.frombuffer(self.ask(first) + ids, "<u4")
 
 
 _encoders: dict[str, LibraryEncoder] = {}

@@ -7,13 +7,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, grammar_files, sharding, token_counts
+from . import bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, token_counts, toxicity, url_templates
 from .common import ship_package, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
+#: The key of the pseudonyms in these queries; a deployment passes its own secret.
+PII_KEY = b"registered query"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -38,11 +42,43 @@ def op2_grammar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar_files.documents_through_files(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+@query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "p_low_quality", "p_toxic", "is_toxic")
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.documents_token_counts(table(spark, sf_dir, "documents"), PIECES)
 
 
+@query
+def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.pages_judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return found.select("doc_id", F.size("pii").alias("n_pii"), "text")
+
+
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.documents_against_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.documents_kept(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.documents_to_shards(table(spark, sf_dir, "documents"))

@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,10 @@ from .common import chunks, written
 
 #: The letter that stands for a space in the vocabulary.
 MARK = "▁"
+#: No piece joins a letter with a full stop or comma after it: texts are cut there too, which leaves fewer
+#: distinct pre-tokens. The letter put before such a pre-token only tells it apart.
+BEFORE_STOP = re.compile("(?<=[a-zA-Z\u00c0-\u024f])(?=[.,])")
+APART = "\x02"
 #: Pre-tokens where spaces come in runs: a run of marks goes with what follows it.
 RUNS = re.compile(rf"\n[^{MARK}\n]*|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 #: Bytes of text in a block, at most (one document at least).
@@ -41,7 +46,7 @@ def model(path: str) -> sentencepiece.SentencePieceProcessor:
     """One model for each Python worker. Raises if the vocabulary breaks the rule the cuts rest on."""
     if path not in _models:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        bad = [p for p in map(sp.id_to_piece, range(sp.get_piece_size())) if re.search(rf"[^{MARK}]{MARK}|\n.|.\n", p, re.S)]
+        bad = [p for p in map(sp.id_to_piece, range(sp.get_piece_size())) if re.search(rf"[^{MARK}]{MARK}|\n.|.\n|[a-zA-Z\u00c0-\u024f][.,]", p, re.S)]
         probe = "a  b\ta ﬁ"
         if bad or sp.decode(sp.encode(probe)) != probe:
             raise ValueError(f"pieces {bad[:3]} span pre-tokens, or the model normalises texts")
@@ -53,20 +58,30 @@ def pre_tokens(text: str) -> Counter[str]:
     """Frequencies of pre-tokens; each begins with the mark, with a line end, or the text itself."""
     if not text:
         return Counter()
-    if MARK not in text:
-        units = text.replace("\n", " \n").split(" ")
+    if MARK not in text and APART not in text:
+        units = BEFORE_STOP.sub(" " + APART, text.replace("\n", " \n")).split(" ")
         if "" not in units:
-            return Counter([u if u[0] == "\n" else MARK + u for u in units])
+            return Counter([u if u[0] == "\n" or u[0] == APART else MARK + u for u in units])
     return Counter(RUNS.findall(MARK + text.replace(" ", MARK)))
 
 
 def count_pieces(words: list[str], path: str) -> list[int]:
     """Tokens of each pre-token on its own. The line end put before it keeps the model from adding
     its own mark; it costs two tokens, which are taken off."""
-    return [len(ids) - 2 for ids in model(path).encode(["\n" + w for w in words], num_threads=1)]
+    own = ["\n" + (w[1:] if w[0] == APART and len(w) > 1 else w) for w in words]
+    return [len(ids) - 2 for ids in model(path).encode(own, num_threads=1)]
 
 
-FREQUENCIES = "block string, doc_ids array<long>, n_bytes array<long>, words array<string>, ends binary, places binary, times binary"
+def packed(numbers: np.ndarray) -> bytes:
+    """Differences of neighbours, compressed."""
+    return zstandard.compress(np.diff(numbers, prepend=0).astype(np.int32).tobytes(), 3)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.decompress(data), np.int32), dtype=np.int64)
+
+
+FREQUENCIES = "block long, doc_ids array<long>, n_bytes array<long>, words array<string>, ends binary, places binary, times binary"
 
 
 def frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -79,17 +94,19 @@ def frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
                 places, times, ends, sizes = [], [], [0], []
                 for text in part.column(text_col).to_pylist():
                     found = pre_tokens(text or "")
-                    places.append(np.array([number.setdefault(w, len(number)) for w in found], np.uint32))
-                    times.append(np.fromiter(found.values(), np.uint32, len(found)))
+                    own = np.array([number.setdefault(w, len(number)) for w in found], np.int64)
+                    order = np.argsort(own)
+                    places.append(own[order])
+                    times.append(np.fromiter(found.values(), np.int64, len(found))[order])
                     ends.append(ends[-1] + len(found))
                     sizes.append(len((text or "").encode()))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([uuid.uuid4().hex]),
+                        pa.array([uuid.uuid4().int >> 65]),
                         pa.array([part.column(id_col).to_pylist()], pa.list_(pa.int64())),
                         pa.array([sizes], pa.list_(pa.int64())),
                         pa.array([list(number)], pa.list_(pa.string())),
-                        *(pa.array([x.tobytes()], pa.binary()) for x in (np.array(ends, np.int64), np.concatenate(places), np.concatenate(times))),
+                        *(pa.array([packed(x)], pa.binary()) for x in (np.array(ends), np.concatenate(places), np.concatenate(times))),
                     ],
                     names=["block", "doc_ids", "n_bytes", "words", "ends", "places", "times"],
                 )
@@ -100,7 +117,9 @@ def frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes`` (UTF-8) and ``n_tokens`` of each row."""
     blocks = written(frequencies(df, id_col, text_col), "frequencies")
-    listed = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    # One exchange by word serves both the distinct words and the join with their counts. A word occurs once
+    # in a block, so no word has more rows than there are blocks.
+    listed = blocks.select("block", F.posexplode("words").alias("place", "word")).repartition("word")
 
     @F.pandas_udf("long")
     def pieces(words: pd.Series) -> pd.Series:
@@ -114,12 +133,11 @@ def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                pairs = row.column("counts").combine_chunks() if isinstance(row.column("counts"), pa.ChunkedArray) else row.column("counts")
-                flat = pairs.flatten()
+                flat = row.column("counts").flatten()
                 of = np.zeros(len(flat), np.int64)
                 if len(flat):
                     of[flat.field("place").to_numpy()] = flat.field("n").to_numpy()
-                ends, places, times = (np.frombuffer(row.column(n)[0].as_py(), t) for n, t in (("ends", np.int64), ("places", np.uint32), ("times", np.uint32)))
+                ends, places, times = (unpacked(row.column(n)[0].as_py()) for n in ("ends", "places", "times"))
                 running = np.concatenate([[0], np.cumsum(of[places] * times)])
                 yield pa.RecordBatch.from_arrays(
                     [row.column("doc_ids").flatten(), row.column("n_bytes").flatten(), pa.array(running[ends[1:]] - running[ends[:-1]], pa.int64())],
