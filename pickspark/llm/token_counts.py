@@ -19,7 +19,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 import zstandard
@@ -38,6 +37,8 @@ APART = "\x02"
 RUNS = re.compile(rf"\n[^{MARK}\n]*|{MARK}+[^{MARK}\n]*|[^{MARK}\n]+")
 #: Bytes of text in a block, at most (one document at least).
 BLOCK_BYTES = 32 << 20
+#: Rows of (block, place, count) that a task packs at a time.
+HELD_ROWS = 2_000_000
 
 _models: dict[str, sentencepiece.SentencePieceProcessor] = {}
 
@@ -74,13 +75,23 @@ def count_pieces(words: list[str], path: str) -> list[int]:
 
 def packed(numbers: np.ndarray) -> bytes:
     """Differences of neighbours, compressed."""
-    return zstandard.compress(np.diff(numbers, prepend=0).astype(np.int32).tobytes(), 3)
+    return zstandard.compress(np.diff(numbers, prepend=0).astype(np.int32).tobytes(), 6)
 
 
 def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.decompress(data), np.int32), dtype=np.int64)
 
 
+def by_block(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Places and counts of each block, packed."""
+    block, place, count = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort((place, block))
+    block, place, count = block[order], place[order], count[order]
+    starts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    cut = lambda x: pa.array([packed(y) for y in np.split(x, starts[1:])], pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(block[starts]), cut(place), cut(count)], names=["block", "of", "counts"])
+
+
 FREQUENCIES = "block long, doc_ids array<long>, n_bytes array<long>, words array<string>, ends binary, places binary, times binary"
 
 
@@ -117,26 +128,37 @@ def frequencies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
 def token_counts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes`` (UTF-8) and ``n_tokens`` of each row."""
     blocks = written(frequencies(df, id_col, text_col), "frequencies")
-    # One exchange by word serves both the distinct words and the join with their counts. A word occurs once
-    # in a block, so no word has more rows than there are blocks.
-    listed = blocks.select("block", F.posexplode("words").alias("place", "word")).repartition("word")
+    # Equal words of all blocks meet in one task, in order, and are counted once. A word occurs once in a block,
+    # so no word has more rows than there are blocks.
+    listed = blocks.select("block", F.posexplode("words").alias("place", "word"))
 
-    @F.pandas_udf("long")
-    def pieces(words: pd.Series) -> pd.Series:
-        return pd.Series(count_pieces(words.tolist(), path), dtype="int64")
-
-    counted = listed.select("word").distinct().withColumn("n", pieces("word"))
-    # One row for each place in a block's list: bounded by the block's bytes.
-    sized = listed.join(counted, "word").groupBy("block").agg(F.collect_list(F.struct("place", "n")).alias("counts"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            words = batch.column("word").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            new = [w for w in distinct if w not in known]
+            known = {w: known[w] for w in distinct if w in known} | dict(zip(new, count_pieces(new, path)))
+            counts = np.array([known[w] for w in distinct], np.int64)[words.indices.to_numpy()]
+            held.append((batch.column("block").to_numpy(), batch.column("place").to_numpy(), counts))
+            if sum(len(h[0]) for h in held) > HELD_ROWS:
+                yield by_block(held)
+                held = []
+        if held:
+            yield by_block(held)
+
+    counted = listed.repartition("word").sortWithinPartitions("word").mapInArrow(count, "block long, of binary, counts binary")
+    sized = counted.groupBy("block").agg(F.collect_list(F.struct("of", "counts")).alias("counts"))
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                flat = row.column("counts").flatten()
-                of = np.zeros(len(flat), np.int64)
-                if len(flat):
-                    of[flat.field("place").to_numpy()] = flat.field("n").to_numpy()
+                parts = [(unpacked(x["of"]), unpacked(x["counts"])) for x in row.column("counts")[0].as_py() or []]
+                of = np.zeros(sum(len(p) for p, _ in parts), np.int64)
+                for p, n in parts:
+                    of[p] = n
                 ends, places, times = (unpacked(row.column(n)[0].as_py()) for n in ("ends", "places", "times"))
                 running = np.concatenate([[0], np.cumsum(of[places] * times)])
                 yield pa.RecordBatch.from_arrays(
