@@ -27,7 +27,7 @@ from .common import chunks, shared_dir, text_or_empty
 
 BLOCK_TOKENS = 1 << 20
 #: Entries kept in each memo table before it is emptied.
-MEMO = 200_000
+MEMO = 1_000_000
 #: A pair is replaced while it occurs so often; rounds and rules of a block, at most.
 LEAST, ROUNDS, RULES_A_ROUND = 24, 10, 2048
 
@@ -58,7 +58,7 @@ class LibraryEncoder:
             if ids is None:
                 tokens = self.tokenize(p.encode().decode("latin-1").translate(self.letters))
                 ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-                if len(self.pieces) > MEMO:
+                if len(self.pieces) > MEMO // 2:
                     self.pieces.clear()
                 if len(p) < 100:
                     self.pieces[p] = ids
