@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import CUT, PATTERN, UNSAFE, byte_letters
+from .bpe import CUT, PATTERN, UNSAFE, byte_letters, pre_tokens
 from .common import chunks, shared_dir, text_or_empty
 
 BLOCK_TOKENS = 1 << 20
@@ -50,14 +50,15 @@ class LibraryEncoder:
         self.stretches: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(self.vocabulary)]
 
-    def ask(self, stretch: str) -> bytes:
-        out = []
-        for p in self.find(stretch):
+    def ask(self, pieces: list[str]) -> bytes:
+        out, known = [], self.id_bytes
+        for p in pieces:
             ids = self.pieces.get(p)
             if ids is None:
                 tokens = self.tokenize(p.encode().decode("latin-1").translate(self.letters))
-                ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+                ids = b"".join([known[t.id] for t in tokens])
                 if len(self.pieces) > MEMO // 2:
                     self.pieces.clear()
                 if len(p) < 100:
@@ -75,12 +76,12 @@ class LibraryEncoder:
         try:
             ids = b"".join(map(known.__getitem__, rest))
         except KeyError:
-            new = {u: self.ask(" " + u) for u in set(rest) if u not in known}
+            new = {u: self.ask(pre_tokens(self.find, u)) for u in set(rest) if u not in known}
             ids = b"".join([known.get(u) or new[u] for u in rest])
             if len(known) + len(new) > MEMO:
                 known.clear()
             known.update((u, i) for u, i in new.items() if len(u) < 100)
-        return np.frombuffer(self.ask(first) + ids, "<u4")
+        return np.frombuffer(self.ask(self.find(first)) + ids, "<u4")
 
 
 _encoders: dict[str, LibraryEncoder] = {}
