@@ -192,5 +192,4 @@ def documents_against_benchmark(documents: DataFrame, benchmark: DataFrame, wind
         F.size(items).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", items).cast("binary"), 256).alias("items_sha256"),
         (F.size("matches") > 0).alias("contaminated"),
-        F.array_max(F.transform("matches", lambda m: m["length"])).alias("longest"),
     )

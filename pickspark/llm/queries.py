@@ -84,4 +84,25 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.documents_to_shards(table(spark, sf_dir, "documents"))
 
 
-ORACLES: dict[str, str] = {}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op3_ngram_join": rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: concat(ws[i], ' ', ws[i + 1], ' ', ws[i + 2])) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS i FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2, 3, 4),
+l AS (SELECT a, b FROM p WHERE 100 * i >= 90 * (na + nb - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, c) AS (SELECT doc_id, doc_id FROM s UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.node)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.c AS component_id FROM s JOIN (SELECT node, min(c) AS c FROM r GROUP BY 1) m ON m.node = s.doc_id""",
+    "op8_decontamination": rf"""WITH dw AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+iw AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+il AS (SELECT item_id, ws, least(10, len(ws)) AS k FROM iw WHERE len(ws) > 0),
+ig AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g FROM il),
+dg AS (SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS at, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g FROM dw JOIN (SELECT DISTINCT k FROM il) ks ON len(ws) >= k),
+h AS (SELECT doc_id, item_id, at, k FROM dg JOIN ig USING (k, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + k)) AS p FROM h) x GROUP BY 1),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) x GROUP BY 1)
+SELECT dw.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+}
