@@ -178,8 +178,9 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
 
 def clean(df: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``df`` in which no window of the benchmark occurs."""
-    marked = matches(df, benchmark, window).where(F.size("matches") == 0)
-    return marked.select(df.columns)
+    own = {f.name: f"_own_{f.name}" for f in FIELDS if f.name in df.columns}
+    marked = matches(df.withColumnsRenamed(own), benchmark, window).where(F.size("matches") == 0)
+    return marked.select(*(F.col(own.get(c, c)).alias(c) for c in df.columns))
 
 
 def documents_against_benchmark(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

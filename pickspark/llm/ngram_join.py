@@ -272,6 +272,11 @@ def _stars(reps: DataFrame) -> DataFrame:
 
 def one_of_each(df: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df`` without near duplicates: the smallest id of each component stays. Of repeated rows with
-    that id one stays."""
-    keep = similarity_components(df, words, num, den, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return df.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    that id one stays; rows without an id stay."""
+    found = written(similarity_components(df, words, num, den, id_col, text_col).select("doc_id", "component_id"), "components")
+    keep = written(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("_rows")), "keep")
+    once = only(df, written(keep.where("_rows = 1").select(id_col), "once"), id_col)
+    out = once.unionByName(df.where(F.col(id_col).isNull()))
+    if keep.where("_rows > 1").limit(1).count():
+        out = out.unionByName(df.join(keep.where("_rows > 1").select(id_col), id_col, "left_semi").dropDuplicates([id_col]))
+    return out
