@@ -145,10 +145,16 @@ def learn(documents: DataFrame, labels: DataFrame, categories: dict[str, str], i
         strength = F.abs(F.col(f"_y{i}") - expected) / F.sqrt(expected + 1)
         for r in counted.select("feature", strength.alias("_s")).orderBy(F.desc("_s"), "feature").limit(most_features // len(names)).collect():
             vocabulary.setdefault(r.feature, len(vocabulary))
-    kept = F.array_intersect("features", F.lit(list(vocabulary) or [""]))
-    # MAX_LABELLED rows of at most FEATURES short strings; as measured, a few dozen each.
-    table_rows = rows.select(*(f"_y{i}" for i in range(len(names))), kept.alias("f")).collect()
-    return train_chain([[vocabulary[f] for f in r.f] for r in table_rows], np.array([[r[f"_y{i}"] for i in range(len(names))] for r in table_rows]), names, vocabulary)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.array([vocabulary[f] for f in fs if f in vocabulary], np.int32).tobytes() for fs in batch.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(f"_y{i}") for i in range(len(names))), pa.array(found, pa.binary())], names=[*(f"_y{i}" for i in range(len(names))), "f"])
+
+    # MAX_LABELLED rows of at most FEATURES numbers; as measured, some hundred each.
+    table_rows = rows.mapInArrow(numbered, ", ".join(f"_y{i} int" for i in range(len(names))) + ", f binary").collect()
+    order = sorted(table_rows, key=lambda r: (bytes(r.f), *r[:-1]))
+    return train_chain([np.frombuffer(bytes(r.f), np.int32).tolist() for r in order], np.array([list(r[:-1]) for r in order]), names, vocabulary)
 
 
 def score(df: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_") -> DataFrame:
