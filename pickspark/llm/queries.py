@@ -99,9 +99,9 @@ SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.c AS component_id FR
 iw AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
 il AS (SELECT item_id, ws, least(10, len(ws)) AS k FROM iw WHERE len(ws) > 0),
 ig AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g FROM il),
-dg AS (SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS at, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g FROM dw JOIN (SELECT DISTINCT k FROM il) ks ON len(ws) >= k),
-h AS (SELECT doc_id, item_id, at, k FROM dg JOIN ig USING (k, g)),
-c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + k)) AS p FROM h) x GROUP BY 1),
+dg AS (SELECT doc_id, k, unnest(range(1, len(ws) - k + 2)) AS pos, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS g FROM dw JOIN (SELECT DISTINCT k FROM il) ks ON len(ws) >= k),
+h AS (SELECT doc_id, item_id, pos, k FROM dg JOIN ig USING (k, g)),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + k)) AS p FROM h) x GROUP BY 1),
 m AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) x GROUP BY 1)
 SELECT dw.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
