@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 
 from .common import chunks, written
 
-MAX_LABELLED = 20_000
-FEATURES = 2048
+MAX_LABELLED = 10_000
+FEATURES = 1024
 #: A feature counts if so many labelled rows have it.
 LEAST_ROWS = 5
-FOLDS, STEPS, RIDGE = 4, 160, 2e-4
+FOLDS, STEPS, RIDGE = 4, 120, 2e-4
 MEMO = 300_000
 TOKENS = re.compile(r"[^\W\d_]+|[^\w\s]{2,}|\|")
 
@@ -192,7 +192,7 @@ def score(df: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
-def judged(documents: DataFrame, labels: DataFrame, threshold: float = 0.35) -> DataFrame:
+def judged(documents: DataFrame, labels: DataFrame, threshold: float = 0.15) -> DataFrame:
     """``documents`` with ``p_low_quality``, ``p_toxic`` and ``is_toxic``."""
     chain = learn(documents, labels, CATEGORIES)
     return score(documents, chain).withColumn("is_toxic", F.col("p_toxic") >= threshold)
