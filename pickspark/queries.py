@@ -242,9 +242,9 @@ def _(v):
     return joins.assigned_picks(events, pairs, v.picks).select("event_id", "pick_id", "tid", "pha", r("mag").alias("mag"))
 
 
-@query("c03_by_weight", "SELECT weight, pha, count(*) AS n, round(avg(conf), 6) AS conf FROM fx_picks JOIN fx_runs USING (rid) GROUP BY 1, 2")
+@query("c03_by_weight", "SELECT weight, pha, count(*) AS n, round(avg(conf), 10) AS conf FROM fx_picks JOIN fx_runs USING (rid) GROUP BY 1, 2")
 def _(v):
-    return joins.with_run(v.picks, v.runs).groupBy("weight", "pha").agg(F.count("*").alias("n"), r(F.avg("conf")).alias("conf"))
+    return joins.with_run(v.picks, v.runs).groupBy("weight", "pha").agg(F.count("*").alias("n"), r(F.avg("conf"), 10).alias("conf"))
 
 
 @query("c04_remaining_work", """SELECT DISTINCT p.tid, p.cha, CAST(p.peak AS DATE) AS day FROM fx_picks p WHERE NOT EXISTS (SELECT 1 FROM fx_picks q WHERE q.tid = p.tid AND q.cha = p.cha AND CAST(q.peak AS DATE) = CAST(p.peak AS DATE) AND q.rid = 'r1')""")
@@ -406,9 +406,9 @@ def _(v):
 # Aggregations
 
 
-@query("d01_partition_summary", "SELECT network, CAST(year(peak) AS INT) AS year, CAST(month(peak) AS INT) AS month, pha, count(*) AS picks, round(avg(conf), 6) AS mean_conf FROM fx_picks GROUP BY 1, 2, 3, 4")
+@query("d01_partition_summary", "SELECT network, CAST(year(peak) AS INT) AS year, CAST(month(peak) AS INT) AS month, pha, count(*) AS picks, round(avg(conf), 10) AS mean_conf FROM fx_picks GROUP BY 1, 2, 3, 4")
 def _(v):
-    return catalog.partition_summary(v.picks).withColumn("mean_conf", r("mean_conf"))
+    return catalog.partition_summary(v.picks).withColumn("mean_conf", r("mean_conf", 10))
 
 
 @query("d01_top_partitions", "SELECT network, pha, count(*) AS picks FROM fx_picks GROUP BY 1, 2 ORDER BY picks DESC, network, pha LIMIT 5")
@@ -426,15 +426,15 @@ def _(v):
     return catalog.phase_counts(v.picks)
 
 
-DIST = """SELECT '{c}' AS "column", count(x) AS n, round(avg(x) * {k}, 4) AS mean, round(stddev_samp(x) * {k}, 4) AS std, round(min(x) * {k}, 4) AS low, round(quantile_cont(x, 0.25) * {k}, 4) AS q1,
-  round(quantile_cont(x, 0.5) * {k}, 4) AS median, round(quantile_cont(x, 0.75) * {k}, 4) AS q3, round(max(x) * {k}, 4) AS high FROM (SELECT CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS x FROM fx_picks) t"""
+DIST = """SELECT '{c}' AS "column", count(x) AS n, round(avg(x) * {k}, 9) AS mean, round(stddev_samp(x) * {k}, 4) AS std, round(min(x) * {k}, 4) AS low, round(quantile_cont(x, 0.25) * {k}, 8) AS q1,
+  round(quantile_cont(x, 0.5) * {k}, 8) AS median, round(quantile_cont(x, 0.75) * {k}, 8) AS q3, round(max(x) * {k}, 4) AS high FROM (SELECT CASE WHEN isnan({c}) THEN NULL ELSE {c} END AS x FROM fx_picks) t"""
 
 
 @query("d04_distribution", " UNION ALL ".join(DIST.format(c=c, k=k) for c, k in (("conf", "1e0"), ("amp", "1e6"), ("amp_raw", "1e0"))))
 def _(v):
     scale = F.when(F.col("column") == "amp", F.lit(1e6)).otherwise(F.lit(1e0))
     found = catalog.distribution(v.picks, ["conf", "amp", "amp_raw"])
-    return found.select("column", "n", *(r(F.col(c) * scale, 4).alias(c) for c in ("mean", "std", "low", "q1", "median", "q3", "high")))
+    return found.select("column", "n", *(r(F.col(c) * scale, n).alias(c) for c, n in (("mean", 9), ("std", 4), ("low", 4), ("q1", 8), ("median", 8), ("q3", 8), ("high", 4))))
 
 
 @query("d05_amplitudes", """SELECT network, count(*) AS picks, count(*) FILTER (WHERE NOT isnan(amp)) AS with_amp, count(*) FILTER (WHERE amp IS NULL) AS null_amp, count(*) FILTER (WHERE isnan(amp)) AS nan_amp,
@@ -561,10 +561,10 @@ def _(v):
     return bench.class_agreement(decisions(v)).withColumn("agreement", r("agreement"))
 
 
-@query("d21_mean_and_max", "SELECT network, pha, round(avg(conf), 6) AS mean_conf, round(max(conf), 6) AS max_conf, round(avg(amp_raw), 4) AS mean_amp_raw, round(max(amp_raw), 4) AS max_amp_raw FROM fx_picks GROUP BY 1, 2")
+@query("d21_mean_and_max", "SELECT network, pha, round(avg(conf), 10) AS mean_conf, round(max(conf), 6) AS max_conf, round(avg(amp_raw), 9) AS mean_amp_raw, round(max(amp_raw), 4) AS max_amp_raw FROM fx_picks GROUP BY 1, 2")
 def _(v):
     found = bench.mean_and_max(v.picks, ["network", "pha"], ["conf", "amp_raw"])
-    return found.select("network", "pha", r("mean_conf").alias("mean_conf"), r("max_conf").alias("max_conf"), r("mean_amp_raw", 4).alias("mean_amp_raw"), r("max_amp_raw", 4).alias("max_amp_raw"))
+    return found.select("network", "pha", r("mean_conf", 10).alias("mean_conf"), r("max_conf").alias("max_conf"), r("mean_amp_raw", 9).alias("mean_amp_raw"), r("max_amp_raw", 4).alias("max_amp_raw"))
 
 
 @query("d22_lead_sweep", f"SELECT lead, expected, round(avg(CASE WHEN (station_no + lead) % 5 < 3 AND expected = predicted THEN 1e0 ELSE 0e0 END), 6) AS agreement FROM {DECIDED}, (SELECT unnest([15, 30, 45, 60, 75]) AS lead) l GROUP BY 1, 2")
@@ -589,9 +589,9 @@ def _(v):
 
 
 @query("d24_ablation", """WITH x AS (SELECT tid, pha, max(CASE WHEN pick_id % 2 = 0 THEN conf END) AS w, max(CASE WHEN pick_id % 2 = 1 THEN conf END) AS o FROM fx_picks GROUP BY 1, 2)
-SELECT pha, count(*) AS pairs, round(avg(w - o), 6) AS mean_change, count(*) FILTER (WHERE w > o) AS better, count(*) FILTER (WHERE w < o) AS worse, count(*) FILTER (WHERE w = o) AS unchanged FROM x WHERE w IS NOT NULL AND o IS NOT NULL GROUP BY 1""")
+SELECT pha, count(*) AS pairs, round(avg(w - o), 10) AS mean_change, count(*) FILTER (WHERE w > o) AS better, count(*) FILTER (WHERE w < o) AS worse, count(*) FILTER (WHERE w = o) AS unchanged FROM x WHERE w IS NOT NULL AND o IS NOT NULL GROUP BY 1""")
 def _(v):
-    return bench.ablation(v.picks.withColumn("even", F.col("pick_id") % 2 == 0), ["tid"], "even", "conf", ["pha"]).withColumn("mean_change", r("mean_change"))
+    return bench.ablation(v.picks.withColumn("even", F.col("pick_id") % 2 == 0), ["tid"], "even", "conf", ["pha"]).withColumn("mean_change", r("mean_change", 10))
 
 
 @query("d25_histogram", f"WITH {MATCHED} SELECT pha, CAST(floor((dt + 43200) / 3600) AS BIGINT) AS bin, count(*) AS n FROM m WHERE k = 1 AND dt >= -43200 AND dt < 43200 GROUP BY 1, 2")
@@ -599,10 +599,10 @@ def _(v):
     return bench.histogram(detected(v), "dt", -12 * HOURS, 12 * HOURS, 24, ["pha"])
 
 
-@query("d26_weights", """SELECT weight, count(*) AS picks, count(*) FILTER (WHERE pha = 'P') AS p_picks, count(*) FILTER (WHERE pha = 'S') AS s_picks, round(avg(conf) FILTER (WHERE pha = 'P'), 6) AS p_conf, round(avg(conf) FILTER (WHERE pha = 'S'), 6) AS s_conf
+@query("d26_weights", """SELECT weight, count(*) AS picks, count(*) FILTER (WHERE pha = 'P') AS p_picks, count(*) FILTER (WHERE pha = 'S') AS s_picks, round(avg(conf) FILTER (WHERE pha = 'P'), 10) AS p_conf, round(avg(conf) FILTER (WHERE pha = 'S'), 10) AS s_conf
 FROM fx_picks JOIN fx_runs USING (rid) GROUP BY 1""")
 def _(v):
-    return catalog.weight_summary(joins.with_run(v.picks, v.runs)).withColumns({c: r(c) for c in ("p_conf", "s_conf")})
+    return catalog.weight_summary(joins.with_run(v.picks, v.runs)).withColumns({c: r(c, 10) for c in ("p_conf", "s_conf")})
 
 
 @query("d27_offset_spread", """WITH o AS (SELECT tid, conf AS dt, amp_raw AS km FROM fx_picks), e AS (SELECT tid, stddev_samp(dt) AS s, avg(dt) AS m FROM o GROUP BY 1)
