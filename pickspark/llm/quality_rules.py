@@ -29,7 +29,7 @@ from .common import text_or_empty, written
 MAX_LABELLED = 20_000
 BINS = 16
 #: Rules and conditions of a rule, at most; precision and rows a rule needs on the pruning rows.
-RULES, CONDITIONS, PRECISION, LEAST = 12, 3, 0.9, 5
+RULES, CONDITIONS, PRECISION, LEAST = 12, 3, 0.95, 5
 
 BLANK = r"[\x20\x09-\x0D]+"
 BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
