@@ -192,11 +192,14 @@ class Codec:
         try:
             return head + b"".join(map(memo.__getitem__, rest))
         except KeyError:
-            new = {u: b"".join(map(self.piece, pre_tokens(self.find, u))) for u in set(rest) if u not in memo}
-            out = head + b"".join([memo.get(u) or new[u] for u in rest])
-            if len(memo) + len(new) > MEMO:
+            if len(memo) > MEMO:
                 memo.clear()
-            memo.update((u, ids) for u, ids in new.items() if len(u) < 100)
+            new = {u: b"".join(map(self.piece, pre_tokens(self.find, u))) for u in set(rest) if u not in memo}
+            memo.update(new)
+            out = head + b"".join(map(memo.__getitem__, rest))
+            for u in new:
+                if len(u) >= 100:
+                    del memo[u]
             return out
 
     def decode(self, ids: bytes) -> str:

@@ -28,8 +28,9 @@ from .common import chunks, shared_dir, text_or_empty
 BLOCK_TOKENS = 1 << 20
 #: Entries kept in each memo table before it is emptied.
 MEMO = 1_000_000
-#: A pair is replaced while it occurs so often; rounds and rules of a block, at most.
-LEAST, ROUNDS, RULES_A_ROUND = 24, 10, 2048
+#: A pair is replaced while it occurs so often, and while a round shortens the sequence by this share; rounds
+#: and rules of a round, at most.
+LEAST, SHRINK, ROUNDS, RULES_A_ROUND = 24, 0.002, 10, 2048
 
 BLOCKS = "shard int, block int, start_in_shard long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, first_rule int, rules binary, lengths binary, symbols binary"
 
@@ -46,7 +47,7 @@ class LibraryEncoder:
         self.letters = {b: c for c, b in byte_letters().items()}
         self.find = regex.compile(PATTERN).findall
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.at_special = regex.compile("|".join(map(regex.escape, special))) if special else None
+        self.special = special
         self.stretches: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
@@ -69,18 +70,21 @@ class LibraryEncoder:
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if self.at_special is not None and self.at_special.search(text):
+        if any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         first, *rest = CUT.split(text) if UNSAFE.search(text) else text.split(" ")
         known = self.stretches
         try:
             ids = b"".join(map(known.__getitem__, rest))
         except KeyError:
-            new = {u: self.ask(pre_tokens(self.find, u)) for u in set(rest) if u not in known}
-            ids = b"".join([known.get(u) or new[u] for u in rest])
-            if len(known) + len(new) > MEMO:
+            if len(known) > MEMO:
                 known.clear()
-            known.update((u, i) for u, i in new.items() if len(u) < 100)
+            new = {u: self.ask(pre_tokens(self.find, u)) for u in set(rest) if u not in known}
+            known.update(new)
+            ids = b"".join(map(known.__getitem__, rest))
+            for u in new:
+                if len(u) >= 100:
+                    del known[u]
         return np.frombuffer(self.ask(self.find(first)) + ids, "<u4")
 
 
@@ -130,8 +134,10 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         seq[cand] = (first_rule + len(rules) + place).astype(kind)
         stay = np.ones(len(seq), bool)
         stay[cand + 1] = False
-        seq = seq[stay]
+        gain, seq = len(cand) / len(seq), seq[stay]
         rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, made])
+        if gain < SHRINK:
+            break
     return rules, lengths, seq
 
 
