@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import chunks, written
@@ -39,7 +39,7 @@ WORDS = 8  # 64-bit words of a bitmap
 #: Ids that are sent to every executor instead of shuffling texts (8 bytes each).
 MOST_SENT = 1_000_000
 U = np.uint64
-ROWS = "doc_id long, n long, fa long, fb long, " + ", ".join(f"b{i} long" for i in range(WORDS)) + ", keys array<long>"
+ROWS = "doc_id long, n long, fa long, fb long, " + ", ".join(f"b{i} long" for i in range(WORDS))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -138,22 +138,34 @@ def bitmap(h: np.ndarray) -> np.ndarray:
     return np.packbits(counts.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def described(df: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
-    """One row for each document: size and fingerprint of its set, bitmap, tile keys."""
+def keyed(df: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``node`` (the document's id) and ``key``: a row for each of its tiles. The shingles are hashed anew, which
+    costs less than keeping the keys of all documents on disk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(num, den)
+        for batch in batches:
+            for part in chunks(batch, "text", 1 << 20):
+                with np.errstate(over="ignore"):
+                    keys = [tile_keys(h, bands).view(np.int64) if len(h) else np.zeros(0, np.int64) for h in shingle_sets(part.column("text").to_pylist(), words)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("doc_id").to_numpy(), [len(k) for k in keys])), pa.array(np.concatenate(keys))], names=["node", "key"])
+
+    return df.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, "node long, key long")
+
+
+def described(df: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """One row for each document: size and fingerprint of its set, bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text_col, 1 << 20):
                 with np.errstate(over="ignore"):
                     sets = shingle_sets(part.column(text_col).to_pylist(), words)
                     marks = np.array([bitmap(h) for h in sets], np.int64).reshape(len(sets), WORDS)
                     prints = np.array([(mix(h).sum(dtype=U), mix(h ^ U(0x2545F4914F6CDD1D)).sum(dtype=U)) for h in sets], U).view(np.int64)
-                    keys = [tile_keys(h, bands).view(np.int64) if len(h) else np.zeros(0, np.int64) for h in sets]
-                ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(id_col).cast(pa.int64()), pa.array([len(h) for h in sets], pa.int64()), *(pa.array(prints[:, i]) for i in range(2)), *(pa.array(marks[:, i]) for i in range(WORDS)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))],
-                    names=["doc_id", "n", "fa", "fb", *(f"b{i}" for i in range(WORDS)), "keys"],
+                    [part.column(id_col).cast(pa.int64()), pa.array([len(h) for h in sets], pa.int64()), *(pa.array(prints[:, i]) for i in range(2)), *(pa.array(marks[:, i]) for i in range(WORDS))],
+                    names=["doc_id", "n", "fa", "fb", *(f"b{i}" for i in range(WORDS))],
                 )
 
     return df.select(F.col(id_col), F.col(text_col)).mapInArrow(run, ROWS)
@@ -223,38 +235,42 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, num: int, den: int)
     return both.select("a", "b", "_ta", "_tb").mapInArrow(run, "a long, b long").distinct()
 
 
-def only(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` whose id is in the (written, distinct) table ``ids``. The ids are sent to all executors
-    only if they were counted and are few; else both sides are shuffled by id."""
-    few = ids.count() <= MOST_SENT
-    return df.join(F.broadcast(ids) if few else ids, column, "left_semi")
+def only(df: DataFrame, ids: DataFrame, column: str = "doc_id", how: str = "left_semi", most: int = MOST_SENT) -> DataFrame:
+    """``df`` joined with the (written, distinct) table ``ids``, which is sent to all executors only if it was
+    counted and has ``most`` rows at most; else both sides are shuffled."""
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, column, how)
 
 
 def similarity_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of each row. Two rows link if
     ``den * |intersection| >= num * |union|`` of their shingle sets."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = written(described(docs, words, num, den, "doc_id", "text"), "shingles")
+    rows = written(described(docs, words, "doc_id", "text"), "shingles")
     members = rows.select("doc_id", "n", "fa", "fb")
     nodes = written(members.where("n > 0").groupBy("fa", "fb").agg(F.min("doc_id").alias("node")), "nodes")
-    reps = rows.join(nodes.withColumnRenamed("node", "doc_id"), ["doc_id", "fa", "fb"], "left_semi").withColumnRenamed("doc_id", "node")
-
-    # Round 1: each tile's members with its smallest.
-    stars = _stars(reps)
-    info = rows.select(F.col("doc_id"), "n", *(f"b{i}" for i in range(WORDS)))
-    near = stars.join(info.withColumnRenamed("doc_id", "a").alias("x"), "a").join(info.withColumnRenamed("doc_id", "b").alias("y"), "b")
+    copies = written(members.join(nodes, ["fa", "fb"]).where("doc_id <> node").select("doc_id").distinct(), "copies")
+    info = rows.select(F.col("doc_id").alias("node"), "n", *(f"b{i}" for i in range(WORDS)))
+
+    # Round 1: each tile's members with its smallest. Tiles of one member end here.
+    by = Window.partitionBy("key").orderBy("node")
+    inside = keyed(only(docs, copies, how="left_anti"), words, num, den).withColumns({"first": F.first("node").over(by), "before": F.lag("node").over(by), "after": F.lead("node").over(by)})
+    tiles = written(inside.where("before IS NOT NULL OR after IS NOT NULL").select("key", "node", "first"), "tiles")
+    stars = tiles.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    near = stars.join(info.withColumnRenamed("node", "a").alias("x"), "a").join(info.withColumnRenamed("node", "b").alias("y"), "b")
     near = written(near.where(may_link("x", "y", num, den)).select("a", "b").distinct(), "near")
-    ids = written(stars.select("a").union(stars.select("b")).distinct().toDF("doc_id"), "ids")
-    texts = written(only(docs, ids), "texts")
-    links = written(verified(near, texts, words, num, den), "verified")
-    found = connected_components(links)
-
-    # Round 2: tiles in which several components are left.
-    placed = only(rows, ids).withColumnRenamed("doc_id", "node").join(found, "node", "left")
-    tiles = placed.select(F.explode("keys").alias("key"), "node", F.coalesce("component", "node").alias("component"), "n", *(f"b{i}" for i in range(WORDS)))
-    rest = written(tile_pairs(tiles, num, den).distinct().join(near, ["a", "b"], "left_anti"), "rest")
+    links = written(verified(near, texts_of(docs, near), words, num, den), "verified")
+    found = written(connected_components(links), "found")
+
+    # Round 2: tiles of three members or more in which several components are left.
+    whole = Window.partitionBy("key")
+    placed = only(tiles.select("key", "node"), found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_ = placed.withColumns({"size": F.count("*").over(whole), "low": F.min("component").over(whole), "high": F.max("component").over(whole)}).where("size > 2 AND low < high")
+    open_ = written(open_.select("key", "node", "component"), "open")
+    marks = written(only(info, written(open_.select("node").distinct(), "ids"), "node"), "marks")
+    compared = only(open_, marks, "node", "inner", MOST_SENT // 4)
+    rest = written(tile_pairs(compared, num, den).distinct().join(near, ["a", "b"], "left_anti"), "rest")
     if rest.limit(1).count():
-        more = written(verified(rest, texts, words, num, den), "verified")
+        more = written(verified(rest, texts_of(docs, rest), words, num, den), "verified")
         if more.limit(1).count():
             found = connected_components(links.unionByName(more))
 
@@ -262,12 +278,9 @@ def similarity_components(df: DataFrame, words: int = 5, num: int = 80, den: int
     return members.join(of_print, ["fa", "fb"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _stars(reps: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
-
-    first = F.first("node").over(Window.partitionBy("key").orderBy("node"))
-    tiles = reps.select(F.explode("keys").alias("key"), "node").withColumn("_first", first)
-    return written(tiles.where("node <> _first").select(F.col("_first").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+def texts_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Texts of the documents of (written) pairs."""
+    return written(only(docs, written(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"), "ids")), "texts")
 
 
 def one_of_each(df: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
