@@ -17,7 +17,7 @@ def band_gain(n: int, rate: float, low: float | None, high: float | None, order:
     """Gain of a Butterworth filter run forward and backward (no phase shift)."""
     f = np.fft.rfftfreq(n, 1 / rate)
     gain = np.ones(len(f))
-    with np.errstate(divide="ignore"):
+    with np.errstate(divide="ignore", over="ignore"):
         if low:
             gain /= 1 + np.where(f > 0, (low / np.maximum(f, 1e-300)) ** (2 * order), np.inf)
         if high:
