@@ -1,13 +1,14 @@
 """Quality rules as a learned decision list, in DataFrame expressions only.
 
 Statistics of whole texts are columns built from built-in functions. From labelled rows, sequential covering
-grows conjunctions of thresholds (each condition by its information gain on two thirds of the rows), prunes
-them on the other third, keeps a rule if it is precise there, and goes on with the rows not yet covered. The
-list becomes one ordered ``CASE WHEN`` expression, which Spark evaluates with the statistics: no Python runs
+grows conjunctions of thresholds (each condition by its information gain on two thirds of the rows, over all
+borders between values that occur), prunes them on the other third, keeps a rule if it is precise there and
+over all rows, and goes on with the rows not yet covered. What a rule that is not kept covers is set aside, and
+growing goes on without it until no rule is left to grow. The list becomes one ordered ``CASE WHEN`` expression, which Spark evaluates with the statistics: no Python runs
 on the executors, and nothing is shuffled but the labelled sample.
 
 Learning uses at most ``MAX_LABELLED`` labelled rows (smallest hashed ids), a documented bound; only their
-binned statistics reach the driver. Words are stretches without space, tab, line feed, vertical tab, form
+statistics reach the driver. Words are stretches without space, tab, line feed, vertical tab, form
 feed and carriage return. Windows of three words are compared by 64-bit hashes, within one text only.
 
 Edge cases: a null text counts as one without words (all statistics 0, base failed); texts of any length are
@@ -17,17 +18,16 @@ alike; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 
 MAX_LABELLED = 20_000
-BINS = 16
 #: Rules and conditions of a rule, at most; precision and rows a rule needs on the pruning rows.
 RULES, CONDITIONS, PRECISION, LEAST = 12, 3, 0.95, 5
 
@@ -124,58 +124,68 @@ def learn(documents: DataFrame, labels: DataFrame, bad: str = "quality = 0", id_
     stats = statistics(texts, id_col, text_col).join(F.broadcast(sample), id_col)
     every = written(stats.select("_bad", F.expr(BASE_FAILED).alias("_failed"), (F.pmod(F.xxhash64(F.lit("prune"), F.col(id_col)), F.lit(3)) == 0).alias("_prune"), *(F.expr(sql).alias(f) for f, sql in FEATURES.items())), "statistics")
     table = every.where("NOT _failed")
-    cuts = table.agg(*(F.percentile_approx(f, [i / BINS for i in range(1, BINS)], 2000).alias(f) for f in FEATURES)).first()
-    thresholds = {f: sorted({float(x) for x in cuts[f] or []}) for f in FEATURES}
-    edges = {f: F.lit(0) + sum(((F.col(f) >= F.lit(t)).cast("int") for t in ts), F.lit(0)) for f, ts in thresholds.items()}
-    rows = table.select("_bad", "_prune", *(e.alias(f) for f, e in edges.items())).collect()  # max_labelled rows of small numbers
-    return cover(rows, thresholds)
-
-
-def cover(rows: list, thresholds: dict[str, list[float]]) -> list[list[Condition]]:
-    """Sequential covering. Sets of rows are integers with a bit for each row."""
-    every = (1 << len(rows)) - 1
-    bits = lambda test: int("".join("1" if test(r) else "0" for r in reversed(rows)) or "0", 2)
-    bad, prune = bits(lambda r: r["_bad"]), bits(lambda r: r["_prune"])
-    masks = {}
-    for f, ts in thresholds.items():
-        for i, t in enumerate(ts):
-            up = bits(lambda r, f=f, i=i: r[f] > i)
-            masks[Condition(f, True, t)], masks[Condition(f, False, t)] = up, every & ~up
-    left, rules = every, []
+    rows = table.select("_bad", "_prune", *FEATURES).toArrow()  # max_labelled rows of a number a feature
+    column = lambda name: rows.column(name).to_numpy()
+    return cover(column("_bad").astype(bool), column("_prune").astype(bool), {f: column(f) for f in FEATURES})
+
+
+def cover(bad: np.ndarray, prune: np.ndarray, values: dict[str, np.ndarray]) -> list[list[Condition]]:
+    """Sequential covering. Sets of rows are masks; ``values`` has each feature's value of each row."""
+    order = {f: np.argsort(v, kind="stable") for f, v in values.items()}
+    left, aside, rules = np.ones(len(bad), bool), np.zeros(len(bad), bool), []
     while len(rules) < RULES:
-        grow, held = left & ~prune, left & prune
-        rule, got = [], grow
-        while len(rule) < CONDITIONS and got & ~bad:
-            before = _precision(got & bad, got)
-            gain = lambda c: ((h := got & masks[c]) & bad).bit_count() * (math.log2(_precision(h & bad, h)) - math.log2(before))
-            best = max(masks, key=lambda c: (gain(c), c.feature, c.above, -c.threshold))
-            if gain(best) <= 0:
+        rule, got = [], left & ~prune & ~aside
+        while len(rule) < CONDITIONS and (got & ~bad).any():
+            best = _best(bad, got, values, order)
+            if best is None:
                 break
             rule.append(best)
-            got &= masks[best]
-        # Prune: the prefix that is most precise on rows it was not grown on.
-        prefixes = []
-        for k in range(1, len(rule) + 1):
-            h = held
-            for c in rule[:k]:
-                h &= masks[c]
-            prefixes.append((_precision(h & bad, h), -k, h))
-        if not prefixes:
+            got &= _meets(best, values)
+        if not rule:
             break
-        precision, shorter, h = max(prefixes)
-        if precision < PRECISION or (h & bad).bit_count() < LEAST:
-            break
-        rules.append(rule[:-shorter])
-        covered = left
-        for c in rules[-1]:
-            covered &= masks[c]
-        left &= ~covered
+        # Prune: the prefix that is most precise on rows it was not grown on.
+        covered, prefixes = left, []
+        for k, c in enumerate(rule, 1):
+            covered = covered & _meets(c, values)
+            held = covered & prune
+            prefixes.append((_precision((held & bad).sum(), held.sum()), -k, covered))
+        _, shorter, covered = max(prefixes, key=lambda x: x[:2])
+        held = covered & prune
+        n, k = held.sum(), (held & bad).sum()
+        if k >= LEAST and k >= PRECISION * n and _precision((covered & bad).sum(), covered.sum()) >= PRECISION:
+            rules.append(rule[:-shorter])
+            left = left & ~covered
+        else:
+            aside |= got
     return rules
 
 
-def _precision(hit: int, of: int) -> float:
+def _best(bad: np.ndarray, got: np.ndarray, values: dict[str, np.ndarray], order: dict[str, np.ndarray]) -> Condition | None:
+    """The condition of the largest information gain among the rows ``got``, at any border between two values."""
+    n, k = int(got.sum()), int((got & bad).sum())
+    best, gained = None, 0.0
+    for f, by in order.items():
+        by = by[got[by]]
+        v = values[f][by]
+        at = np.flatnonzero(v[1:] > v[:-1]) + 1
+        below = np.cumsum(bad[by])[at - 1]
+        for above, hit, of in ((True, k - below, n - at), (False, below, at)):
+            gain = hit * (np.log2(_precision(hit, of)) - np.log2(_precision(k, n)))
+            if len(at) and gain.max() > gained:
+                i = int(gain.argmax())
+                low, high = float(v[at[i] - 1]), float(v[at[i]])
+                middle = low + (high - low) / 2
+                best, gained = Condition(f, above, middle if middle > low else high), float(gain[i])
+    return best
+
+
+def _meets(c: Condition, values: dict[str, np.ndarray]) -> np.ndarray:
+    return values[c.feature] >= c.threshold if c.above else values[c.feature] < c.threshold
+
+
+def _precision(hit: np.ndarray, of: np.ndarray) -> np.ndarray:
     """With two rows more, one of each kind."""
-    return (hit.bit_count() + 1) / (of.bit_count() + 2)
+    return (hit + 1) / (of + 2)
 
 
 def judged(documents: DataFrame, rules: list[list[Condition]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -194,6 +194,33 @@ def test_quality_rules_hold_on_other_rows(spark):
     assert quality_rules.learn(docs, labels.limit(0)) == []
 
 
+def test_quality_rules_leave_few_bad_rows(spark):
+    con = duckdb.connect()
+    rows = con.execute("SELECT d.doc_id, text, quality FROM '/root/testdata/sf0.1/documents.parquet' d JOIN '/root/testdata/sf0.1/labels.parquet' l USING (doc_id) WHERE d.doc_id % 3 = 0").fetchall()
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[0] % 2], "doc_id long, quality int")
+    kept = {r.doc_id: r for r in quality_rules.judged(docs, quality_rules.learn(docs, labels)).collect()}
+    held = [(kept[d], q) for d, _, q in rows if d % 2 == 0 and not kept[d].base_failed]
+    assert np.mean([k.kept for k, q in held if q == 1]) > 0.98 and np.mean([k.kept for k, q in held if q == 0]) < 0.1
+
+
+def test_quality_rules_reject_rare_bad_rows(spark):
+    # 2 % of the rows, in a small part of the range.
+    texts = [" ".join(f"w{(i * 7 + j * 11) % 997}" for j in range(80)) + (" ##" if i % 50 == 0 else "") for i in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 50 > 0)) for i in range(2000)], "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in quality_rules.judged(docs, quality_rules.learn(docs, labels)).collect()}
+    assert all(kept[i] == (i % 50 > 0) for i in range(2000))
+
+
+def test_quality_rules_go_on_after_a_rule_that_is_not_kept():
+    # The larger group is bad only where rules are grown, the smaller one everywhere.
+    at = np.arange(3000)
+    prune, a, b = at % 3 == 0, at < 600, at >= 2800
+    rules = quality_rules.cover(b | a & ~prune, prune, {"words": a * 1.0, "dup_lines": b * 1.0})
+    assert rules == [[quality_rules.Condition("dup_lines", True, 0.5)]]
+
+
 def test_shards(spark, texts):
     rows = sharding.documents_to_shards(documents(spark, texts)).collect()
     assert sorted((r.doc_id, r.size, r.text_crc32) for r in rows) == [(i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in enumerate(texts)]
