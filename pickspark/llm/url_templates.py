@@ -1,8 +1,9 @@
 """URL filter: given rules first, then a path-template tree learned from labelled pages.
 
 For each host, paths are read segment by segment. A segment value that is rare among its siblings is
-variable and becomes a wildcard; frequent values stay branches. Sibling branches whose labelled shares of bad
-pages do not differ significantly are merged, which pools their counts. A template (a path from the root to a
+variable and becomes a wildcard; frequent values stay branches. Sibling branches are merged in the order of their
+labelled shares of bad pages, each with the group before it unless it differs significantly from the group's
+pooled share; merging pools their counts. A template (a path from the root to a
 leaf) is rejected if its share of bad pages, smoothed towards its host's and the whole table's, passes a
 threshold. Segments are generalised level by level; each level counts (host, prefix, segment) before anything
 is joined, so a host with a third of all pages is never gathered in one task, and only frequent values, at
@@ -16,8 +17,11 @@ columns are not read.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +30,7 @@ from .common import written
 DEPTH = 6
 #: A value is variable if it has less than this share of its siblings' rows, or fewer rows than this.
 RARE, FEW = 0.02, 5
-#: Siblings are merged if their bad shares differ by fewer standard errors than this.
+#: A sibling joins a group if its bad share differs from the group's by fewer standard errors than this.
 ERRORS = 2.0
 #: Weight, in rows, of the share a template is smoothed towards; and the share it is rejected from.
 WEIGHT, REJECT = 8.0, 0.5
@@ -83,14 +87,26 @@ def purity(rows: DataFrame, errors: float = ERRORS, weight: float = WEIGHT) -> D
     total = counts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     prior = (total.k or 0) / total.n if total.n else 0.0
     # Siblings: same host, depth and ending, in the order of their bad shares; a new group begins where the
-    # share rises by more than so many standard errors. Each place has 1 / RARE branches and the wildcards.
+    # share rises from the pool of the group so far by more than so many standard errors.
     raw = (F.col("k") + prior * weight) / (F.col("n") + weight)
-    size = F.col("n") + F.lit(weight)
-    placed = counts.withColumns({"_raw": raw, "_size": size, "_place": F.concat(F.size(F.split("template", "/")).cast("string"), F.regexp_extract("template", r"[^/]*$", 0))})
-    at = Window.partitionBy("host", "_place").orderBy("_raw", "template")
-    spread = F.sqrt(F.greatest(F.lag("_raw").over(at) * (1 - F.lag("_raw").over(at)), F.lit(0.01)) / F.lag("_size").over(at) + F.greatest(F.col("_raw") * (1 - F.col("_raw")), F.lit(0.01)) / F.col("_size"))
-    apart = F.coalesce((F.col("_raw") - F.lag("_raw").over(at)) > errors * spread, F.lit(False))
-    grouped = placed.withColumn("_apart", apart.cast("int")).withColumn("_group", F.sum("_apart").over(at))
+    placed = counts.withColumns({"_raw": raw, "_place": F.concat(F.size(F.split("template", "/")).cast("string"), F.regexp_extract("template", r"[^/]*$", 0))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group, pool_n, pool_k = None, 0, 0, 0
+        for batch in batches:
+            groups = []
+            for place, n, k, share in zip(zip(*(batch.column(c).to_pylist() for c in ("host", "_place"))), *(batch.column(c).to_pylist() for c in ("n", "k", "_raw"))):
+                pooled = (pool_k + prior * weight) / (pool_n + weight)
+                spread = math.sqrt(max(pooled * (1 - pooled), 0.01) / (pool_n + weight) + max(share * (1 - share), 0.01) / (n + weight))
+                if place != at or share - pooled > errors * spread:
+                    group, pool_n, pool_k = group + 1 if place == at else 0, 0, 0
+                at, pool_n, pool_k = place, pool_n + n, pool_k + k
+                groups.append(group)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("host", "template", "n", "k", "_place")), pa.array(groups, pa.int64())], names=["host", "template", "n", "k", "_place", "_group"])
+
+    # A place's templates stream through one task in order; they are counts, not pages.
+    streamed = placed.repartition("host", "_place").sortWithinPartitions("host", "_place", "_raw", "template")
+    grouped = streamed.select("host", "template", "n", "k", "_place", "_raw").mapInArrow(run, "host string, template string, n long, k long, _place string, _group long")
     merged = Window.partitionBy("host", "_place", "_group")
     host = counts.groupBy("host").agg(((F.sum("k") + prior * weight) / (F.sum("n") + weight)).alias("_host"))
     pooled = grouped.select("host", "template", F.sum("n").over(merged).alias("n"), F.sum("k").over(merged).alias("k")).join(host, "host")

@@ -297,6 +297,15 @@ def test_urls(spark):
     assert got[8] == ("q.org", "/a/b/c/d/e/f/g/h/i", None, "allow")
 
 
+def test_url_templates_do_not_merge_graded_siblings(spark):
+    rows = [("h", f"/s{i:02d}/*.html", int(j < round(200 * i / 39))) for i in range(40) for j in range(200)]
+    shares = {r.template: r.bad_share for r in url_templates.purity(spark.createDataFrame(rows, "host string, template string, bad int")).collect()}
+    assert len(shares) == 40
+    for i in range(40):
+        # Near its own share: 0.15 is some four standard errors of 200 pages.
+        assert abs(shares[f"/s{i:02d}/*.html"] - i / 39) < 0.15
+
+
 def test_url_templates_reject_what_is_mostly_bad(spark):
     rows = [(i, f"http://h.org/{'spam' if i % 2 else 'news'}/{i}.html") for i in range(400)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
