@@ -10,8 +10,8 @@ is joined, so a host with a third of all pages is never gathered in one task, an
 most ``1 / RARE`` for each place, are joined back.
 
 Edge cases: a null url or one without ``://`` has empty host and path and fits no rule; an empty path is a
-template of its own; paths deeper than ``DEPTH`` share the rest as one wildcard; repeated rows count each and
-get equal verdicts; without labels nothing is rejected by the method; an empty table gives no rows; other
+template of its own; paths are generalised to their last segment, and each level that ``FEW`` pages of one place
+reach takes a few jobs; repeated rows count each and get equal verdicts; without labels nothing is rejected by the method; an empty table gives no rows; other
 columns are not read.
 """
 
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-DEPTH = 6
+#: Levels after which the rows are written, so that plans stay short on deep paths.
+CUT = 6
 #: A value is variable if it has less than this share of its siblings' rows, or fewer rows than this.
 RARE, FEW = 0.02, 5
 #: A sibling joins a group if its bad share differs from the group's by fewer standard errors than this.
@@ -63,22 +64,35 @@ def _joined(rows: DataFrame, values: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(F.broadcast(values) if values.count() <= MOST_SENT else values, on, "left")
 
 
-def templated(pages: DataFrame, depth: int = DEPTH, rare: float = RARE) -> DataFrame:
+def _wildcard(part: Column) -> Column:
+    kind = F.regexp_extract(part, r"(\.[A-Za-z]{1,5})?$", 0)  # a file name's ending stays
+    return F.when(part == "", F.lit("")).otherwise(F.concat(F.lit("*"), kind))
+
+
+def templated(pages: DataFrame, rare: float = RARE) -> DataFrame:
     """Add ``template``: the path with variable segments as ``*``. ``pages``: host, path and more."""
     parts = F.split(F.expr("substring(path, 2)"), "/")
-    cut = F.when(F.size(parts) > depth, F.concat(F.slice(parts, 1, depth), F.array(F.lit("**")))).otherwise(parts)
-    rows = pages.withColumn("_parts", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(cut)).withColumn("template", F.lit(""))
-    for level in range(depth + 1):
+    rows = pages.withColumn("_parts", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(parts)).withColumn("template", F.lit(""))
+    level, ended = 0, []
+    while True:
         part = F.get("_parts", F.lit(level))
+        total = written(rows.where(part.isNotNull()).groupBy("host", "template").agg(F.count("*").alias("_total")), "places")
+        if total.where(F.col("_total") >= FEW).isEmpty():
+            break  # places only get smaller: no value can be frequent from here on
         rows = rows.withColumn("_part", part)
         here = rows.where(part.isNotNull()).groupBy("host", "template", "_part").agg(F.count("*").alias("_n"))
-        total = written(rows.where(part.isNotNull()).groupBy("host", "template").agg(F.count("*").alias("_total")), "places")
         often = (F.col("_n") >= F.greatest(rare * F.col("_total"), F.lit(FEW))).alias("_often")
         frequent = written(_joined(here, total, ["host", "template"]).select("host", "template", "_part", often).where("_often"), "branches")
-        kind = F.regexp_extract("_part", r"(\.[A-Za-z]{1,5})?$", 0)  # a file name's ending stays
-        shape = F.when(F.col("_often"), F.col("_part")).when(F.col("_part") == "", F.lit("")).otherwise(F.concat(F.lit("*"), kind))
+        shape = F.when(F.col("_often"), F.col("_part")).otherwise(_wildcard(F.col("_part")))
         rows = _joined(rows, frequent, ["host", "template", "_part"]).withColumn("template", F.when(F.col("_part").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), shape))).drop("_often", "_part")
-    return rows.drop("_parts")
+        level += 1
+        if level % CUT == 0:
+            rows = written(rows, "levels")
+            ended.append(rows.where(F.size("_parts") <= level))
+            rows = rows.where(F.size("_parts") > level)
+    rest = F.slice("_parts", F.lit(level + 1), F.greatest(F.size("_parts") - level, F.lit(0)))
+    rows = rows.withColumn("template", F.concat("template", F.array_join(F.transform(rest, lambda p: F.concat(F.lit("/"), _wildcard(p))), "")))
+    return reduce(DataFrame.unionByName, [rows, *ended]).drop("_parts")
 
 
 def purity(rows: DataFrame, errors: float = ERRORS, weight: float = WEIGHT) -> DataFrame:

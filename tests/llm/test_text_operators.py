@@ -315,6 +315,18 @@ def test_url_templates_reject_what_is_mostly_bad(spark):
     assert all((r.verdict == "block") == (r.page_id % 2 == 1) for r in got)
 
 
+def test_url_templates_of_deep_paths(spark):
+    deep = "/a/b/c/d/e/f/g"
+    rows = [(i, f"http://h.org{deep}/{'spam' if i % 2 else 'news'}/{i}.html") for i in range(400)]
+    rows += [(1000 + i, f"http://h.org/short/{i}") for i in range(20)] + [(2000, f"http://h.org{deep}/x/y//z/w.html"), (2001, "http://h.org")]
+    bad = spark.createDataFrame([(i, i % 2) for i in range(0, 400, 3)], "page_id long, bad int")
+    got = {r.page_id: r for r in url_templates.judged(spark.createDataFrame(rows, "page_id long, url string"), bad, {}).collect()}
+    assert len(got) == len(rows)
+    assert all((got[i].template, got[i].verdict) == ((f"{deep}/spam/*.html", "block") if i % 2 else (f"{deep}/news/*.html", "allow")) for i in range(400))
+    assert {got[1000 + i].template for i in range(20)} == {"/short/*"}
+    assert (got[2000].template, got[2001].template) == (f"{deep}/*/*//*/*.html", "")
+
+
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_registered_queries(spark, name):
     df = queries.QUERIES[name](spark, SF)
