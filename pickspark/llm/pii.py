@@ -4,8 +4,12 @@ Validated values are found by pattern and check (Luhn sum, octets, calendar, IBA
 permuted within its own format by a keyed Feistel network: digits stay digits, letters letters, separators
 stay, check digits are computed anew, dates stay dates. The permutation depends on the key and the kind
 alone, so equal values stay equal across documents, different ones stay different, and no table of values
-is kept or shuffled. Whoever has the key can undo it (``restore``). Cards of one value written with different
-separators share their digits' pseudonym.
+is kept or shuffled. Whoever has the key can undo it (``restore``, by the places found). Cards of one value
+written with different separators share their digits' pseudonym.
+
+The pattern of a card or IBAN may take in a short token that follows. Shorter matches that end at a separator
+are tried too: cards grouped as on cards first, IBANs of their country's length first, then the longest. Dates
+with slashes are read month first where day first is no date.
 
 Edge cases: a null text stays null, an empty one empty; numbers that fail validation stay as they are; whole
 texts of any length are read; repeated rows and other columns pass through; an empty table gives no rows.
@@ -42,6 +46,11 @@ KINDS = {
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
+#: IBAN lengths of countries, and how digits are grouped on cards.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+LENGTH_OF = {country: n for n, countries in IBAN_LENGTHS.items() for country in countries.split()}
+CARD_FORM = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}", re.ASCII)
+CARD = re.compile(KINDS["card"], re.ASCII)
 FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()), re.ASCII)
 MAY = re.compile(r"\d|@", re.ASCII)
 
@@ -137,15 +146,20 @@ def ip(text: str, key: bytes, back: bool) -> str | None:
 
 
 def date(text: str, key: bytes, back: bool) -> str | None:
-    form = "%Y-%m-%d" if text[4] == "-" else f"%d{text[2]}%m{text[2]}%Y"
-    try:
-        day = datetime.datetime.strptime(text, form).toordinal()
-    except ValueError:
-        return None
-    if not FIRST_DAY <= day <= LAST_DAY:
-        return None
-    moved = datetime.date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back))
-    return moved.strftime(form)
+    for form in ("%Y-%m-%d",) if text[4] == "-" else ("%d/%m/%Y", "%m/%d/%Y") if text[2] == "/" else ("%d.%m.%Y",):
+        try:
+            day = datetime.datetime.strptime(text, form).toordinal()
+        except ValueError:
+            continue
+        if not FIRST_DAY <= day <= LAST_DAY:
+            return None
+        while True:
+            day = FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
+            moved = datetime.date.fromordinal(day)
+            # What is read month first has a day over 12, and keeps one: else it would be read day first.
+            if form != "%m/%d/%Y" or moved.day > 12:
+                return moved.strftime(form)
+    return None
 
 
 def iban(text: str, key: bytes, back: bool) -> str | None:
@@ -166,6 +180,46 @@ def email(text: str, key: bytes, back: bool) -> str | None:
 MAKERS: dict[str, Callable[[str, bytes, bool], str | None]] = {"email": email, "iban": iban, "date": date, "ip": ip, "phone": phone, "ssn": ssn, "card": card}
 
 
+def readings(kind: str, text: str) -> list[str]:
+    """``text`` and its beginnings that end at a separator, in the order in which they are tried."""
+    if kind not in ("card", "iban"):
+        return [text]
+    parts = [text[:i] for i in range(len(text), 0, -1) if i == len(text) or text[i] in " -"]
+    if kind == "card":
+        return sorted((p for p in parts if sum(c in DIGITS for c in p) >= 13), key=lambda p: not CARD_FORM.fullmatch(p))
+    return sorted(parts, key=lambda p: len(p.replace(" ", "")) != LENGTH_OF.get(p[:2]))
+
+
+def read(m: re.Match, key: bytes, back: bool) -> tuple[str, str] | None:
+    """The valid value that begins where ``m`` does, and its pseudonym."""
+    kind = m.lastgroup
+    for part in readings(kind, m[0]):
+        if (new := MAKERS[kind](part, key, back)) is not None:
+            # Digits not grouped as on cards give way to a card that begins among them.
+            later = kind == "card" and not CARD_FORM.fullmatch(part) and any(_card_at(m.string, m.start() + i + 1, key, back) for i, c in enumerate(m[0]) if c in " -")
+            return None if later else (part, new)
+    return None
+
+
+def _card_at(text: str, at: int, key: bytes, back: bool) -> bool:
+    m = CARD.match(text, at)
+    return bool(m) and any(CARD_FORM.fullmatch(p) and card(p, key, back) for p in readings("card", m[0]))
+
+
+def undone(text: str, spans: list[tuple[str, int, int]], key: bytes, kinds: frozenset[str] = frozenset(KINDS)) -> tuple[str, list[tuple[str, int, int]]]:
+    """Undo ``replace`` at the places that it gave: the new text, and the places in it."""
+    out, places, done, size = [], [], 0, 0
+    for kind, begin, end in spans:
+        if kind in kinds:
+            new = MAKERS[kind](text[begin:end], key, True) or text[begin:end]
+            out += [text[done:begin], new]
+            size += begin - done
+            places.append((kind, size, size + len(new)))
+            size += len(new)
+            done = end
+    return "".join([*out, text[done:]]), places
+
+
 def replace(text: str, key: bytes, back: bool = False, kinds: frozenset[str] = frozenset(KINDS)) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and (kind, begin, end) of each in the new text, in code points."""
     if not MAY.search(text):
@@ -173,16 +227,17 @@ def replace(text: str, key: bytes, back: bool = False, kinds: frozenset[str] = f
     out, spans, done, size = [], [], 0, 0
     at = 0
     while m := FIND.search(text, at):
-        new = MAKERS[m.lastgroup](m[0], key, back) if m.lastgroup in kinds else None
-        if new is None:
+        found = read(m, key, back) if m.lastgroup in kinds else None
+        if found is None:
             # What fails validation as one kind may hold another: look again one character on.
             at = m.start() + 1
             continue
+        old, new = found
         out += [text[done : m.start()], new]
         size += m.start() - done
         spans.append((m.lastgroup, size, size + len(new)))
         size += len(new)
-        done = at = m.end()
+        done = at = m.start() + len(old)
     return ("".join([*out, text[done:]]), spans) if spans else (text, [])
 
 
@@ -190,22 +245,28 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 
 
 def pseudonymise(df: DataFrame, key: bytes, text_col: str = "text", spans_col: str = "pii", back: bool = False, kinds: frozenset[str] = frozenset(KINDS)) -> DataFrame:
-    """``df`` with pseudonyms in ``text_col`` and their places in ``spans_col``."""
+    """``df`` with pseudonyms in ``text_col`` and their places in ``spans_col``. ``back`` undoes the places that
+    ``spans_col`` has; without them values are found anew, which may differ where digits follow a value."""
     base = [f for f in df.schema.fields if f.name != spans_col]
     names = [f.name for f in base]
+    placed = back and any(f.name == spans_col and f.dataType.simpleString() == SPANS.simpleString() for f in df.schema.fields)
     span = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text_col):
-                rows = [replace(t, key, back, kinds) if t is not None else (None, []) for t in part.column(text_col).to_pylist()]
+                places = part.column(spans_col).to_pylist() if placed else [None] * part.num_rows
+                rows = [
+                    (None, []) if t is None else replace(t, key, back, kinds) if at is None else undone(t, [(x["kind"], x["begin"], x["end"]) for x in at], key, kinds)
+                    for t, at in zip(part.column(text_col).to_pylist(), places)
+                ]
                 columns = {n: part.column(n) for n in names} | {text_col: pa.array([r[0] for r in rows], pa.string())}
                 found = pa.array([[{"kind": k, "begin": b, "end": e} for k, b, e in r[1]] for r in rows], pa.list_(span))
                 yield pa.RecordBatch.from_arrays([*columns.values(), found], names=[*names, spans_col])
 
-    return df.select(*names).mapInArrow(run, T.StructType([*base, T.StructField(spans_col, SPANS)]))
+    return df.select(*names, *([spans_col] if placed else [])).mapInArrow(run, T.StructType([*base, T.StructField(spans_col, SPANS)]))
 
 
 def restore(df: DataFrame, key: bytes, text_col: str = "text", spans_col: str = "pii") -> DataFrame:
-    """Undo ``pseudonymise``: pseudonyms are valid values, so they are found as the originals were."""
+    """Undo ``pseudonymise``, at the places in ``spans_col``."""
     return pseudonymise(df, key, text_col, spans_col, back=True)
