@@ -277,6 +277,13 @@ def _(v):
     return joins.covering_units(planning.plan(v.stations, DAY0, DAY1), asked).select("tid", "day", "shard_id")
 
 
+@query("c07_covering_units_all", f"""WITH {PLAN}, each AS (SELECT shard_id, unnest(stations) AS tid, start AS d0, "end" AS d1 FROM units)
+SELECT p.tid, p.day, shard_id FROM (SELECT DISTINCT tid, strftime(peak, '%Y.%j') AS day FROM fx_picks) p JOIN each ON each.tid = p.tid AND each.d0 <= p.day AND p.day < each.d1""")
+def _(v):
+    asked = v.picks.select("tid", C.year_day(F.col("peak")).alias("day")).distinct()
+    return joins.covering_units(planning.plan(v.stations, DAY0, DAY1), asked).select("tid", "day", "shard_id")
+
+
 def analyst_matches(v: Views) -> DataFrame:
     return matching.match(filters.analyst_only(v.analyst), v.picks, ["tid", "pha"], 6 * HOURS)
 
@@ -744,6 +751,11 @@ def _(v):
     return catalog.top(v.picks.select("pick_id", "tid", "peak"), 100, F.col("peak"), F.col("pick_id"))
 
 
+@query("f02_time_ordered_all", "SELECT pick_id, tid, peak FROM fx_picks ORDER BY peak, pick_id")
+def _(v):
+    return v.picks.select("pick_id", "tid", "peak").orderBy("peak", "pick_id")
+
+
 @query("f04_emitted_order", """WITH c AS (SELECT weight, t, count(*) AS emitted FROM fx_picks JOIN fx_runs USING (rid) JOIN range(10) g(t) ON conf >= t / 10e0 GROUP BY 1, 2) SELECT weight, emitted, row_number() OVER (PARTITION BY weight ORDER BY emitted, t) AS place FROM c""")
 def _(v):
     from pyspark.sql import Window

@@ -44,3 +44,11 @@ def test_same_as_sql(spark, duck, name):
 def test_runs(spark, name):
     df = registry.QUERIES[name](spark, SF)
     assert df.columns and df.count() >= 0
+
+
+def test_listings_are_whole(spark):
+    rows = lambda name: [tuple(r) for r in registry.QUERIES[name](spark, SF).collect()]
+    some, every = set(rows("c07_covering_units")), set(rows("c07_covering_units_all"))
+    assert some < every
+    first, listing = rows("f02_time_ordered"), rows("f02_time_ordered_all")
+    assert len(listing) > len(first) == 100 and listing == sorted(listing, key=lambda r: (r[2], r[0])) and listing[:100] == sorted(first, key=lambda r: (r[2], r[0]))
