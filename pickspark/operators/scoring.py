@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 
+#: Models that may be sent to every task.
+MOST_MODELS = 1000
 #: A scorer takes samples (windows by length) and gives probabilities by class name.
 Scorer = Callable[[np.ndarray], dict[str, np.ndarray]]
 
@@ -81,8 +83,11 @@ def first_by_phase(picks: DataFrame, by: list[str], time: str = "peak") -> DataF
 
 
 def at_weights(windows: DataFrame, weights: DataFrame) -> DataFrame:
-    """Every window for every model; models are a handful of rows."""
-    return windows.join(F.broadcast(weights.limit(1000)))
+    """Every window for every model; models are a handful of rows, and more than ``MOST_MODELS`` are refused."""
+    n = weights.count()
+    if n > MOST_MODELS:
+        raise ValueError(f"{n} models, at most {MOST_MODELS} are sent to every task")
+    return windows.join(F.broadcast(weights))
 
 
 def scaled(probability: Column, factor: Column) -> Column:

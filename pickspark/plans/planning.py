@@ -10,10 +10,26 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 
 
-def grouped_stations(stations: DataFrame, size: int) -> DataFrame:
-    """Add ``station_group``: sorted ids in blocks of ``size``. Stations are a dimension of at most some
-    hundred thousand rows, so one global order is acceptable."""
-    return stations.withColumn("station_group", F.floor((F.row_number().over(Window.orderBy("id")) - 1) / size))
+#: Stations that one task numbers, about, and ranges at most (their borders are literals of the plan).
+RANGE_ROWS, MOST_RANGES = 50_000, 1000
+
+
+def grouped_stations(stations: DataFrame, size: int, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Add ``station_group``: sorted ids in blocks of ``size``. Ids are numbered within ranges, to which the counts
+    of the ranges before are added. Borders come from a sample and stay fixed, so a range is the same wherever
+    the stations are read again."""
+    ranges = min(MOST_RANGES, -(-stations.count() // range_rows))
+    borders = []
+    if ranges > 1:
+        ids = sorted(x.id for x in stations.select("id").dropna().orderBy(F.xxhash64("id"), "id").limit(100 * ranges).collect())
+        borders = sorted({ids[len(ids) * i // ranges] for i in range(1, ranges)} if ids else ())
+    place = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b <= F.col("id"))) if borders else F.lit(0)
+    ranged = stations.withColumn("_range", place)
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")  # a row a range
+    at = F.row_number().over(Window.partitionBy("_range").orderBy("id")) - 1
+    numbered = ranged.withColumn("_at", at).join(F.broadcast(counts.select("_range", before.alias("_before"))), "_range")
+    return numbered.withColumn("station_group", F.floor((F.col("_before") + F.col("_at")) / size)).drop("_range", "_at", "_before")
 
 
 def day_groups(spark, start: datetime.date, end: datetime.date, size: int) -> DataFrame:

@@ -182,3 +182,21 @@ def test_plan_refuses_to_overwrite(spark, tmp_path):
     with pytest.raises(Exception, match="exist"):
         writers.write_units(plan, str(tmp_path / "units"))
     assert readers.units(spark, str(tmp_path / "units")).first().n_station_days == 4
+
+
+def test_station_groups_over_several_ranges(spark):
+    ids = [f"N{i % 7}.S{i:04d}" for i in range(1000)]
+    stations = spark.createDataFrame([(x,) for x in [*ids, None, ids[5]]], "id string")
+    got = planning.grouped_stations(stations, 40, 100)
+    want = [(x, k // 40) for k, x in enumerate([None, *sorted([*ids, ids[5]])])]
+    assert sorted(((r.id, r.station_group) for r in got.collect()), key=lambda r: (r[0] or "", r[1])) == want
+    # No task sorts all stations.
+    alone = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window" in line and "row_number" in line]
+    assert alone and all("[_range" in line for line in alone)
+
+
+def test_no_model_is_left_out(spark):
+    windows, models = spark.range(2), lambda n: spark.range(n).select(F.col("id").alias("weight"))
+    assert scoring.at_weights(windows, models(scoring.MOST_MODELS)).count() == 2 * scoring.MOST_MODELS
+    with pytest.raises(ValueError):
+        scoring.at_weights(windows, models(scoring.MOST_MODELS + 1))
