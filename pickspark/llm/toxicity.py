@@ -13,7 +13,8 @@ covers whole texts of all rows and shuffles nothing.
 
 Edge cases: a null or empty text has no features and gets the models' base rates; without labels, or with
 one class only, a category's probability is that class's share (0 without labels); repeated rows get equal
-scores; labels that are null or whose document is missing are not used; an empty table gives no rows; other
+scores; each category is trained on the rows where its own label is not null, and labels whose document is
+missing are not used; an empty table gives no rows; other
 columns pass through, those named like an output are replaced.
 """
 
@@ -109,13 +110,14 @@ def train_chain(rows: list[list[int]], labels: np.ndarray, categories: list[str]
     earlier = np.zeros((n, 0))
     for c in range(len(categories)):
         y = labels[:, c].astype(float)
+        known = ~np.isnan(y)
         held_out = np.zeros(n)
         for k in range(FOLDS):
-            m = fit(flat, at, n, width, earlier, y, fold != k)
+            m = fit(flat, at, n, width, earlier, y, known & (fold != k))
             z = m.bias + np.bincount(at, m.weights[flat], n) + earlier @ m.earlier
             held_out = np.where(fold == k, 1 / (1 + np.exp(-np.clip(z, -40, 40))), held_out)
-        chain.models.append(fit(flat, at, n, width, earlier, y, np.ones(n, bool)))
-        chain.accuracy.append(float(((held_out > 0.5) == (y > 0.5)).mean()) if n else 1.0)
+        chain.models.append(fit(flat, at, n, width, earlier, y, known))
+        chain.accuracy.append(float(((held_out > 0.5) == (y > 0.5))[known].mean()) if known.any() else 1.0)
         earlier = np.column_stack([earlier, held_out])
     return chain
 
@@ -123,7 +125,9 @@ def train_chain(rows: list[list[int]], labels: np.ndarray, categories: list[str]
 def learn(documents: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, most_features: int = FEATURES) -> Chain:
     """Train a chain. ``categories``: name and SQL condition over ``labels``, in the order of the chain."""
     names = list(categories)
-    marked = labels.select(F.col(id_col), *(F.expr(sql).cast("int").alias(f"_y{i}") for i, sql in enumerate(categories.values()))).dropna().dropDuplicates([id_col])
+    ys = [f"_y{i}" for i in range(len(names))]
+    each = labels.select(F.col(id_col), *(F.expr(sql).cast("int").alias(y) for y, sql in zip(ys, categories.values())))
+    marked = each.dropna(subset=[id_col]).groupBy(id_col).agg(*(F.max(y).alias(y) for y in ys)).dropna("all", subset=ys)
     sample = marked.orderBy(F.xxhash64(id_col), id_col).limit(max_labelled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,15 +139,17 @@ def learn(documents: DataFrame, labels: DataFrame, categories: dict[str, str], i
     # The sample is bounded, so it may be sent everywhere instead of shuffling texts.
     picked = documents.select(F.col(id_col), F.col(text_col)).join(F.broadcast(written(sample, "labelled")), id_col).drop(id_col)
     rows = written(picked.mapInArrow(run, ", ".join(f"_y{i} int" for i in range(len(names))) + ", features array<string>"), "features")
-    sums = rows.agg(F.count("*").alias("n"), *(F.sum(f"_y{i}").alias(f"_y{i}") for i in range(len(names)))).first()
+    sums = rows.agg(F.count("*").alias("n"), *(F.count(y).alias(f"n{y}") for y in ys), *(F.sum(y).alias(y) for y in ys)).first()
     if not sums["n"]:
         return train_chain([], np.zeros((0, len(names))), names, {})
-    counted = rows.select(F.explode("features").alias("feature"), *(f"_y{i}" for i in range(len(names)))).groupBy("feature").agg(F.count("*").alias("k"), *(F.sum(f"_y{i}").alias(f"_y{i}") for i in range(len(names)))).where(F.col("k") >= LEAST_ROWS)
+    counted = rows.select(F.explode("features").alias("feature"), *ys).groupBy("feature").agg(*(F.count(y).alias(f"k{y}") for y in ys), *(F.sum(y).alias(y) for y in ys))
     vocabulary: dict[str, int] = {}
-    for i in range(len(names)):
-        expected = F.col("k") * (sums[f"_y{i}"] / sums["n"])
-        strength = F.abs(F.col(f"_y{i}") - expected) / F.sqrt(expected + 1)
-        for r in counted.select("feature", strength.alias("_s")).orderBy(F.desc("_s"), "feature").limit(most_features // len(names)).collect():
+    for y in ys:
+        if not sums[f"n{y}"]:
+            continue
+        expected = F.col(f"k{y}") * (sums[y] / sums[f"n{y}"])
+        strength = F.abs(F.col(y) - expected) / F.sqrt(expected + 1)
+        for r in counted.where(F.col(f"k{y}") >= LEAST_ROWS).select("feature", strength.alias("_s")).orderBy(F.desc("_s"), "feature").limit(most_features // len(names)).collect():
             vocabulary.setdefault(r.feature, len(vocabulary))
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,8 +159,8 @@ def learn(documents: DataFrame, labels: DataFrame, categories: dict[str, str], i
 
     # MAX_LABELLED rows of at most FEATURES numbers; as measured, some hundred each.
     table_rows = rows.mapInArrow(numbered, ", ".join(f"_y{i} int" for i in range(len(names))) + ", f binary").collect()
-    order = sorted(table_rows, key=lambda r: (bytes(r.f), *r[:-1]))
-    return train_chain([np.frombuffer(bytes(r.f), np.int32).tolist() for r in order], np.array([list(r[:-1]) for r in order]), names, vocabulary)
+    order = sorted(table_rows, key=lambda r: (bytes(r.f), *(-1 if y is None else y for y in r[:-1])))
+    return train_chain([np.frombuffer(bytes(r.f), np.int32).tolist() for r in order], np.array([[np.nan if y is None else y for y in r[:-1]] for r in order], float), names, vocabulary)
 
 
 def score(df: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_") -> DataFrame:

@@ -255,6 +255,13 @@ def test_pseudonyms(spark):
     assert [r.text for r in pii.restore(pii.pseudonymise(df, b"k"), b"k").orderBy("doc_id").collect()] == [PERSONAL, None, "", PERSONAL, CLEAN]
 
 
+def test_toxicity_learns_from_labels_without_quality(spark):
+    texts = [f"plain words of {'goodness' if i % 4 else 'vileness'} w{i % 9}" for i in range(200)]
+    labels = spark.createDataFrame([(i, None, int(i % 4 == 0)) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.is_toxic for r in toxicity.judged(documents(spark, texts), labels).collect()}
+    assert all(got[i] == (i % 4 == 0) for i in range(200))
+
+
 FOLLOWED = {
     "4111 1111 1111 1111 123": ("card", "4111 1111 1111 1111"),
     "4111111111111111 27 items": ("card", "4111111111111111"),
