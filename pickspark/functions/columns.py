@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 EARTH_KM = 6371.0
 #: Bands from best to worst, and event types by class.
-BAND_PRIORITY = ["HH", "BH", "EH", "HN", "EN", "SH", "EP", "DP"]
-EVENT_CLASS = {"earthquake": "eq", "quarry blast": "px", "explosion": "px", "surface event": "su", "landslide": "su", "ice quake": "su", "noise": "no"}
+BAND_PRIORITY = ["HH", "EH", "EP", "EL", "HN", "SH", "SL", "BH", "DP", "CN"]
+EVENT_CLASS = {"earthquake": "eq", "quarry blast": "px", "explosion": "px", "ice quake": "su", "landslide": "su"}
 CLASS_ORDER = ["eq", "px", "no", "su"]
 
 
@@ -208,7 +208,7 @@ def detrend(samples: Column) -> Column:
     return let(samples, of)
 
 
-def taper(samples: Column, rate: Column, seconds: float = 10.0, most: float = 0.05) -> Column:
+def taper(samples: Column, rate: Column, seconds: float = 60.0, most: float = 0.05) -> Column:
     """Cosine taper of fixed length at both ends, at most a share of the trace."""
 
     def of(x: Column) -> Column:

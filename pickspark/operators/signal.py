@@ -35,7 +35,7 @@ def filtered(x: np.ndarray, rate: float, low: float | None = None, high: float |
 def resampled(x: np.ndarray, rate: float, target: float) -> np.ndarray:
     """Linear interpolation at the centres of the new samples."""
     x = np.asarray(x, float)
-    n = max(1, round(len(x) * target / rate))
+    n = int(len(x) * target / rate)
     return np.interp((np.arange(n) + 0.5) * rate / target - 0.5, np.arange(len(x)), x) if len(x) else x
 
 
@@ -63,8 +63,9 @@ def paz(f: np.ndarray, poles: list[complex], zeros: list[complex], gain: float)
     return out
 
 
-#: The Wood-Anderson torsion seismograph.
-WOOD_ANDERSON = {"poles": [-6.283185 - 4.712389j, -6.283185 + 4.712389j], "zeros": [0j, 0j], "gain": 2080.0}
+#: The Wood-Anderson seismograph over ground velocity (period 0.8 s, damping 0.7); the gain is its
+#: sensitivity.
+WOOD_ANDERSON = {"poles": [-5.49779 - 5.60886j, -5.49779 + 5.60886j], "zeros": [0j], "gain": 2080.0}
 
 
 def wood_anderson(x: np.ndarray, rate: float, poles: list[complex], zeros: list[complex], gain: float, water: float = 20.0, pre: tuple[float, float, float, float] = (0.1, 0.2, 40.0, 45.0)) -> np.ndarray:
@@ -125,25 +126,44 @@ def simulate(traces: DataFrame, responses: DataFrame, keys: list[str]) -> DataFr
     return both.mapInPandas(run, schema)
 
 
-def raw_amplitudes(picks: DataFrame, traces: DataFrame, keys: list[str], before: float, after: float, low: float = 1.0) -> DataFrame:
-    """Largest component peak around each pick, of detrended, tapered, high-passed traces; null where no
+def raw_amplitudes(picks: DataFrame, traces: DataFrame, keys: list[str], before: float = 3.0, after: float = 10.0, low: float = 1.0, taper_seconds: float = 60.0) -> DataFrame:
+    """Largest component peak around each pick, of detrended, tapered, high-passed traces; NaN where no
     component has the whole window outside the taper."""
-    prepared = traces.withColumn("samples", C.doubles(F.col("samples"))).withColumn("samples", C.detrend(F.col("samples"))).withColumn("samples", C.taper(F.col("samples"), F.col("rate_hz")))
-    return window_peaks(picks, high_pass(prepared, low), keys, before, after).groupBy(*picks.columns).agg(F.max("peak_abs").alias("amp_raw_peak"))
-
-
-def window_peaks(picks: DataFrame, traces: DataFrame, keys: list[str], before: float, after: float) -> DataFrame:
-    """``peak_abs`` of each pick and trace of its keys, null where the window meets an edge."""
-    start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - before) * F.col("rate_hz")).cast("int")
-    length = F.round(F.lit(before + after) * F.col("rate_hz")).cast("int")
-    margin = F.least(F.floor(F.col("rate_hz") * 10), F.floor(F.size("samples") * F.lit(0.05))).cast("int")
+    tapered = C.taper(F.col("samples"), F.col("rate_hz"), taper_seconds)
+    prepared = traces.withColumn("samples", C.doubles(F.col("samples"))).withColumn("samples", C.detrend(F.col("samples"))).withColumn("samples", tapered)
+    peaks = window_peaks(picks, high_pass(prepared, low), keys, before, after, taper_seconds)
+    return peaks.groupBy(*picks.columns).agg(F.coalesce(F.max("peak_abs"), F.lit(float("nan"))).alias("amp_raw_peak"))
+
+
+def window_peaks(picks: DataFrame, traces: DataFrame, keys: list[str], before: float = 3.0, after: float = 10.0, taper_seconds: float = 60.0) -> DataFrame:
+    """``peak_abs`` of each pick and trace of its keys, both ends of the window included; null where the window
+    leaves the trace or reaches into the taper."""
+    first = C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0"))
+    start = F.round((first - before) * F.col("rate_hz")).cast("int")
+    length = F.round((first + after) * F.col("rate_hz")).cast("int") + 1 - start
+    margin = F.ceil(F.least(F.col("rate_hz") * taper_seconds, (F.size("samples") - 1) * F.lit(0.05)) - 1e-9).cast("int")
     return picks.join(traces, keys, "left").withColumn("peak_abs", C.peak_in_window(F.col("samples"), start, length, margin)).drop("samples")
 
 
 def horizontal_amplitudes(peaks: DataFrame, by: list[str]) -> DataFrame:
-    """Mean of the horizontals' peaks (as for magnitudes) and the largest of all components."""
+    """Mean of the horizontals' peaks (as for magnitudes) and the largest of all components; NaN where none could
+    be measured."""
     flat = F.col("component").isin("N", "E", "1", "2")
-    return peaks.groupBy(*by).agg(F.avg(F.when(flat, F.col("peak_abs"))).alias("amp"), F.max("peak_abs").alias("amp_raw"))
+    mean, most = F.avg(F.when(flat, F.col("peak_abs"))), F.max("peak_abs")
+    return peaks.groupBy(*by).agg(F.coalesce(mean, F.lit(float("nan"))).alias("amp"), F.coalesce(most, F.lit(float("nan"))).alias("amp_raw"))
+
+
+def normalised(traces: DataFrame, keys: list[str], samples: str = "samples") -> DataFrame:
+    """Divide each trace by the sample deviation of the absolute values of all samples of its ``keys``, plus 1e-10.
+    Traces give their moments about their own mean, which are pooled, so samples are not exploded."""
+    x = C.doubles(F.col(samples))
+    parts = traces.select(*keys, F.transform(x, lambda v: F.abs(v)).alias("_x")).where(F.size("_x") > 0).select(*keys, F.size("_x").alias("_n"), (C.total(F.col("_x")) / F.size("_x")).alias("_m"), "_x")
+    moments = parts.select(*keys, "_n", "_m", C.let(F.col("_m"), lambda m: C.total(F.transform("_x", lambda v: (v - m) * (v - m)))).alias("_q"))
+    pooled = moments.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_q").alias("_q"), F.sum(F.col("_n") * F.col("_m")).alias("_s"), F.collect_list(F.struct("_n", "_m")).alias("_each"))
+    mean = F.col("_s") / F.col("_n")
+    between = C.let(mean, lambda m: C.total(F.transform("_each", lambda e: e["_n"] * (e["_m"] - m) * (e["_m"] - m))))
+    scale = pooled.select(*keys, (F.sqrt((F.col("_q") + between) / F.nullif(F.col("_n") - 1, F.lit(0))) + 1e-10).alias("_scale"))
+    return traces.join(scale, keys, "left").withColumn(samples, C.let(F.col("_scale"), lambda s: F.transform(x, lambda v: v / s))).drop("_scale")
 
 
 def spectrograms(traces: DataFrame, nperseg: int = 256) -> DataFrame:

@@ -624,7 +624,7 @@ def _(v):
     return catalog.offshore_networks(v.stations).withColumn("submarine", r("submarine"))
 
 
-BEST = "CASE WHEN list_contains(c, 'HH') THEN 'HH' WHEN list_contains(c, 'BH') THEN 'BH' WHEN list_contains(c, 'EH') THEN 'EH' WHEN list_contains(c, 'HN') THEN 'HN' WHEN list_contains(c, 'DP') THEN 'DP' END"
+BEST = "list_extract(list_filter(['HH', 'EH', 'EP', 'EL', 'HN', 'SH', 'SL', 'BH', 'DP', 'CN'], lambda b: list_contains(c, b)), 1)"
 
 
 @query("d29_band_histogram", f"SELECT network_code, {BEST} AS band, count(*) AS n FROM (SELECT network_code, string_split(channels, ',') AS c FROM fx_stations) x GROUP BY 1, 2")
@@ -677,7 +677,7 @@ def _(v):
     return planning.selected_bands(v.stations).select("id", "band")
 
 
-@query("e02_first_complete_band", """WITH h AS (SELECT tid, cha, count(*) >= 2 AS ok FROM fx_picks GROUP BY 1, 2) SELECT tid, ['HH', 'BH', 'EH', 'HN'][CAST(min(CASE cha WHEN 'HH' THEN 1 WHEN 'BH' THEN 2 WHEN 'EH' THEN 3 ELSE 4 END) AS INT)] AS band FROM h WHERE ok GROUP BY 1""")
+@query("e02_first_complete_band", """WITH h AS (SELECT tid, cha, count(*) >= 2 AS ok FROM fx_picks GROUP BY 1, 2) SELECT tid, ['HH', 'EH', 'HN', 'BH'][CAST(min(CASE cha WHEN 'HH' THEN 1 WHEN 'EH' THEN 2 WHEN 'HN' THEN 3 ELSE 4 END) AS INT)] AS band FROM h WHERE ok GROUP BY 1""")
 def _(v):
     return planning.first_complete_band(v.picks.groupBy("tid", "cha").agg((F.count("*") >= 2).alias("complete")))
 
@@ -915,12 +915,10 @@ def _(v):
     return found.select("trace_id", F.size("samples").alias("n"), r(F.get("samples", F.lit(0)), 5).alias("first_sample"))
 
 
-@query("i05_normalise", f"WITH s AS (SELECT station_no, stddev_pop(abs(x)) AS s FROM {LONG} l GROUP BY 1) SELECT station_no, round(sum(abs(x) / s.s), 3) AS total, count(*) AS n FROM {LONG} l JOIN s USING (station_no) GROUP BY 1")
+@query("i05_normalise", f"""WITH s AS (SELECT station_no, stddev_samp(abs(x)) + 1e-10 AS s FROM {LONG} l GROUP BY 1) SELECT trace_id, round(sum(abs(x) / s.s), 4) AS total, round(max(CASE WHEN i = 7 THEN x / s.s END), 6) AS at_7, count(*) AS n FROM {LONG} l JOIN s USING (station_no) GROUP BY 1""")
 def _(v):
-    moments = v.traces.select("station_no", C.doubles(F.col("samples")).alias("x")).select("station_no", F.size("x").alias("n"), C.total(F.transform("x", lambda x: F.abs(x))).alias("a"), C.total(F.transform("x", lambda x: x * x)).alias("q"))
-    sums = moments.groupBy("station_no").agg(F.sum("n").alias("n"), F.sum("a").alias("a"), F.sum("q").alias("q"))
-    std = F.sqrt(F.col("q") / F.col("n") - F.pow(F.col("a") / F.col("n"), 2))
-    return sums.select("station_no", r(F.col("a") / std, 3).alias("total"), "n")
+    found = signal.normalised(v.traces, ["station_no"])
+    return found.select("trace_id", r(C.total(F.transform("samples", lambda x: F.abs(x))), 4).alias("total"), r(F.get("samples", F.lit(7))).alias("at_7"), F.size("samples").cast("long").alias("n"))
 
 
 @query("i06_spectrogram")
@@ -945,7 +943,7 @@ def _(v):
 
 @query("i09_amplitudes", f"""WITH w AS (SELECT pick_id, t.component, {CUT.format(lead=3)} AS s, samples FROM fx_picks p JOIN fx_traces t ON t.station_no = CAST(regexp_extract(p.tid, 'S(\\d+)', 1) AS INT) % 50),
 k AS (SELECT pick_id, component, CASE WHEN s >= 3 AND s + 8 <= len(samples) - 3 THEN list_max(list_transform(samples[s + 1:s + 8], lambda x: abs(CAST(x AS DOUBLE)))) END AS peak_abs FROM w)
-SELECT pick_id, round(avg(CASE WHEN component IN ('N', 'E') THEN peak_abs END), 6) AS amp, round(max(peak_abs), 6) AS amp_raw FROM k GROUP BY 1""")
+SELECT pick_id, coalesce(round(avg(CASE WHEN component IN ('N', 'E') THEN peak_abs END), 6), CAST('NaN' AS DOUBLE)) AS amp, coalesce(round(max(peak_abs), 6), CAST('NaN' AS DOUBLE)) AS amp_raw FROM k GROUP BY 1""")
 def _(v):
     start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(time("2024-01-08"))) / 3600 - 3).cast("int")
     rows = picks_by_station(v).select("pick_id", "station_no", "peak").join(v.traces, "station_no").select("pick_id", "component", start.alias("s"), C.doubles(F.col("samples")).alias("x"))

@@ -17,12 +17,33 @@ def at(seconds):
     return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=seconds)
 
 
-@pytest.mark.parametrize("channels, best", [(["HH", "BH", "HN", "LH"], "HH"), (["BH", "LH", "VH"], "BH"), (["EP", "DP"], "EP"), (["LH", "VH", "UH"], None), ([], None), ([" HH ", "HH", "BH"], "HH"), (["BH", "HH"], "HH")])
+CHANNELS = [
+    (["HH", "BH", "HN", "LH"], "HH"),
+    (["BH", "LH", "VH"], "BH"),
+    (["DP"], "DP"),
+    (["EP", "DP"], "EP"),
+    (["LH", "VH", "UH"], None),
+    ([], None),
+    (["HN", "EH"], "EH"),
+    (["EH", "HN"], "EH"),
+    ([" HH ", "HH", "BH"], "HH"),
+    (["BH", "HN"], "HN"),
+]
+
+
+@pytest.mark.parametrize("channels, best", CHANNELS)
 def test_best_band(spark, channels, best):
     df = spark.createDataFrame([(channels,)], "c array<string>")
     assert df.select(C.best_band(F.col("c"))).first()[0] == best
 
 
+def test_band_order():
+    at = C.BAND_PRIORITY.index
+    assert all(at(fast) < at(other) for fast in ("HH", "EH", "EP", "EL", "HN") for other in ("SH", "SL", "BH", "DP", "CN"))
+    assert at("SH") < at("BH") < at("DP") and at("HH") < at("EP") < at("EL") < at("HN")
+    assert len(C.BAND_PRIORITY) == len(set(C.BAND_PRIORITY)) == 10
+
+
 def brute_match(ref, cand, tol):
     used, out = set(), []
     for t in sorted(ref):
@@ -67,6 +88,7 @@ def test_filters_in_frequency():
     out = signal.filtered(slow + fast, 100, 1, 20)
     assert np.abs(out - fast)[200:-200].max() < 0.02
     assert np.allclose(signal.resampled(np.ones(50), 100, 50), 1)
+    assert len(signal.resampled(np.ones(50), 100, 37)) == 18 and len(signal.resampled(np.ones(1), 100, 50)) == 0
 
 
 def test_spectrogram_power():
@@ -76,6 +98,14 @@ def test_spectrogram_power():
     assert abs(power.sum(0).mean() * 100 / 256 - 0.5) < 0.01
 
 
+def test_wood_anderson_gain():
+    # Over velocity: 2080 far above the corner at 1.25 Hz after one integration; at the corner 2080 / (1.4 w0).
+    w0 = 2 * np.pi / 0.8
+    at = lambda f: abs(signal.paz(np.array([f]), **signal.WOOD_ANDERSON)[0])
+    assert at(1.25) == pytest.approx(2080 / (2 * 0.7 * w0), rel=1e-3)
+    assert at(50.0) == pytest.approx(2080 / (2 * np.pi * 50), rel=1e-2) and at(1.0) == pytest.approx(180, rel=0.01) and at(10.0) == pytest.approx(33, rel=0.02)
+
+
 def test_wood_anderson_inverts_its_own_response():
     rng = np.random.default_rng(1)
     f = np.fft.rfftfreq(4096, 0.01)
