@@ -25,31 +25,40 @@ def grid(spark, extent: tuple[float, float, float, float], step: float, depths:
 
 
 def travel_table(stations: DataFrame, cells: DataFrame, cutoff_km: float, vp: float, ratio: float) -> DataFrame:
-    """Seconds from each cell to each station within the cutoff. Stations and cells meet in latitude bands as
-    wide as the cutoff, so no station is compared with the whole grid."""
+    """Seconds from each cell to each station within the cutoff. Stations and cells meet in tiles as wide as the
+    cutoff, in latitude and (at the latitude farthest from the equator that counts) in longitude, so no station
+    is compared with more than the cells around it."""
     width = cutoff_km / 111.0
-    s = stations.select(F.col("id").alias("tid"), "latitude", "longitude").withColumn("band", F.explode(F.array(*[F.floor(F.col("latitude") / width) + d for d in (-1, 0, 1)])))
-    c = cells.withColumn("band", F.floor(F.col("lat") / width))
+    far = F.least((F.abs(F.col("band") + 0.5) + 1.5) * width, F.lit(89.9))
+    tiles = F.greatest(F.floor(F.cos(F.radians(far)) * 360 / width), F.lit(1))
+    tile = lambda lon: F.floor((F.col(lon) + 180) / 360 * F.col("tiles"))
+    s = stations.select(F.col("id").alias("tid"), "latitude", "longitude").withColumn("band", F.explode(F.array(*[F.floor(F.col("latitude") / width) + d for d in (-1, 0, 1)]))).withColumn("tiles", tiles)
+    s = s.withColumn("tile", F.explode(F.array_distinct(F.array(*[F.pmod(tile("longitude") + d, F.col("tiles")) for d in (-1, 0, 1)])))).drop("tiles")
+    c = cells.withColumn("band", F.floor(F.col("lat") / width)).withColumn("tiles", tiles).withColumn("tile", F.pmod(tile("lon"), F.col("tiles"))).drop("tiles")
     km = C.haversine_km(F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude"))
-    near = s.join(c, "band").withColumn("km", km).where(F.col("km") <= cutoff_km)
+    near = s.join(c, ["band", "tile"]).withColumn("km", km).where(F.col("km") <= cutoff_km)
     tp, ts = C.travel_seconds(C.hypocentral_km(F.col("km"), F.col("depth")), vp, ratio)
     return near.select("tid", "cell", "lat", "lon", "depth", F.explode(F.array(F.struct(F.lit("P").alias("pha"), tp.alias("tt")), F.struct(F.lit("S").alias("pha"), ts.alias("tt")))).alias("x")).select("tid", "cell", "lat", "lon", "depth", "x.pha", "x.tt")
 
 
 def votes(picks: DataFrame, table: DataFrame, tolerance: float) -> DataFrame:
-    """Each pick's origin time at each cell, in bins of twice the tolerance and again in bins shifted by half."""
+    """Each pick's origin time at each cell, in bins of twice the tolerance and again in bins shifted by half.
+    ``late``: seconds after the bin's begin, which keeps sums of squares exact."""
     origin = C.epoch_seconds(F.col("peak")) - F.col("tt")
     size = 2 * tolerance
     shifts = F.explode(F.array(F.struct(F.lit(0).alias("shift"), F.floor(origin / size).alias("bin")), F.struct(F.lit(1).alias("shift"), F.floor(origin / size + 0.5).alias("bin"))))
-    return picks.join(table, ["tid", "pha"]).withColumn("origin", origin).withColumn("x", shifts).select("pick_id", "tid", "pha", "cell", "lat", "lon", "depth", "origin", "x.shift", "x.bin")
+    cast = picks.join(table, ["tid", "pha"]).withColumn("origin", origin).withColumn("x", shifts)
+    late = F.col("origin") - (F.col("x.bin") - F.col("x.shift") * 0.5) * size
+    return cast.select("pick_id", "tid", "pha", "cell", "lat", "lon", "depth", "x.shift", "x.bin", late.alias("late"))
 
 
-def candidates(cast: DataFrame, n_picks: int, n_p: int, n_s: int, n_both: int) -> DataFrame:
+def candidates(cast: DataFrame, tolerance: float, n_picks: int, n_p: int, n_s: int, n_both: int) -> DataFrame:
     """(cell, shift, bin) with enough picks, P, S, and stations with both."""
-    per_station = cast.groupBy("cell", "lat", "lon", "depth", "shift", "bin", "tid").agg(
-        F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"), F.sum("origin").alias("t"), F.sum(F.col("origin") * F.col("origin")).alias("tt"), F.count("*").alias("k")
+    where = ["cell", "lat", "lon", "depth", "shift", "bin"]
+    per_station = cast.groupBy(*where, "tid").agg(
+        F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"), F.sum("late").alias("t"), F.sum(F.col("late") * F.col("late")).alias("tt"), F.count("*").alias("k")
     )
-    found = per_station.groupBy("cell", "lat", "lon", "depth", "shift", "bin").agg(
+    found = per_station.groupBy(*where).agg(
         F.count_if(F.col("p") > 0).alias("n_p"),
         F.count_if(F.col("s") > 0).alias("n_s"),
         F.count_if((F.col("p") > 0) & (F.col("s") > 0)).alias("n_both"),
@@ -57,21 +66,28 @@ def candidates(cast: DataFrame, n_picks: int, n_p: int, n_s: int, n_both: int) -
         F.sum("t").alias("t"),
         F.sum("tt").alias("tt"),
     )
-    found = found.withColumn("n_picks", F.col("n_p") + F.col("n_s")).withColumn("origin", F.col("t") / F.col("k"))
-    found = found.withColumn("spread", F.sqrt(F.greatest(F.col("tt") / F.col("k") - F.col("origin") * F.col("origin"), F.lit(0.0))))
+    mean = F.col("t") / F.col("k")
+    begin = (F.col("bin") - F.col("shift") * 0.5) * (2 * tolerance)
+    spread = F.sqrt(F.greatest(F.col("tt") / F.col("k") - mean * mean, F.lit(0.0)))
+    found = found.withColumns({"n_picks": F.col("n_p") + F.col("n_s"), "origin": begin + mean, "spread": spread})
     return found.where((F.col("n_picks") >= n_picks) & (F.col("n_p") >= n_p) & (F.col("n_s") >= n_s) & (F.col("n_both") >= n_both)).drop("k", "t", "tt")
 
 
 def strongest(found: DataFrame, seconds: float, cell_deg: float) -> DataFrame:
-    """Non-maximum suppression: a candidate stays if it is the best of its block of time and place, in each of
-    four shifted blockings of time."""
-    score = F.struct(-F.col("n_picks"), F.col("spread"), F.col("cell"), F.col("shift"), F.col("bin"))
-    out = found
-    for half in (0.0, 0.5):
-        block = [F.floor(F.col("origin") / seconds + half).alias("bt"), F.floor(F.col("lat") / cell_deg + half).alias("by"), F.floor(F.col("lon") / cell_deg + half).alias("bx")]
-        rank = F.row_number().over(Window.partitionBy(*block).orderBy(score))
-        out = out.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
-    return out.withColumn("event_id", F.xxhash64("cell", "shift", "bin"))
+    """Non-maximum suppression: a candidate stays if no better one is within ``seconds`` and ``cell_deg`` degrees
+    of it. Better: more picks, then less spread (to a millionth of a second), then the smaller cell, shift and
+    bin. Only the best of each block of that size can stay; it meets the best of the 26 blocks around."""
+    block = {"bt": F.floor(F.col("origin") / seconds), "by": F.floor(F.col("lat") / cell_deg), "bx": F.floor(F.col("lon") / cell_deg)}
+    order = F.struct(-F.col("n_picks"), F.round("spread", 6), F.col("cell"), F.col("shift"), F.col("bin"))
+    ranked = found.withColumns(block).withColumn("_order", order)
+    own = F.row_number().over(Window.partitionBy(*block).orderBy("_order"))
+    best = ranked.withColumn("_rank", own).where("_rank = 1").drop("_rank")
+    around = F.explode(F.array(*[F.struct((F.col("bt") + i).alias("bt"), (F.col("by") + j).alias("by"), (F.col("bx") + k).alias("bx")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if i or j or k]))
+    # Every candidate may drop a neighbour, the best of its block for all of them or not.
+    rivals = ranked.select(F.col("origin").alias("_t"), F.col("lat").alias("_y"), F.col("lon").alias("_x"), F.col("_order").alias("_o"), around.alias("_b")).select("_t", "_y", "_x", "_o", "_b.*")
+    met = [best[c] == rivals[c] for c in block]
+    near = (F.abs(F.col("_t") - F.col("origin")) <= seconds) & (F.abs(F.col("_y") - F.col("lat")) <= cell_deg) & (F.abs(F.col("_x") - F.col("lon")) <= cell_deg)
+    return best.join(rivals, [*met, near & (F.col("_o") < F.col("_order"))], "left_anti").drop(*block, "_order").withColumn("event_id", F.xxhash64("cell", "shift", "bin"))
 
 
 def associate(picks: DataFrame, stations: DataFrame, extent: tuple[float, float, float, float], step: float = 0.1, depths: tuple[float, ...] = (0.0, 10.0, 25.0), tolerance: float = 1.5, cutoff_km: float = 150.0, vp: float = 6.0, ratio: float = 1.75, n_picks: int = 8, n_p: int = 3, n_s: int = 3, n_both: int = 3) -> tuple[DataFrame, DataFrame]:
@@ -79,7 +95,7 @@ def associate(picks: DataFrame, stations: DataFrame, extent: tuple[float, float,
     the event with the most picks among those it voted for."""
     table = travel_table(stations, grid(picks.sparkSession, extent, step, list(depths)), cutoff_km, vp, ratio)
     cast = votes(picks, table, tolerance)
-    events = strongest(candidates(cast, n_picks, n_p, n_s, n_both), 4 * tolerance, 10 * step)
+    events = strongest(candidates(cast, tolerance, n_picks, n_p, n_s, n_both), 4 * tolerance, 10 * step)
     own = cast.select("pick_id", "cell", "shift", "bin").join(events.select("event_id", "cell", "shift", "bin", "n_picks"), ["cell", "shift", "bin"])
     best = own.groupBy("pick_id").agg(F.max_by("event_id", F.struct("n_picks", "event_id")).alias("event_id"))
     out = events.select("event_id", F.timestamp_micros((F.col("origin") * 1e6).cast("long")).cast("timestamp_ntz").alias("time"), "lat", "lon", "depth", "n_picks", "n_p", "n_s", "n_both")

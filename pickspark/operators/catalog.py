@@ -28,14 +28,31 @@ def phase_counts(picks: DataFrame) -> DataFrame:
     return picks.groupBy("pha").agg(F.count("*").alias("picks"), F.countDistinct("network").alias("networks"))
 
 
-def distribution(picks: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of each column; NaN and null are skipped. One pass:
-    the columns are unpivoted before they are grouped."""
-    values = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), C.nan_to_null(F.col(c).cast("double")).alias("v")) for c in columns]))
-    q = lambda p: F.percentile("v", F.lit(p))
-    return picks.select(values.alias("x")).select("x.column", "x.v").groupBy("column").agg(
-        F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"), F.min("v").alias("low"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"), F.max("v").alias("high")
-    )
+def distribution(picks: DataFrame, columns: list[str], accuracy: int = 100_000) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles of each column; NaN and null are skipped.
+
+    Quartiles take passes of mergeable aggregates: a sketch brackets each of them within ``1 / accuracy`` of
+    the rows, the rows below a bracket are counted, and only values inside the brackets are put in order."""
+    quarters = (0.25, 0.5, 0.75)
+    v = {c: C.nan_to_null(F.col(c).cast("double")) for c in columns}
+    rows = picks.agg(*(F.count(v[c]).alias(c) for c in columns)).first()
+    slack = {c: 4.0 / accuracy + 2.0 / max(rows[c], 1) for c in columns}
+    at = {c: F.array(*[F.lit(min(max(q + d, 0.0), 1.0)) for q in quarters for d in (-slack[c], slack[c])]) for c in columns}
+    around = picks.agg(*(F.percentile_approx(v[c], at[c], accuracy).alias(c) for c in columns)).first()
+    inside = {(c, i): (around[c][2 * i], around[c][2 * i + 1]) for c in columns for i in range(3) if around[c]}
+    below = picks.agg(F.count("*"), *(F.count_if(v[c] < lo).alias(f"below_{c}_{i}") for (c, i), (lo, _) in inside.items()), *(F.count_if(v[c].between(lo, hi)).alias(f"in_{c}_{i}") for (c, i), (lo, hi) in inside.items())).first()
+
+    def quartile(c: str, i: int) -> Column:
+        if (c, i) not in inside:
+            return F.lit(None).cast("double")
+        lo, hi = inside[c, i]
+        rank, held = quarters[i] * (rows[c] - 1) - below[f"below_{c}_{i}"], below[f"in_{c}_{i}"]
+        return F.percentile(F.when(v[c].between(lo, hi), v[c]), F.lit(min(max(rank / (held - 1), 0.0), 1.0) if held > 1 else 0.0))
+
+    names = ("n", "mean", "std", "low", "q1", "median", "q3", "high")
+    values = {c: (F.count(v[c]), F.avg(v[c]), F.stddev(v[c]), F.min(v[c]), *(quartile(c, i) for i in range(3)), F.max(v[c])) for c in columns}
+    one = picks.agg(*(x.alias(f"{c}_{n}") for c in columns for n, x in zip(names, values[c])))
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *(F.col(f"{c}_{n}").alias(n) for n in names)) for c in columns])).alias("x")).select("x.*")
 
 
 def amplitude_completeness(picks: DataFrame) -> DataFrame:

@@ -24,8 +24,10 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: st
     pairs = pairs.where(F.col("dt").between(-before, after)).drop("_bucket", "_lt", "_rt")
     if how == "inner":
         return pairs
-    own = left.columns
-    return left.join(pairs, own, "left")
+    # Rows without a pair, by all columns, nulls included; repeated rows have pairs each or none each.
+    paired = pairs.select(*(F.col(c).alias(f"_p_{c}") for c in left.columns)).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in left.columns]
+    return pairs.unionByName(left.join(paired, same, "left_anti"), allowMissingColumns=True)
 
 
 def nearest_in_space_time(origins: DataFrame, curated: DataFrame, seconds: float, km: float) -> DataFrame:
@@ -53,6 +55,11 @@ def remaining(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def of_keys(rows: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys are asked for."""
+    return rows.join(asked.select(*keys).distinct(), keys, "left_semi")
+
+
 def covering_units(units: DataFrame, asked: DataFrame) -> DataFrame:
     """Units whose stations hold ``tid`` and whose days [start, end) hold ``day``."""
     each = units.select("shard_id", F.explode("stations").alias("tid"), "start", "end")
@@ -73,12 +80,15 @@ def first_arrivals(picks: DataFrame, events: DataFrame, vp: float = 6.0, ratio:
 
 def best_in_window(expected: DataFrame, picks: DataFrame, tol: float) -> DataFrame:
     """For each expected arrival (event_id, tid, pha, expected_at) the most confident pick within ``tol``
-    seconds: ``dt``, ``conf`` and ``n_picks``; rows without a pick stay, with conf 0."""
+    seconds: ``dt``, ``conf`` and ``n_picks``; rows without a pick stay, with conf 0. Repeated rows and rows with
+    nulls are arrivals like others."""
+    own = expected.columns
     right = picks.select("tid", "pha", "peak", "conf", "pick_id")
-    pairs = range_join(expected, right, ["tid", "pha"], "expected_at", "peak", tol, tol)
-    best = pairs.groupBy(*expected.columns).agg(F.count("*").alias("n_picks"), F.max_by(F.struct("dt", "conf"), F.struct(F.col("conf"), -F.col("pick_id"))).alias("b"))
-    found = best.select(*expected.columns, "n_picks", F.col("b.dt").alias("dt"), F.col("b.conf").alias("conf"))
-    return expected.join(found, expected.columns, "left").withColumn("conf", F.coalesce("conf", F.lit(0.0))).withColumn("n_picks", F.coalesce("n_picks", F.lit(0).cast("long")))
+    once = expected.groupBy(*own).agg(F.count("*").alias("_copies"))
+    pairs = range_join(once, right, ["tid", "pha"], "expected_at", "peak", tol, tol, "left")
+    best = pairs.groupBy(*own, "_copies").agg(F.count("pick_id").alias("n_picks"), F.max_by(F.struct("dt", "conf"), F.when(F.col("pick_id").isNotNull(), F.struct(F.col("conf"), -F.col("pick_id")))).alias("b"))
+    each = best.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
+    return each.select(*own, "n_picks", F.col("b.dt").alias("dt"), F.coalesce("b.conf", F.lit(0.0)).alias("conf"))
 
 
 def work_list(stations: DataFrame, first: Column, days: int) -> DataFrame:
@@ -122,10 +132,20 @@ def align_labels(curves: DataFrame, labels: list[str], keys: list[str]) -> DataF
     return curves.groupBy(*keys).pivot("label", labels).agg(F.first("value")).dropna(subset=labels)
 
 
-def in_regions(stations: DataFrame, rings: DataFrame) -> DataFrame:
-    """Stations inside each region. ``rings``: region, ring (array of lon, lat). Regions are few; their boxes
-    are tested before the rays are cast."""
+def in_regions(stations: DataFrame, rings: DataFrame, step: float = 1.0) -> DataFrame:
+    """Stations inside each region. ``rings``: region, ring (array of lon, lat). Regions and stations meet by
+    tiles of ``step`` degrees that a region's box touches, then by box, then the rays are cast."""
     xs, ys = F.transform("ring", lambda p: p["lon"]), F.transform("ring", lambda p: p["lat"])
     boxed = rings.select("region", "ring", F.array_min(xs).alias("x0"), F.array_max(xs).alias("x1"), F.array_min(ys).alias("y0"), F.array_max(ys).alias("y1"))
-    near = stations.join(boxed, F.col("longitude").between(F.col("x0"), F.col("x1")) & F.col("latitude").between(F.col("y0"), F.col("y1")))
-    return near.where(C.in_polygon(F.col("latitude"), F.col("longitude"), F.col("ring"))).drop("ring", "x0", "x1", "y0", "y1")
+    tile = lambda c: F.floor(c / step)
+    tiled = boxed.withColumn("_tx", F.explode(F.sequence(tile(F.col("x0")), tile(F.col("x1"))))).withColumn("_ty", F.explode(F.sequence(tile(F.col("y0")), tile(F.col("y1")))))
+    near = stations.withColumns({"_tx": tile(F.col("longitude")), "_ty": tile(F.col("latitude"))}).join(tiled, ["_tx", "_ty"])
+    inside = near.where(F.col("longitude").between(F.col("x0"), F.col("x1")) & F.col("latitude").between(F.col("y0"), F.col("y1")))
+    return inside.where(C.in_polygon(F.col("latitude"), F.col("longitude"), F.col("ring"))).drop("ring", "x0", "x1", "y0", "y1", "_tx", "_ty")
+
+
+def arrivals_of_picks(arrivals: DataFrame, picks: DataFrame, stations: DataFrame) -> DataFrame:
+    """Arrivals (pick_id, phase) joined to their picks by id, of the stations asked for (id); phases as P or S."""
+    named = arrivals.select("arrival_id", "pick_id", C.phase_of(F.col("phase")).alias("pha"))
+    own = picks.join(stations.select(F.col("id").alias("tid")).distinct(), "tid", "left_semi")
+    return named.where(F.col("pha").isin("P", "S")).join(own.drop("pha"), "pick_id")

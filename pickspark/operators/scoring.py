@@ -58,13 +58,29 @@ def score_windows(windows: DataFrame, make: Callable[[], Scorer], classes: list[
     return windows.mapInPandas(run, schema)
 
 
+def runs_of(curve: Column, least: float) -> Column:
+    """Runs of samples at or over ``least``, as an array of start, peak (the first largest), end and peak value. NaN
+    and null are below everything."""
+
+    def of(p: Column) -> Column:
+        over = lambda i: F.coalesce((F.get(p, i) >= least) & ~F.isnan(F.get(p, i)), F.lit(False))
+        edges = lambda step: F.filter(F.transform(p, lambda _, i: F.when(over(i) & ~over(i + step), i)), lambda i: i.isNotNull())
+
+        def run(at: Column) -> Column:
+            part = F.slice(p, at["s"] + 1, at["e"] - at["s"] + 1)
+            top = F.array_max(part)
+            return F.struct(at["s"].alias("start"), (at["s"] + F.array_position(part, top) - 1).cast("int").alias("peak"), at["e"].alias("end"), top.alias("peak_value"))
+
+        return F.transform(F.arrays_zip(edges(-1).alias("s"), edges(1).alias("e")), run)
+
+    return C.let(curve, of)
+
+
 def picks_from_curves(curves: DataFrame, keys: list[str], thresholds: dict[str, float]) -> DataFrame:
-    """Runs of samples at or over a class's threshold: start, peak, end (sample numbers) and peak value."""
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("pha"), F.lit(t).alias("least"), F.col(c).alias("curve")) for c, t in thresholds.items()]))
-    long = curves.select(*keys, each.alias("x")).select(*keys, "x.pha", "x.least", F.posexplode("x.curve").alias("i", "p")).where("p >= least")
-    by = Window.partitionBy(*keys, "pha").orderBy("i")
-    runs = long.withColumn("run", F.col("i") - F.row_number().over(by))
-    return runs.groupBy(*keys, "pha", "run").agg(F.min("i").alias("start"), F.min_by("i", F.struct(-F.col("p"), F.col("i"))).alias("peak"), F.max("i").alias("end"), F.max("p").alias("peak_value")).drop("run")
+    """Runs of samples at or over a class's threshold: start, peak, end (sample numbers) and peak value. The runs
+    are found inside the arrays: samples are not exploded and nothing is shuffled."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("pha"), runs_of(F.col(c), t).alias("runs")) for c, t in thresholds.items()]))
+    return curves.select(*keys, each.alias("_x")).select(*keys, "_x.pha", F.inline("_x.runs"))
 
 
 def decide(windows: DataFrame, labels: list[str] = C.CLASS_ORDER, drop: str = "no") -> DataFrame:

@@ -153,15 +153,30 @@ def horizontal_amplitudes(peaks: DataFrame, by: list[str]) -> DataFrame:
     return peaks.groupBy(*by).agg(F.coalesce(mean, F.lit(float("nan"))).alias("amp"), F.coalesce(most, F.lit(float("nan"))).alias("amp_raw"))
 
 
+def merged(segments: DataFrame, keys: list[str], length: int) -> DataFrame:
+    """One trace of ``length`` samples for each of ``keys``, from segments (offset in samples, samples): gaps become 0,
+    what reaches beyond the ends is trimmed, and where segments overlap the earlier one stays. A trace has few
+    segments (those with many are guarded out before), and they are laid one after the other inside the array."""
+    parts = segments.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("offset", C.doubles(F.col("samples")).alias("samples")))).alias("_parts"))
+
+    def lay(done: Column, part: Column) -> Column:
+        gap = F.array_repeat(F.lit(0.0), F.greatest(part["offset"] - F.size(done), F.lit(0)))
+        known = F.greatest(F.size(done) - part["offset"], F.lit(0))
+        return F.concat(done, gap, F.slice(part["samples"], known + 1, F.greatest(F.size(part["samples"]) - known, F.lit(0))))
+
+    laid = F.aggregate("_parts", F.array().cast("array<double>"), lay)
+    whole = F.slice(F.concat(laid, F.array_repeat(F.lit(0.0), length)), 1, length)
+    return parts.select(*keys, whole.alias("samples"))
+
+
 def normalised(traces: DataFrame, keys: list[str], samples: str = "samples") -> DataFrame:
     """Divide each trace by the sample deviation of the absolute values of all samples of its ``keys``, plus 1e-10.
     Traces give their moments about their own mean, which are pooled, so samples are not exploded."""
     x = C.doubles(F.col(samples))
     parts = traces.select(*keys, F.transform(x, lambda v: F.abs(v)).alias("_x")).where(F.size("_x") > 0).select(*keys, F.size("_x").alias("_n"), (C.total(F.col("_x")) / F.size("_x")).alias("_m"), "_x")
     moments = parts.select(*keys, "_n", "_m", C.let(F.col("_m"), lambda m: C.total(F.transform("_x", lambda v: (v - m) * (v - m)))).alias("_q"))
-    pooled = moments.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_q").alias("_q"), F.sum(F.col("_n") * F.col("_m")).alias("_s"), F.collect_list(F.struct("_n", "_m")).alias("_each"))
-    mean = F.col("_s") / F.col("_n")
-    between = C.let(mean, lambda m: C.total(F.transform("_each", lambda e: e["_n"] * (e["_m"] - m) * (e["_m"] - m))))
+    pooled = moments.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_q").alias("_q"), F.sum(F.col("_n") * F.col("_m")).alias("_s"), F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("_ss"))
+    between = F.greatest(F.col("_ss") - F.col("_s") * F.col("_s") / F.col("_n"), F.lit(0.0))
     scale = pooled.select(*keys, (F.sqrt((F.col("_q") + between) / F.nullif(F.col("_n") - 1, F.lit(0))) + 1e-10).alias("_scale"))
     return traces.join(scale, keys, "left").withColumn(samples, C.let(F.col("_scale"), lambda s: F.transform(x, lambda v: v / s))).drop("_scale")
 

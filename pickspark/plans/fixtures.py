@@ -63,4 +63,7 @@ def with_views(sql: str) -> str:
     if not used:
         return sql
     body = sql.strip()
-    return f"WITH {', '.join(used)}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {', '.join(used)} {body}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(head):
+            return f"{head}{', '.join(used)}, {body[len(head):]}"
+    return f"WITH {', '.join(used)} {body}"

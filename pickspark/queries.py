@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -29,10 +30,12 @@ def time(text: str) -> Column:
 
 
 def scratch(v: Views, name: str) -> str:
-    """A new folder that all executors share."""
-    import tempfile
-
-    root = v.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-")
+    """A new folder that all executors share; one of this machine only where Spark runs on it alone."""
+    root = v.spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not v.spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-shared-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -165,9 +168,9 @@ def _(v):
     return good.groupBy("tid", "cha", "day").agg(F.count("*").alias("npks")).unionByName(broken.select("tid", "cha", "day", "npks"))
 
 
-@query("b09_complete_components", "SELECT station_no, array_to_string(list_sort(list(DISTINCT component)), '') AS components FROM fx_traces WHERE label < 6 GROUP BY 1 HAVING count(DISTINCT component) = 3")
+@query("b09_complete_components", "SELECT station_no, label, array_to_string(list_sort(list(DISTINCT component)), '') AS components FROM fx_traces GROUP BY 1, label HAVING count(DISTINCT component) = 3")
 def _(v):
-    return filters.complete_components(v.traces.where("label < 6"), ["station_no"]).select("station_no", F.array_join("components", "").alias("components"))
+    return filters.complete_components(v.traces, ["station_no", "label"]).select("station_no", "label", F.array_join("components", "").alias("components"))
 
 
 @query("b10_complete_windows", "SELECT trace_id FROM fx_traces WHERE len(samples) >= 0.5e0 * 100 * rate_hz")
@@ -271,13 +274,7 @@ def _(v):
     return planning.live_days(v.stations, DAY0, DAY1, 20).select("id", "d0", "d1", "days")
 
 
-@query("c07_covering_units", f"WITH {PLAN} SELECT tid, day, shard_id FROM (SELECT DISTINCT tid, strftime(peak, '%Y.%j') AS day FROM fx_picks WHERE pick_id % 7 = 0) p JOIN units u ON list_contains(u.stations, p.tid) AND u.start <= p.day AND p.day < u.end")
-def _(v):
-    asked = v.picks.where("pick_id % 7 = 0").select("tid", C.year_day(F.col("peak")).alias("day")).distinct()
-    return joins.covering_units(planning.plan(v.stations, DAY0, DAY1), asked).select("tid", "day", "shard_id")
-
-
-@query("c07_covering_units_all", f"""WITH {PLAN}, each AS (SELECT shard_id, unnest(stations) AS tid, start AS d0, "end" AS d1 FROM units)
+@query("c07_covering_units", f"""WITH {PLAN}, each AS (SELECT shard_id, unnest(stations) AS tid, start AS d0, "end" AS d1 FROM units)
 SELECT p.tid, p.day, shard_id FROM (SELECT DISTINCT tid, strftime(peak, '%Y.%j') AS day FROM fx_picks) p JOIN each ON each.tid = p.tid AND each.d0 <= p.day AND p.day < each.d1""")
 def _(v):
     asked = v.picks.select("tid", C.year_day(F.col("peak")).alias("day")).distinct()
@@ -288,7 +285,29 @@ def analyst_matches(v: Views) -> DataFrame:
     return matching.match(filters.analyst_only(v.analyst), v.picks, ["tid", "pha"], 6 * HOURS)
 
 
-@query("c08_greedy_match")
+def greedy_sql(keys: str, reference: str, candidates: str, tol: float | str) -> str:
+    """CTEs that match greedily in order of time, one reference a step: ``matched`` has keys, arrival_id, pick_id and
+    residual. ``reference`` and ``candidates``: queries of the keys, id and t."""
+    on = lambda a, b: " AND ".join(f"{a}.{k.strip()} = {b}.{k.strip()}" for k in keys.split(","))
+    of = lambda a: ", ".join(f"{a}.{k.strip()}" for k in keys.split(","))
+    return f"""ref AS MATERIALIZED ({reference}), cand AS MATERIALIZED ({candidates}),
+near AS MATERIALIZED (SELECT {of("r")}, r.id, r.t, r.k, coalesce(list(c.id ORDER BY abs(c.t - r.t), c.t, c.id) FILTER (c.id IS NOT NULL), []) AS ids
+  FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY t, id) AS k FROM ref) r LEFT JOIN cand c ON {on("r", "c")} AND abs(c.t - r.t) <= {tol} GROUP BY ALL),
+steps AS (SELECT {of("n")}, n.k, n.id, n.ids[1] AS got, CASE WHEN len(n.ids) > 0 THEN [n.ids[1]] ELSE [] END AS used FROM near n WHERE n.k = 1
+  UNION ALL SELECT {keys}, k, id, got, CASE WHEN got IS NULL THEN used ELSE list_append(used, got) END FROM (SELECT {of("n")}, n.k, n.id, s.used, list_filter(n.ids, lambda x: NOT list_contains(s.used, x))[1] AS got FROM steps s JOIN near n ON {on("n", "s")} AND n.k = s.k + 1) x),
+matched AS MATERIALIZED (SELECT {of("r")}, r.id AS arrival_id, s.got AS pick_id, c.t - r.t AS residual FROM ref r JOIN steps s ON {on("s", "r")} AND s.id = r.id LEFT JOIN cand c ON {on("c", "r")} AND c.id = s.got
+  UNION ALL SELECT {of("c")}, NULL, c.id, NULL FROM cand c LEFT JOIN steps s ON {on("s", "c")} AND s.got = c.id WHERE s.got IS NULL)"""
+
+
+ANALYST = "SELECT {keys}, arrival_id AS id, epoch_us(time) / 1e6 AS t FROM fx_analyst{more} WHERE evaluation_mode <> 'automatic'"
+SCORED = """count(arrival_id) AS analyst, count(*) FILTER (WHERE arrival_id IS NOT NULL AND pick_id IS NOT NULL) AS matched, avg(abs(residual)) AS mae, median(residual) AS bias, count(*) FILTER (WHERE arrival_id IS NULL) AS extra,
+  count(*) FILTER (WHERE arrival_id IS NOT NULL AND pick_id IS NOT NULL) / CAST(nullif(count(arrival_id), 0) AS DOUBLE) AS recall"""
+ROUNDED = "analyst, matched, round(mae, 6) AS mae, round(bias, 6) AS bias, extra, round(recall, 6) AS recall"
+BY_PHASE = greedy_sql("tid, pha", ANALYST.format(keys="tid, pha", more=""), "SELECT tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks", 6 * HOURS)
+BY_WEIGHT = greedy_sql("weight, tid, pha", ANALYST.format(keys="weight, tid, pha", more=", (SELECT DISTINCT weight FROM fx_runs) w"), "SELECT weight, tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks JOIN fx_runs USING (rid)", 6 * HOURS)
+
+
+@query("c08_greedy_match", f"WITH RECURSIVE {BY_PHASE} SELECT * FROM matched")
 def _(v):
     return analyst_matches(v)
 
@@ -301,10 +320,12 @@ def _(v):
     return found.select("origin_id", "c_origin_id", r("dt", 3).alias("dt"), r("km", 4).alias("km"))
 
 
-@query("c10_normalised_phases", "SELECT a.arrival_id, a.pha, p.pick_id FROM fx_analyst a JOIN fx_picks p ON p.tid = a.tid AND p.pha = a.pha AND CAST(p.peak AS DATE) = CAST(a.time AS DATE)")
+@query("c10_normalised_phases", "SELECT p.pick_id * 2 + 1 AS arrival_id, p.pick_id, p.tid, p.pha, p.peak FROM fx_picks p WHERE p.tid IN (SELECT id FROM fx_stations WHERE network_code IN ('N1', 'N2')) AND p.pick_id % 3 <> 2")
 def _(v):
-    a = v.analyst.select("arrival_id", "tid", C.phase_of(F.concat(F.lower("pha"), F.lit("n"))).alias("pha"), F.to_date("time").alias("day"))
-    return a.join(v.picks.select("pick_id", "tid", "pha", F.to_date("peak").alias("day")), ["tid", "pha", "day"]).select("arrival_id", "pha", "pick_id")
+    """Arrivals refer to picks by id; their phases are Pg, Sn and the like, and some are of other waves."""
+    kind = F.when(F.col("pick_id") % 3 == 2, F.lit("Lg")).otherwise(F.concat(F.lower("pha"), F.when(F.col("pick_id") % 3 == 0, F.lit("g")).otherwise(F.lit("n"))))
+    arrivals = v.picks.select((F.col("pick_id") * 2 + 1).alias("arrival_id"), "pick_id", kind.alias("phase"))
+    return joins.arrivals_of_picks(arrivals, v.picks, filters.in_networks(v.stations, "N1,N2")).select("arrival_id", "pick_id", "tid", "pha", "peak")
 
 
 @query("c11_first_arrivals", """WITH e AS (SELECT DISTINCT o.origin_id AS event_id, p.tid AS station, 50e0 + o.depth_km AS km, o.time FROM fx_origins o JOIN fx_picks p ON p.pick_id // 25 = o.origin_id // 25),
@@ -324,12 +345,18 @@ def _(v):
     return joins.best_in_window(expected, v.picks, 12 * HOURS).select("arrival_id", "n_picks", r("dt", 3).alias("dt"), r("conf").alias("conf"))
 
 
-@query("c13_suppress_duplicates")
+@query("c13_suppress_duplicates", """WITH RECURSIVE o AS MATERIALIZED (SELECT tid, pha, pick_id, peak, epoch_us(peak) / 1e6 AS t, row_number() OVER (PARTITION BY tid, pha ORDER BY pick_id % 3, peak, pick_id) AS k FROM fx_picks),
+s AS (SELECT tid, pha, k, pick_id, true AS stays, [t] AS kept FROM o WHERE k = 1
+  UNION ALL SELECT tid, pha, k, pick_id, stays, CASE WHEN stays THEN list_append(kept, t) ELSE kept END FROM (SELECT o.tid, o.pha, o.k, o.pick_id, o.t, s.kept, len(list_filter(s.kept, lambda x: abs(x - o.t) <= 43200)) = 0 AS stays FROM s JOIN o ON o.tid = s.tid AND o.pha = s.pha AND o.k = s.k + 1) x)
+SELECT pick_id, tid, pha, peak FROM o JOIN (SELECT pick_id AS p FROM s WHERE stays) k ON k.p = pick_id""")
 def _(v):
     return matching.suppress(v.picks.withColumn("priority", (F.col("pick_id") % 3).cast("int")), ["tid", "pha"], 12 * HOURS, "priority").select("pick_id", "tid", "pha", "peak")
 
 
-@query("c14_agreement")
+AGREED = greedy_sql("tid, pha", "SELECT tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks JOIN fx_runs USING (rid) WHERE weight = 'weight_a'", "SELECT tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks JOIN fx_runs USING (rid) WHERE weight = 'weight_b'", 12 * HOURS)
+
+
+@query("c14_agreement", f"WITH RECURSIVE {AGREED} SELECT 'weight_a' AS a, 'weight_b' AS b, analyst AS n, matched, recall AS agreement FROM (SELECT {SCORED} FROM matched) s")
 def _(v):
     return matching.agreement(joins.with_run(v.picks, v.runs), ["weight_a", "weight_b"], ["tid", "pha"], 12 * HOURS)
 
@@ -384,9 +411,9 @@ def _(v):
 
 
 @query("c20_align_labels", """SELECT station_no, round(max(CASE WHEN component = 'Z' THEN m END), 6) AS "Z", round(max(CASE WHEN component = 'N' THEN m END), 6) AS "N", round(max(CASE WHEN component = 'E' THEN m END), 6) AS "E" FROM
-  (SELECT station_no, component, max(CAST(samples[1] AS DOUBLE)) AS m FROM fx_traces WHERE label < 5 GROUP BY 1, 2) x GROUP BY 1 HAVING count(DISTINCT component) = 3""")
+  (SELECT station_no, component, max(CAST(samples[1] AS DOUBLE)) AS m FROM fx_traces GROUP BY 1, 2) x GROUP BY 1 HAVING count(DISTINCT component) = 3""")
 def _(v):
-    curves = v.traces.where("label < 5").groupBy("station_no", F.col("component").alias("label")).agg(F.max(F.get("samples", F.lit(0)).cast("double")).alias("value"))
+    curves = v.traces.groupBy("station_no", F.col("component").alias("label")).agg(F.max(F.get("samples", F.lit(0)).cast("double")).alias("value"))
     return joins.align_labels(curves, ["Z", "N", "E"], ["station_no"]).select("station_no", r("Z").alias("Z"), r("N").alias("N"), r("E").alias("E"))
 
 
@@ -500,16 +527,16 @@ def _(v):
 
 def scores(v: Views, by: list[str]) -> DataFrame:
     picks = joins.with_run(v.picks, v.runs)
-    ref = filters.analyst_only(v.analyst).join(v.runs.select("weight").distinct())
+    ref = scoring.at_weights(filters.analyst_only(v.analyst), v.runs.select("weight").distinct())
     return matching.score(matching.match(ref, picks, ["weight", "tid", "pha"], 6 * HOURS), by)
 
 
-@query("d12_scores")
+@query("d12_scores", f"WITH RECURSIVE {BY_WEIGHT} SELECT weight, pha, {ROUNDED} FROM (SELECT weight, pha, {SCORED} FROM matched GROUP BY 1, 2) s")
 def _(v):
     return scores(v, ["weight", "pha"]).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
 
 
-@query("d13_recall_by_phase")
+@query("d13_recall_by_phase", f"WITH RECURSIVE {BY_WEIGHT}, s AS (SELECT weight, pha, {SCORED} FROM matched GROUP BY 1, 2) SELECT pha, round(max(recall) FILTER (WHERE weight = 'weight_a'), 6) AS weight_a, round(max(recall) FILTER (WHERE weight = 'weight_b'), 6) AS weight_b FROM s GROUP BY 1")
 def _(v):
     return bench.pivot_recall(scores(v, ["weight", "pha"]), "pha", ["weight_a", "weight_b"]).select("pha", r("weight_a").alias("weight_a"), r("weight_b").alias("weight_b"))
 
@@ -521,9 +548,14 @@ def threshold_curve(v: Views) -> DataFrame:
     return emitted.select("weight", "emitted", (F.col("stations") / 1000).alias("recall"))
 
 
-@query("d14_threshold_sweep")
+THRESHOLDS = [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7]
+LEVELS = f"(SELECT unnest([{', '.join(f'{x}e0' for x in THRESHOLDS)}]) AS threshold) h"
+SWEPT = greedy_sql("threshold, tid, pha", ANALYST.format(keys="threshold, tid, pha", more=f", {LEVELS}"), f"SELECT threshold, tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks JOIN {LEVELS} ON conf >= threshold", 6 * HOURS)
+
+
+@query("d14_threshold_sweep", f"WITH RECURSIVE {SWEPT} SELECT threshold, {ROUNDED}, matched + extra AS emitted FROM (SELECT threshold, {SCORED} FROM matched GROUP BY 1) s")
 def _(v):
-    return matching.sweep(filters.analyst_only(v.analyst), v.picks, [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7], ["tid", "pha"], 6 * HOURS).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
+    return matching.sweep(filters.analyst_only(v.analyst), v.picks, THRESHOLDS, ["tid", "pha"], 6 * HOURS).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
 
 
 @query("d15_matched_budget", """WITH c AS (SELECT weight, t / 10e0 AS threshold, CAST(count(*) AS DOUBLE) AS emitted, count(DISTINCT tid) / 1000e0 AS recall FROM fx_picks JOIN fx_runs USING (rid) JOIN range(10) g(t) ON conf >= t / 10e0 GROUP BY 1, 2),
@@ -539,12 +571,16 @@ def _(v):
     return bench.saturation(joins.with_run(v.picks, v.runs), [0.02, 0.1, 0.3])
 
 
-@query("d17_station_recall")
+@query("d17_station_recall", f"WITH RECURSIVE {BY_WEIGHT}, s AS (SELECT weight, tid, {SCORED} FROM matched GROUP BY 1, 2) SELECT tid, round(max(recall) FILTER (WHERE weight = 'weight_a'), 6) AS weight_a, round(max(recall) FILTER (WHERE weight = 'weight_b'), 6) AS weight_b FROM s GROUP BY 1")
 def _(v):
-    return bench.pivot_recall(scores(v, ["weight", "tid"]), "tid", ["weight_a", "weight_b"])
+    return bench.pivot_recall(scores(v, ["weight", "tid"]), "tid", ["weight_a", "weight_b"]).withColumns({c: r(c) for c in ("weight_a", "weight_b")})
+
+
+TOLERANCES = "(SELECT unnest([5400e0, 10800e0, 21600e0, 43200e0]) AS tol) h"
+TOLERATED = greedy_sql("tol, tid, pha", ANALYST.format(keys="tol, tid, pha", more=f", {TOLERANCES}"), f"SELECT tol, tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks, {TOLERANCES}", "r.tol")
 
 
-@query("d18_tolerances")
+@query("d18_tolerances", f"WITH RECURSIVE {TOLERATED} SELECT tol, {ROUNDED} FROM (SELECT tol, {SCORED} FROM matched GROUP BY 1) s")
 def _(v):
     return matching.tolerance_sweep(filters.analyst_only(v.analyst), v.picks, [1.5 * HOURS, 3 * HOURS, 6 * HOURS, 12 * HOURS], ["tid", "pha"]).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
 
@@ -903,13 +939,19 @@ def _(v):
     return v.traces.select("trace_id", C.doubles(F.col("samples")).alias("x"), "rate_hz").select("trace_id", r(C.total(C.taper(F.col("x"), F.col("rate_hz"))), 5).alias("total"))
 
 
-@query("i03_band_pass")
+#: Sums of cosines and sines of each trace at each of 33 frequencies.
+PI = "3.141592653589793e0"
+DFT = f"""(SELECT trace_id, station_no, component, k, sum(x * cos(2 * {PI} * k * i / 64)) AS re, -sum(x * sin(2 * {PI} * k * i / 64)) AS im FROM {LONG} l, (SELECT CAST(range AS INT) AS k FROM range(33)) f GROUP BY ALL)"""
+TWICE = "CASE WHEN k IN (0, 32) THEN 1e0 ELSE 2e0 END"
+
+
+@query("i03_band_pass", f"""SELECT trace_id, component, round(sum({TWICE} * (re * re + im * im) * g * g) / 64, 5) AS energy FROM (SELECT *, CASE WHEN k = 0 THEN 0e0 ELSE 1 / ((1 + pow(0.05e0 * 64 / k, 8)) * (1 + pow(k / (64 * 0.2e0), 8))) END AS g FROM {DFT} d) y GROUP BY 1, 2""")
 def _(v):
     found = signal.band_pass(v.traces.withColumn("samples", C.doubles(F.col("samples"))), 0.05, 0.2)
     return found.select("trace_id", "component", r(C.total(F.transform("samples", lambda y: y * y)), 5).alias("energy"))
 
 
-@query("i04_resample")
+@query("i04_resample", "SELECT trace_id, CAST(32 AS INT) AS n, round((CAST(samples[1] AS DOUBLE) + CAST(samples[2] AS DOUBLE)) / 2, 5) AS first_sample FROM fx_traces")
 def _(v):
     found = signal.resample(v.traces.withColumn("samples", C.doubles(F.col("samples"))), 0.5)
     return found.select("trace_id", F.size("samples").alias("n"), r(F.get("samples", F.lit(0)), 5).alias("first_sample"))
@@ -921,7 +963,9 @@ def _(v):
     return found.select("trace_id", r(C.total(F.transform("samples", lambda x: F.abs(x))), 4).alias("total"), r(F.get("samples", F.lit(7))).alias("at_7"), F.size("samples").cast("long").alias("n"))
 
 
-@query("i06_spectrogram")
+@query("i06_spectrogram", f"""WITH h AS (SELECT i, 0.5e0 - 0.5e0 * cos(2 * {PI} * i / 32) AS h FROM (SELECT CAST(range AS INT) AS i FROM range(32)) g), c AS (SELECT l.trace_id, w, l.i - 16 * w AS i, x, avg(x) OVER (PARTITION BY l.trace_id, w) AS m FROM {LONG} l JOIN (SELECT CAST(range AS INT) AS w FROM range(3)) v ON l.i BETWEEN 16 * w AND 16 * w + 31),
+p AS (SELECT trace_id, w, k, sum((x - m) * h * cos(2 * {PI} * k * c.i / 32)) AS re, sum((x - m) * h * sin(2 * {PI} * k * c.i / 32)) AS im FROM c JOIN h ON h.i = c.i, (SELECT CAST(range AS INT) AS k FROM range(17)) f GROUP BY ALL)
+SELECT trace_id, CAST(17 AS INT) AS frequencies, CAST(3 AS INT) AS times, round(sum((CASE WHEN k IN (0, 16) THEN 1e0 ELSE 2e0 END) * (re * re + im * im)) / (SELECT sum(h * h) FROM h), 5) AS power FROM p GROUP BY 1""")
 def _(v):
     found = signal.spectrograms(v.traces.withColumn("samples", C.doubles(F.col("samples"))), 32)
     return found.select("trace_id", F.size("power").alias("frequencies"), F.size(F.get("power", F.lit(0))).alias("times"), r(C.total(F.flatten("power")), 5).alias("power"))
@@ -932,13 +976,25 @@ def _(v):
     return v.traces.select("trace_id", C.doubles(F.col("samples")).alias("x")).select("trace_id", r(C.total(C.min_max(F.col("x"))), 5).alias("total"))
 
 
-@query("i08_wood_anderson")
+#: Complex gains as (real, imaginary) by frequency; an instrument with poles -0.5 +- 0.5i, two zeros and gain 1000 goes,
+#: a Wood-Anderson comes.
+WOOD_ANDERSON_GAIN = f"""i AS (SELECT CAST(range AS INT) AS k, 2 * {PI} * range / 64 AS w FROM range(33)),
+a AS (SELECT k, w, 0.5e0 - w * w AS dr, w AS di, 5.49779e0 * 5.49779e0 + 5.60886e0 * 5.60886e0 - w * w AS er, 2 * 5.49779e0 * w AS ei FROM i),
+b AS (SELECT k, 1000 * -w * w * dr / (dr * dr + di * di) AS rr, 1000 * w * w * di / (dr * dr + di * di) AS ri, 2080 * w * ei / (er * er + ei * ei) AS wr, 2080 * w * er / (er * er + ei * ei) AS wi, 0.5e0 - 0.5e0 * cos({PI} * greatest(0, least(1, (k / 64e0 - 0.1e0) / 0.1e0))) AS s FROM a),
+c AS (SELECT *, sqrt(rr * rr + ri * ri) AS size, max(sqrt(rr * rr + ri * ri)) OVER () * 0.1e0 AS floor FROM b),
+d AS (SELECT k, wr, wi, s, CASE WHEN size = 0 THEN floor WHEN size < floor THEN rr / size * floor ELSE rr END AS rr, CASE WHEN size = 0 THEN 0 WHEN size < floor THEN ri / size * floor ELSE ri END AS ri FROM c),
+g AS (SELECT k, s * (wr * rr + wi * ri) / (rr * rr + ri * ri) AS gr, s * (wi * rr - wr * ri) / (rr * rr + ri * ri) AS gi FROM d)"""
+
+
+@query("i08_wood_anderson", f"""WITH {WOOD_ANDERSON_GAIN}, y AS (SELECT trace_id, station_no, k, re * gr - im * gi AS re, re * gi + im * gr AS im FROM {DFT} t JOIN g USING (k) WHERE station_no < 40),
+z AS (SELECT trace_id, station_no, n, sum({TWICE} * (re * cos(2 * {PI} * k * n / 64) - im * sin(2 * {PI} * k * n / 64))) / 64 AS x FROM y, (SELECT CAST(range AS INT) AS n FROM range(64)) m GROUP BY 1, 2, 3)
+SELECT trace_id, station_no, round(max(abs(x)), 4) AS peak FROM z GROUP BY 1, 2 UNION ALL SELECT trace_id, station_no, NULL FROM fx_traces WHERE station_no >= 40""")
 def _(v):
     pole = F.array(F.array(F.lit(-0.5), F.lit(0.5)), F.array(F.lit(-0.5), F.lit(-0.5)))
     zero = F.array(F.array(F.lit(0.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(0.0)))
     responses = v.traces.select("station_no").distinct().where("station_no < 40").select("station_no", pole.alias("poles"), zero.alias("zeros"), F.lit(1000.0).alias("gain"))
     found = signal.simulate(v.traces.withColumn("samples", C.doubles(F.col("samples"))), responses, ["station_no"])
-    return found.select("trace_id", "station_no", r(F.array_max(F.transform("samples", lambda x: F.abs(x))), 5).alias("peak"))
+    return found.select("trace_id", "station_no", r(F.array_max(F.transform("samples", lambda x: F.abs(x))), 4).alias("peak"))
 
 
 @query("i09_amplitudes", f"""WITH w AS (SELECT pick_id, t.component, {CUT.format(lead=3)} AS s, samples FROM fx_picks p JOIN fx_traces t ON t.station_no = CAST(regexp_extract(p.tid, 'S(\\d+)', 1) AS INT) % 50),
@@ -953,14 +1009,21 @@ def _(v):
 
 @query("i11_gap_fill", f"""SELECT trace_id, count(*) AS n, round(sum(CASE WHEN i % 7 = 3 THEN 0e0 ELSE x END), 5) AS total FROM {LONG} l WHERE i < 50 GROUP BY 1""")
 def _(v):
-    present = v.traces.select("trace_id", F.posexplode("samples").alias("i", "x")).where("i % 7 <> 3")
-    every = v.traces.select("trace_id", F.explode(F.sequence(F.lit(0), F.lit(49))).alias("i"))
-    return every.join(present, ["trace_id", "i"], "left").groupBy("trace_id").agg(F.count("*").alias("n"), r(F.sum(F.coalesce(F.col("x").cast("double"), F.lit(0.0))), 5).alias("total"))
+    """Each trace comes in ten segments of six samples with gaps of one between them."""
+    k = F.explode(F.sequence(F.lit(0), F.lit(8)))
+    cut = v.traces.select("trace_id", "samples", k.alias("k")).select("trace_id", (F.col("k") * 7 + 4).alias("offset"), F.slice("samples", F.col("k") * 7 + 5, 6).alias("samples"))
+    first = v.traces.select("trace_id", F.lit(0).alias("offset"), F.slice("samples", 1, 3).alias("samples"))
+    whole = signal.merged(cut.unionByName(first), ["trace_id"], 50)
+    return whole.select("trace_id", F.size("samples").cast("long").alias("n"), r(C.total(F.col("samples")), 5).alias("total"))
 
 
-@query("i12_raw_amplitude")
+@query("i12_raw_amplitude", f"""WITH s AS (SELECT trace_id, avg(x) AS m, sum(x * (i - 31.5e0)) * 12e0 / (64e0 * 4095e0) AS b FROM {LONG} l GROUP BY 1), f AS (SELECT l.trace_id, l.station_no, i, x - m - b * (i - 31.5e0) AS x FROM {LONG} l JOIN s USING (trace_id)),
+t AS (SELECT trace_id, station_no, k, sum(x * cos(2 * {PI} * k * i / 64)) AS re, -sum(x * sin(2 * {PI} * k * i / 64)) AS im FROM f, (SELECT CAST(range AS INT) AS k FROM range(33)) q GROUP BY 1, 2, 3),
+y AS (SELECT trace_id, station_no, n, sum({TWICE} * (CASE WHEN k = 0 THEN 0e0 ELSE 1 / (1 + pow(1e-5 * 3600 * 64 / k, 8)) END) * (re * cos(2 * {PI} * k * n / 64) - im * sin(2 * {PI} * k * n / 64))) / 64 AS x FROM t, (SELECT CAST(range AS INT) AS n FROM range(64)) m GROUP BY 1, 2, 3),
+w AS (SELECT pick_id, CAST(regexp_extract(tid, 'S(\\d+)', 1) AS INT) % 50 AS station_no, CAST(round((epoch_us(peak) - epoch_us(TIMESTAMP '2024-01-08')) / 1e6 / 3600 - 3) AS INT) AS i0, CAST(round((epoch_us(peak) - epoch_us(TIMESTAMP '2024-01-08')) / 1e6 / 3600 + 5) AS INT) AS i1 FROM fx_picks)
+SELECT pick_id, coalesce(round(max(abs(x)), 5), CAST('NaN' AS DOUBLE)) AS amp_raw_peak FROM w LEFT JOIN y ON y.station_no = w.station_no AND n BETWEEN i0 AND i1 AND i0 >= 1 AND i1 <= 62 GROUP BY 1""")
 def _(v):
-    picks = picks_by_station(v).where("peak >= '2024-01-08' AND peak < '2024-01-11'").select("pick_id", "station_no", "peak")
+    picks = picks_by_station(v).select("pick_id", "station_no", "peak")
     traces = v.traces.withColumns({"t0": time("2024-01-08"), "rate_hz": F.lit(1 / 3600)})
     return signal.raw_amplitudes(picks, traces.select("station_no", "component", "rate_hz", "samples", "t0"), ["station_no"], 3 * HOURS, 5 * HOURS, 1e-5).select("pick_id", r("amp_raw_peak", 5).alias("amp_raw_peak"))
 

@@ -82,6 +82,12 @@ def classifications(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schemas.CLASSIFY).option("basePath", root).parquet(root)
 
 
+def coverage(spark: SparkSession, path: str) -> DataFrame:
+    """Coverage as batches have written it: of each key the row of the latest batch that has it."""
+    rows = spark.read.schema(f"{schemas.COVERAGE}, batch long").option("basePath", path).parquet(path)
+    return rows.groupBy(*schemas.COVERAGE_KEY).agg(F.max_by("npks", "batch").alias("npks"))
+
+
 def picks_of_unit(spark: SparkSession, root: str, table: DataFrame, job_ids: list[str]) -> DataFrame:
     """Picks by the exact files that the manifests of some jobs name, without listing folders."""
     paths = [r.path for r in manifest_files(table.where(F.col("job_id").isin(job_ids))).where("kind = 'picks'").select("path").distinct().collect()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -47,36 +47,62 @@ def write_events(events: DataFrame, assignments: DataFrame, picks: DataFrame, ro
     keyed.write.mode("append").parquet(f"{root}/assignments")
 
 
-def write_coverage(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+def write_coverage(rows: DataFrame, path: str, batch: int | None = None) -> None:
+    """Append, or put the rows of one batch in place of those it wrote before."""
+    if batch is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def write_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").csv(path, header=True)
 
 
-def insert_ignoring_duplicates(rows: DataFrame, root: str, day: str = "peak") -> None:
-    """Append picks whose key is not there yet; only the partitions that the new rows touch are read."""
-    spark = rows.sparkSession
-    new = placed(rows, day).dropDuplicates(schemas.PICK_KEY)
-    touched = [r.asDict() for r in new.select(*schemas.PARTITIONS).distinct().collect()]  # folders of one batch
+def touched(rows: DataFrame) -> list[dict]:
+    """Partitions of (placed) rows: as many as one batch touches folders."""
+    return [r.asDict() for r in rows.select(*schemas.PARTITIONS).distinct().collect()]
+
+
+def in_partitions(table: DataFrame, folders: list[dict]) -> DataFrame:
+    """The rows of some partitions; others are not read."""
+    return table.where(F.struct(*schemas.PARTITIONS).isin([F.struct(*(F.lit(t[c]).alias(c) for c in schemas.PARTITIONS)) for t in folders]))
+
+
+def catalog_of(spark: SparkSession, root: str) -> DataFrame | None:
+    """The catalog's picks, None if nothing is there yet."""
     try:
-        there = spark.read.schema(schemas.PICK).option("basePath", root).parquet(root)
+        return spark.read.schema(schemas.PICK).option("basePath", root).parquet(root)
     except Exception as e:  # the first batch finds no catalog
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        there = None
-    if there is not None and touched:
-        hit = F.struct(*schemas.PARTITIONS).isin([F.struct(*(F.lit(t[c]).alias(c) for c in schemas.PARTITIONS)) for t in touched])
-        new = new.join(there.where(hit).select(*schemas.PICK_KEY), schemas.PICK_KEY, "left_anti")
+        return None
+
+
+def insert_ignoring_duplicates(rows: DataFrame, root: str, day: str = "peak") -> None:
+    """Append picks whose key is not there yet; only the partitions that the new rows touch are read."""
+    new = placed(rows, day).dropDuplicates(schemas.PICK_KEY)
+    folders, there = touched(new), catalog_of(rows.sparkSession, root)
+    if there is not None and folders:
+        new = new.join(in_partitions(there, folders).select(*schemas.PICK_KEY), schemas.PICK_KEY, "left_anti")
     write_picks(new, root, day)
 
 
 def replace_stations(picks: DataFrame, root: str, ids: DataFrame, scratch: str) -> None:
-    """Delete the picks of some stations from the partitions they are in, by rewriting those partitions."""
+    """Delete the picks of some stations from the partitions they are in, by rewriting those partitions; one that
+    is left without picks is deleted."""
     spark = picks.sparkSession
-    touched = picks.join(ids.select(F.col("id").alias("tid")).distinct(), "tid", "left_semi").select(*schemas.PARTITIONS).distinct()
-    rest = picks.join(touched, schemas.PARTITIONS, "left_semi").join(ids.select(F.col("id").alias("tid")).distinct(), "tid", "left_anti")
+    gone = ids.select(F.col("id").alias("tid")).distinct()
+    folders = touched(picks.join(gone, "tid", "left_semi"))
+    if not folders:
+        return
+    rest = in_partitions(picks, folders).join(gone, "tid", "left_anti")
     rest.write.mode("overwrite").parquet(scratch)  # a table cannot be read while it is rewritten
     kept = spark.read.schema(rest.schema).parquet(scratch)
     kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*schemas.PARTITIONS).parquet(root)
+    left = touched(kept)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in folders:
+        if folder not in left:
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{c}={folder[c]}" for c in schemas.PARTITIONS)), True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators import catalog
+from ..operators import catalog, joins
 from ..sources import writers
 
 
@@ -27,11 +27,17 @@ def ingest(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint
 
 
 def picks_then_coverage(root: str, coverage_path: str, day: str = "peak") -> Callable[[DataFrame, int], None]:
-    """A sink for batches: picks first, ignoring those that are there (so a replayed batch changes nothing),
-    then the batch's coverage."""
+    """A sink for batches: picks first, ignoring those that are there, then coverage of the station-days that the
+    batch has picks of, counted in the catalog. A batch that comes again adds no picks, and its coverage takes the
+    place of what it wrote before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writers.insert_ignoring_duplicates(batch, root, day)
-        writers.write_coverage(catalog.coverage(batch), f"{coverage_path}/batch={batch_id}")
+        there = writers.catalog_of(batch.sparkSession, root)
+        folders = writers.touched(writers.placed(batch, day))
+        if there is None or not folders:
+            return
+        counted = catalog.coverage(writers.in_partitions(there, folders))
+        writers.write_coverage(joins.of_keys(counted, catalog.coverage(batch), schemas.COVERAGE_KEY), coverage_path, batch_id)
 
     return write
