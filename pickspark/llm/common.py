@@ -21,25 +21,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the setting is absent (tests on one machine) a temporary folder is made and set.
+    Where the setting is absent a temporary folder is made and set if Spark runs on this machine alone (tests);
+    elsewhere that would not be seen by the executors, so it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jvm_dir.get() if jvm_dir.isDefined() else tempfile.mkdtemp(prefix="spark-shared-")
+        if jvm_dir.isDefined():
+            found = jvm_dir.get()
+        elif spark.sparkContext.master.startswith("local["):
+            found = tempfile.mkdtemp(prefix="spark-shared-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+class Scratch:
+    """Tables in a new folder below the shared one. Writing a table and reading it again cuts lineage: a lost
+    executor costs a re-read instead of a recomputation. Tables that nothing reads any more are dropped."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}-{len(self.paths)}"
+        df.write.option("compression", "zstd").parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        self.keep = [*getattr(self, "keep", []), out]  # ids stay unique while tables live
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            remove(self.spark, self.paths[id(t)])
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        self.drop(*(t for t in self.keep if not any(t is x for x in tables)))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage is cut, and a lost
-    executor costs a re-read instead of a recomputation. The folder's owner clears it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet to the shared folder and read it back. The folder's owner clears it."""
+    return Scratch(df.sparkSession, label).put(df, "table")
 
 
 def ship_package(spark: SparkSession) -> None:
