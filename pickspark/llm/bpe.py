@@ -36,7 +36,7 @@ PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 CUT = re.compile(r" (?=\S)")
 UNSAFE = re.compile(r" (?=\s)| $")
 #: Entries kept in each memo table before it is emptied.
-MEMO = 800_000
+MEMO = 300_000
 
 
 def byte_letters() -> dict[str, int]:
