@@ -1,21 +1,26 @@
 """Token ids in grammar-compressed files (Re-Pair).
 
 Documents are range-partitioned by id; each task is a shard and writes its documents in order as blocks of
-about ``BLOCK_TOKENS`` ids (whole documents). In a block, frequent pairs of neighbouring symbols are
-replaced by new symbols, round after round, counting every pair each time; the block keeps the rules, the
-expansion length of every new symbol, and the remaining sequence, so that any range of ids can be read
-without expanding the rest. A file is a Parquet file with one row for each block.
+about ``BLOCK_TOKENS`` ids (whole documents). In a block, the most frequent pairs of neighbouring symbols are
+replaced by new symbols, round after round, until no pair occurs ``LEAST`` times. A round takes the pairs that are at
+least an eighth as frequent as the most frequent one is; where two of them overlap, the more frequent one wins.
+The block keeps the rules, the expansion length of every new symbol, and the remaining sequence, so that any range of
+ids can be read without expanding the rest. A file is a Parquet file with one row for each block.
 
 Edge cases: a null or empty text gives the end id alone; equal document ids stay separate documents, in the
 order of their texts; null ids come first; an empty table gives no blocks; a document longer than a block
-is a block of its own; other columns are not read.
+is a block of its own; other columns are not read. Symbols have 16 bits where the vocabulary leaves room: a block that
+has used up its 65,536 symbols keeps the rest of its sequence as it is.
 """
 
 from __future__ import annotations
 
+import functools
+import gc
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,18 +31,89 @@ from .bpe import CUT, PATTERN, UNSAFE, byte_letters, pre_tokens
 from .common import chunks, shared_dir, text_or_empty
 
 BLOCK_TOKENS = 1 << 20
-#: Entries kept in each memo table before it is emptied.
-MEMO = 1_000_000
-#: A pair is replaced while it occurs so often, and while a round shortens the sequence by this share; rounds
-#: and rules of a round, at most.
-LEAST, SHRINK, ROUNDS, RULES_A_ROUND = 24, 0.002, 10, 2048
+#: Stretches whose ids a worker remembers (some 30 bytes each), and pre-tokens of texts with runs of blanks.
+MEMO, PIECES = 1_500_000, 50_000
+#: Bytes hashed at a time, and of a stretch that is hashed.
+SLAB, LONGEST = 1 << 20, 1 << 16
+#: A pair is replaced while it occurs so often.
+LEAST = 24
+#: Pairs are counted by hashes of so many bits.
+SLOTS = 18
+#: Letters of several scripts and kinds, on which the pattern must cut as the library does.
+PROBE = "a\u0300 \u00df\u0130\u1e9e 1\u00b2\u2167\u4e00\u00bd x\u200d\u0903\u0e31 \u3000\u2028\x85\x1c\u2009-\u2014\u20ac\U0001f600\ua7dc\U00010d6f\u1c89 it's"
 
 BLOCKS = "shard int, block int, start_in_shard long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, first_rule int, rules binary, lengths binary, symbols binary"
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(29))
+
+
+@functools.lru_cache(1)
+def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each byte; powers of an odd number and of its inverse modulo 2**64."""
+    up, down = (np.full(SLAB + LONGEST, x, np.uint64) for x in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return _mixed(np.arange(1, 257, dtype=np.uint64)), np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+def stretch_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches ``data[begin:end]``, which are in order and at most LONGEST bytes each."""
+    of, up, down = _powers()
+    out = np.zeros(len(begins), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, len(data), SLAB)), len(ends)))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        lo, hi = int(begins[i]), int(ends[j - 1])
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(of[data[lo:hi]] * up[: hi - lo], out=sums[1:])
+        first, last = begins[i:j] - lo, ends[i:j] - lo
+        out[i:j] = _mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+    return out
+
+
+def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranges of ``flat`` with these starts and sizes, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])] if len(ends) else flat[:0]
+
+
+class Memo:
+    """Ids of stretches by hash, in sorted arrays. When it is full, what was not asked for again goes."""
+
+    def __init__(self) -> None:
+        self.keys, self.starts, self.sizes, self.asked = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
+
+    def put(self, keys: np.ndarray, new: np.ndarray, sizes: np.ndarray) -> None:
+        """New keys, in order, with their ids one after the other."""
+        if len(self.keys) + len(keys) > MEMO:
+            stay = self.asked if self.asked.sum() < MEMO // 2 else np.zeros(len(self.keys), bool)
+            self.flat = spread(self.flat, self.starts[stay], self.sizes[stay])
+            self.keys, self.sizes = self.keys[stay], self.sizes[stay]
+            self.used, self.starts, self.asked = len(self.flat), np.cumsum(self.sizes) - self.sizes, np.zeros(len(self.keys), bool)
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(self.used + 2 * len(new), np.uint32)])
+        self.flat[self.used : self.used + len(new)] = new
+        at = np.searchsorted(self.keys, keys)
+        self.starts = np.insert(self.starts, at, self.used + np.cumsum(sizes) - sizes)
+        self.sizes, self.asked = np.insert(self.sizes, at, sizes), np.insert(self.asked, at, False)
+        self.keys, self.used = np.insert(self.keys, at, keys), self.used + len(new)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.keys, keys)
+        self.asked[at] = True
+        return self.starts[at], self.sizes[at]
+
+
 class LibraryEncoder:
-    """The library's ids. A text is cut at spaces (where pre-tokens always begin), stretches that are not
-    known yet are cut into pre-tokens, and each distinct pre-token is given to the library's model once."""
+    """The library's ids. Texts are cut at spaces (where pre-tokens always begin). The distinct stretches of many texts
+    are found by their hashes; those not known yet are cut into pre-tokens, each of which is given to the library's
+    model. Texts with special strings go to the library whole."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -46,99 +122,203 @@ class LibraryEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = {b: c for c, b in byte_letters().items()}
         self.find = regex.compile(PATTERN).findall
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = special
-        self.stretches: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.memo, self.pieces = Memo(), {}
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.vocabulary)]
+        if self.ask(self.find(PROBE)) != np.array(self.whole(PROBE), "<u4").tobytes():
+            raise ValueError("the library cuts texts into other pre-tokens than the pattern")
+
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def of_model(self, piece: str) -> list[int]:
+        plain = piece[:1] == " " and piece.isascii() and piece[1:].isalpha()
+        return [t.id for t in self.tokenize("\u0120" + piece[1:] if plain else piece.encode().decode("latin-1").translate(self.letters))]
 
     def ask(self, pieces: list[str]) -> bytes:
-        out, known = [], self.id_bytes
-        for p in pieces:
-            ids = self.pieces.get(p)
-            if ids is None:
-                tokens = self.tokenize(p.encode().decode("latin-1").translate(self.letters))
-                ids = b"".join([known[t.id] for t in tokens])
-                if len(self.pieces) > MEMO // 2:
+        return b"".join([self.id_bytes[i] for p in pieces for i in self.of_model(p)])
+
+    def ask_all(self, stretches: list[str], heads: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches (after a space, but for heads), one after the other, and how many each has."""
+        ids: list[int] = []
+        ends: list[int] = []
+        known: dict[str, list[int]] = {}
+        find, get = self.find, known.get
+        gc.disable()  # no cycles are made, and looking for them among so many lists takes long
+        try:
+            for u, head in zip(stretches, heads):
+                for p in find(u) if head else pre_tokens(find, u):
+                    if (found := get(p)) is None:
+                        found = known[p] = self.of_model(p)
+                    ids += found
+                ends.append(len(ids))
+        finally:
+            gc.enable()
+        return np.array(ids, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
+
+    def slowly(self, text: str) -> np.ndarray:
+        """A text with runs of blanks or very long stretches."""
+        first, *rest = CUT.split(text)
+        ids = [self.ask(self.find(first))]
+        for u in rest:
+            if (found := self.pieces.get(u)) is None:
+                found = self.ask(pre_tokens(self.find, u))
+                if len(self.pieces) >= PIECES:
                     self.pieces.clear()
-                if len(p) < 100:
-                    self.pieces[p] = ids
-            out.append(ids)
-        return b"".join(out)
+                if len(u) < 100:
+                    self.pieces[u] = found
+            ids.append(found)
+        return np.frombuffer(b"".join(ids), "<u4")
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        first, *rest = CUT.split(text) if UNSAFE.search(text) else text.split(" ")
-        known = self.stretches
-        try:
-            ids = b"".join(map(known.__getitem__, rest))
-        except KeyError:
-            if len(known) > MEMO:
-                known.clear()
-            new = {u: self.ask(pre_tokens(self.find, u)) for u in set(rest) if u not in known}
-            known.update(new)
-            ids = b"".join(map(known.__getitem__, rest))
-            for u in new:
-                if len(u) >= 100:
-                    del known[u]
-        return np.frombuffer(self.ask(self.find(first)) + ids, "<u4")
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if any(s in text for s in self.special):
+                out[i] = np.array(self.whole(text), np.uint32)
+            elif UNSAFE.search(text):
+                out[i] = self.slowly(text)
+            else:
+                plain.append(i)
+        if not plain:
+            return out
+        raw = [texts[i].encode() for i in plain]
+        blob = b" ".join([*raw, b""])
+        data = np.frombuffer(blob, np.uint8)
+        ends = np.flatnonzero(data == 32)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        heads = np.searchsorted(begins, np.cumsum([0, *(len(r) + 1 for r in raw[:-1])]))
+        if (ends - begins).max() > LONGEST:
+            long = np.add.reduceat(ends - begins > LONGEST, heads) > 0
+            for i, found in zip(plain, self.slow_or_not(texts, plain, long)):
+                out[i] = found
+            return out
+        with np.errstate(over="ignore"):
+            hashes = stretch_hashes(data, begins, ends)
+        hashes[heads] ^= np.uint64(0x5851F42D4C957F2D)  # what a text begins with has no space before it
+        codes, distinct = pd.factorize(hashes)
+        order = np.argsort(distinct)
+        keys = distinct[order]
+        new = self.memo.missing(keys)
+        if new.any():
+            at = np.zeros(len(distinct), np.int64)
+            at[codes[::-1]] = np.arange(len(codes))[::-1]  # where each occurs first
+            at = at[order[new]]
+            is_head = np.zeros(len(codes), bool)
+            is_head[heads] = True
+            self.memo.put(keys[new], *self.ask_all([blob[b:e].decode() for b, e in zip(begins[at].tolist(), ends[at].tolist())], is_head[at].tolist()))
+            again = self.memo.missing(keys)
+            if again.any():  # the table was emptied meanwhile
+                return self.in_halves(texts, out, plain)
+        starts, sizes = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        starts[order], sizes[order] = self.memo.find(keys)
+        own = sizes[codes]
+        ids = spread(self.memo.flat, starts[codes], own)
+        for i, part in zip(plain, np.split(ids, (np.cumsum(own) - own)[heads[1:]])):
+            out[i] = part
+        return out
+
+    def slow_or_not(self, texts: list[str], plain: list[int], long: np.ndarray) -> list[np.ndarray]:
+        quick = iter(self.encode_all([texts[i] for i, x in zip(plain, long.tolist()) if not x]))
+        return [self.slowly(texts[i]) if x else next(quick) for i, x in zip(plain, long.tolist())]
+
+    def in_halves(self, texts: list[str], out: list[np.ndarray | None], plain: list[int]) -> list[np.ndarray]:
+        half = (len(plain) + 1) // 2
+        for some in (plain[:half], plain[half:]):
+            for i, found in zip(some, self.encode_all([texts[i] for i in some])):
+                out[i] = found
+        return out
 
 
 _encoders: dict[str, LibraryEncoder] = {}
 
 
+def winners(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the occurrences at positions ``at`` (ascending) are replaced: of overlapping ones (neighbouring
+    positions) the one of better rank, of equal rank the left one; what overlaps with it is out, then the same again."""
+    won, live = np.zeros(len(at), bool), np.arange(len(at))
+    while len(live):
+        p, r = at[live], rank[live]
+        touch = np.diff(p) == 1
+        lose_left = np.concatenate([[False], touch & (r[:-1] <= r[1:])])
+        lose_right = np.concatenate([touch & (r[1:] < r[:-1]), [False]])
+        win = ~(lose_left | lose_right)
+        # In a run of one pair only every second place has no better one left of it.
+        if not win.all():
+            out = win.copy()
+            out[1:] |= win[:-1] & touch
+            out[:-1] |= win[1:] & touch
+        else:
+            out = win
+        won[live[win]] = True
+        live = live[~out]
+    return won
+
+
 def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (pairs), expansion lengths of their symbols, and the sequence left, in 16-bit symbols where
     the vocabulary allows it. Rule ``r`` is the symbol ``first_rule + r``."""
     narrow = first_rule <= 60_000
-    most = (1 << 16) - first_rule if narrow else 1 << 20
+    most = (1 << 16 if narrow else 1 << 31) - first_rule
     kind, key_kind, bits = (np.uint16, np.uint32, 16) if narrow else (np.uint32, np.uint64, 32)
     seq = ids.astype(kind)
-    rules = np.zeros((0, 2), kind)
-    lengths = np.zeros(0, np.int64)
-    size = lambda s: np.where(s >= first_rule, lengths[np.maximum(s.astype(np.int64) - first_rule, 0)] if len(lengths) else 1, 1)
-    for _ in range(ROUNDS):
-        room = min(RULES_A_ROUND, most - len(rules))
-        if len(seq) < 2 or room <= 0:
-            break
-        keys = (seq[:-1].astype(key_kind) << key_kind(bits)) | seq[1:]
-        ordered = np.sort(keys)
-        at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        times = np.diff(np.append(at, len(ordered)))
-        good = np.flatnonzero(times >= LEAST)
-        if not len(good):
-            break
-        if len(good) > room:
-            good = np.sort(good[np.argpartition(times[good], -room)[-room:]])
-        picked = ordered[at[good]]
-        # A small hash table tells most other pairs apart before the exact search.
-        slot = lambda k: (k.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(14)
-        marked = np.zeros(1 << 18, bool)
-        marked[slot(picked ^ (picked >> key_kind(15)))] = True
-        cand = np.flatnonzero(marked[slot(keys ^ (keys >> key_kind(15)))])
-        place = np.minimum(np.searchsorted(picked, keys[cand]), len(picked) - 1)
-        hit = picked[place] == keys[cand]
-        cand, place = cand[hit], place[hit]
-        # Of overlapping pairs, every second from the left of each run is replaced.
-        begins = np.concatenate([[True], np.diff(cand) != 1])
-        run = np.flatnonzero(begins)[np.cumsum(begins) - 1]
-        even = (cand - cand[run]) % 2 == 0
-        cand, place = cand[even], place[even]
-        new = np.stack([(picked >> key_kind(bits)).astype(kind), picked.astype(kind)], 1)
-        made = size(new[:, 0]) + size(new[:, 1])
-        seq = seq.copy()
-        seq[cand] = (first_rule + len(rules) + place).astype(kind)
+    rules, lengths = [np.zeros((0, 2), kind)], np.ones(first_rule, np.int64)
+
+    def keys_at(at: np.ndarray | slice, after: np.ndarray | slice) -> np.ndarray:
+        return (seq[at].astype(key_kind) << key_kind(bits)) | seq[after]
+
+    def slots(keys: np.ndarray) -> np.ndarray:
+        return (((keys ^ (keys >> key_kind(15))).astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(32 - SLOTS)).astype(np.intp)
+
+    # Counts by hash of all pairs, kept up to date, bound the counts of pairs from above.
+    slot = slots(keys_at(slice(None, -1), slice(1, None)))
+    crowd = np.bincount(slot, minlength=1 << SLOTS)
+    bound = len(seq)
+    while bound >= LEAST and len(lengths) - first_rule < most and len(seq) > 1:
+        bound = min(bound, int(crowd.max()))
+        level = max(LEAST, bound // 8)
+        at = np.flatnonzero((crowd >= level)[slot])
+        found, place, times = np.unique(keys_at(at, at + 1), return_inverse=True, return_counts=True)
+        order = np.lexsort((found, -times))
+        order = order[times[order] >= level][: most - len(lengths) + first_rule]
+        rank = np.full(len(found), len(order))
+        rank[order] = np.arange(len(order))
+        place = rank[place]
+        at, place = at[place < len(order)], place[place < len(order)]
+        won = winners(at, place)
+        at, place = at[won], place[won]
+        # A pair that lost most of its places waits: it may be frequent no more.
+        enough = np.bincount(place, minlength=len(order)) >= LEAST
+        at, place = at[enough[place]], (np.cumsum(enough) - 1)[place[enough[place]]]
+        if not len(at):
+            bound = level - 1
+            continue
+        made = found[order[enough]]
+        new = np.stack([(made >> key_kind(bits)).astype(kind), made.astype(kind)], 1)
+        # Pairs that go: those replaced and the ones beside them.
+        gone = np.zeros(len(slot) + 2, bool)
+        gone[at] = gone[at + 1] = gone[at + 2] = True
+        crowd -= np.bincount(slot[gone[1:-1]], minlength=1 << SLOTS)
+        seq[at] = (len(lengths) + place).astype(kind)
         stay = np.ones(len(seq), bool)
-        stay[cand + 1] = False
-        gain, seq = len(cand) / len(seq), seq[stay]
-        rules, lengths = np.concatenate([rules, new]), np.concatenate([lengths, made])
-        if gain < SHRINK:
-            break
-    return rules, lengths, seq
+        stay[at + 1] = False
+        seq, kept = seq[stay], stay[:-1]
+        kept[-1] &= stay[-1]  # of the last pair the first symbol stays, not its place among the pairs
+        slot = slot[kept]
+        # Pairs that come: those with a new symbol.
+        here = at - np.arange(len(at))
+        come = np.zeros(len(slot) + 2, bool)
+        come[here] = come[here + 1] = True
+        come = np.flatnonzero(come[1 : len(slot) + 1])
+        slot[come] = slots(keys_at(come, come + 1))
+        crowd += np.bincount(slot[come], minlength=1 << SLOTS)
+        lengths = np.concatenate([lengths, lengths[new[:, 0]] + lengths[new[:, 1]]])
+        rules.append(new)
+    return np.concatenate(rules), lengths[first_rule:], seq
 
 
 def expansions(rules: np.ndarray, lengths: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,8 +393,8 @@ def write(df: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id", tex
 
         for batch in batches:
             for part in chunks(batch, text_col):
-                for doc, text in zip(part.column(id_col).to_pylist(), part.column(text_col).to_pylist()):
-                    own = np.append(encoder.encode(text or ""), np.uint32(end_id)).astype(np.uint32)
+                for doc, found in zip(part.column(id_col).to_pylist(), encoder.encode_all(part.column(text_col).to_pylist())):
+                    own = np.append(found, np.uint32(end_id)).astype(np.uint32)
                     if ids and held + len(own) > block_tokens:
                         yield packed()
                         start += held
