@@ -32,11 +32,13 @@ from .common import chunks, shared_dir, text_or_empty
 
 BLOCK_TOKENS = 1 << 20
 #: Stretches whose ids a worker remembers (some 30 bytes each), and pre-tokens of texts with runs of blanks.
-MEMO, PIECES = 1_500_000, 50_000
+MEMO, PIECES = 2_500_000, 50_000
 #: Bytes hashed at a time, and of a stretch that is hashed.
 SLAB, LONGEST = 1 << 20, 1 << 16
 #: A pair is replaced while it occurs so often.
 LEAST = 24
+#: First bytes of blanks in UTF-8 (and of other letters).
+MAY_BE_BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3])
 #: Pairs are counted by hashes of so many bits.
 SLOTS = 18
 #: Letters of several scripts and kinds, on which the pattern must cut as the library does.
@@ -75,7 +77,10 @@ def stretch_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np
 def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The ranges of ``flat`` with these starts and sizes, one after the other."""
     ends = np.cumsum(sizes)
-    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])] if len(ends) else flat[:0]
+    if not len(ends):
+        return flat[:0]
+    kind = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
+    return flat[np.repeat((starts - ends + sizes).astype(kind), sizes) + np.arange(ends[-1], dtype=kind)]
 
 
 class Memo:
@@ -176,14 +181,10 @@ class LibraryEncoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
-        plain = []
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                out[i] = np.array(self.whole(text), np.uint32)
-            elif UNSAFE.search(text):
-                out[i] = self.slowly(text)
-            else:
-                plain.append(i)
+        plain = [i for i, t in enumerate(texts) if not any(s in t for s in self.special)]
+        if len(plain) < len(texts):
+            for i in set(range(len(texts))) - set(plain):
+                out[i] = np.array(self.whole(texts[i]), np.uint32)
         if not plain:
             return out
         raw = [texts[i].encode() for i in plain]
@@ -192,11 +193,19 @@ class LibraryEncoder:
         ends = np.flatnonzero(data == 32)
         begins = np.concatenate([[0], ends[:-1] + 1])
         heads = np.searchsorted(begins, np.cumsum([0, *(len(r) + 1 for r in raw[:-1])]))
-        if (ends - begins).max() > LONGEST:
-            long = np.add.reduceat(ends - begins > LONGEST, heads) > 0
-            for i, found in zip(plain, self.slow_or_not(texts, plain, long)):
-                out[i] = found
-            return out
+        odd = MAY_BE_BLANK[data[begins]]
+        odd[heads] = False
+        odd |= ends - begins > LONGEST
+        if odd.any():
+            often, long = (np.add.reduceat(x.astype(int), heads).tolist() for x in (odd, ends - begins > LONGEST))
+            slow = {i for i, n, m in zip(plain, often, long) if m or n and UNSAFE.search(texts[i])}
+            if slow:
+                for i in slow:
+                    out[i] = self.slowly(texts[i])
+                quick = [i for i in plain if i not in slow]
+                for i, found in zip(quick, self.encode_all([texts[i] for i in quick])):
+                    out[i] = found
+                return out
         with np.errstate(over="ignore"):
             hashes = stretch_hashes(data, begins, ends)
         hashes[heads] ^= np.uint64(0x5851F42D4C957F2D)  # what a text begins with has no space before it
@@ -222,10 +231,6 @@ class LibraryEncoder:
             out[i] = part
         return out
 
-    def slow_or_not(self, texts: list[str], plain: list[int], long: np.ndarray) -> list[np.ndarray]:
-        quick = iter(self.encode_all([texts[i] for i, x in zip(plain, long.tolist()) if not x]))
-        return [self.slowly(texts[i]) if x else next(quick) for i, x in zip(plain, long.tolist())]
-
     def in_halves(self, texts: list[str], out: list[np.ndarray | None], plain: list[int]) -> list[np.ndarray]:
         half = (len(plain) + 1) // 2
         for some in (plain[:half], plain[half:]):
@@ -282,7 +287,8 @@ def compress(ids: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray,
         bound = min(bound, int(crowd.max()))
         level = max(LEAST, bound // 8)
         at = np.flatnonzero((crowd >= level)[slot])
-        found, place, times = np.unique(keys_at(at, at + 1), return_inverse=True, return_counts=True)
+        place, found = pd.factorize(keys_at(at, at + 1))
+        times = np.bincount(place, minlength=len(found))
         order = np.lexsort((found, -times))
         order = order[times[order] >= level][: most - len(lengths) + first_rule]
         rank = np.full(len(found), len(order))
