@@ -4,7 +4,7 @@ Validated values are found by pattern and check (Luhn sum, octets, calendar, IBA
 permuted within its own format by a keyed Feistel network: digits stay digits, letters letters, separators
 stay, check digits are computed anew, dates stay dates. The permutation depends on the key and the kind
 alone, so equal values stay equal across documents, different ones stay different, and no table of values
-is kept or shuffled. Whoever has the key can undo it (``restore``, by the places found). Cards of one value
+is kept or shuffled. Letters of an e-mail address change regardless of case. Whoever has the key can undo it (``restore``, by the places found). Cards of one value
 written with different separators share their digits' pseudonym.
 
 The pattern of a card or IBAN may take in a short token that follows. Shorter matches that end at a separator
@@ -38,11 +38,11 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: What each kind of value looks like before it is validated.
 KINDS = {
-    "email": r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "date": r"(?<![\d.-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d-])",
+    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
-    "phone": r"(?<![\d])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
+    "phone": r"(?<![\d])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}([.-])\d{3}\1\d{4})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
@@ -51,7 +51,7 @@ IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20:
 LENGTH_OF = {country: n for n, countries in IBAN_LENGTHS.items() for country in countries.split()}
 CARD_FORM = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}", re.ASCII)
 CARD = re.compile(KINDS["card"], re.ASCII)
-FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()), re.ASCII)
+FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()).replace(r"([.-])\d{3}\1", r"(?P<_sep>[.-])\d{3}(?P=_sep)"), re.ASCII)
 MAY = re.compile(r"\d|@", re.ASCII)
 
 
@@ -75,8 +75,10 @@ def permute(value: int, size: int, key: bytes, kind: str, back: bool = False) ->
 
 
 def _round(half: int, r: int, size: int, key: bytes, kind: str) -> int:
-    data = f"{kind}|{size}|{r}|{half}".encode()
-    return int.from_bytes(hashlib.blake2b(data, key=key, digest_size=64).digest(), "little")
+    """As many bits as half of a value of ``range(size)`` has, and some more."""
+    head = hashlib.blake2b(f"{kind}|{size:x}|{r}|{half:x}".encode(), key=key, digest_size=64).digest()
+    blocks = (size.bit_length() // 2 + 1) // 512 + 1
+    return int.from_bytes(head + b"".join(hashlib.blake2b(head + i.to_bytes(4, "little"), key=key, digest_size=64).digest() for i in range(1, blocks)), "little")
 
 
 def spelled(text: str, key: bytes, kind: str, back: bool = False) -> str:
@@ -146,7 +148,7 @@ def ip(text: str, key: bytes, back: bool) -> str | None:
 
 
 def date(text: str, key: bytes, back: bool) -> str | None:
-    for form in ("%Y-%m-%d",) if text[4] == "-" else ("%d/%m/%Y", "%m/%d/%Y") if text[2] == "/" else ("%d.%m.%Y",):
+    for form in (f"%Y{text[4]}%m{text[4]}%d",) if text[4] in "-/" else ("%d/%m/%Y", "%m/%d/%Y") if text[2] == "/" else ("%d.%m.%Y",):
         try:
             day = datetime.datetime.strptime(text, form).toordinal()
         except ValueError:
@@ -173,8 +175,10 @@ def iban(text: str, key: bytes, back: bool) -> str | None:
 
 
 def email(text: str, key: bytes, back: bool) -> str | None:
+    """Letters change regardless of case, which stays in its places, so one mailbox has one pseudonym."""
     local, _, domain = text.rpartition("@")
-    return f"{spelled(local, key, 'email@' + domain.lower(), back)}@{domain}"
+    new = spelled(local.lower(), key, "email@" + domain.lower(), back)
+    return "".join(n.upper() if c.isupper() else n for c, n in zip(local, new)) + f"@{domain}"
 
 
 MAKERS: dict[str, Callable[[str, bytes, bool], str | None]] = {"email": email, "iban": iban, "date": date, "ip": ip, "phone": phone, "ssn": ssn, "card": card}
