@@ -118,7 +118,7 @@ def as_column(rules: list[list[Condition]]) -> Column:
 
 def learn(documents: DataFrame, labels: DataFrame, bad: str = "quality = 0", id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED) -> list[list[Condition]]:
     """Rules for rows to reject, from ``labels`` (``bad``: SQL condition)."""
-    marked = labels.select(F.col(id_col), F.expr(bad).alias("_bad")).dropna().dropDuplicates([id_col])
+    marked = labels.select(F.col(id_col), F.expr(bad).alias("_bad")).dropna().groupBy(id_col).agg(F.max("_bad").alias("_bad"))
     sample = written(marked.orderBy(F.xxhash64(id_col), id_col).limit(max_labelled), "labelled")
     texts = documents.select(id_col, text_col).join(F.broadcast(sample.select(id_col)), id_col, "left_semi")  # max_labelled ids
     stats = statistics(texts, id_col, text_col).join(F.broadcast(sample), id_col)

@@ -11,9 +11,11 @@ rows. Training uses at most ``MAX_LABELLED`` labelled rows (those of smallest ha
 at most ``FEATURES`` features the training table that the driver holds is bounded, whatever the corpus. Scoring
 covers whole texts of all rows and shuffles nothing.
 
+The threshold of a category is chosen from the out-of-fold probabilities.
+
 Edge cases: a null or empty text has no features and gets the models' base rates; without labels, or with
 one class only, a category's probability is that class's share (0 without labels); repeated rows get equal
-scores; each category is trained on the rows where its own label is not null, and labels whose document is
+scores; of labels of one id that differ the larger counts; each category is trained on the rows where its own label is not null, and labels whose document is
 missing are not used; an empty table gives no rows; other
 columns pass through, those named like an output are replaced.
 """
@@ -33,10 +35,10 @@ from pyspark.sql import types as T
 from .common import chunks, written
 
 MAX_LABELLED = 10_000
-FEATURES = 1024
+FEATURES = 2048
 #: A feature counts if so many labelled rows have it.
 LEAST_ROWS = 5
-FOLDS, STEPS, RIDGE = 4, 120, 2e-4
+FOLDS, STEPS, RIDGE = 4, 160, 2e-4
 MEMO = 300_000
 TOKENS = re.compile(r"[^\W\d_]+|[^\w\s]{2,}|\|")
 
@@ -64,6 +66,7 @@ class Chain:
     vocabulary: dict[str, int]
     models: list[Linear]
     accuracy: list[float] = field(default_factory=list)  # out of fold
+    thresholds: list[float] = field(default_factory=list)  # likewise
 
     def scores(self, rows: list[list[int]]) -> np.ndarray:
         """Probabilities, a column for each category."""
@@ -100,6 +103,21 @@ def fit(flat: np.ndarray, at: np.ndarray, n: int, width: int, extra: np.ndarray,
     return Linear(float(b), w, e)
 
 
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The threshold from which rows count as positive that has the largest F1 score; of equal ones the one in the widest
+    gap, between the scores on its sides. Above all scores if there are no positive rows."""
+    if not len(y) or not y.any():
+        return 2.0
+    order = np.argsort(p, kind="stable")
+    z = np.log(np.clip(p[order], 1e-12, 1 - 1e-12)) - np.log1p(-np.clip(p[order], 1e-12, 1 - 1e-12))
+    first = np.flatnonzero(np.concatenate([[True], z[1:] > z[:-1]]))
+    hits = y.sum() - np.concatenate([[0], np.cumsum(y[order])])[first]
+    f1 = 2 * hits / (len(y) - first + y.sum())
+    gap = z[first] - np.concatenate([[z[0] - 1], z[first[1:] - 1]])
+    best = max(range(len(first)), key=lambda i: (f1[i], gap[i]))
+    return float(1 / (1 + np.exp(-(z[first[best]] - gap[best] / 2))))
+
+
 def train_chain(rows: list[list[int]], labels: np.ndarray, categories: list[str], vocabulary: dict[str, int]) -> Chain:
     n, width = len(rows), len(vocabulary)
     sizes = [len(r) for r in rows]
@@ -118,6 +136,7 @@ def train_chain(rows: list[list[int]], labels: np.ndarray, categories: list[str]
             held_out = np.where(fold == k, 1 / (1 + np.exp(-np.clip(z, -40, 40))), held_out)
         chain.models.append(fit(flat, at, n, width, earlier, y, known))
         chain.accuracy.append(float(((held_out > 0.5) == (y > 0.5))[known].mean()) if known.any() else 1.0)
+        chain.thresholds.append(best_threshold(held_out[known], y[known]))
         earlier = np.column_stack([earlier, held_out])
     return chain
 
@@ -198,7 +217,8 @@ def score(df: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
-def judged(documents: DataFrame, labels: DataFrame, threshold: float = 0.15) -> DataFrame:
-    """``documents`` with ``p_low_quality``, ``p_toxic`` and ``is_toxic``."""
+def judged(documents: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
+    """``documents`` with ``p_low_quality``, ``p_toxic`` and ``is_toxic``: whether ``p_toxic`` reaches the threshold, by
+    default that of the largest F1 score of the training rows out of fold."""
     chain = learn(documents, labels, CATEGORIES)
-    return score(documents, chain).withColumn("is_toxic", F.col("p_toxic") >= threshold)
+    return score(documents, chain).withColumn("is_toxic", F.col("p_toxic") >= (chain.thresholds[-1] if threshold is None else threshold))
