@@ -339,6 +339,55 @@ def test_values_followed_by_other_tokens(spark):
     assert [r.text for r in back] == texts
 
 
+def test_planted_values_are_found_linked_and_restored(spark):
+    rng = random.Random(4)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+
+    def value(kind):
+        if kind == "card":
+            d = rng.choice("45") + digits(14)
+            d += str(pii.luhn(d))
+            return rng.choice(["", " ", "-"]).join(d[i : i + 4] for i in (0, 4, 8, 12))
+        if kind == "iban":
+            body = digits(18)
+            return "DE%02d" % (98 - int(body + "131400") % 97) + body
+        if kind == "date":
+            return rng.choice(["{0}-{1:02d}-{2:02d}", "{0}/{1:02d}/{2:02d}", "{2:02d}.{1:02d}.{0}", "{1:02d}/{2:02d}/{0}"]).format(rng.randint(1900, 2099), rng.randint(1, 12), rng.randint(13, 28))
+        if kind == "ip":
+            return ".".join(str(rng.randrange(256)) for _ in range(4))
+        if kind == "phone":
+            return rng.choice(["+1{0}", "+1 ({1}) 555-{2}", "{1}.555.{2}", "{1}-555-{2}", "({1}) 555-{2}"]).format(digits(10), digits(3), digits(4))
+        if kind == "ssn":
+            return f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"
+        return "".join(rng.choices("abcdefgXYZ019._", k=rng.randint(1, 90))) + "@mail.example.org"
+
+    texts, places = [], []
+    for _ in range(60):
+        text, own = "", []
+        for kind in rng.choices(list(pii.KINDS), k=5):
+            v = value(kind)
+            text += rng.choice(["see ", "of the ", "and, "])
+            own.append((kind, len(text), len(text) + len(v)))
+            text += v + rng.choice([" then ", ", ", " "])
+        texts.append(text + "end")
+        places.append(own)
+    rows = pii.pseudonymise(documents(spark, texts), b"k").orderBy("doc_id").collect()
+    to = {}
+    for text, own, r in zip(texts, places, rows):
+        assert [(s.kind, s.end - s.begin) for s in r.pii if s.kind != "ip"] == [(k, e - b) for k, b, e in own if k != "ip"] and len(r.pii) == len(own), text
+        for (k, b, e), s in zip(own, r.pii):
+            assert to.setdefault((k, text[b:e]), r.text[s.begin : s.end]) == r.text[s.begin : s.end]
+    for kind in pii.KINDS:
+        assert len({v for (k, _), v in to.items() if k == kind}) == sum(k == kind for k, _ in to)
+    assert sum(a[1] == b for a, b in to.items()) <= 2
+    assert [r.text for r in pii.restore(pii.pseudonymise(documents(spark, texts), b"k"), b"k").orderBy("doc_id").collect()] == texts
+    # Every part of a long value changes, and cases of one mailbox stay linked.
+    out = pii.replace("x" * 600 + "@a.org", b"k")[0]
+    assert max(sum(c == "x" for c in out[i : i + 100]) for i in range(0, 600, 100)) < 25
+    assert pii.replace("Jane.Doe@x.org", b"k")[0].lower() == pii.replace("jane.doe@X.org", b"k")[0].lower()
+    assert pii.pseudonymise(documents(spark, []), b"k").count() == 0
+
+
 def test_permutation_is_one_to_one():
     for size in (1, 2, 10, 97, 1000):
         to = [pii.permute(v, size, b"k", "t") for v in range(size)]
@@ -357,6 +406,45 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([g for g, t in held if not t]) < 0.01
 
 
+def test_chain_equals_plain_chain():
+    """The same models by plain loops over dense rows."""
+    rng = np.random.default_rng(3)
+    dense = rng.random((200, 12)) < 0.3
+    y0 = (dense[:, 0] | dense[:, 1]).astype(float)
+    y1 = (dense[:, 2] & (y0 > 0)).astype(float)
+    y0[:5] = np.nan
+    rows = [np.flatnonzero(r).tolist() for r in dense]
+    chain = toxicity.train_chain(rows, np.column_stack([y0, y1]), ["a", "b"], {str(i): i for i in range(12)})
+    fold = np.random.default_rng(7).permutation(200) % toxicity.FOLDS
+    x, early = dense.astype(float), np.zeros((200, 0))
+    for c, y in enumerate((y0, y1)):
+        known = ~np.isnan(y)
+
+        def plain(rows_):
+            m, share = rows_.sum(), y[rows_].mean()
+            w, e, b = np.zeros(12), np.zeros(early.shape[1]), np.log(share / (1 - share))
+            vw, ve, vb = 0 * w, 0 * e, 0.0
+            rate = 0.5 / np.sqrt(x[rows_].sum(0) / m + 1e-4)
+            for _ in range(toxicity.STEPS):
+                aw, ae, ab = w + 0.9 * vw, e + 0.9 * ve, b + 0.9 * vb
+                g = (1 / (1 + np.exp(-(ab + x[rows_] @ aw + early[rows_] @ ae))) - y[rows_]) / m
+                vw, ve, vb = 0.9 * vw - rate * (x[rows_].T @ g + toxicity.RIDGE * aw), 0.9 * ve - (early[rows_].T @ g + toxicity.RIDGE * ae), 0.9 * vb - g.sum()
+                w, e, b = w + vw, e + ve, b + vb
+            return w, e, b
+
+        w, e, b = plain(known)
+        assert np.allclose(chain.models[c].weights, w) and np.allclose(chain.models[c].earlier, e) and np.isclose(chain.models[c].bias, b)
+        held = np.zeros(200)
+        for k in range(toxicity.FOLDS):
+            w, e, b = plain(known & (fold != k))
+            held = np.where(fold == k, 1 / (1 + np.exp(-(b + x @ w + early @ e))), held)
+        early = np.column_stack([early, held])
+    p = early[:, 1]
+    f1 = lambda t: 2 * (y1 * (p >= t)).sum() / ((p >= t).sum() + y1.sum())
+    assert f1(chain.thresholds[1]) == pytest.approx(max(f1(t) for t in p))
+    assert toxicity.best_threshold(np.array([0.1, 0.2]), np.zeros(2)) > 1 and toxicity.best_threshold(np.array([0.1, 0.2, 0.9]), np.array([0, 0, 1.0])) == pytest.approx(0.6, abs=0.01)
+
+
 def test_toxicity_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = toxicity.judged(documents(spark, ["you idiot", None, ""]), labels).collect()
@@ -382,8 +470,8 @@ def test_urls(spark):
 
 
 def test_url_templates_do_not_merge_graded_siblings(spark):
-    rows = [("h", f"/s{i:02d}/*.html", int(j < round(200 * i / 39))) for i in range(40) for j in range(200)]
-    shares = {r.template: r.bad_share for r in url_templates.purity(spark.createDataFrame(rows, "host string, template string, bad int")).collect()}
+    rows = [("h", f"/s{i:02d}/*.html", 200, round(200 * i / 39)) for i in range(40)]
+    shares = {r.template: r.bad_share for r in url_templates.purity(spark.createDataFrame(rows, "host string, template string, n long, k long")).collect()}
     assert len(shares) == 40
     for i in range(40):
         # Near its own share: 0.15 is some four standard errors of 200 pages.
@@ -399,6 +487,105 @@ def test_url_templates_reject_what_is_mostly_bad(spark):
     assert all((r.verdict == "block") == (r.page_id % 2 == 1) for r in got)
 
 
+def plain_templates(pages):
+    """Templates and smoothed shares of (host, path, bad) rows, by recursion over a tree in memory."""
+    rare, few, errors, weight, reject = url_templates.RARE, url_templates.FEW, url_templates.ERRORS, url_templates.WEIGHT, url_templates.REJECT
+    wild = lambda p: "" if p == "" else "*" + (re.search(r"(\.[A-Za-z]{1,5})?$", p)[0])
+    template = {}
+    for host in {h for h, _, _ in pages}:
+        ways = [(p, p[1:].split("/") if p else []) for h, p, _ in pages if h == host]
+
+        def grow(rows, level, so_far):
+            for p, w in rows:
+                if len(w) == level:
+                    template[host, p] = so_far
+            rows = [(p, w) for p, w in rows if len(w) > level]
+            n = collections.Counter(w[level] for _, w in rows)
+            often = {v for v, c in n.items() if c >= max(rare * len(rows), few)}
+            by = collections.defaultdict(list)
+            for p, w in rows:
+                by[w[level] if w[level] in often else wild(w[level])].append((p, w))
+            for v, part in by.items():
+                grow(part, level + 1, f"{so_far}/{v}")
+
+        grow(ways, 0, "")
+    leaf = collections.defaultdict(lambda: [0, 0])
+    for h, p, bad in pages:
+        if bad is not None:
+            leaf[h, template[h, p]][0] += 1
+            leaf[h, template[h, p]][1] += bad
+        leaf[h, template[h, p]]
+    prior = sum(k for _, k in leaf.values()) / max(1, sum(n for n, _ in leaf.values()))
+    smooth = lambda n, k, p: (k + p * weight) / (n + weight)
+    out = {}
+    for host in {h for h, _ in leaf}:
+        ways = {t: t.split("/") for h, t in leaf if h == host}
+        below = dict.fromkeys(ways, False)
+        for level in range(max(map(len, ways.values())) - 1, 0, -1):
+            places = collections.defaultdict(lambda: collections.defaultdict(list))
+            for t, w in ways.items():
+                if len(w) > level:
+                    ending = (re.search(r"\.[A-Za-z]{1,5}$", w[level]) or [""])[0]
+                    places[tuple(w[:level]), ending][w[level]].append(t)
+            renames = {}
+            for branches in places.values():
+                stat = {v: (sum(leaf[host, t][0] for t in ts), sum(leaf[host, t][1] for t in ts), {ways[t][level + 1]: below[t] for t in ts if len(ways[t]) > level + 1}) for v, ts in branches.items()}
+                groups = []
+                for v in sorted(branches, key=lambda v: (smooth(*stat[v][:2], prior), v)):
+                    n, k, subs = stat[v]
+                    g = groups[-1] if groups else None
+                    if g and url_templates.apart(n, k, g[1], g[2]) <= errors and all(g[3].get(x, b) == b for x, b in subs.items()):
+                        g[0].append(v)
+                        g[1], g[2] = g[1] + n, g[2] + k
+                        g[3].update(subs)
+                    else:
+                        groups.append([[v], n, k, dict(subs)])
+                for vs, n, k, _ in groups:
+                    for v in vs:
+                        for t in branches[v]:
+                            renames[t] = (min(vs), smooth(n, k, prior) >= reject)
+            below = dict.fromkeys(ways, False)
+            for t, (name, bad) in renames.items():
+                ways[t] = [*ways[t][:level], name, *ways[t][level + 1 :]]
+                below[t] = bad
+        own = smooth(sum(n for (h, _), (n, _) in leaf.items() if h == host), sum(k for (h, _), (_, k) in leaf.items() if h == host), prior)
+        for t, w in ways.items():
+            same = [leaf[host, x] for x, y in ways.items() if y == w]
+            out[host, t] = smooth(sum(n for n, _ in same), sum(k for _, k in same), own)
+    return {(h, p): (template[h, p], out[h, template[h, p]]) for h, p, _ in pages}
+
+
+def test_url_templates_equal_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(1500):
+        host = rng.choice(["a.org", "a.org", "b.net", "c.d.com"])
+        way = [rng.choice(["news", "blog", "spam", "shop", f"v{rng.randrange(300)}"]) for _ in range(rng.choice([0, 1, 2, 2, 3, 4]))]
+        path = "".join("/" + w for w in way) + (f"/{rng.randrange(200)}{rng.choice(['', '.html', '.php'])}" if rng.random() < 0.8 else "")
+        bad = None if rng.random() < 0.3 else int(rng.random() < (0.9 if "spam" in way else 0.6 if "shop" in way else 0.05))
+        rows.append((host, path, bad))
+    pages = spark.createDataFrame([(i, f"http://{h}{p}?q") for i, (h, p, _) in enumerate(rows)], "page_id long, url string")
+    bad = spark.createDataFrame([(i, b) for i, (_, _, b) in enumerate(rows) if b is not None], "page_id long, bad int")
+    want = plain_templates(rows)
+    got = {r.page_id: r for r in url_templates.judged(pages, bad, {}).collect()}
+    assert len(got) == len(rows)
+    for i, (h, p, _) in enumerate(rows):
+        template, share = want[h, p]
+        assert (got[i].template, got[i].bad_share, got[i].verdict) == (template, pytest.approx(share), "block" if share >= 0.5 else "allow")
+    assert 0 < sum(r.verdict == "block" for r in got.values()) < len(rows) // 2
+    assert len({(r.host, r.merged) for r in got.values()}) < len({(r.host, r.template) for r in got.values()})
+
+
+def test_url_templates_edge_cases(spark):
+    none = spark.createDataFrame([], "page_id long, bad int")
+    assert url_templates.judged(spark.createDataFrame([], "page_id long, url string"), none, url_templates.RULES).collect() == []
+    long = "http://h.org/" + "/".join("x" * 50 for _ in range(40))
+    rows = [(None, "http://h.org/a"), (1, "http://h.org/a"), (1, "http://h.org/a"), (2, long), (3, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({"host": F.lit(1), "bad": F.lit(2), "template": F.lit("t")})
+    got = url_templates.judged(pages, none, url_templates.RULES).collect()
+    assert sorted((r.page_id or 0, r.verdict) for r in got) == [(0, "allow"), (1, "allow"), (1, "allow"), (2, "allow"), (3, "allow")]
+
+
 def test_url_templates_of_deep_paths(spark):
     deep = "/a/b/c/d/e/f/g"
     rows = [(i, f"http://h.org{deep}/{'spam' if i % 2 else 'news'}/{i}.html") for i in range(400)]
