@@ -49,6 +49,16 @@ def mean_and_max(rows: DataFrame, by: list[str], columns: list[str]) -> DataFram
     return rows.groupBy(*by).agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("max", F.max))])
 
 
+def lead_sweep(picks: DataFrame, traces: DataFrame, keys: list[str], leads: list[float], samples: int, predicted: Column, expected: Column) -> DataFrame:
+    """Share of right decisions by lead and expected class. Windows of ``samples`` samples that begin each of ``leads``
+    seconds before a P are cut, and ``predicted`` is evaluated on ``window``."""
+    each = picks.where("pha = 'P'").withColumn("lead", F.explode(F.array(*map(F.lit, leads))))
+    start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - F.col("lead")) * F.col("rate")).cast("int")
+    cut = each.join(traces, keys).withColumn("start", start).where((F.col("start") >= 0) & (F.col("start") + samples <= F.size("samples")))
+    decided = cut.withColumn("window", F.slice("samples", F.col("start") + 1, samples)).select("lead", expected.alias("expected"), predicted.alias("predicted"))
+    return decided.groupBy("lead", "expected").agg(F.count("*").alias("n"), F.avg((F.col("expected") == F.col("predicted")).cast("double")).alias("agreement"))
+
+
 def detection(rows: DataFrame, by: list[str]) -> DataFrame:
     """Windows, detections, rate and median offset. ``rows``: n_picks, dt."""
     hit = F.col("n_picks") > 0

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime
+import functools
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions import columns as C
@@ -62,6 +63,85 @@ def _(v):
     return readers.units(v.spark, path)
 
 
+@query("a03_id_lists", "SELECT id, kind FROM (SELECT DISTINCT id FROM fx_stations) s, (SELECT unnest(['text', 'csv']) AS kind) k")
+def _(v):
+    """A text list with comments, blank lines and more columns, and a CSV file."""
+    lines = v.stations.select(F.concat(F.lit(" "), "id", F.lit(" , more"))).union(v.stations.select(F.concat(F.lit("# "), "id"))).union(v.stations.select(F.lit("")))
+    text, table = scratch(v, "ids"), scratch(v, "ids") + ".csv"
+    lines.write.text(text)
+    v.stations.select("network_code", "id").write.csv(table, header=True)
+    return readers.id_list(v.spark, text).withColumn("kind", F.lit("text")).union(readers.id_list(v.spark, table).withColumn("kind", F.lit("csv")))
+
+
+@query("a04_network_lists", "SELECT DISTINCT CASE WHEN longitude < -120 THEN 'west' ELSE 'east' END AS name, network_code AS network FROM fx_stations")
+def _(v):
+    path = scratch(v, "networks") + ".json"
+    codes = v.stations.groupBy(F.when(F.col("longitude") < -120, F.lit("west")).otherwise(F.lit("east")).alias("name")).agg(F.sort_array(F.collect_set("network_code")).alias("codes"))
+    codes.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("name", "codes"))))).write.text(path)
+    return readers.network_list(v.spark, path)
+
+
+def manifests_of(v: Views) -> str:
+    """A JSON document for each run, with its files and coverage, in a new folder."""
+    picks = v.picks.withColumns({"year": F.year("peak"), "month": F.month("peak"), "yr": F.year("peak"), "doy": F.dayofyear("peak")})
+    files = picks.groupBy("rid", "network", "year", "month").agg(F.count("*").alias("rows")).select("rid", F.struct(F.lit("picks").alias("kind"), F.concat(F.lit("p-"), "network").alias("path"), "rows", "network", "year", "month").alias("f"))
+    records = picks.groupBy("rid", "tid", "cha", "yr", "doy").agg(F.count("*").alias("npks")).select("rid", F.struct("tid", "cha", "yr", "doy", "npks", F.lit(0).alias("nclfs")).alias("r"))
+    each = files.groupBy("rid").agg(F.collect_list("f").alias("files")).join(records.groupBy("rid").agg(F.collect_list("r").alias("records")), "rid")
+    path = scratch(v, "manifests")
+    document = F.to_json(F.struct(F.concat(F.lit("job-"), "rid").alias("job_id"), F.col("rid").alias("run_id"), "files", "records"), {"pretty": "true"})
+    each.select(document.alias("value"), F.col("rid").alias("part")).repartition("part").write.partitionBy("part").text(path)
+    return path
+
+
+@query("a06_manifest_files", "SELECT concat('job-', rid) AS job_id, network, CAST(year(peak) AS INT) AS year, CAST(month(peak) AS INT) AS month, count(*) AS rows FROM fx_picks GROUP BY ALL")
+def _(v):
+    return readers.manifest_files(readers.manifests(v.spark, manifests_of(v))).select("job_id", "network", "year", "month", "rows")
+
+
+@query("a06_manifest_coverage", "SELECT rid, tid, cha, CAST(year(peak) AS INT) AS yr, CAST(dayofyear(peak) AS INT) AS doy, count(*) AS npks FROM fx_picks GROUP BY ALL")
+def _(v):
+    return readers.manifest_coverage(readers.manifests(v.spark, manifests_of(v))).select("rid", "tid", "cha", "yr", "doy", "npks")
+
+
+@query("a07_runs", "SELECT rid, weight, p_threshold, s_threshold, (SELECT count(*) FROM fx_picks p WHERE p.rid = r.rid) AS picks FROM fx_runs r")
+def _(v):
+    path = scratch(v, "runs")
+    v.runs.select(F.to_json(F.struct(*v.runs.columns)).alias("value"), F.col("rid").alias("part")).write.partitionBy("part").text(path)
+    runs = readers.runs(v.spark, path).select("rid", "weight", "p_threshold", "s_threshold")
+    counts = v.picks.groupBy("rid").agg(F.count("*").alias("picks"))
+    return runs.join(counts, "rid", "left").fillna(0, ["picks"])
+
+
+@query("a09_classifications", """WITH q AS (SELECT trace_id, concat('N', CAST(station_no % 3 AS STRING), '.S', CAST(station_no AS STRING), '.') AS tid, abs(samples[1]) AS eq, abs(samples[2]) AS px, abs(samples[3]) AS no_, abs(samples[4]) AS su FROM fx_traces)
+SELECT tid, network, CAST(2024 AS INT) AS year, CAST(month(t) AS INT) AS month, label, count(*) AS n, round(sum(CAST(eq AS DOUBLE)), 4) AS eq FROM (SELECT tid, split_part(tid, '.', 1) AS network, TIMESTAMP '2024-01-01' + to_days(CAST(trace_id % 60 AS INT)) AS t, CASE greatest(eq, px, no_, su) WHEN eq THEN 'eq' WHEN px THEN 'px' WHEN no_ THEN 'no' ELSE 'su' END AS label, eq FROM q) d WHERE label <> 'no' GROUP BY ALL""")
+def _(v):
+    root = scratch(v, "classes")
+    tid = F.concat(F.lit("N"), (F.col("station_no") % 3).cast("string"), F.lit(".S"), F.col("station_no").cast("string"), F.lit("."))
+    rows = scoring.decide(class_probabilities(v)).withColumns({"tid": tid, "cha": F.lit("HH"), "rid": F.lit("r0"), "start_ts": time("2024-01-01") + F.make_dt_interval(days=(F.col("trace_id") % 60).cast("int"))})
+    writers.write_classifications(rows, root)
+    return readers.classifications(v.spark, root).groupBy("tid", "network", "year", "month", "label").agg(F.count("*").alias("n"), r(F.sum(F.col("eq").cast("double")), 4).alias("eq"))
+
+
+@query("a11_picks_of_units", "SELECT tid, pha, count(*) AS n FROM fx_picks WHERE network IN ('N1', 'N2') GROUP BY ALL")
+def _(v):
+    """By the exact files that the manifests of two jobs name."""
+    root = scratch(v, "catalog")
+    writers.write_picks(v.picks, root)
+    files = readers.picks(v.spark, root).select(F.regexp_extract(F.input_file_name(), "(network=.*)$", 1).alias("path"), "network", "year", "month").distinct()
+    entry = F.struct(F.lit("picks").alias("kind"), "path", F.lit(0).cast("long").alias("rows"), "network", "year", "month")
+    table = files.groupBy(F.concat(F.lit("job-"), "network").alias("job_id")).agg(F.collect_list(entry).alias("files")).withColumn("run_id", F.lit("r"))
+    return readers.picks_of_unit(v.spark, root, table, ["job-N1", "job-N2"]).groupBy("tid", "pha").agg(F.count("*").alias("n"))
+
+
+@query("a16_events_and_assignments", "SELECT o.origin_id AS event_id, round(o.mag, 6) AS mag, p.tid, p.cha, p.pha, p.peak FROM fx_origins o JOIN fx_picks p ON p.pick_id // 10 = o.origin_id // 10")
+def _(v):
+    root = scratch(v, "events")
+    pairs = v.picks.select("pick_id", F.expr("pick_id div 10").alias("g")).join(v.origins.select(F.col("origin_id").alias("event_id"), F.expr("origin_id div 10").alias("g")), "g").drop("g")
+    writers.write_events(v.origins.withColumnRenamed("origin_id", "event_id"), pairs, v.picks, root)
+    events, assigned = v.spark.read.parquet(f"{root}/events"), v.spark.read.parquet(f"{root}/assignments")
+    return assigned.join(events.select("event_id", r("mag").alias("mag")), "event_id")
+
+
 @query("a08_catalog_round_trip", """SELECT network, CAST(year(peak) AS INT) AS year, CAST(month(peak) AS INT) AS month, count(*) AS picks, round(sum(CAST(CAST(conf AS FLOAT) AS DOUBLE)), 3) AS conf
 FROM fx_picks WHERE network = 'N3' GROUP BY 1, 2, 3""")
 def _(v):
@@ -183,6 +263,14 @@ def _(v):
     return v.picks.where(F.col("cha").isin("BH", "HH")).groupBy("cha").agg(F.count("*").alias("n"))
 
 
+@query("b12_size_guard", "SELECT network_code, CAST(sum(length(id) + 1) AS BIGINT) AS length FROM fx_stations GROUP BY 1 HAVING sum(length(id) + 1) <= 260")
+def _(v):
+    """One object a network; those over the size are not read."""
+    root = scratch(v, "objects")
+    v.stations.select(F.col("id").alias("value"), "network_code").repartition("network_code").write.partitionBy("network_code").text(root)
+    return readers.inventory(v.spark, root, 260).select(F.regexp_extract("path", "network_code=([^/]+)", 1).alias("network_code"), "length")
+
+
 @query("b13_analyst_only", "SELECT arrival_id, tid, pha FROM fx_analyst WHERE evaluation_mode <> 'automatic'")
 def _(v):
     return filters.analyst_only(v.analyst).select("arrival_id", "tid", "pha")
@@ -263,6 +351,13 @@ units AS (SELECT concat(strftime(d0, '%Y%j'), '-', strftime(d1, '%Y%j'), '-', su
   list(id ORDER BY id) AS stations, strftime(d0, '%Y.%j') AS "start", strftime(d1, '%Y.%j') AS "end", CAST(sum(days) AS BIGINT) AS n_station_days FROM live WHERE days > 0 GROUP BY g, d0, d1)"""
 
 
+@query("a18_plan_log", f"WITH {PLAN} SELECT shard_id, n_station_days FROM units")
+def _(v):
+    path = scratch(v, "log")
+    writers.write_log(planning.plan(v.stations, DAY0, DAY1).select("shard_id", "n_station_days"), path)
+    return v.spark.read.schema("shard_id string, n_station_days long").csv(path, header=True)
+
+
 @query("c05_unfinished_units", f"WITH {PLAN} SELECT shard_id, n_station_days FROM units WHERE n_station_days % 2 = 0")
 def _(v):
     units = planning.plan(v.stations, DAY0, DAY1)
@@ -558,10 +653,13 @@ def _(v):
     return matching.sweep(filters.analyst_only(v.analyst), v.picks, THRESHOLDS, ["tid", "pha"], 6 * HOURS).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
 
 
-@query("d15_matched_budget", """WITH c AS (SELECT weight, t / 10e0 AS threshold, CAST(count(*) AS DOUBLE) AS emitted, count(DISTINCT tid) / 1000e0 AS recall FROM fx_picks JOIN fx_runs USING (rid) JOIN range(10) g(t) ON conf >= t / 10e0 GROUP BY 1, 2),
+BUDGET = """WITH c AS (SELECT weight, t / 10e0 AS threshold, CAST(count(*) AS DOUBLE) AS emitted, count(DISTINCT tid) / 1000e0 AS recall FROM fx_picks JOIN fx_runs USING (rid) JOIN range(10) g(t) ON conf >= t / 10e0 GROUP BY 1, 2),
 b AS (SELECT max(lo) AS lo, min(hi) AS hi FROM (SELECT weight, min(emitted) AS lo, max(emitted) AS hi FROM c GROUP BY 1) x), grid AS (SELECT lo + (hi - lo) * i / 4e0 AS budget FROM b, range(5) q(i) WHERE hi >= lo),
 s AS (SELECT weight, emitted, recall, lead(emitted) OVER w AS e1, lead(recall) OVER w AS r1 FROM c WINDOW w AS (PARTITION BY weight ORDER BY emitted, recall))
-SELECT round(budget, 4) AS budget, weight, round(max(recall + coalesce((budget - emitted) / nullif(e1 - emitted, 0) * (r1 - recall), 0e0)), 6) AS recall FROM s JOIN grid ON budget >= emitted AND (budget < e1 OR (e1 IS NULL AND budget = emitted)) GROUP BY 1, 2""")
+SELECT round(budget, 4) AS budget, weight, round(max(recall + coalesce((budget - emitted) / nullif(e1 - emitted, 0) * (r1 - recall), 0e0)), 6) AS recall FROM s JOIN grid ON budget >= emitted AND (budget < e1 OR (e1 IS NULL AND budget = emitted)) GROUP BY 1, 2"""
+
+
+@query("d15_matched_budget", BUDGET)
 def _(v):
     return bench.matched_budget(threshold_curve(v)).select(r("budget", 4).alias("budget"), "weight", r("recall").alias("recall"))
 
@@ -610,11 +708,15 @@ def _(v):
     return found.select("network", "pha", r("mean_conf", 10).alias("mean_conf"), r("max_conf").alias("max_conf"), r("mean_amp_raw", 9).alias("mean_amp_raw"), r("max_amp_raw", 4).alias("max_amp_raw"))
 
 
-@query("d22_lead_sweep", f"SELECT lead, expected, round(avg(CASE WHEN (station_no + lead) % 5 < 3 AND expected = predicted THEN 1e0 ELSE 0e0 END), 6) AS agreement FROM {DECIDED}, (SELECT unnest([15, 30, 45, 60, 75]) AS lead) l GROUP BY 1, 2")
+@query("d22_lead_sweep", f"""WITH w AS (SELECT t.label, lead, {CUT.format(lead="lead")} AS s, samples FROM fx_picks p JOIN fx_traces t ON t.station_no = CAST(regexp_extract(p.tid, 'S(\\d+)', 1) AS INT) % 50, (SELECT unnest([3, 6, 9, 12, 15]) AS lead) h WHERE pha = 'P'),
+q AS (SELECT lead, ['eq', 'px', 'no', 'su'][CAST(label % 4 + 1 AS INT)] AS expected, list_max(samples[s + 1:s + 5]) AS eq, list_max(samples[s + 6:s + 10]) AS px, list_max(samples[s + 11:s + 15]) AS no_, list_max(samples[s + 16:s + 20]) AS su FROM w WHERE s >= 0 AND s + 20 <= len(samples))
+SELECT CAST(lead * 3600 AS DOUBLE) AS lead, expected, count(*) AS n, round(avg(CASE WHEN expected = CASE greatest(eq, px, no_, su) WHEN eq THEN 'eq' WHEN px THEN 'px' WHEN no_ THEN 'no' ELSE 'su' END THEN 1e0 ELSE 0e0 END), 6) AS agreement FROM q GROUP BY ALL""")
 def _(v):
-    leads = decisions(v).withColumn("lead", F.explode(F.array(*map(F.lit, (15, 30, 45, 60, 75)))))
-    right = F.when(((F.col("station_no") + F.col("lead")) % 5 < 3) & (F.col("expected") == F.col("predicted")), 1.0).otherwise(0.0)
-    return leads.groupBy("lead", "expected").agg(r(F.avg(right)).alias("agreement"))
+    """Windows of 20 samples; the class whose quarter of the window has the largest sample."""
+    predicted = C.argmax_label(C.CLASS_ORDER, [F.array_max(F.slice("window", 5 * i + 1, 5)) for i in range(4)])
+    expected = F.element_at(F.array(*map(F.lit, C.CLASS_ORDER)), (F.col("label") % 4 + 1).cast("int"))
+    found = bench.lead_sweep(picks_by_station(v), traces_in_time(v), ["station_no"], [x * HOURS for x in (3, 6, 9, 12, 15)], 20, predicted, expected)
+    return found.withColumn("agreement", r("agreement"))
 
 
 def detected(v: Views) -> DataFrame:
@@ -741,8 +843,6 @@ def _(v):
 
 @query("e06_latest_per_group", "SELECT tid, pha, pick_id, peak FROM (SELECT *, row_number() OVER (PARTITION BY tid, pha ORDER BY peak DESC, pick_id) AS k FROM fx_picks) x WHERE k <= 3")
 def _(v):
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("tid", "pha").orderBy(F.desc("peak"), "pick_id"))
     return v.picks.withColumn("k", rank).where("k <= 3").select("tid", "pha", "pick_id", "peak")
 
@@ -794,8 +894,6 @@ def _(v):
 
 @query("f04_emitted_order", """WITH c AS (SELECT weight, t, count(*) AS emitted FROM fx_picks JOIN fx_runs USING (rid) JOIN range(10) g(t) ON conf >= t / 10e0 GROUP BY 1, 2) SELECT weight, emitted, row_number() OVER (PARTITION BY weight ORDER BY emitted, t) AS place FROM c""")
 def _(v):
-    from pyspark.sql import Window
-
     c = joins.with_run(v.picks, v.runs).withColumn("t", F.explode(F.filter(F.sequence(F.lit(0), F.lit(9)), lambda t: F.col("conf") >= t / 10))).groupBy("weight", "t").agg(F.count("*").alias("emitted"))
     return c.select("weight", "emitted", F.row_number().over(Window.partitionBy("weight").orderBy("emitted", "t")).alias("place"))
 
@@ -1113,6 +1211,16 @@ def _(v):
     return readers.picks(v.spark, root).groupBy("tid", "cha", "pha", "peak").agg(F.count("*").alias("copies"))
 
 
+@query("k03_durable_coverage", "SELECT tid, cha, CAST(year(peak) AS INT) AS yr, CAST(dayofyear(peak) AS INT) AS doy, count(*) AS npks FROM (SELECT DISTINCT tid, cha, pha, peak FROM fx_picks) x GROUP BY ALL")
+def _(v):
+    """Two batches that share picks, the second one replayed: coverage is that of the catalog."""
+    root, cover = scratch(v, "catalog"), scratch(v, "coverage")
+    sink = ingest.picks_then_coverage(root, cover)
+    for part, number in (("pick_id % 3 < 2", 0), ("pick_id % 3 > 0", 1), ("pick_id % 3 > 0", 1)):
+        sink(v.picks.where(part), number)
+    return readers.coverage(v.spark, cover)
+
+
 @query("k04_plan", f"WITH {PLAN} SELECT shard_id, array_to_string(stations, ',') AS stations, \"start\", \"end\", n_station_days FROM units")
 def _(v):
     return planning.plan(v.stations, DAY0, DAY1).withColumn("stations", F.array_join("stations", ","))
@@ -1126,10 +1234,24 @@ def _(v):
     return quality.verify(v.picks, catalog.coverage(v.picks), work, exact)
 
 
-@query("k06_benchmark")
+K6 = f"""SELECT concat_ws('/', 'recall', weight, pha) AS metric, round(recall, 6) AS value FROM (WITH RECURSIVE {BY_WEIGHT} SELECT weight, pha, {SCORED} FROM matched GROUP BY 1, 2) a
+UNION ALL SELECT concat_ws('/', 'saturation', weight, level), CAST(n AS DOUBLE) FROM (SELECT weight, unnest(['at_0_02', 'at_0_1', 'at_0_3']) AS level, unnest([count(*) FILTER (WHERE conf >= 0.02e0), count(*) FILTER (WHERE conf >= 0.1e0), count(*) FILTER (WHERE conf >= 0.3e0)]) AS n FROM fx_picks JOIN fx_runs USING (rid) WHERE pha = 'S' GROUP BY weight) b
+UNION ALL SELECT 'agreement/a/b', round(recall, 6) FROM (WITH RECURSIVE {AGREED} SELECT {SCORED} FROM matched) c
+UNION ALL SELECT concat_ws('/', 'emitted', CAST(CAST(round(threshold * 100) AS INT) AS STRING)), CAST(matched + extra AS DOUBLE) FROM (WITH RECURSIVE {SWEPT} SELECT threshold, {SCORED} FROM matched GROUP BY 1) d
+UNION ALL SELECT concat_ws('/', 'budget', weight, CAST(place AS STRING)), value FROM (SELECT weight, row_number() OVER (PARTITION BY weight ORDER BY budget) AS place, recall AS value FROM ({{budget}}) e) f"""
+
+
+@query("k06_benchmark", K6.format(budget=BUDGET))
 def _(v):
-    """Scores, saturation and agreement of all models as one long table."""
-    s = scores(v, ["weight", "pha"]).select(F.concat_ws("/", F.lit("recall"), "weight", "pha").alias("metric"), r("recall").alias("value"))
-    t = bench.saturation(joins.with_run(v.picks, v.runs), [0.02, 0.1, 0.3]).unpivot(["weight"], ["at_0_02", "at_0_1", "at_0_3"], "level", "n").select(F.concat_ws("/", F.lit("saturation"), "weight", "level").alias("metric"), F.col("n").cast("double").alias("value"))
-    a = matching.agreement(joins.with_run(v.picks, v.runs), ["weight_a", "weight_b"], ["tid", "pha"], 12 * HOURS).select(F.concat_ws("/", F.lit("agreement"), "a", "b").alias("metric"), r("agreement").alias("value"))
-    return s.unionByName(t).unionByName(a)
+    """Scores, saturation, agreement, threshold sweep and matched budget of all models as one long table."""
+    named = lambda *parts: F.concat_ws("/", *(F.lit(p) if isinstance(p, str) else p for p in parts)).alias("metric")
+    runs = joins.with_run(v.picks, v.runs)
+    parts = [
+        scores(v, ["weight", "pha"]).select(named("recall", F.col("weight"), F.col("pha")), r("recall").alias("value")),
+        bench.saturation(runs, [0.02, 0.1, 0.3]).unpivot(["weight"], ["at_0_02", "at_0_1", "at_0_3"], "level", "n").select(named("saturation", F.col("weight"), F.col("level")), F.col("n").cast("double").alias("value")),
+        matching.agreement(runs, ["weight_a", "weight_b"], ["tid", "pha"], 12 * HOURS).select(named("agreement", "a", "b"), r("agreement").alias("value")),
+        matching.sweep(filters.analyst_only(v.analyst), v.picks, THRESHOLDS, ["tid", "pha"], 6 * HOURS).select(named("emitted", F.round(F.col("threshold") * 100).cast("int").cast("string")), F.col("emitted").cast("double").alias("value")),
+    ]
+    place = F.row_number().over(Window.partitionBy("weight").orderBy("budget"))  # a few rows a model
+    parts.append(bench.matched_budget(threshold_curve(v)).withColumn("place", place).select(named("budget", F.col("weight"), F.col("place").cast("string")), r("recall").alias("value")))
+    return functools.reduce(DataFrame.unionByName, parts)
