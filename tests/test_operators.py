@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pickspark.functions import columns as C
-from pickspark.operators import associate, catalog, matching, quality, scoring, signal
+from pickspark.operators import associate, catalog, joins, matching, quality, scoring, signal
 from pickspark.plans import planning
 from pickspark.sources import readers, writers
 from pickspark.streaming import ingest
@@ -151,6 +151,49 @@ def test_checks_report_null_and_nan_apart(spark):
     assert got == {"conf_range": 1, "phase_known": 1, "peak_in_window": 0, "amp_null": 1, "amp_nan": 1, "fields_present": 1}
 
 
+def test_left_range_join_keeps_rows_with_nulls_and_copies(spark):
+    left = spark.createDataFrame([(1, "a", "P", at(0)), (1, "a", "P", at(0)), (2, None, "P", at(0)), (3, "a", "P", at(900))], "event_id int, tid string, pha string, expected_at timestamp_ntz")
+    picks = spark.createDataFrame([("a", "P", at(1), 0.5, 1), ("a", "P", at(2), 0.9, 2)], "tid string, pha string, peak timestamp_ntz, conf double, pick_id long")
+    got = sorted((r.event_id, r.n_picks, r.conf, r.dt) for r in joins.best_in_window(left, picks, 5.0).collect())
+    assert got == [(1, 2, 0.9, 2.0), (1, 2, 0.9, 2.0), (2, 0, 0.0, None), (3, 0, 0.0, None)]
+    assert joins.range_join(left, picks, ["tid", "pha"], "expected_at", "peak", 5.0, 5.0, "left").count() == 2 * 2 + 2
+
+
+def test_travel_table_meets_all_near_stations(spark):
+    rng = random.Random(9)
+    places = [(f"s{i}", rng.uniform(-85, 85), rng.uniform(-180, 180)) for i in range(300)] + [("e", 10.0, 179.9), ("w", 10.0, -179.9), ("n", 89.5, 0.0), ("o", 89.5, 180.0)]
+    stations = spark.createDataFrame(places, "id string, latitude double, longitude double")
+    cells = spark.createDataFrame([(i, y, x, 10.0) for i, (_, y, x) in enumerate(places)], "cell int, lat double, lon double, depth double")
+    got = {(r.tid, r.cell) for r in associate.travel_table(stations, cells, 150.0, 6.0, 1.75).where("pha = 'P'").collect()}
+
+    def km(a, b):
+        h = np.radians([(a[1] - b[1]) / 2, (a[2] - b[2]) / 2])
+        return 2 * 6371 * np.arcsin(np.sqrt(np.sin(h[0]) ** 2 + np.cos(np.radians(a[1])) * np.cos(np.radians(b[1])) * np.sin(h[1]) ** 2))
+
+    assert got == {(a[0], i) for a in places for i, b in enumerate(places) if km(a, b) <= 150}
+
+
+def test_spread_is_exact_for_epoch_seconds(spark):
+    cast = spark.createDataFrame([(k, "s", "P", 1, 0.0, 0.0, 0.0, 0, 283_333_333, t) for k, t in enumerate((0.1, 0.2, 0.9))], "pick_id int, tid string, pha string, cell int, lat double, lon double, depth double, shift int, bin long, late double")
+    row = associate.candidates(cast, 3.0, 1, 1, 0, 0).first()
+    assert row.spread == pytest.approx(np.std([0.1, 0.2, 0.9])) and row.origin == pytest.approx(283_333_333 * 6 + 0.4)
+
+
+def test_merged_segments(spark):
+    rows = [("a", 2, [1.0, 2.0]), ("a", 6, [5.0, 6.0, 7.0]), ("a", 3, [9.0, 3.0]), ("b", 0, [4.0])]
+    got = {r.id: r.samples for r in signal.merged(spark.createDataFrame(rows, "id string, offset int, samples array<double>"), ["id"], 8).collect()}
+    assert got == {"a": [0, 0, 1, 2, 3, 0, 5, 6], "b": [4, 0, 0, 0, 0, 0, 0, 0]}
+
+
+def test_quartiles_equal_numpy(spark):
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=5001), 2)
+    df = spark.createDataFrame([(float(v), None) for v in x] + [(float("nan"), None)], "a double, b double")
+    got = {r.column: r for r in catalog.distribution(df, ["a", "b"], accuracy=200).collect()}
+    assert (got["a"].q1, got["a"].median, got["a"].q3) == pytest.approx(tuple(np.quantile(x, [0.25, 0.5, 0.75]))) and got["a"].n == 5001
+    assert got["b"].n == 0 and got["b"].median is None
+
+
 def test_association_finds_a_planted_event(spark):
     stations = [(f"A.S{i}.", 34.0 + 0.3 * (i % 4), -118.0 + 0.3 * (i // 4)) for i in range(12)]
     df = spark.createDataFrame(stations, "id string, latitude double, longitude double")
@@ -179,8 +222,10 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     sink = ingest.picks_then_coverage(str(tmp_path / "picks"), str(tmp_path / "coverage"))
     sink(pick_rows(spark, 10), 0)
     sink(pick_rows(spark, 12), 1)
+    sink(pick_rows(spark, 12), 1)
     spark.catalog.refreshByPath(str(tmp_path / "picks"))
     assert readers.picks(spark, str(tmp_path / "picks")).count() == 12
+    assert [r.npks for r in readers.coverage(spark, str(tmp_path / "coverage")).collect()] == [12]
 
 
 def test_replace_stations_keeps_the_rest(spark, tmp_path):
@@ -189,7 +234,7 @@ def test_replace_stations_keeps_the_rest(spark, tmp_path):
     ids = spark.createDataFrame([("N1.A.",)], "id string")
     writers.replace_stations(readers.picks(spark, root), root, ids, str(tmp_path / "scratch"))
     spark.catalog.refreshByPath(root)
-    assert {r.tid: r["count"] for r in readers.picks(spark, root).groupBy("tid").count().collect()}.get("N2.B.") == 7
+    assert {r.tid: r["count"] for r in readers.picks(spark, root).groupBy("tid").count().collect()} == {"N2.B.": 7}
 
 
 def test_lists_and_manifests(spark, tmp_path):
