@@ -1164,21 +1164,40 @@ def _(v):
     return decided.groupBy("label").agg(F.count("*").alias("n"), r(F.avg("eq"), 4).alias("eq"))
 
 
-@query("j04_picking_job")
-def _(v):
-    """Work not yet covered, best band, scores, picks, catalog and coverage."""
-    root, cover = scratch(v, "catalog"), scratch(v, "coverage")
-    stations = v.stations.withColumn("station_no", F.regexp_extract("id", r"S(\d+)", 1).cast("int"))
-    live = planning.selected_bands(stations).where("band IS NOT NULL AND station_no < 50")
-    done = v.picks.where("rid = 'r1' AND hash(tid) % 2 = 0").select(F.col("tid").alias("id"))
-    todo = joins.remaining(live, done, ["id"])
-    traces = v.traces.join(todo.select("id", "band", "station_no"), "station_no")
-    found = scoring.picks_from_curves(scoring.score_windows(traces.withColumn("window", F.col("samples")), scoring.ratio_scorer, ["P", "S"]), ["id", "band", "trace_id"], {"P": 0.6, "S": 0.4})
-    at = lambda c: (time("2024-01-08") + F.make_dt_interval(secs=F.col(c))).alias(c)
-    picks = found.select(F.col("id").alias("tid"), F.col("band").alias("cha"), "pha", at("start").alias("start_ts"), at("peak"), at("end").alias("end_ts"), F.col("peak_value").alias("conf"), F.lit(float("nan")).alias("amp"), F.lit(float("nan")).alias("amp_raw"), F.lit("job").alias("rid"))
-    writers.write_picks(picks, root)
-    writers.write_coverage(catalog.coverage(readers.picks(v.spark, root)), cover)
-    return v.spark.read.parquet(cover)
+@query("j04_picking_job", f"""WITH st AS (SELECT * FROM (SELECT id AS tid, CAST(regexp_extract(id, 'S(\\d+)', 1) AS INT) % 50 AS station_no, {BEST} AS cha FROM (SELECT id, string_split(channels, ',') AS c FROM fx_stations) x) y WHERE cha IS NOT NULL),
+w AS (SELECT tid, cha, st.station_no, trace_id // 150 AS block, DATE '2024-01-08' + CAST(trace_id // 150 AS INT) AS day, count(*) AS parts FROM st JOIN fx_traces t ON t.station_no = st.station_no GROUP BY ALL),
+e AS (SELECT trace_id, i, avg(x * x) OVER (PARTITION BY trace_id ORDER BY i ROWS 3 PRECEDING) / greatest(avg(x * x) OVER (PARTITION BY trace_id ORDER BY i ROWS 15 PRECEDING), 1e-12) AS r FROM {LONG} l WHERE component = 'Z'),
+v AS (SELECT trace_id, 'P' AS pha, i, r / (1 + r) AS v FROM e WHERE r / (1 + r) >= 0.6e0 UNION ALL SELECT trace_id, 'S', i, pow(r / (1 + r), 2) FROM e WHERE pow(r / (1 + r), 2) >= 0.4e0),
+g AS (SELECT *, i - row_number() OVER (PARTITION BY trace_id, pha ORDER BY i) AS g FROM v), k AS (SELECT trace_id, first(i ORDER BY v DESC, i) AS peak FROM g GROUP BY trace_id, pha, g),
+n AS (SELECT t.station_no, k.trace_id // 150 AS block, count(*) AS npks, count(*) FILTER (WHERE peak BETWEEN 7 AND 49) AS measured FROM k JOIN fx_traces t USING (trace_id) GROUP BY ALL)
+SELECT w.tid, w.cha, CAST(year(w.day) AS INT) AS yr, CAST(dayofyear(w.day) AS INT) AS doy, CASE WHEN w.station_no % 10 = 3 AND parts = 3 THEN 0 ELSE coalesce(npks, 0) END AS npks, CASE WHEN w.station_no % 10 = 3 OR parts < 3 THEN 0 ELSE coalesce(measured, 0) END AS n_amp
+FROM w LEFT JOIN n ON n.station_no = w.station_no AND n.block = w.block WHERE NOT EXISTS (SELECT 1 FROM fx_picks p WHERE p.rid = 'r1' AND p.tid = w.tid AND CAST(p.peak AS DATE) = w.day)""")
+def _(v):
+    """Work not yet covered, best band, gap guard, scores, amplitudes, catalog, and coverage with days without picks.
+    Every 150 traces are a day of three components; every tenth station's come in four segments each."""
+    root, cover, day = scratch(v, "catalog"), scratch(v, "coverage"), ["tid", "cha", "day"]
+    stations = planning.selected_bands(v.stations).where("band IS NOT NULL").select(F.col("id").alias("tid"), F.col("band").alias("cha"), (F.regexp_extract("id", r"S(\d+)", 1).cast("int") % 50).alias("station_no"))
+    days = v.traces.withColumn("day", F.date_add(F.lit("2024-01-08").cast("date"), F.expr("cast(trace_id div 150 as int)")))
+    live = joins.remaining(days.join(stations, "station_no"), v.picks.where("rid = 'r1'").select("tid", F.to_date("peak").alias("day")), ["tid", "day"])
+    short = F.col("station_no") % 10 == 3
+    cuts = live.withColumn("offset", F.explode(F.when(short, F.array(*map(F.lit, (0, 16, 32, 48)))).otherwise(F.array(F.lit(0)))))
+    segments = cuts.select(*day, "component", "offset", F.slice("samples", F.col("offset") + 1, F.when(short, 16).otherwise(64)).alias("samples"))
+    good, broken = filters.guard_gaps(segments, 10, tuple(day))
+    whole = signal.merged(good, [*day, "component"], 64).withColumns({"t0": C.as_time(F.col("day")), "rate_hz": F.lit(1.0)})
+    curves = scoring.score_windows(whole.where("component = 'Z'").withColumn("window", F.col("samples")), scoring.ratio_scorer, ["P", "S"])
+    found = scoring.picks_from_curves(curves, [*day, "t0"], {"P": 0.6, "S": 0.4})
+    at = lambda c: (F.col("t0") + F.make_dt_interval(secs=F.col(c))).alias(c)
+    picks = found.select(*day, "pha", at("start"), at("peak"), at("end"), F.col("peak_value").alias("conf"))
+    instrument = {"poles": F.array(F.array(F.lit(-0.5), F.lit(0.5)), F.array(F.lit(-0.5), F.lit(-0.5))), "zeros": F.array(F.array(F.lit(0.0), F.lit(0.0)), F.array(F.lit(0.0), F.lit(0.0))), "gain": F.lit(1000.0)}
+    ground = signal.simulate(whole, stations.select("tid").withColumns(instrument), ["tid"])
+    amp = signal.horizontal_amplitudes(signal.window_peaks(picks, ground, day), picks.columns).drop("amp_raw")
+    both = amp.join(signal.raw_amplitudes(picks, whole, day, low=0.05), picks.columns)
+    writers.write_picks(both.select("tid", "cha", "pha", F.col("start").alias("start_ts"), "peak", F.col("end").alias("end_ts"), "conf", "amp", F.col("amp_raw_peak").alias("amp_raw"), F.lit("job").alias("rid")), root)
+    work = good.select(*day).unionByName(broken.select(*day)).distinct()
+    stored = readers.picks(v.spark, root)
+    writers.write_coverage(catalog.coverage(stored, work), cover)
+    measured = stored.groupBy("tid", "cha", F.year("peak").alias("yr"), F.dayofyear("peak").alias("doy")).agg(F.count_if(F.col("amp").isNotNull() & ~F.isnan("amp")).alias("n_amp"))
+    return v.spark.read.parquet(cover).join(measured, ["tid", "cha", "yr", "doy"], "left").fillna(0, ["n_amp"]).select("tid", "cha", "yr", "doy", "npks", "n_amp")
 
 
 @query("k01_association")
