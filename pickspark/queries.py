@@ -1139,12 +1139,19 @@ def scored_windows(v: Views) -> DataFrame:
     return scoring.score_windows(scoring.sliding_windows(v.traces, 32, 16), scoring.ratio_scorer, ["P", "S"])
 
 
-@query("j01_scored_picks")
+#: Curves of the running-energy ratio in windows of 32 samples, and runs at or over a level.
+CURVE = f"""c AS (SELECT trace_id, o, j, r / (1 + r) AS p FROM (SELECT trace_id, o, l.i - o AS j, avg(x * x) OVER (PARTITION BY trace_id, o ORDER BY l.i ROWS 3 PRECEDING) / greatest(avg(x * x) OVER (PARTITION BY trace_id, o ORDER BY l.i ROWS 15 PRECEDING), 1e-12) AS r
+  FROM {LONG} l JOIN (SELECT unnest([0, 16, 32]) AS o) w ON l.i BETWEEN o AND o + 31) e)"""
+
+
+@query("j01_scored_picks", f"""WITH {CURVE}, v AS (SELECT trace_id, o, j, 'P' AS pha, p AS v FROM c WHERE p >= 0.6e0 UNION ALL SELECT trace_id, o, j, 'S', p * p FROM c WHERE p * p >= 0.4e0), g AS (SELECT *, j - row_number() OVER (PARTITION BY trace_id, o, pha ORDER BY j) AS g FROM v)
+SELECT trace_id, o AS "offset", pha, CAST(min(j) AS INT) AS start, CAST(first(j ORDER BY v DESC, j) AS INT) AS peak, CAST(max(j) AS INT) AS "end", round(max(v), 5) AS peak_value FROM g GROUP BY trace_id, o, pha, g""")
 def _(v):
     return scoring.picks_from_curves(scored_windows(v), ["trace_id", "offset"], {"P": 0.6, "S": 0.4}).withColumn("peak_value", r("peak_value", 5))
 
 
-@query("j02_weights_then_thresholds")
+@query("j02_weights_then_thresholds", f"""WITH {CURVE}, f AS (SELECT DISTINCT weight, CASE WHEN weight = 'weight_a' THEN 1e0 ELSE 0.8e0 END AS factor FROM fx_runs), v AS (SELECT weight, trace_id, o, j, p * factor AS v FROM c, f WHERE p * factor >= 0.3e0),
+g AS (SELECT *, j - row_number() OVER (PARTITION BY weight, trace_id, o ORDER BY j) AS g FROM v), k AS (SELECT weight, max(v) AS top FROM g GROUP BY weight, trace_id, o, g) SELECT weight, count(*) AS at_floor, count(*) FILTER (WHERE top >= 0.6e0) AS at_report FROM k GROUP BY 1""")
 def _(v):
     """Score once at a low floor for each model, then apply report thresholds."""
     weights = v.runs.select("weight").distinct().withColumn("factor", F.when(F.col("weight") == "weight_a", 1.0).otherwise(0.8))
