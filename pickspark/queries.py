@@ -576,9 +576,12 @@ def reference_counts(v: Views) -> DataFrame:
     return v.picks.where("rid <> 'r3'").groupBy("tid").agg((F.count_if(F.col("pha") == "P") * 4 / 3).alias("ref_p"), (F.count_if(F.col("pha") == "S") * 4 / 3).alias("ref_s"))
 
 
-@query("d06_reference_counts", """WITH c AS (SELECT tid, count(*) FILTER (WHERE pha = 'P') AS n_p, count(*) FILTER (WHERE pha = 'S') AS n_s FROM fx_picks GROUP BY 1),
+AGAINST_REFERENCE = """WITH c AS (SELECT tid, count(*) FILTER (WHERE pha = 'P') AS n_p, count(*) FILTER (WHERE pha = 'S') AS n_s FROM fx_picks GROUP BY 1),
 f AS (SELECT tid, count(*) FILTER (WHERE pha = 'P') * 4 / 3e0 AS ref_p, count(*) FILTER (WHERE pha = 'S') * 4 / 3e0 AS ref_s FROM fx_picks WHERE rid <> 'r3' GROUP BY 1)
-SELECT tid, n_p, n_s, CASE WHEN ref_p IS NULL THEN n_p > 0 AND n_s > 0 ELSE abs(n_p - ref_p) <= ref_p * 0.1e0 AND abs(n_s - ref_s) <= ref_s * 0.1e0 END AS passed FROM c LEFT JOIN f USING (tid)""")
+SELECT tid, n_p, n_s, CASE WHEN ref_p IS NULL THEN n_p > 0 AND n_s > 0 ELSE abs(n_p - ref_p) <= ref_p * 0.1e0 AND abs(n_s - ref_s) <= ref_s * 0.1e0 END AS passed FROM c LEFT JOIN f USING (tid)"""
+
+
+@query("d06_reference_counts", AGAINST_REFERENCE)
 def _(v):
     return quality.against_reference(v.picks, reference_counts(v)).select("tid", "n_p", "n_s", "passed")
 
@@ -1252,12 +1255,11 @@ def _(v):
     return planning.plan(v.stations, DAY0, DAY1).withColumn("stations", F.array_join("stations", ","))
 
 
-@query("k05_verification", f"""SELECT "check", offending, offending = 0 OR "check" = 'amp_nan' AS passed FROM ({CHECKS} UNION ALL SELECT 'counts', 0 UNION ALL
+@query("k05_verification", f"""SELECT "check", offending, offending = 0 OR "check" = 'amp_nan' AS passed FROM ({CHECKS} UNION ALL SELECT 'counts', (SELECT count(*) FILTER (WHERE NOT passed) FROM ({AGAINST_REFERENCE}) r) UNION ALL
   SELECT 'coverage', (SELECT count(*) FROM (SELECT DISTINCT id, i FROM fx_stations, range(5) t(i)) w LEFT JOIN (SELECT DISTINCT tid, CAST(peak AS DATE) AS day FROM fx_picks) h ON h.tid = w.id AND h.day = DATE '2024-01-01' + CAST(i AS INT) WHERE h.tid IS NULL)) c""")
 def _(v):
     work = joins.work_list(v.stations.select(F.col("id").alias("tid")), F.lit(DAY0), 5)
-    exact = v.picks.groupBy("tid").agg(F.count_if(F.col("pha") == "P").alias("ref_p"), F.count_if(F.col("pha") == "S").alias("ref_s"))
-    return quality.verify(v.picks, catalog.coverage(v.picks), work, exact)
+    return quality.verify(v.picks, catalog.coverage(v.picks), work, reference_counts(v))
 
 
 K6 = f"""SELECT concat_ws('/', 'recall', weight, pha) AS metric, round(recall, 6) AS value FROM (WITH RECURSIVE {BY_WEIGHT} SELECT weight, pha, {SCORED} FROM matched GROUP BY 1, 2) a
