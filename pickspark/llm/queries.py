@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, token_counts, toxicity, url_templates
+from . import bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, token_counts, toxicity, url_templates, whitening
 from .common import ship_package, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,6 +84,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.documents_to_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
