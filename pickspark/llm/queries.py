@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, token_counts, toxicity, url_templates, whitening
+from . import bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_templates, whitening
 from .common import ship_package, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,6 +89,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
@@ -110,4 +115,11 @@ c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(rang
 m AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) x GROUP BY 1)
 SELECT dw.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op12_substring_dedup": r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS pos, unnest(list_transform(range(1, len(ws) - 18), lambda i: array_to_string(ws[i:i + 19], ' '))) AS g FROM w WHERE len(ws) >= 20),
+r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) AS nth FROM g),
+x AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM r WHERE nth > 1),
+t AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM w),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS kept FROM t ANTI JOIN x USING (doc_id, pos) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)""",
 }
