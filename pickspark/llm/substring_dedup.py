@@ -13,8 +13,9 @@
 4. *Verification.* Those windows meet by the hash of their 20 words; all but the earliest are removed.
 5. What is to be removed meets the texts.
 
-Names that decide have 128 bits, made from keyless BLAKE2 hashes of the words by a mixing step that is not linear, so
-that texts cannot be built from repeats that share a sum; the chance that any two of 10^12 names meet is below 10^-14.
+Names that decide have 128 bits, two chains of a mixing step that is bijective in each part and not linear: no two
+words of up to eight bytes share a name, and no arrangement of repeated words cancels out as in a sum. The chance that
+any two of 10^12 names meet is below 10^-14.
 
 Units and windows go to tasks in packed blobs by the name; in a task's lot, equal ones go once, so copies cost what one
 costs. Names that a sample finds frequent are dealt by unit instead of by name. The names of step 3 go back to the
@@ -46,8 +47,8 @@ U = np.uint64
 WINDOW = 20
 #: Rounds of pairs after the round of runs; longer pairs than PAIR words are not joined.
 ROUNDS, PAIR = 3, 10
-#: Words that are parsed at a time, bytes of a piece of a text, words whose names a worker remembers.
-BLOCK_WORDS, PIECE_BYTES, MEMO = 400_000, 2 << 20, 400_000
+#: Bytes that are parsed at a time, and of a piece of a text; words of more bytes than LONG_WORD are hashed one by one.
+BLOCK_BYTES, PIECE_BYTES, LONG_WORD = 2 << 20, 2 << 20, 256
 #: Units or windows that a task gathers before they go out in blobs.
 LOT = 1_000_000
 #: UTF-8 bytes of text for each bucket of units and of texts.
@@ -95,28 +96,31 @@ def prime(least: int) -> int:
     return n
 
 
-class Words(dict):
-    """Names (two of 64 bits) of words, remembered."""
-
-    def __init__(self) -> None:
-        self.fresh: list[bytes] = []
-        self.lanes = np.zeros((0, 2), U)
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self)
-        self.fresh.append(word)
-        return at
-
-    def names(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self) > MEMO:
-            self.clear()
-            self.lanes = self.lanes[:0]
-        at = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        if self.fresh:
-            new = b"".join([hashlib.blake2b(w, digest_size=16).digest() for w in self.fresh])
-            self.lanes = np.concatenate([self.lanes, np.frombuffer(new, "<u8").reshape(-1, 2)])
-            self.fresh = []
-        return self.lanes[at, 0], self.lanes[at, 1]
+IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Keeps so many first bytes of eight.
+MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
+
+
+def word_names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of some text begin, and two names of each, from its bytes by eights and its length. ``data`` ends
+    with eight bytes of white space."""
+    edges = np.flatnonzero(np.diff(IS_SPACE[data], prepend=True))
+    begin, length = edges[::2], edges[1::2] - edges[::2]
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    part = eights[begin] & MASKS[np.minimum(length, 8)]
+    size = length.astype(U)
+    names = [joined(size + U(1 << 32), part), joined(size + U(1 << 33), part)]
+    more, at = np.flatnonzero(length > 8), 8
+    while len(more) and at < LONG_WORD:
+        part = eights[begin[more] + at] & MASKS[np.minimum(length[more] - at, 8)]
+        for h in names:
+            h[more] = joined(h[more], part)
+        at += 8
+        more = more[length[more] > at]
+    for i in more.tolist():
+        digest = hashlib.blake2b(data[begin[i] : begin[i] + length[i]].tobytes(), digest_size=16).digest()
+        names[0][i], names[1][i] = np.frombuffer(digest, "<u8")
+    return begin, *names
 
 
 # -- parsing ----------------------------------------------------------------------------------------------------------
@@ -241,55 +245,64 @@ def parsed(one: np.ndarray, two: np.ndarray, bounds: np.ndarray) -> Parse:
 
 @dataclass
 class Block:
-    """Pieces of texts: document and version of each, its first word's place in the text; its words."""
+    """Pieces of texts: document, version and text of each, and the place of its first word in the whole text."""
 
     docs: list[int]
     versions: list[int]
     places: list[int]
-    sizes: list[int]
-    words: list[bytes]
+    texts: list[bytes]
 
+    def named(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both names of all words, and where the pieces begin among them, with the end."""
+        begin, one, two = word_names(np.frombuffer(b"\n".join([*self.texts, b" " * 8]), np.uint8))
+        starts = np.cumsum([0, *(len(t) + 1 for t in self.texts)])
+        return one, two, np.searchsorted(begin, starts)
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    """Words of a text, a piece at a time."""
+
+def pieces(text: bytes) -> Iterator[bytes]:
+    """A text, cut at white space."""
     at = 0
     while at < len(text):
         end = at + PIECE_BYTES
         if end < len(text):
             found = SPACE.search(text, end)
             end = found.start() if found else len(text)
-        yield text[at:end].split()
+        yield text[at:end]
         at = end
 
 
 def read(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
-    block = Block([], [], [], [], [])
-
-    def add(doc: int, version: int, place: int, words: list[bytes]) -> None:
-        block.docs.append(doc)
-        block.versions.append(version)
-        block.places.append(place)
-        block.sizes.append(len(words))
-        block.words += words
-
+    block, held = Block([], [], [], []), 0
     for batch in batches:
         for doc, version, text in zip(batch.column("doc").to_pylist(), batch.column("version").to_pylist(), batch.column("text")):
             text = text.as_py() or b""
-            held, place = [], 0
-            for words in [text.split()] if len(text) <= PIECE_BYTES else pieces(text):
-                # A piece begins with the words of the windows that the one before could not finish.
-                words = held + words if held else words
-                if len(words) >= WINDOW:
-                    add(doc, version, place, words)
-                    place += len(words) - WINDOW + 1
-                    words = words[len(words) - WINDOW + 1 :]
-                held = words
-                if len(block.words) > BLOCK_WORDS:
+            for place, part in [(0, text)] if len(text) <= PIECE_BYTES else overlapping(text):
+                if len(part) < 2 * WINDOW - 1:  # too short for a window
+                    continue
+                block.docs.append(doc)
+                block.versions.append(version)
+                block.places.append(place)
+                block.texts.append(part)
+                held += len(part)
+                if held > BLOCK_BYTES:
                     yield block
-                    block = Block([], [], [], [], [])
+                    block, held = Block([], [], [], []), 0
     yield block
 
 
+def overlapping(text: bytes) -> Iterator[tuple[int, bytes]]:
+    """Pieces of a long text, each after the words of the windows that the one before could not finish, and the places
+    of their first words."""
+    tail, place = [], 0
+    for part in pieces(text):
+        words = tail + part.split()
+        if len(words) >= WINDOW:
+            yield place, b" ".join(words)
+            place += len(words) - WINDOW + 1
+            words = words[len(words) - WINDOW + 1 :]
+        tail = words
+
+
 # -- lots -------------------------------------------------------------------------------------------------------------
 
 
@@ -399,12 +412,10 @@ def gathered(batches: Iterator[pa.RecordBatch], plan: Plan, bits: np.ndarray | N
 
 
 def spans_of(batches: Iterator[pa.RecordBatch], bits: np.ndarray | None = None) -> Iterator[Spans]:
-    words = Words()
     for block in read(batches):
         with np.errstate(over="ignore"):
-            sizes = np.array(block.sizes, np.int64)
-            bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            p = parsed(*words.names(block.words), bounds)
+            one, two, bounds = block.named()
+            p = parsed(one, two, bounds)
             doc, version, place = (np.array(x, np.int64) for x in (block.docs, block.versions, block.places))
 
             def spans(k: np.ndarray, f: np.ndarray, at: np.ndarray, size: np.ndarray) -> Spans:
@@ -576,8 +587,8 @@ class Removal:
         i, j = self.of.get((doc, version), (0, 0))
         at, size = (self.spans.at[i:j], self.spans.size[i:j]) if j > i else (None, None)
         any_kept = False
-        for words in [text.split()] if len(text) <= PIECE_BYTES else pieces(text):
-            stay = words
+        for part in [text] if len(text) <= PIECE_BYTES else pieces(text):
+            stay = words = part.split()
             if at is not None:
                 cover = np.zeros(len(words) + 1, np.int64)
                 begin, end = np.clip(at - n, 0, len(words)), np.clip(at - n + size + WINDOW, 0, len(words))
@@ -587,9 +598,9 @@ class Removal:
                 stay = [w for w, k in zip(words, keep.tolist()) if k]
             n, gone = n + len(words), gone + len(words) - len(stay)
             if stay:
-                part = (b" " if any_kept else b"") + b" ".join(stay)
+                joint = (b" " if any_kept else b"") + b" ".join(stay)
                 any_kept = True
-                digest.update(part)
+                digest.update(joint)
                 if with_text:
-                    kept.append(part)
+                    kept.append(joint)
         return (n, gone, digest.hexdigest(), *([b"".join(kept).decode()] if with_text else []))
