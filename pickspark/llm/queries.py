@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_templates, whitening
+from . import alignment, bpe, decontamination, grammar_files, ngram_join, pii, quality_rules, sharding, substring_dedup, token_counts, toxicity, url_templates, whitening
 from .common import ship_package, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,6 +94,11 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicated(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
