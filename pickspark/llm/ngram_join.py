@@ -30,7 +30,6 @@ rows; other columns are not read.
 from __future__ import annotations
 
 import bisect
-import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,6 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, chunks
 from .components import connected_components
+from .hashing import IS_SPACE, PAD, U, mix, word_names
 
 #: Rows of a counted table that are sent to every executor instead of shuffling texts (tens of bytes each).
 MOST_SENT = 250_000
@@ -51,54 +51,20 @@ BITS = 512, 1 << 17
 SLAB = 1 << 21
 #: Hash ranges for each shingle that sets of a band may differ in.
 RANGES = 1.15
-U = np.uint64
-BASE = 0x9E3779B97F4A7C15
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit finaliser (the last step of MurmurHash3)."""
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(33))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
-
-
-@functools.lru_cache(1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A number for each byte; powers of an odd base and of its inverse modulo 2**64."""
-    up, down = np.full(SLAB, BASE, U), np.full(SLAB, pow(BASE, -1, 1 << 64), U)
-    up[0] = down[0] = 1
-    with np.errstate(over="ignore"):
-        return mix(np.arange(1, 257, dtype=U)), np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first byte of each stretch without white space, in slabs: a word that reaches over a border is put
-    together from its parts."""
-    of, up, down = _tables()
-    hashes, begins = [], []
-    open_sum, open_size, open_at = 0, 0, 0
-    for lo in range(0, len(data), SLAB):
-        part = data[lo : lo + SLAB]
-        edge = np.diff(~((part == 32) | ((part >= 9) & (part <= 13))), prepend=False, append=False)
-        at = np.flatnonzero(edge)
-        begin, end = at[::2], at[1::2]
-        sums = np.concatenate([np.zeros(1, U), np.cumsum(of[part] * up[: len(part)])])
-        total, size = (sums[end] - sums[begin]) * down[begin], (end - begin).astype(U)
-        begin = begin + lo
-        if open_size and len(begin) and begin[0] == lo:
-            total[0] = U(open_sum) + total[0] * U(pow(BASE, open_size, 1 << 64))
-            size[0], begin[0] = size[0] + U(open_size), open_at
-        elif open_size:
-            total, size, begin = np.append(U(open_sum), total), np.append(U(open_size), size), np.append(open_at, begin)
-        open_size = 0
-        if len(end) and end[-1] == len(part) and lo + SLAB < len(data):
-            open_sum, open_size, open_at = int(total[-1]), int(size[-1]), int(begin[-1])
-            total, size, begin = total[:-1], size[:-1], begin[:-1]
-        hashes.append(mix(total + size))
-        begins.append(begin)
-    if open_size:
-        hashes.append(mix(np.array([open_sum], U) + U(open_size)))
-        begins.append(np.array([open_at]))
+    """Hash and first byte of each stretch without white space, a slab at a time; slabs end at white space."""
+    hashes, begins, at = [], [], 0
+    while at < len(data):
+        end = min(at + SLAB, len(data))
+        while end < len(data) and not IS_SPACE[data[end]]:
+            space = np.flatnonzero(IS_SPACE[data[end : end + SLAB]])
+            end = end + int(space[0]) if len(space) else min(end + SLAB, len(data))
+        begin, (h,) = word_names(np.concatenate([data[at:end], np.frombuffer(PAD, np.uint8)]))
+        hashes.append(h)
+        begins.append(begin + at)
+        at = end
     return (np.concatenate(hashes), np.concatenate(begins)) if hashes else (np.zeros(0, U), np.zeros(0, np.int64))
 
 
@@ -109,7 +75,7 @@ def shingled(w: np.ndarray, words: int) -> np.ndarray:
         for i in range(words):
             h = mix(h + w[i : len(w) - words + 1 + i])
         return np.unique(h)
-    h = np.full(min(1, len(w)), len(w), U)
+    h = np.full(min(1, len(w)), len(w), U)  # fewer words than a shingle
     for i in range(len(w)):
         h = mix(h + w[i : i + 1])
     return h

@@ -42,13 +42,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
+from .hashing import PAD, U, joined, mix, word_names
 
-U = np.uint64
 WINDOW = 20
 #: Rounds of pairs after the round of runs; longer pairs than PAIR words are not joined.
 ROUNDS, PAIR = 3, 10
-#: Bytes that are parsed at a time, and of a piece of a text; words of more bytes than LONG_WORD are hashed one by one.
-BLOCK_BYTES, PIECE_BYTES, LONG_WORD = 2 << 20, 2 << 20, 256
+#: Bytes that are parsed at a time, and of a piece of a text.
+BLOCK_BYTES, PIECE_BYTES = 2 << 20, 2 << 20
 #: Units or windows that a task gathers before they go out in blobs.
 LOT = 1_000_000
 #: UTF-8 bytes of text for each bucket of units and of texts.
@@ -66,18 +66,6 @@ RECORD = "kind int, bucket int, n int, k binary, f binary, docs binary, versions
 UNITS, REMOVED, NAMES = 0, 1, 2
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit finaliser (the last step of MurmurHash3)."""
-    x = (x ^ (x >> U(33))) * U(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> U(33))) * U(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> U(33))
-
-
-def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The name of two names."""
-    return mix(mix(a + U(0x9E3779B97F4A7C15)) * U(0xD6E8FEB86659FD93) + b)
-
-
 def packed(x: np.ndarray, kind: str) -> bytes:
     """Differences of neighbours, compressed."""
     with np.errstate(over="ignore"):
@@ -96,33 +84,6 @@ def prime(least: int) -> int:
     return n
 
 
-IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-#: Keeps so many first bytes of eight.
-MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
-
-
-def word_names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the words of some text begin, and two names of each, from its bytes by eights and its length. ``data`` ends
-    with eight bytes of white space."""
-    edges = np.flatnonzero(np.diff(IS_SPACE[data], prepend=True))
-    begin, length = edges[::2], edges[1::2] - edges[::2]
-    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
-    part = eights[begin] & MASKS[np.minimum(length, 8)]
-    size = length.astype(U)
-    names = [joined(size + U(1 << 32), part), joined(size + U(1 << 33), part)]
-    more, at = np.flatnonzero(length > 8), 8
-    while len(more) and at < LONG_WORD:
-        part = eights[begin[more] + at] & MASKS[np.minimum(length[more] - at, 8)]
-        for h in names:
-            h[more] = joined(h[more], part)
-        at += 8
-        more = more[length[more] > at]
-    for i in more.tolist():
-        digest = hashlib.blake2b(data[begin[i] : begin[i] + length[i]].tobytes(), digest_size=16).digest()
-        names[0][i], names[1][i] = np.frombuffer(digest, "<u8")
-    return begin, *names
-
-
 # -- parsing ----------------------------------------------------------------------------------------------------------
 
 
@@ -254,7 +215,7 @@ class Block:
 
     def named(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Both names of all words, and where the pieces begin among them, with the end."""
-        begin, one, two = word_names(np.frombuffer(b"\n".join([*self.texts, b" " * 8]), np.uint8))
+        begin, (one, two) = word_names(np.frombuffer(b"\n".join([*self.texts, PAD]), np.uint8), 2)
         starts = np.cumsum([0, *(len(t) + 1 for t in self.texts)])
         return one, two, np.searchsorted(begin, starts)
 
