@@ -15,7 +15,6 @@ has used up its 65,536 symbols keeps the rest of its sequence as it is.
 
 from __future__ import annotations
 
-import functools
 import gc
 from collections.abc import Iterator
 
@@ -29,12 +28,13 @@ from tokenizers import Tokenizer
 
 from .bpe import CUT, PATTERN, UNSAFE, byte_letters, pre_tokens
 from .common import chunks, shared_dir, text_or_empty
+from .hashing import PAD, names
 
 BLOCK_TOKENS = 1 << 20
 #: Stretches whose ids a worker remembers (some 30 bytes each), and pre-tokens of texts with runs of blanks.
 MEMO, PIECES = 2_500_000, 50_000
-#: Bytes hashed at a time, and of a stretch that is hashed.
-SLAB, LONGEST = 1 << 20, 1 << 16
+#: Bytes of a stretch that is hashed.
+LONGEST = 1 << 16
 #: A pair is replaced while it occurs so often.
 LEAST = 24
 #: First bytes of blanks in UTF-8 (and of other letters).
@@ -47,33 +47,6 @@ PROBE = "a\u0300 \u00df\u0130\u1e9e 1\u00b2\u2167\u4e00\u00bd x\u200d\u0903\u0e3
 BLOCKS = "shard int, block int, start_in_shard long, n_tokens long, doc_ids array<long>, doc_tokens array<long>, first_rule int, rules binary, lengths binary, symbols binary"
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    return x ^ (x >> np.uint64(29))
-
-
-@functools.lru_cache(1)
-def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A number for each byte; powers of an odd number and of its inverse modulo 2**64."""
-    up, down = (np.full(SLAB + LONGEST, x, np.uint64) for x in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return _mixed(np.arange(1, 257, dtype=np.uint64)), np.multiply.accumulate(up), np.multiply.accumulate(down)
-
-
-def stretch_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the stretches ``data[begin:end]``, which are in order and at most LONGEST bytes each."""
-    of, up, down = _powers()
-    out = np.zeros(len(begins), np.uint64)
-    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, len(data), SLAB)), len(ends)))
-    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        lo, hi = int(begins[i]), int(ends[j - 1])
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum(of[data[lo:hi]] * up[: hi - lo], out=sums[1:])
-        first, last = begins[i:j] - lo, ends[i:j] - lo
-        out[i:j] = _mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
-    return out
-
-
 def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The ranges of ``flat`` with these starts and sizes, one after the other."""
     ends = np.cumsum(sizes)
@@ -84,22 +57,27 @@ def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 class Memo:
-    """Ids of stretches by hash, in sorted arrays. When it is full, what was not asked for again goes."""
+    """Ids of stretches by name, in sorted arrays, with a second name that is compared when a stretch is found. When it
+    is full, what was not asked for again goes."""
 
     def __init__(self) -> None:
         self.keys, self.starts, self.sizes, self.asked = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.checks = np.zeros(0, np.uint64)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def missing(self, keys: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
         return self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
 
-    def put(self, keys: np.ndarray, new: np.ndarray, sizes: np.ndarray) -> None:
-        """New keys, in order, with their ids one after the other."""
+    def differs(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        return self.checks[np.searchsorted(self.keys, keys)] != checks
+
+    def put(self, keys: np.ndarray, checks: np.ndarray, new: np.ndarray, sizes: np.ndarray) -> None:
+        """New keys, in order, with their second names and their ids one after the other."""
         if len(self.keys) + len(keys) > MEMO:
             stay = self.asked if self.asked.sum() < MEMO // 2 else np.zeros(len(self.keys), bool)
             self.flat = spread(self.flat, self.starts[stay], self.sizes[stay])
-            self.keys, self.sizes = self.keys[stay], self.sizes[stay]
+            self.keys, self.checks, self.sizes = self.keys[stay], self.checks[stay], self.sizes[stay]
             self.used, self.starts, self.asked = len(self.flat), np.cumsum(self.sizes) - self.sizes, np.zeros(len(self.keys), bool)
         if self.used + len(new) > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(self.used + 2 * len(new), np.uint32)])
@@ -107,7 +85,7 @@ class Memo:
         at = np.searchsorted(self.keys, keys)
         self.starts = np.insert(self.starts, at, self.used + np.cumsum(sizes) - sizes)
         self.sizes, self.asked = np.insert(self.sizes, at, sizes), np.insert(self.asked, at, False)
-        self.keys, self.used = np.insert(self.keys, at, keys), self.used + len(new)
+        self.keys, self.checks, self.used = np.insert(self.keys, at, keys), np.insert(self.checks, at, checks), self.used + len(new)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, keys)
@@ -117,7 +95,7 @@ class Memo:
 
 class LibraryEncoder:
     """The library's ids. Texts are cut at spaces (where pre-tokens always begin). The distinct stretches of many texts
-    are found by their hashes; those not known yet are cut into pre-tokens, each of which is given to the library's
+    are found by their names; those not known yet are cut into pre-tokens, each of which is given to the library's
     model. Texts with special strings go to the library whole."""
 
     def __init__(self, path: str):
@@ -206,29 +184,34 @@ class LibraryEncoder:
                 for i, found in zip(quick, self.encode_all([texts[i] for i in quick])):
                     out[i] = found
                 return out
-        with np.errstate(over="ignore"):
-            hashes = stretch_hashes(data, begins, ends)
+        hashes, checks = names(np.frombuffer(blob + PAD, np.uint8), begins, ends - begins, 2)
         hashes[heads] ^= np.uint64(0x5851F42D4C957F2D)  # what a text begins with has no space before it
         codes, distinct = pd.factorize(hashes)
         order = np.argsort(distinct)
         keys = distinct[order]
+        first = np.zeros(len(distinct), np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]  # where each occurs first
+        twins = checks != checks[first][codes]  # other stretches of the same name
         new = self.memo.missing(keys)
         if new.any():
-            at = np.zeros(len(distinct), np.int64)
-            at[codes[::-1]] = np.arange(len(codes))[::-1]  # where each occurs first
-            at = at[order[new]]
+            at = first[order[new]]
             is_head = np.zeros(len(codes), bool)
             is_head[heads] = True
-            self.memo.put(keys[new], *self.ask_all([blob[b:e].decode() for b, e in zip(begins[at].tolist(), ends[at].tolist())], is_head[at].tolist()))
+            self.memo.put(keys[new], checks[at], *self.ask_all([blob[b:e].decode() for b, e in zip(begins[at].tolist(), ends[at].tolist())], is_head[at].tolist()))
             again = self.memo.missing(keys)
             if again.any():  # the table was emptied meanwhile
                 return self.in_halves(texts, out, plain)
         starts, sizes = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         starts[order], sizes[order] = self.memo.find(keys)
+        differs = np.zeros(len(keys), bool)
+        differs[order] = self.memo.differs(keys, checks[first[order]])
+        twins |= differs[codes]
         own = sizes[codes]
         ids = spread(self.memo.flat, starts[codes], own)
         for i, part in zip(plain, np.split(ids, (np.cumsum(own) - own)[heads[1:]])):
             out[i] = part
+        for nth in np.unique(np.searchsorted(heads, np.flatnonzero(twins), "right") - 1).tolist():
+            out[plain[nth]] = self.slowly(texts[plain[nth]])
         return out
 
     def in_halves(self, texts: list[str], out: list[np.ndarray | None], plain: list[int]) -> list[np.ndarray]:

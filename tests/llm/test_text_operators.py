@@ -102,6 +102,38 @@ def test_library_encoder_random_strings(monkeypatch):
             assert got.tolist() == t.encode(s, add_special_tokens=False).ids, s
 
 
+def thue_morse():
+    """A word and its letter-swapped twin: every sum of powers of an odd base modulo 2**64 is the same for both."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_cancel_out_stay_apart(spark):
+    x, y = thue_morse()
+    texts = ["q " + x, "q " + y, "q " + x[:200], "q " + y[:200]]
+    t = Tokenizer.from_file(BYTE_BPE)
+    got = {r.doc_id: r for r in grammar_files.documents_through_files(documents(spark, texts), BYTE_BPE).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].ids_crc32 == zlib.crc32(np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes())
+    pair = documents(spark, texts[:2])
+    assert [r.component_id for r in ngram_join.similarity_components(pair, 3, 90, 100).orderBy("doc_id").collect()] == [0, 1]
+    assert ngram_join.one_of_each(pair).count() == 2
+
+
+def test_stretches_of_one_name_are_told_apart(monkeypatch):
+    """With names of two bits nearly all stretches share one; the second name sends their texts the slow way."""
+    whole = grammar_files.names
+    monkeypatch.setattr(grammar_files, "names", lambda *a: [whole(*a)[0] & np.uint64(3), whole(*a)[1]])
+    e, t = grammar_files.LibraryEncoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    rng = random.Random(3)
+    for _ in range(5):
+        some = [" ".join(rng.choices(["the", "of", "walrus", "xyz", "12"], k=rng.randint(1, 9))) for _ in range(6)]
+        for s, got in zip(some, e.encode_all(some)):
+            assert got.tolist() == t.encode(s, add_special_tokens=False).ids
+
+
 def test_repair_takes_the_more_frequent_of_overlapping_pairs():
     # b is left of c 90 times and right of a 40 times, 30 of them before a c.
     seq = [1, 2, 3] * 30 + [2, 3, 8] * 60 + [1, 2, 9] * 10
