@@ -1,27 +1,70 @@
-"""Phase association by back-projection onto a grid.
+"""Phase association by a coarse-to-fine search of a space-time grid.
 
-Every pick votes for an origin time at each grid cell within reach of its station; votes that fall together in
-time make an event. It has the inputs, thresholds and outputs of a travel-time associator, but is a different
-algorithm: locations are cell centres.
+A pick votes for an origin time at each grid cell within reach of its station; picks whose origin times fall together at
+a cell make an event. Cells are searched in blocks: for a block of cells a pick's origin time lies in an interval, from
+the block's nearest and farthest point; the picks whose intervals meet a bin of time bound the votes that any cell of
+the block can gather in it from above. Only blocks and bins whose bound reaches the thresholds are divided, into four
+blocks and two bins each, down to single cells. The events are those of the full grid.
+
+It has the inputs, thresholds and outputs of a travel-time associator, but is a different algorithm: locations
+are cell centres.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.shared import cut
+
+KM_PER_DEGREE = math.pi * C.EARTH_KM / 180
+#: Widens intervals by more than rounding can move an origin time, in seconds.
+SLACK = 1e-3
+
+
+@dataclass(frozen=True)
+class Search:
+    """The grid (south, north, west, east in degrees), times and thresholds of a search."""
+
+    extent: tuple[float, float, float, float]
+    step: float = 0.1
+    depths: tuple[float, ...] = (0.0, 10.0, 25.0)
+    tolerance: float = 1.5
+    cutoff_km: float = 150.0
+    vp: float = 6.0
+    ratio: float = 1.75
+    n_picks: int = 8
+    n_p: int = 3
+    n_s: int = 3
+    n_both: int = 3
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        lat0, lat1, lon0, lon1 = self.extent
+        return int((lat1 - lat0) / self.step) + 1, int((lon1 - lon0) / self.step) + 1
+
+    @property
+    def levels(self) -> int:
+        """The coarsest blocks are about as wide as the cutoff, and not wider than the grid needs."""
+        wide = math.log2(max(self.cutoff_km / KM_PER_DEGREE / self.step, 1))
+        return max(0, min(math.ceil(wide), math.ceil(math.log2(max(self.shape)))))
+
+    def enough(self) -> Column:
+        return (F.col("n_p") + F.col("n_s") >= self.n_picks) & (F.col("n_p") >= self.n_p) & (F.col("n_s") >= self.n_s) & (F.col("n_both") >= self.n_both)
 
 
 def grid(spark, extent: tuple[float, float, float, float], step: float, depths: list[float]) -> DataFrame:
     """Cells over the extent: cell, lat, lon, depth."""
-    lat0, lat1, lon0, lon1 = extent
-    ny, nx = int((lat1 - lat0) / step) + 1, int((lon1 - lon0) / step) + 1
+    ny, nx = Search(extent, step).shape
     cells = spark.range(ny * nx * len(depths)).withColumnRenamed("id", "cell")
     k = F.col("cell")
     depth = F.element_at(F.array(*map(F.lit, depths)), (F.pmod(k, F.lit(len(depths))) + 1).cast("int"))
     flat = F.floor(k / len(depths))
-    return cells.select("cell", (F.floor(flat / nx) * step + lat0).alias("lat"), (F.pmod(flat, F.lit(nx)) * step + lon0).alias("lon"), depth.alias("depth"))
+    return cells.select("cell", (F.floor(flat / nx) * step + extent[0]).alias("lat"), (F.pmod(flat, F.lit(nx)) * step + extent[2]).alias("lon"), depth.alias("depth"))
 
 
 def travel_table(stations: DataFrame, cells: DataFrame, cutoff_km: float, vp: float, ratio: float) -> DataFrame:
@@ -41,36 +84,98 @@ def travel_table(stations: DataFrame, cells: DataFrame, cutoff_km: float, vp: fl
     return near.select("tid", "cell", "lat", "lon", "depth", F.explode(F.array(F.struct(F.lit("P").alias("pha"), tp.alias("tt")), F.struct(F.lit("S").alias("pha"), ts.alias("tt")))).alias("x")).select("tid", "cell", "lat", "lon", "depth", "x.pha", "x.tt")
 
 
-def votes(picks: DataFrame, table: DataFrame, tolerance: float) -> DataFrame:
-    """Each pick's origin time at each cell, in bins of twice the tolerance and again in bins shifted by half.
-    ``late``: seconds after the bin's begin, which keeps sums of squares exact."""
-    origin = C.epoch_seconds(F.col("peak")) - F.col("tt")
-    size = 2 * tolerance
-    shifts = F.explode(F.array(F.struct(F.lit(0).alias("shift"), F.floor(origin / size).alias("bin")), F.struct(F.lit(1).alias("shift"), F.floor(origin / size + 0.5).alias("bin"))))
-    cast = picks.join(table, ["tid", "pha"]).withColumn("origin", origin).withColumn("x", shifts)
-    late = F.col("origin") - (F.col("x.bin") - F.col("x.shift") * 0.5) * size
-    return cast.select("pick_id", "tid", "pha", "cell", "lat", "lon", "depth", "x.shift", "x.bin", late.alias("late"))
-
-
-def candidates(cast: DataFrame, tolerance: float, n_picks: int, n_p: int, n_s: int, n_both: int) -> DataFrame:
-    """(cell, shift, bin) with enough picks, P, S, and stations with both."""
+# The search
+
+
+def slowness(s: Search) -> Column:
+    return F.when(F.col("pha") == "P", F.lit(1 / s.vp)).otherwise(F.lit(s.ratio / s.vp))
+
+
+def reached(rows: DataFrame, s: Search, level: int) -> DataFrame:
+    """Rows (of a pick and a block ``by``, ``bx``) within the cutoff, with the first and last bin of this level in which
+    an event at a cell of the block may begin: the pick's earliest and latest origin time there."""
+    size, half = 1 << level, ((1 << level) - 1) / 2
+    lat, lon = (F.col(b) * size * s.step + (o + half * s.step) for b, o in (("by", s.extent[0]), ("bx", s.extent[2])))
+    km = C.haversine_km(F.col("latitude"), F.col("longitude"), lat, lon)
+    # From the middle along the parallel and the meridian to any cell of the block.
+    reach = half * s.step * KM_PER_DEGREE * (1 + F.cos(F.radians(lat)))
+    near, far = F.greatest(km - reach, F.lit(0.0)), F.least(km + reach, F.lit(s.cutoff_km))
+    first = F.col("t") - C.hypocentral_km(far, F.lit(max(s.depths))) * slowness(s) - 2 * s.tolerance - SLACK
+    last = F.col("t") - C.hypocentral_km(near, F.lit(min(s.depths))) * slowness(s) + SLACK
+    width = 2 * s.tolerance * size
+    return rows.where(near <= s.cutoff_km + SLACK).withColumns({"first": F.floor(first / width), "last": F.floor(last / width)})
+
+
+def coarsest(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
+    """Picks with the coarsest blocks around their stations, and the bins in which they may count."""
+    size = (1 << s.levels) * s.step
+    margin = s.cutoff_km / KM_PER_DEGREE
+    places = stations.select(F.col("id").alias("tid"), "latitude", "longitude")
+    lat, lon = F.col("latitude"), F.col("longitude")
+    # Near a pole the margin in longitude is the whole circle.
+    wide = F.least(F.lit(margin) / F.greatest(F.cos(F.radians(F.least(F.abs(lat) + margin, F.lit(89.9)))), F.lit(1e-3)), F.lit(360.0))
+    for name, c, low, m, n in (("by", lat, s.extent[0], F.lit(margin), s.shape[0]), ("bx", lon, s.extent[2], wide, s.shape[1])):
+        most = -(-n // (1 << s.levels)) - 1
+        begin, end = F.greatest(F.floor((c - m - low) / size) - 1, F.lit(0)), F.least(F.floor((c + m - low) / size) + 1, F.lit(most))
+        places = places.withColumns({"_b": begin, "_e": end}).where("_b <= _e").withColumn(name, F.explode(F.sequence("_b", "_e"))).drop("_b", "_e")
+    cast = picks.select("pick_id", "tid", "pha", C.epoch_seconds(F.col("peak")).alias("t")).where(F.col("pha").isin("P", "S") & F.col("t").isNotNull()).join(places, "tid")
+    return reached(cast, s, s.levels).withColumn("bin", F.explode(F.sequence("first", "last"))).drop("first", "last")
+
+
+def bounded(cast: DataFrame, s: Search) -> DataFrame:
+    """The rows of the blocks and bins that may hold an event: stations with P, with S and with both are counted over
+    all picks that may count there, each once."""
+    where = ["by", "bx", "bin"]
+    station, whole = Window.partitionBy(*where, "tid"), Window.partitionBy(*where)
+    has = lambda pha: F.max((F.col("pha") == pha).cast("int")).over(station)
+    own = cast.repartition(*where).withColumns({"_p": has("P"), "_s": has("S"), "_one": (F.row_number().over(station.orderBy("pick_id")) == 1).cast("int")})
+    n = lambda c: F.sum(F.col("_one") * c).over(whole)
+    return own.withColumns({"n_p": n(F.col("_p")), "n_s": n(F.col("_s")), "n_both": n(F.col("_p") * F.col("_s"))}).where(s.enough()).select(cast.columns)
+
+
+def divided(cast: DataFrame, s: Search, level: int) -> DataFrame:
+    """The rows of each block in the four blocks, and of each bin in the two bins, of the ``level`` below."""
+    ny, nx = s.shape
+    parts = F.explode(F.array(*[F.struct((F.col("by") * 2 + i).alias("by"), (F.col("bx") * 2 + j).alias("bx")) for i in (0, 1) for j in (0, 1)]))
+    rows = cast.withColumns({"_at": parts, "_begin": F.col("bin") * 2}).drop("by", "bx", "bin").withColumns({"by": F.col("_at.by"), "bx": F.col("_at.bx")}).drop("_at")
+    rows = reached(rows.where((F.col("by") < -(-ny // (1 << level))) & (F.col("bx") < -(-nx // (1 << level)))), s, level)
+    begin, end = F.greatest(F.col("first"), F.col("_begin")), F.least(F.col("last"), F.col("_begin") + 1)
+    return rows.where(begin <= end).withColumn("bin", F.explode(F.sequence(begin, end))).drop("first", "last", "_begin")
+
+
+def votes(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
+    """Rows of a pick and a cell and bin that may hold an event."""
+    cast = bounded(coarsest(picks, stations, s), s)
+    for level in reversed(range(s.levels)):
+        cast = bounded(divided(cast, s, level), s)
+    return cast
+
+
+def candidates(cast: DataFrame, s: Search) -> DataFrame:
+    """(cell, shift, bin) that make an event, with its picks: of each station and phase the one next to the middle of the
+    bin, and of these the ones within the tolerance of their mean. Bins are twice the tolerance wide, and lie once
+    more shifted by half."""
+    nx, size = s.shape[1], 2 * s.tolerance
+    depths = F.posexplode(F.array(*map(F.lit, s.depths))).alias("_k", "depth")
+    lat, lon = F.col("by") * s.step + s.extent[0], F.col("bx") * s.step + s.extent[2]
+    at = cast.select("*", lat.alias("lat"), lon.alias("lon"), depths).withColumn("km", C.haversine_km(F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude"))).where(F.col("km") <= s.cutoff_km)
+    at = at.withColumns({"origin": F.col("t") - C.hypocentral_km(F.col("km"), F.col("depth")) * slowness(s), "cell": (F.col("by") * nx + F.col("bx")) * len(s.depths) + F.col("_k")})
+    # A bin belongs to the rows of the bin of the search in which it begins.
+    shifts = F.explode(F.array(F.struct(F.lit(0).alias("shift"), F.floor(F.col("origin") / size).alias("own")), F.struct(F.lit(1).alias("shift"), F.floor(F.col("origin") / size + 0.5).alias("own"))))
+    at = at.withColumn("x", shifts).where(F.col("x.own") - F.col("x.shift") == F.col("bin"))
+    late = F.col("origin") - (F.col("x.own") - F.col("x.shift") * 0.5) * size
     where = ["cell", "lat", "lon", "depth", "shift", "bin"]
-    per_station = cast.groupBy(*where, "tid").agg(
-        F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"), F.sum("late").alias("t"), F.sum(F.col("late") * F.col("late")).alias("tt"), F.count("*").alias("k")
-    )
-    found = per_station.groupBy(*where).agg(
-        F.count_if(F.col("p") > 0).alias("n_p"),
-        F.count_if(F.col("s") > 0).alias("n_s"),
-        F.count_if((F.col("p") > 0) & (F.col("s") > 0)).alias("n_both"),
-        F.sum("k").alias("k"),
-        F.sum("t").alias("t"),
-        F.sum("tt").alias("tt"),
-    )
-    mean = F.col("t") / F.col("k")
-    begin = (F.col("bin") - F.col("shift") * 0.5) * (2 * tolerance)
-    spread = F.sqrt(F.greatest(F.col("tt") / F.col("k") - mean * mean, F.lit(0.0)))
-    found = found.withColumns({"n_picks": F.col("n_p") + F.col("n_s"), "origin": begin + mean, "spread": spread})
-    return found.where((F.col("n_picks") >= n_picks) & (F.col("n_p") >= n_p) & (F.col("n_s") >= n_s) & (F.col("n_both") >= n_both)).drop("k", "t", "tt")
+    one = at.select("cell", "lat", "lon", "depth", "x.shift", F.col("x.own").alias("bin"), "tid", "pha", F.struct(F.abs(late - s.tolerance).alias("off"), "pick_id", late.alias("late")).alias("x"))
+    chosen = one.groupBy(*where, "tid", "pha").agg(F.min("x").alias("x")).select(*where, "tid", "pha", "x.pick_id", "x.late")
+    chosen = chosen.withColumn("mean", F.avg("late").over(Window.partitionBy(*where))).where(F.abs(F.col("late") - F.col("mean")) <= s.tolerance)
+    by_station = chosen.groupBy(*where, "mean", "tid").agg(
+        F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"), F.sum(F.pow(F.col("late") - F.col("mean"), F.lit(2))).alias("q"), F.collect_list(F.struct("pick_id", "pha", (F.col("late") - F.col("mean")).alias("residual"))).alias("picks")
+    )  # two picks at most
+    found = by_station.groupBy(*where, "mean").agg(
+        F.sum("p").alias("n_p"), F.sum("s").alias("n_s"), F.sum(F.col("p") * F.col("s")).alias("n_both"), F.sqrt(F.sum("q") / F.sum(F.col("p") + F.col("s"))).alias("spread"), F.collect_list(F.struct("tid", "picks")).alias("stations")
+    )  # the stations within the cutoff at most
+    begin = (F.col("bin") - F.col("shift") * 0.5) * size
+    return found.where(s.enough()).withColumns({"n_picks": F.col("n_p") + F.col("n_s"), "origin": begin + F.col("mean")}).drop("mean")
 
 
 def strongest(found: DataFrame, seconds: float, cell_deg: float) -> DataFrame:
@@ -90,13 +195,18 @@ def strongest(found: DataFrame, seconds: float, cell_deg: float) -> DataFrame:
     return best.join(rivals, [*met, near & (F.col("_o") < F.col("_order"))], "left_anti").drop(*block, "_order").withColumn("event_id", F.xxhash64("cell", "shift", "bin"))
 
 
-def associate(picks: DataFrame, stations: DataFrame, extent: tuple[float, float, float, float], step: float = 0.1, depths: tuple[float, ...] = (0.0, 10.0, 25.0), tolerance: float = 1.5, cutoff_km: float = 150.0, vp: float = 6.0, ratio: float = 1.75, n_picks: int = 8, n_p: int = 3, n_s: int = 3, n_both: int = 3) -> tuple[DataFrame, DataFrame]:
-    """Events (event_id, time, lat, lon, depth, counts) and assignments (event_id, pick_id): each pick goes to
-    the event with the most picks among those it voted for."""
-    table = travel_table(stations, grid(picks.sparkSession, extent, step, list(depths)), cutoff_km, vp, ratio)
-    cast = votes(picks, table, tolerance)
-    events = strongest(candidates(cast, tolerance, n_picks, n_p, n_s, n_both), 4 * tolerance, 10 * step)
-    own = cast.select("pick_id", "cell", "shift", "bin").join(events.select("event_id", "cell", "shift", "bin", "n_picks"), ["cell", "shift", "bin"])
-    best = own.groupBy("pick_id").agg(F.max_by("event_id", F.struct("n_picks", "event_id")).alias("event_id"))
-    out = events.select("event_id", F.timestamp_micros((F.col("origin") * 1e6).cast("long")).cast("timestamp_ntz").alias("time"), "lat", "lon", "depth", "n_picks", "n_p", "n_s", "n_both")
-    return out, best.select("event_id", "pick_id")
+def associate(picks: DataFrame, stations: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
+    """Events (event_id, time, lat, lon, depth, counts) and assignments (event_id, pick_id, tid, pha, residual). Of
+    each station and phase an event has one pick at most, within the tolerance of its origin time. A pick that several
+    events have goes to the one of most picks, then least spread; an event that keeps too few is dropped. The counts
+    are those of the assignments."""
+    found = cut(candidates(votes(picks, stations, search), search), "candidates")
+    events = cut(strongest(found, 4 * search.tolerance, 10 * search.step), "events")
+    order = ["event_id", "n_picks", "spread", "cell", "shift", "bin"]
+    own = events.select(*order, F.explode("stations").alias("x")).select(*order, "x.tid", F.explode("x.picks").alias("y"))
+    best = own.groupBy("y.pick_id").agg(F.min(F.struct(-F.col("n_picks"), F.round("spread", 6), "cell", "shift", "bin", "event_id", "tid", "y")).alias("x")).select("x.event_id", "x.y.pick_id", "x.tid", "x.y.pha", "x.y.residual")
+    by_station = best.groupBy("event_id", "tid").agg(F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"))
+    kept = by_station.groupBy("event_id").agg(F.sum("p").alias("n_p"), F.sum("s").alias("n_s"), F.sum(F.col("p") * F.col("s")).alias("n_both")).where(search.enough())
+    out = events.select("event_id", F.timestamp_micros((F.col("origin") * 1e6).cast("long")).cast("timestamp_ntz").alias("time"), "lat", "lon", "depth").join(kept, "event_id")
+    out = out.select("event_id", "time", "lat", "lon", "depth", (F.col("n_p") + F.col("n_s")).alias("n_picks"), "n_p", "n_s", "n_both")
+    return out, best.join(kept.select("event_id"), "event_id", "left_semi")

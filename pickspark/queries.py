@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import datetime
 import functools
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +13,7 @@ from .operators import associate, bench, catalog, filters, joins, matching, qual
 from .plans import planning
 from .plans.fixtures import Views
 from .registry import query
-from .sources import readers, writers
+from .sources import readers, shared, writers
 from .streaming import ingest
 
 HOURS = 3600.0
@@ -31,13 +29,7 @@ def time(text: str) -> Column:
 
 
 def scratch(v: Views, name: str) -> str:
-    """A new folder that all executors share; one of this machine only where Spark runs on it alone."""
-    root = v.spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not v.spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return shared.folder(v.spark, name)
 
 
 # Scans, sources, sinks
@@ -1210,12 +1202,29 @@ def _(v):
     return v.spark.read.parquet(cover).join(measured, ["tid", "cha", "yr", "doy"], "left").fillna(0, ["n_amp"]).select("tid", "cha", "yr", "doy", "npks", "n_amp")
 
 
-@query("k01_association")
+K1 = f"""c AS (SELECT y * 6 + x AS cell, 32 + y * 2e0 AS lat, -125 + x * 2e0 AS lon FROM range(6) a(y), range(6) b(x)),
+near AS (SELECT id, cell, lat, lon, {KM.format(a='lat', b='latitude', c='lon', d='longitude')} AS km FROM c, fx_stations),
+cast_ AS (SELECT pick_id, tid, pha, cell, lat, lon, epoch_us(peak) / 1e6 - sqrt(km * km + 100e0) * (CASE pha WHEN 'P' THEN 1e0 / 6e0 ELSE 1.75e0 / 6e0 END) AS t FROM fx_picks JOIN near ON tid = id WHERE km <= 300),
+bins AS (SELECT *, floor(t / 7200e0 + shift * 0.5e0) AS bin, t - (floor(t / 7200e0 + shift * 0.5e0) - shift * 0.5e0) * 7200e0 AS late FROM cast_, range(2) r(shift)),
+one AS (SELECT *, avg(late) OVER (PARTITION BY cell, shift, bin) AS mean FROM (SELECT * FROM bins QUALIFY row_number() OVER (PARTITION BY cell, shift, bin, tid, pha ORDER BY abs(late - 3600e0), pick_id) = 1) x),
+kept AS (SELECT * FROM one WHERE abs(late - mean) <= 3600e0),
+per_station AS (SELECT cell, lat, lon, shift, bin, mean, tid, count(*) FILTER (WHERE pha = 'P') AS p, count(*) FILTER (WHERE pha = 'S') AS s, sum(pow(late - mean, 2)) AS q FROM kept GROUP BY ALL),
+found AS (SELECT cell, lat, lon, shift, bin, (bin - shift * 0.5e0) * 7200e0 + mean AS origin, sum(p + s) AS n, round(sqrt(sum(q) / sum(p + s)), 6) AS spread FROM per_station GROUP BY cell, lat, lon, shift, bin, mean HAVING sum(p + s) >= 4 AND sum(p) >= 1 AND sum(s) >= 1 AND sum(p * s) >= 1),
+events_ AS (SELECT * FROM found a WHERE NOT EXISTS (SELECT 1 FROM found b WHERE abs(a.origin - b.origin) <= 14400 AND abs(a.lat - b.lat) <= 20 AND abs(a.lon - b.lon) <= 20 AND (-b.n, b.spread, b.cell, b.shift, b.bin) < (-a.n, a.spread, a.cell, a.shift, a.bin))),
+own AS (SELECT cell, shift, bin, k.lat, k.lon, tid, pha, origin, late - mean AS residual FROM kept k JOIN events_ e USING (cell, shift, bin) QUALIFY row_number() OVER (PARTITION BY pick_id ORDER BY -n, spread, cell, shift, bin) = 1),
+counted AS (SELECT cell, shift, bin, lat, lon, origin, tid, count(*) FILTER (WHERE pha = 'P') AS p, count(*) FILTER (WHERE pha = 'S') AS s, max(abs(residual)) AS worst FROM own GROUP BY ALL)
+SELECT lat, lon, 10e0 AS depth, round(origin, 2) AS origin, CAST(sum(p + s) AS BIGINT) AS n_picks, CAST(sum(p) AS BIGINT) AS n_p, CAST(sum(s) AS BIGINT) AS n_s, CAST(sum(p * s) AS BIGINT) AS n_both, round(max(worst), 3) AS worst FROM counted GROUP BY cell, shift, bin, lat, lon, origin HAVING sum(p + s) >= 4 AND sum(p) >= 1 AND sum(s) >= 1 AND sum(p * s) >= 1"""
+
+#: Hours instead of seconds: the test picks are hours apart.
+K1_SEARCH = associate.Search((32.0, 42.0, -125.0, -115.0), 2.0, (10.0,), 3600.0, 300.0, n_picks=4, n_p=1, n_s=1, n_both=1)
+
+
+@query("k01_association", f"WITH {K1}")
 def _(v):
-    """Hours instead of seconds: the test picks are hours apart."""
-    events, own = associate.associate(v.picks, v.stations, (32.0, 42.0, -125.0, -115.0), 2.0, (10.0,), 3600.0, 300.0, n_picks=4, n_p=1, n_s=1, n_both=1)
-    counts = own.groupBy("event_id").agg(F.count("*").alias("assigned"))
-    return events.join(counts, "event_id").select("event_id", "time", "lat", "lon", "n_picks", "n_p", "n_s", "assigned")
+    """Events, whose counts are those of their picks."""
+    events, own = associate.associate(v.picks, v.stations, K1_SEARCH)
+    worst = own.groupBy("event_id").agg(F.max(F.abs("residual")).alias("worst"))
+    return events.join(worst, "event_id").select("lat", "lon", "depth", r(C.epoch_seconds(F.col("time")), 2).alias("origin"), "n_picks", "n_p", "n_s", "n_both", r("worst", 3).alias("worst"))
 
 
 @query("k01_travel_table", f"""WITH c AS (SELECT y * 6 + x AS cell, 32 + y * 2e0 AS lat, -125 + x * 2e0 AS lon FROM range(6) a(y), range(6) b(x)), d AS (SELECT id AS tid, cell, {KM.format(a='lat', b='latitude', c='lon', d='longitude')} AS km FROM c, fx_stations)

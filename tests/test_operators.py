@@ -173,12 +173,6 @@ def test_travel_table_meets_all_near_stations(spark):
     assert got == {(a[0], i) for a in places for i, b in enumerate(places) if km(a, b) <= 150}
 
 
-def test_spread_is_exact_for_epoch_seconds(spark):
-    cast = spark.createDataFrame([(k, "s", "P", 1, 0.0, 0.0, 0.0, 0, 283_333_333, t) for k, t in enumerate((0.1, 0.2, 0.9))], "pick_id int, tid string, pha string, cell int, lat double, lon double, depth double, shift int, bin long, late double")
-    row = associate.candidates(cast, 3.0, 1, 1, 0, 0).first()
-    assert row.spread == pytest.approx(np.std([0.1, 0.2, 0.9])) and row.origin == pytest.approx(283_333_333 * 6 + 0.4)
-
-
 def test_merged_segments(spark):
     rows = [("a", 2, [1.0, 2.0]), ("a", 6, [5.0, 6.0, 7.0]), ("a", 3, [9.0, 3.0]), ("b", 0, [4.0])]
     got = {r.id: r.samples for r in signal.merged(spark.createDataFrame(rows, "id string, offset int, samples array<double>"), ["id"], 8).collect()}
@@ -194,25 +188,6 @@ def test_quartiles_equal_numpy(spark):
     assert got["b"].n == 0 and got["b"].median is None
 
 
-def test_association_finds_a_planted_event(spark):
-    stations = [(f"A.S{i}.", 34.0 + 0.3 * (i % 4), -118.0 + 0.3 * (i // 4)) for i in range(12)]
-    df = spark.createDataFrame(stations, "id string, latitude double, longitude double")
-    lat, lon, depth, t0 = 34.4, -117.6, 10.0, 1000.0
-    picks, k = [], 0
-    for sid, y, x in stations:
-        h = np.radians([(lat - y) / 2, (lon - x) / 2])
-        km = 2 * 6371 * np.arcsin(np.sqrt(np.sin(h[0]) ** 2 + np.cos(np.radians(lat)) * np.cos(np.radians(y)) * np.sin(h[1]) ** 2))
-        r = np.hypot(km, depth)
-        for pha, tt in (("P", r / 6), ("S", r * 1.75 / 6)):
-            picks.append((k, sid, pha, at(t0 + tt)))
-            k += 1
-    p = spark.createDataFrame(picks, "pick_id long, tid string, pha string, peak timestamp_ntz")
-    events, own = associate.associate(p, df, (34.0, 35.0, -118.0, -117.0), 0.2, (10.0,))
-    best = events.orderBy(F.desc("n_picks")).first()
-    assert abs(best.lat - lat) < 0.21 and abs(best.lon - lon) < 0.21 and abs((best.time - at(t0)).total_seconds()) < 1.5
-    assert own.count() >= 20
-
-
 def pick_rows(spark, n, tid="N1.A."):
     rows = [(tid, "HH", "P", at(60 * i), at(60 * i + 1), at(60 * i + 2), 0.5, 1.0, 1.0, "r") for i in range(n)]
     return spark.createDataFrame(rows, "tid string, cha string, pha string, start_ts timestamp_ntz, peak timestamp_ntz, end_ts timestamp_ntz, conf double, amp double, amp_raw double, rid string")
