@@ -15,7 +15,8 @@ UNIT = "shard_id string, stations array<string>, start string, end string, n_sta
 MANIFEST = (
     "job_id string, run_id string, n_picks long, n_classifies long, station_days long, written_at string, "
     "files array<struct<kind:string,path:string,rows:long,network:string,year:int,month:int>>, "
-    "records array<struct<tid:string,cha:string,yr:int,doy:int,npks:long,nclfs:long>>"
+    "records array<struct<tid:string,cha:string,yr:int,doy:int,rid:string,npks:long,nclfs:long>>, "
+    "attempt string, removes array<string>, forgets array<string>"
 )
 TRACE = "trace_id string, component string, t0 timestamp_ntz, rate double, samples array<float>"
 

@@ -66,7 +66,9 @@ def manifest_files(table: DataFrame) -> DataFrame:
 
 
 def manifest_coverage(table: DataFrame) -> DataFrame:
-    return table.select("job_id", F.col("run_id").alias("rid"), F.inline("records"))
+    """Coverage records; their run is the job's where they do not say."""
+    rows = table.select("job_id", "run_id", F.inline("records"))
+    return rows.withColumn("rid", F.coalesce("rid", "run_id")).drop("run_id")
 
 
 def runs(spark: SparkSession, path: str) -> DataFrame:

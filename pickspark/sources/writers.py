@@ -86,23 +86,3 @@ def insert_ignoring_duplicates(rows: DataFrame, root: str, day: str = "peak") ->
     if there is not None and folders:
         new = new.join(in_partitions(there, folders).select(*schemas.PICK_KEY), schemas.PICK_KEY, "left_anti")
     write_picks(new, root, day)
-
-
-def replace_stations(picks: DataFrame, root: str, ids: DataFrame, scratch: str) -> None:
-    """Delete the picks of some stations from the partitions they are in, by rewriting those partitions; one that
-    is left without picks is deleted."""
-    spark = picks.sparkSession
-    gone = ids.select(F.col("id").alias("tid")).distinct()
-    folders = touched(picks.join(gone, "tid", "left_semi"))
-    if not folders:
-        return
-    rest = in_partitions(picks, folders).join(gone, "tid", "left_anti")
-    rest.write.mode("overwrite").parquet(scratch)  # a table cannot be read while it is rewritten
-    kept = spark.read.schema(rest.schema).parquet(scratch)
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*schemas.PARTITIONS).parquet(root)
-    left = touched(kept)
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in folders:
-        if folder not in left:
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, "/".join(f"{c}={folder[c]}" for c in schemas.PARTITIONS)), True)

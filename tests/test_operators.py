@@ -203,15 +203,6 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert [r.npks for r in readers.coverage(spark, str(tmp_path / "coverage")).collect()] == [12]
 
 
-def test_replace_stations_keeps_the_rest(spark, tmp_path):
-    root = str(tmp_path / "picks")
-    writers.write_picks(pick_rows(spark, 5).union(pick_rows(spark, 7, "N2.B.")), root)
-    ids = spark.createDataFrame([("N1.A.",)], "id string")
-    writers.replace_stations(readers.picks(spark, root), root, ids, str(tmp_path / "scratch"))
-    spark.catalog.refreshByPath(root)
-    assert {r.tid: r["count"] for r in readers.picks(spark, root).groupBy("tid").count().collect()} == {"N2.B.": 7}
-
-
 def test_lists_and_manifests(spark, tmp_path):
     (tmp_path / "ids.txt").write_text("# comment\nB.2., x\nA.1.\nB.2.\n\n")
     assert [r.id for r in readers.id_list(spark, str(tmp_path / "ids.txt")).collect()] == ["A.1.", "B.2."]
