@@ -1,14 +1,16 @@
 """One-to-one matching in time, and sequential suppression of duplicates.
 
 Both are sequential by nature, but a gap longer than the tolerance separates what can interact. Times are cut
-into such islands first; islands are dealt over all tasks and settled one after the other as they stream by, so
-a task holds one island at a time.
+into such islands first, which are dealt over all tasks. A task streams its islands in order of time through a queue that
+holds what can still interact: for matching the references of one tolerance and the candidates of two, for suppression
+those of one tolerance for each priority and one more. An island without end costs time, not memory.
 """
 
 from __future__ import annotations
 
-import bisect
 import itertools
+import math
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,20 +27,24 @@ def islands(rows: DataFrame, keys: list[str], tol: float, time: str = "t") -> Da
     return rows.withColumn("_new", new).withColumn("island", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def by_island(rows: DataFrame, keys: list[str], values: list[str], settle: Callable[[tuple, list[tuple]], list[tuple]], schema: str) -> DataFrame:
-    """``settle(key values, rows of one island)`` gives result rows of ``schema``."""
+def by_island(rows: DataFrame, keys: list[str], values: list[str], settler: Callable[[], Matching | Suppression], schema: str) -> DataFrame:
+    """What a settler makes of the rows of each island, in order of ``values``, as rows of ``schema``."""
     names = [*keys, "island", *values]
     out = [f.split(" ")[0].strip("`") for f in schema.split(", ")]
     kinds = [{"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "int": pa.int32()}[f.split(" ")[1]] for f in schema.split(", ")]
+    own = [out.index(k) for k in keys if k in out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = itertools.chain.from_iterable(zip(*(b.column(n).to_pylist() for n in names)) for b in batches)
         made: list[tuple] = []
         for key, group in itertools.groupby(stream, lambda row: row[: len(keys) + 1]):
-            made += settle(key[:-1], [row[len(keys) + 1 :] for row in group])
-            if len(made) > 10_000:
-                yield batch(made)
-                made = []
+            settle, head = settler(), key[: len(own)]
+            for row in group:
+                made += [(*head, *x) for x in settle.push(*row[len(keys) + 1 :])]
+                if len(made) > 10_000:
+                    yield batch(made)
+                    made = []
+            made += [(*head, *x) for x in settle.end()]
         if made:
             yield batch(made)
 
@@ -49,42 +55,99 @@ def by_island(rows: DataFrame, keys: list[str], values: list[str], settle: Calla
     return dealt.mapInArrow(run, schema)
 
 
-def greedy(reference: list[float], candidates: list[float], tol: float) -> list[int]:
-    """For each reference time, in order, the index of the nearest unused candidate within ``tol`` (the earlier
-    of equal ones), or -1. Both are sorted."""
-    used = [False] * len(candidates)
-    out = []
-    for t in reference:
-        best, gap = -1, None
-        i = bisect.bisect_left(candidates, t - tol - 1e-9)
-        while i < len(candidates) and candidates[i] <= t + tol + 1e-9:
-            d = abs(candidates[i] - t)
-            if not used[i] and d <= tol and (gap is None or d < gap):
-                best, gap = i, d
-            i += 1
-        if best >= 0:
-            used[best] = True
-        out.append(best)
-    return out
+class Matching:
+    """Each reference, in order of time, takes the nearest candidate within the tolerance that is not taken (the
+    earlier of equal ones). Rows come in order of time; (reference id, candidate id, residual) come out once no later
+    row can change them."""
+
+    def __init__(self, tol: float):
+        self.tol, self.peak = tol, 0
+        self.references: deque[tuple[float, int]] = deque()
+        self.candidates: deque[list] = deque()  # time, id, whether taken
+
+    def push(self, t: float, i: int, side: int) -> list[tuple]:
+        out = self._settle(t)
+        if side == 0:
+            self.references.append((t, i))
+        else:
+            self.candidates.append([t, i, False])
+        self.peak = max(self.peak, len(self.references) + len(self.candidates))
+        return out
+
+    def end(self) -> list[tuple]:
+        return self._settle(math.inf)
+
+    def _settle(self, now: float) -> list[tuple]:
+        out = []
+        while self.references and self.references[0][0] + self.tol < now - 1e-9:
+            t, i = self.references.popleft()
+            out += self._passed(t)
+            best = None
+            for c in self.candidates:
+                if c[0] > t + self.tol + 1e-9:
+                    break
+                if not c[2] and abs(c[0] - t) <= self.tol and (best is None or abs(c[0] - t) < abs(best[0] - t)):
+                    best = c
+            if best is not None:
+                best[2] = True
+            out.append((i, None, None) if best is None else (i, best[1], best[0] - t))
+        return out + self._passed(self.references[0][0] if self.references else now)
+
+    def _passed(self, t: float) -> list[tuple]:
+        """Candidates that no reference from ``t`` on can reach."""
+        out = []
+        while self.candidates and self.candidates[0][0] < t - self.tol - 1e-9:
+            _, i, taken = self.candidates.popleft()
+            if not taken:
+                out.append((None, i, None))
+        return out
+
+
+class Suppression:
+    """Rows, in order of (priority, time, id), stay if none that stays is within the tolerance. They come in order of
+    time; the ids of those that stay come out. A row is decided once all better ones within the tolerance are."""
+
+    def __init__(self, tol: float):
+        self.tol, self.peak, self.due = tol, 0, math.inf
+        self.rows: deque[list] = deque()  # time, priority, id, whether it stays (None: open)
+
+    def push(self, t: float, priority: object, i: int) -> list[tuple]:
+        out = self._settle(t) if t > self.due else []
+        self.due = min(self.due, t + self.tol)
+        self.rows.append([t, priority, i, None])
+        self.peak = max(self.peak, len(self.rows))
+        return out
+
+    def end(self) -> list[tuple]:
+        return self._settle(math.inf)
+
+    def _settle(self, now: float) -> list[tuple]:
+        """Decide what has all its neighbours, better ones first; let go of what nothing open is near to."""
+        out = []
+        ready = sorted((r for r in self.rows if r[3] is None and r[0] + self.tol < now), key=lambda r: (r[1], r[0], r[2]))
+        for row in ready:
+            near = [r for r in self.rows if abs(r[0] - row[0]) <= self.tol and r is not row and (r[1], r[0], r[2]) < (row[1], row[0], row[2])]
+            if any(r[3] for r in near):
+                row[3] = False
+            elif all(r[3] is False for r in near):
+                row[3] = True
+                out.append((row[2],))
+        first = next((r[0] for r in self.rows if r[3] is None), now)
+        while self.rows and self.rows[0][3] is not None and self.rows[0][0] < first - self.tol:
+            self.rows.popleft()
+        self.due = min((r[0] + self.tol for r in self.rows if r[3] is None and r[0] + self.tol >= now), default=math.inf)
+        return out
 
 
 def match(reference: DataFrame, candidates: DataFrame, keys: list[str], tol: float, ref_time: str = "time", cand_time: str = "peak", ref_id: str = "arrival_id", cand_id: str = "pick_id") -> DataFrame:
     """``keys``, ``ref_id``, ``cand_id`` and ``residual`` (candidate - reference seconds): a row for each reference
-    (candidate null if unmatched), then one for each unused candidate (reference null)."""
+    (candidate null if unmatched), and one for each unused candidate (reference null)."""
     r = reference.select(*keys, C.epoch_seconds(F.col(ref_time)).alias("t"), F.col(ref_id).cast("long").alias("id"), F.lit(0).alias("side"))
     c = candidates.select(*keys, C.epoch_seconds(F.col(cand_time)).alias("t"), F.col(cand_id).cast("long").alias("id"), F.lit(1).alias("side"))
-    rows = islands(r.unionByName(c), keys, tol)
+    rows = islands(r.unionByName(c).where("t IS NOT NULL"), keys, tol)
     types = ", ".join(f"`{k}` {dict(rows.dtypes)[k].replace('bigint', 'long')}" for k in keys)
 
-    def settle(key: tuple, part: list[tuple]) -> list[tuple]:
-        ref = [(t, i) for t, i, side in part if side == 0]
-        cand = [(t, i) for t, i, side in part if side == 1]
-        found = greedy([t for t, _ in ref], [t for t, _ in cand], tol)
-        left = [(*key, i, cand[c][1], cand[c][0] - t) if c >= 0 else (*key, i, None, None) for (t, i), c in zip(ref, found)]
-        used = set(found)
-        return left + [(*key, None, i, None) for c, (_, i) in enumerate(cand) if c not in used]
-
-    return by_island(rows, keys, ["t", "id", "side"], settle, f"{types}, `{ref_id}` long, `{cand_id}` long, residual double")
+    return by_island(rows, keys, ["t", "id", "side"], lambda: Matching(tol), f"{types}, `{ref_id}` long, `{cand_id}` long, residual double")
 
 
 def score(matched: DataFrame, keys: list[str], ref_id: str = "arrival_id", cand_id: str = "pick_id") -> DataFrame:
@@ -105,17 +168,7 @@ def suppress(picks: DataFrame, keys: list[str], tol: float, priority: str, time:
     first, then time."""
     rows = islands(picks.withColumn("seconds", C.epoch_seconds(F.col(time))), keys, tol, "seconds")
 
-    def keep(key: tuple, part: list[tuple]) -> list[tuple]:
-        kept: list[float] = []
-        ids = []
-        for _, t, i in sorted(part):
-            at = bisect.bisect_left(kept, t)
-            if not any(abs(kept[j] - t) <= tol for j in (at - 1, at) if 0 <= j < len(kept)):
-                kept.insert(at, t)
-                ids.append((i,))
-        return ids
-
-    keep_ids = by_island(rows.withColumn("first", F.col(priority)), keys, ["first", "seconds", id_col], keep, f"`{id_col}` long")
+    keep_ids = by_island(rows.withColumn("first", F.col(priority)), keys, ["seconds", "first", id_col], lambda: Suppression(tol), f"`{id_col}` long")
     return picks.join(keep_ids, id_col, "left_semi")
 
 

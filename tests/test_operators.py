@@ -173,6 +173,39 @@ def test_travel_table_meets_all_near_stations(spark):
     assert got == {(a[0], i) for a in places for i, b in enumerate(places) if km(a, b) <= 150}
 
 
+def test_endless_islands_hold_a_few_rows():
+    rng = np.random.default_rng(8)
+    tol, n = 1.0, 20_000
+    times = np.sort(rng.uniform(0, n / 3, n)).tolist()  # three a second: no gap is longer than the tolerance for long
+    side = rng.integers(0, 2, n).tolist()
+    m, got = matching.Matching(tol), []
+    for i, (t, s) in enumerate(zip(times, side)):
+        got += m.push(t, i, s)
+    got += m.end()
+    ref, cand, want, used = [i for i in range(n) if side[i] == 0], [i for i in range(n) if side[i]], {}, set()
+    cand_times = np.array([times[c] for c in cand])
+    for i in ref:
+        lo, hi = np.searchsorted(cand_times, [times[i] - tol - 1e-9, times[i] + tol + 1e-9])
+        free = [c for c in cand[lo:hi] if c not in used and abs(times[c] - times[i]) <= tol]
+        want[i] = min(free, key=lambda c: (abs(times[c] - times[i]), c), default=None)
+        used.add(want[i])
+    assert {a: b for a, b, _ in got if a is not None} == want
+    assert sorted(b for a, b, _ in got if a is None) == sorted(set(cand) - used)
+    assert m.peak < 60
+
+    priority = rng.integers(0, 3, n).tolist()
+    s, ids = matching.Suppression(tol), []
+    for i, t in enumerate(times):
+        ids += s.push(t, priority[i], i)
+    ids += s.end()
+    kept = []
+    for i in sorted(range(n), key=lambda i: (priority[i], times[i], i)):
+        at = np.searchsorted(kept, times[i])
+        if not any(abs(kept[j] - times[i]) <= tol for j in (at - 1, at) if 0 <= j < len(kept)):
+            kept.insert(at, times[i])
+    assert sorted(times[i] for (i,) in ids) == kept and s.peak < 100
+
+
 def test_merged_segments(spark):
     rows = [("a", 2, [1.0, 2.0]), ("a", 6, [5.0, 6.0, 7.0]), ("a", 3, [9.0, 3.0]), ("b", 0, [4.0])]
     got = {r.id: r.samples for r in signal.merged(spark.createDataFrame(rows, "id string, offset int, samples array<double>"), ["id"], 8).collect()}
