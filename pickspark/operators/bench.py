@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.shared import cut
+from .quantiles import quantiles, with_keys
 
 
 def pivot_recall(scores: DataFrame, row: str, weights: list[str]) -> DataFrame:
@@ -62,8 +64,9 @@ def lead_sweep(picks: DataFrame, traces: DataFrame, keys: list[str], leads: list
 def detection(rows: DataFrame, by: list[str]) -> DataFrame:
     """Windows, detections, rate and median offset. ``rows``: n_picks, dt."""
     hit = F.col("n_picks") > 0
-    out = rows.groupBy(*by).agg(F.count("*").alias("windows"), F.count_if(hit).alias("detections"), F.percentile(F.when(hit, F.col("dt")), F.lit(0.5)).alias("median_dt"))
-    return out.withColumn("rate", C.ratio(F.col("detections"), F.col("windows")))
+    table = cut(rows.select(*by, hit.alias("_hit"), F.when(hit, F.col("dt")).alias("_dt")), "detection")
+    out = table.groupBy(*by).agg(F.count("*").alias("windows"), F.count_if("_hit").alias("detections"))
+    return with_keys(out, quantiles(table, by, "_dt", {"median_dt": 0.5}), by, "left").withColumn("rate", C.ratio(F.col("detections"), F.col("windows")))
 
 
 def ablation(rows: DataFrame, pair: list[str], flag: str, value: str, by: list[str]) -> DataFrame:

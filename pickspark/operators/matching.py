@@ -18,17 +18,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.shared import cut
+from .quantiles import quantiles, with_keys
 
 
-def islands(rows: DataFrame, keys: list[str], tol: float, time: str = "t") -> DataFrame:
-    """Add ``island``: rows of one key whose neighbours in time are at most ``tol`` seconds apart."""
+def islands(rows: DataFrame, keys: list[str], tol: float | str, time: str = "t") -> DataFrame:
+    """Add ``island``: rows of one key whose neighbours in time are at most ``tol`` (seconds, or the key that has
+    them) apart."""
     by = Window.partitionBy(*keys).orderBy(time)
-    new = F.coalesce((F.col(time) - F.lag(time).over(by) > tol).cast("int"), F.lit(0))
+    new = F.coalesce((F.col(time) - F.lag(time).over(by) > (F.col(tol) if isinstance(tol, str) else tol)).cast("int"), F.lit(0))
     return rows.withColumn("_new", new).withColumn("island", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
-def by_island(rows: DataFrame, keys: list[str], values: list[str], settler: Callable[[], Matching | Suppression], schema: str) -> DataFrame:
-    """What a settler makes of the rows of each island, in order of ``values``, as rows of ``schema``."""
+def by_island(rows: DataFrame, keys: list[str], values: list[str], settler: Callable[[tuple], Matching | Suppression], schema: str) -> DataFrame:
+    """What the settler of each island's key makes of its rows, in order of ``values``, as rows of ``schema``."""
     names = [*keys, "island", *values]
     out = [f.split(" ")[0].strip("`") for f in schema.split(", ")]
     kinds = [{"long": pa.int64(), "double": pa.float64(), "string": pa.string(), "int": pa.int32()}[f.split(" ")[1]] for f in schema.split(", ")]
@@ -38,7 +41,7 @@ def by_island(rows: DataFrame, keys: list[str], values: list[str], settler: Call
         stream = itertools.chain.from_iterable(zip(*(b.column(n).to_pylist() for n in names)) for b in batches)
         made: list[tuple] = []
         for key, group in itertools.groupby(stream, lambda row: row[: len(keys) + 1]):
-            settle, head = settler(), key[: len(own)]
+            settle, head = settler(key), key[: len(own)]
             for row in group:
                 made += [(*head, *x) for x in settle.push(*row[len(keys) + 1 :])]
                 if len(made) > 10_000:
@@ -139,28 +142,29 @@ class Suppression:
         return out
 
 
-def match(reference: DataFrame, candidates: DataFrame, keys: list[str], tol: float, ref_time: str = "time", cand_time: str = "peak", ref_id: str = "arrival_id", cand_id: str = "pick_id") -> DataFrame:
+def match(reference: DataFrame, candidates: DataFrame, keys: list[str], tol: float | str, ref_time: str = "time", cand_time: str = "peak", ref_id: str = "arrival_id", cand_id: str = "pick_id") -> DataFrame:
     """``keys``, ``ref_id``, ``cand_id`` and ``residual`` (candidate - reference seconds): a row for each reference
-    (candidate null if unmatched), and one for each unused candidate (reference null)."""
+    (candidate null if unmatched), and one for each unused candidate (reference null). ``tol``: seconds, or the key that has them."""
     r = reference.select(*keys, C.epoch_seconds(F.col(ref_time)).alias("t"), F.col(ref_id).cast("long").alias("id"), F.lit(0).alias("side"))
     c = candidates.select(*keys, C.epoch_seconds(F.col(cand_time)).alias("t"), F.col(cand_id).cast("long").alias("id"), F.lit(1).alias("side"))
     rows = islands(r.unionByName(c).where("t IS NOT NULL"), keys, tol)
     types = ", ".join(f"`{k}` {dict(rows.dtypes)[k].replace('bigint', 'long')}" for k in keys)
 
-    return by_island(rows, keys, ["t", "id", "side"], lambda: Matching(tol), f"{types}, `{ref_id}` long, `{cand_id}` long, residual double")
+    return by_island(rows, keys, ["t", "id", "side"], lambda key: Matching(key[keys.index(tol)] if isinstance(tol, str) else tol), f"{types}, `{ref_id}` long, `{cand_id}` long, residual double")
 
 
 def score(matched: DataFrame, keys: list[str], ref_id: str = "arrival_id", cand_id: str = "pick_id") -> DataFrame:
     """Analyst picks, matches, recall, mean absolute and median residual, and extra picks, by ``keys``."""
     hit = F.col(ref_id).isNotNull() & F.col(cand_id).isNotNull()
-    out = matched.groupBy(*keys).agg(
-        F.count(ref_id).alias("analyst"),
-        F.count_if(hit).alias("matched"),
-        F.avg(F.when(hit, F.abs("residual"))).alias("mae"),
-        F.percentile(F.when(hit, F.col("residual")), F.lit(0.5)).alias("bias"),
-        F.count_if(F.col(ref_id).isNull()).alias("extra"),
+    table = cut(matched.select(*keys, F.col(ref_id).isNotNull().alias("_ref"), F.when(hit, F.col("residual")).alias("residual")), "matched")
+    out = table.groupBy(*keys).agg(
+        F.count_if("_ref").alias("analyst"),
+        F.count("residual").alias("matched"),
+        F.avg(F.abs("residual")).alias("mae"),
+        F.count_if(~F.col("_ref")).alias("extra"),
     )
-    return out.withColumn("recall", C.ratio(F.col("matched"), F.col("analyst")))
+    middle = quantiles(table, keys, "residual", {"bias": 0.5})
+    return with_keys(out, middle, keys, "left").withColumn("recall", C.ratio(F.col("matched"), F.col("analyst")))
 
 
 def suppress(picks: DataFrame, keys: list[str], tol: float, priority: str, time: str = "peak", id_col: str = "pick_id") -> DataFrame:
@@ -168,19 +172,17 @@ def suppress(picks: DataFrame, keys: list[str], tol: float, priority: str, time:
     first, then time."""
     rows = islands(picks.withColumn("seconds", C.epoch_seconds(F.col(time))), keys, tol, "seconds")
 
-    keep_ids = by_island(rows.withColumn("first", F.col(priority)), keys, ["seconds", "first", id_col], lambda: Suppression(tol), f"`{id_col}` long")
+    keep_ids = by_island(rows.withColumn("first", F.col(priority)), keys, ["seconds", "first", id_col], lambda key: Suppression(tol), f"`{id_col}` long")
     return picks.join(keep_ids, id_col, "left_semi")
 
 
 def agreement(picks: DataFrame, weights: list[str], keys: list[str], tol: float) -> DataFrame:
-    """For each pair of models the share of the first one's picks that the second matches."""
-    out = None
-    for i, a in enumerate(weights):
-        for b in weights[i + 1 :]:
-            first = picks.where(F.col("weight") == a).select(*keys, F.col("peak").alias("time"), F.col("pick_id").alias("arrival_id"))
-            pair = score(match(first, picks.where(F.col("weight") == b), keys, tol).withColumns({"a": F.lit(a), "b": F.lit(b)}), ["a", "b"])
-            out = pair if out is None else out.unionByName(pair)
-    return out.select("a", "b", F.col("analyst").alias("n"), "matched", F.col("recall").alias("agreement"))
+    """For each pair of models the share of the first one's picks that the second matches, all pairs in one pass."""
+    pairs = [(a, b) for i, a in enumerate(weights) for b in weights[i + 1 :]]
+    listed = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    of = lambda side: picks.withColumn("_pair", F.explode(F.filter(listed, lambda p: p[side] == F.col("weight")))).withColumns({"a": F.col("_pair.a"), "b": F.col("_pair.b")})
+    first = of("a").select("a", "b", *keys, F.col("peak").alias("time"), F.col("pick_id").alias("arrival_id"))
+    return score(match(first, of("b"), ["a", "b", *keys], tol), ["a", "b"]).select("a", "b", F.col("analyst").alias("n"), "matched", F.col("recall").alias("agreement"))
 
 
 def sweep(reference: DataFrame, picks: DataFrame, thresholds: list[float], keys: list[str], tol: float) -> DataFrame:
@@ -192,8 +194,6 @@ def sweep(reference: DataFrame, picks: DataFrame, thresholds: list[float], keys:
 
 
 def tolerance_sweep(reference: DataFrame, picks: DataFrame, tols: list[float], keys: list[str]) -> DataFrame:
-    out = None
-    for tol in tols:
-        one = score(match(reference, picks, keys, tol).withColumn("tol", F.lit(tol)), ["tol"])
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Scores at each tolerance, in one job."""
+    each = lambda df: df.withColumn("tol", F.explode(F.array(*map(F.lit, tols))))
+    return score(match(each(reference), each(picks), ["tol", *keys], "tol"), ["tol"])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pickspark.functions import columns as C
-from pickspark.operators import associate, catalog, joins, matching, quality, scoring, signal
+from pickspark.operators import associate, catalog, joins, matching, quality, quantiles, scoring, signal
 from pickspark.plans import planning
 from pickspark.sources import readers, writers
 from pickspark.streaming import ingest
@@ -274,3 +274,17 @@ def test_no_model_is_left_out(spark):
     assert scoring.at_weights(windows, models(scoring.MOST_MODELS)).count() == 2 * scoring.MOST_MODELS
     with pytest.raises(ValueError):
         scoring.at_weights(windows, models(scoring.MOST_MODELS + 1))
+
+
+def test_grouped_quantiles_equal_numpy(spark):
+    rng = np.random.default_rng(11)
+    rows = [(k, float(v)) for k, n in (("big", 30_000), ("ties", 5_000), ("small", 7), ("one", 1), (None, 4)) for v in (rng.normal(size=n) if k != "ties" else rng.integers(0, 3, n))]
+    rows += [("big", None), ("big", float("nan")), ("nothing", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r.k: tuple(r)[1:] for r in quantiles.quantiles(df, ["k"], "x", {"a": 0.1, "m": 0.5, "z": 0.93}).collect()}
+    for k in ("big", "ties", "small", "one", None):
+        x = [v for q, v in rows if q == k and v is not None and v == v]
+        assert got[k] == pytest.approx(tuple(np.quantile(x, [0.1, 0.5, 0.93]))), k
+    assert "nothing" not in got
+    # No aggregate holds the values of a group.
+    assert "percentile(" not in quantiles.quantiles(df, ["k"], "x", {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
