@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions import columns as C
-from .operators import associate, bench, catalog, filters, joins, matching, quality, scoring, signal
+from .operators import associate, bench, catalog, classify, filters, joins, matching, quality, recursive, scoring, signal
 from .plans import planning
 from .plans.fixtures import Views
 from .registry import query
@@ -1054,6 +1054,40 @@ def _(v):
     return found.select("trace_id", "component", r(C.total(F.transform("samples", lambda y: y * y)), 5).alias("energy"))
 
 
+def recursion_sql(sections: list[list[float]], pad: int, n: int) -> str:
+    """The sections run over extended traces twice, sample by sample, as recursive SQL: energy of each trace."""
+    k = range(len(sections))
+    first, level = [], 1.0
+    for b0, b1, b2, _, a1, a2 in sections:
+        gain = (b0 + b1 + b2) / (1 + a1 + a2)
+        first.append((level * (b1 - a1 * gain + b2 - a2 * gain), level * (b2 - a2 * gain)))
+        level *= gain
+    states = ", ".join(f"p{i}, q{i}" for i in k)
+
+    def run(name: str, source: str) -> str:
+        # Nested subqueries: one section after the other, each with its output y and new states.
+        step = f"SELECT r.trace_id, r.i + 1 AS i, s.x AS y, {states} FROM {name} r JOIN {source} s ON s.trace_id = r.trace_id AND s.i = r.i + 1"
+        for i, (b0, b1, b2, _, a1, a2) in enumerate(sections):
+            others = ", ".join(f"p{j}, q{j}" for j in k if j != i)
+            step = f"SELECT trace_id, i, w AS y{', ' + others if others else ''}, {b1!r} * y - {a1!r} * w + q{i} AS p{i}, {b2!r} * y - {a2!r} * w AS q{i} FROM (SELECT *, {b0!r} * y + p{i} AS w FROM ({step}) a{i}) b{i}"
+        begin = f"SELECT trace_id, -1 AS i, 0e0 AS y, {', '.join(f'x * {p!r} AS p{i}, x * {q!r} AS q{i}' for i, (p, q) in enumerate(first))} FROM {source} WHERE i = 0"
+        return f"{name} AS ({begin} UNION ALL SELECT trace_id, i, y, {states} FROM ({step}) z)"
+
+    m = n + 2 * pad
+    at = f"CAST(CASE WHEN i < {pad} THEN {pad} - i WHEN i >= {pad + n} THEN {2 * n + pad - 2} - i ELSE i - {pad} END AS INT) + 1"
+    edge = f"CASE WHEN i < {pad} THEN 2 * CAST(samples[1] AS DOUBLE) WHEN i >= {pad + n} THEN 2 * CAST(samples[{n}] AS DOUBLE) END"
+    wide = f"wide AS (SELECT trace_id, i, coalesce({edge} - CAST(samples[{at}] AS DOUBLE), CAST(samples[{at}] AS DOUBLE)) AS x FROM fx_traces, (SELECT CAST(range AS INT) AS i FROM range({m})) g)"
+    back = f"back_ AS (SELECT trace_id, {m - 1} - i AS i, y AS x FROM forth WHERE i >= 0)"
+    return f"""WITH RECURSIVE {wide}, {run('forth', 'wide')}, {back}, {run('again', 'back_')}
+SELECT trace_id, round(sum(y * y), 6) AS energy, round(max(CASE WHEN i = {m - 1 - pad} THEN y END), 6) AS first_sample, round(max(CASE WHEN i = {pad} THEN y END), 6) AS last_sample FROM again WHERE i >= {pad} AND i < {pad + n} GROUP BY 1"""
+
+
+@query("i03_recursive_band_pass", recursion_sql(recursive.butterworth(3, 1.0, 0.05, 0.2).tolist(), 21, 64))
+def _(v):
+    found = recursive.band_pass(v.traces.withColumn("samples", C.doubles(F.col("samples"))), 0.05, 0.2, 3)
+    return found.select("trace_id", r(C.total(F.transform("samples", lambda y: y * y))).alias("energy"), r(F.get("samples", F.lit(0))).alias("first_sample"), r(F.get("samples", F.lit(63))).alias("last_sample"))
+
+
 @query("i04_resample", "SELECT trace_id, CAST(32 AS INT) AS n, round((CAST(samples[1] AS DOUBLE) + CAST(samples[2] AS DOUBLE)) / 2, 5) AS first_sample FROM fx_traces")
 def _(v):
     found = signal.resample(v.traces.withColumn("samples", C.doubles(F.col("samples"))), 0.5)
@@ -1165,15 +1199,22 @@ def _(v):
     return floor.groupBy("weight").agg(F.count("*").alias("at_floor"), F.count_if(F.col("peak_value") >= 0.6).alias("at_report"))
 
 
+#: The test traces have one sample a second.
+J3_CHAIN = classify.Chain(0.05, 0.2, 4, 0.1, 0.5, 8)
+
+
+def j03_windows(v: Views) -> DataFrame:
+    """Windows of 48 samples of the stations' three components, a station and block of traces a group."""
+    traces = v.traces.select("station_no", F.floor(F.col("trace_id") / 150).alias("block"), "component", "rate_hz", "samples")
+    return classify.grouped(scoring.sliding_windows(traces, 48, 16), ["station_no", "block", "offset"], ["Z", "N", "E"])
+
+
 @query("j03_classification_job")
 def _(v):
-    """Sliding windows, detrend, min-max, scores, decision."""
-    windows = scoring.sliding_windows(v.traces.withColumn("samples", C.doubles(F.col("samples"))), 32, 16)
-    ready = windows.withColumn("window", C.detrend(F.col("window"))).withColumn("window", C.min_max(F.col("window")))
-    part = lambda i: F.slice("window", 8 * i + 1, 8)
-    probs = C.softmax(F.array(*[F.array_max(part(i)) for i in range(4)]))
-    decided = scoring.decide(ready.withColumn("p", probs).select("trace_id", "offset", *(F.get("p", F.lit(i)).alias(x) for i, x in enumerate(C.CLASS_ORDER))))
-    return decided.groupBy("label").agg(F.count("*").alias("n"), r(F.avg("eq"), 4).alias("eq"))
+    """The whole chain; decisions without noise, by station and label."""
+    found = classify.classified(j03_windows(v), "energy-4", classify.energy_model(4), J3_CHAIN)
+    decided = scoring.decide(found)
+    return decided.groupBy("station_no", "label").agg(F.count("*").alias("n"), *(r(F.avg(c), 6).alias(c) for c in ("eq", "px", "su")))
 
 
 @query("j04_picking_job", f"""WITH st AS (SELECT * FROM (SELECT id AS tid, CAST(regexp_extract(id, 'S(\\d+)', 1) AS INT) % 50 AS station_no, {BEST} AS cha FROM (SELECT id, string_split(channels, ',') AS c FROM fx_stations) x) y WHERE cha IS NOT NULL),
