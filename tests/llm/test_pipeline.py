@@ -1,4 +1,5 @@
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 from pickspark.llm import decontamination, pii, toxicity
@@ -37,3 +38,32 @@ def test_empty_and_null_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert sorted((r.doc_id, r.n_tokens) for r in docs.collect()) == [(1, 0), (2, 0)]
+
+
+def test_a_run_goes_on_where_one_died(spark, tmp_path, monkeypatch):
+    whole = sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+    seen, stages = [], corpus_pipeline.STAGES
+
+    def counted(name, stage, dies):
+        def f(*args):
+            seen.append(name)
+            if dies:
+                raise RuntimeError("died")
+            return stage(*args)
+
+        return name, f
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [counted(n, f, n == "pii") for n, f in stages])
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, SF, str(tmp_path / "run"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [counted(n, f, False) for n, f in stages])
+    seen.clear()
+    again = corpus_pipeline.run(spark, SF, str(tmp_path / "run"))
+    assert seen == ["pii", "bpe"] and sorted(map(tuple, again.collect())) == whole
+    assert [p.name for p in (tmp_path / "run").iterdir()] == ["bpe"]  # what was used up is gone
+
+
+def test_the_key_is_the_callers(spark):
+    docs = spark.createDataFrame([(1, "card 4111 1111 1111 1111")], "doc_id long, text string")
+    a, b = (corpus_pipeline.hide_personal_data(spark, docs, SF, k).first().text for k in (b"one", b"two"))
+    assert a != b and "4111" not in a + b
