@@ -1,7 +1,8 @@
 """The corpus pipeline: toxic documents go, one of each group of near duplicates stays, documents with
 benchmark passages go, personal data becomes pseudonyms, and texts become token ids.
 
-Every stage reads what the one before has written, works on all of it, and is restartable from there.
+Every stage reads what the one before has written and works on all of it. A run that is given the folder of one that
+died goes on after the last stage that was written whole.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pickspark.llm import bpe, decontamination, ngram_join, pii, toxicity
-from pickspark.llm.common import shared_dir, ship_package, table, text_or_empty
+from pickspark.llm.common import exists, remove, shared_dir, ship_package, table, text_or_empty
 from pickspark.llm.queries import BYTE_BPE, PII_KEY
 
 
@@ -32,9 +33,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str, key: bytes = PII_KEY) -> DataFrame:
+    """Whoever has the key can undo the pseudonyms: a deployment passes its own to ``run``."""
     ship_package(spark)
-    return pii.pseudonymise(docs, PII_KEY).select(docs.columns)
+    return pii.pseudonymise(docs, key).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,12 +64,21 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written to the shared folder and read again."""
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None, key: bytes = PII_KEY) -> DataFrame:
+    """All stages over ``documents``, each written to ``folder`` (by default a new one in the shared folder) and read
+    again; what a stage has used up is deleted. Stages that the folder has whole are not run again."""
     docs = table(spark, sf_dir, "documents")
-    root = f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        out.write.option("compression", "zstd").parquet(f"{root}/{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{root}/{name}")
+    root = folder or f"{shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    paths = [f"{root}/{name}" for name, _ in STAGES]
+    done = max((i for i, path in enumerate(paths) if exists(spark, f"{path}/_SUCCESS")), default=-1)
+    if done >= 0:
+        docs = spark.read.parquet(paths[done])
+    for i, (_, stage) in enumerate(STAGES):
+        if i <= done:
+            continue
+        out = stage(spark, docs, sf_dir, key) if stage is hide_personal_data else stage(spark, docs, sf_dir)
+        out.write.mode("overwrite").option("compression", "zstd").parquet(paths[i])
+        docs = spark.read.schema(out.schema).parquet(paths[i])
+        if i:
+            remove(spark, paths[i - 1])
     return docs
