@@ -109,6 +109,38 @@ def dotted_key(net: Column, sta: Column, loc: Column, cha: Column, day: Column)
     return F.concat(net, F.lit("/"), F.date_format(day, "yyyy/yyyy.DDD"), F.lit("/"), F.concat_ws(".", sta, net, cha, loc, F.lit("D"), F.date_format(day, "yyyy.DDD")))
 
 
+def versioned_key(net: Column, sta: Column, day: Column, version: Column) -> Column:
+    """One object a station and day, with the number of its version."""
+    return F.concat(net, F.lit("/"), F.date_format(day, "yyyy/DDD"), F.lit("/"), F.concat_ws(".", sta, net, F.date_format(day, "yyyy.DDD")), F.lit("#"), version.cast("string"))
+
+
+#: What the names of each layout look like; the groups are named in KEY_PARTS.
+KEY_LAYOUTS = {
+    "padded": r"^(..)(.{5})(...)(...)(\d{4})(\d{3})\.ms$",
+    "dotted": r"^([^.#]+)\.([^.#]+)\.([^.#]+)\.([^.#]*)\.D\.(\d{4})\.(\d{3})$",
+    "versioned": r"^([^.#]+)\.([^.#]+)\.(\d{4})\.(\d{3})#(\d+)$",
+}
+KEY_PARTS = {
+    "padded": ["net", "sta", "channel", "loc", "yr", "doy"],
+    "dotted": ["sta", "net", "channel", "loc", "yr", "doy"],
+    "versioned": ["sta", "net", "yr", "doy", "version"],
+}
+
+
+def parse_key(path: Column) -> Column:
+    """What an object's name says, of whichever layout it has: layout, net, sta, channel, loc, yr, doy, version; null if
+    it has none. Names of whole stations have no channel and location; only they have a version."""
+    whole = ("yr", "doy", "version")
+
+    def parsed(layout: str, name: Column) -> Column:
+        part = {p: F.regexp_extract(name, KEY_LAYOUTS[layout], i + 1) for i, p in enumerate(KEY_PARTS[layout])}
+        text = {p: F.rtrim(F.translate(c, "_", " ")) if layout == "padded" else c for p, c in part.items()}
+        fields = [text[p].cast("int").alias(p) if p in whole and p in text else text[p].alias(p) if p in text else F.lit(None).cast("int" if p in whole else "string").alias(p) for p in ("net", "sta", "channel", "loc", *whole)]
+        return F.when(name.rlike(KEY_LAYOUTS[layout]), F.struct(F.lit(layout).alias("layout"), *fields))
+
+    return let(F.regexp_extract(path, r"([^/]*)$", 1), lambda name: F.coalesce(*(parsed(x, name) for x in KEY_LAYOUTS)))
+
+
 def parse_padded_key(path: Column) -> dict[str, Column]:
     name = F.regexp_extract(path, r"([^/]+)$", 1)
     part = lambda a, n: F.rtrim(F.translate(F.substring(name, a, n), "_", " "))

@@ -158,6 +158,35 @@ def _(v):
     return v.picks.select("pick_id", C.dotted_key(F.col("network"), C.id_part(F.col("tid"), 1), F.lit(""), F.concat("cha", F.lit("Z")), F.col("peak")).alias("path"))
 
 
+def listed_objects(v: Views) -> DataFrame:
+    """Names of all three layouts; a third of the picks makes each, versioned ones with several versions a day."""
+    net, sta, cha, day = F.col("network"), C.id_part(F.col("tid"), 1), F.concat("cha", F.lit("Z")), F.col("peak")
+    keys = [C.padded_key(net, sta, F.lit("10"), cha, day), C.dotted_key(net, sta, F.lit(""), cha, day), C.versioned_key(net, sta, day, F.col("pick_id") % 23)]
+    path = F.when(F.col("pick_id") % 3 == 0, keys[0]).when(F.col("pick_id") % 3 == 1, keys[1]).otherwise(keys[2])
+    return v.picks.select("pick_id", path.alias("path")).union(v.picks.select("pick_id", F.concat(F.lit("index-"), "tid")))
+
+
+@query("a12_any_layout", """SELECT pick_id, CASE pick_id % 3 WHEN 0 THEN 'padded' WHEN 1 THEN 'dotted' ELSE 'versioned' END AS layout, network AS net, split_part(tid, '.', 2) AS sta, CASE WHEN pick_id % 3 < 2 THEN concat(cha, 'Z') END AS channel,
+  CASE pick_id % 3 WHEN 0 THEN '10' WHEN 1 THEN '' END AS loc, CAST(year(peak) AS INT) AS yr, CAST(dayofyear(peak) AS INT) AS doy, CASE WHEN pick_id % 3 = 2 THEN CAST(pick_id % 23 AS INT) END AS version FROM fx_picks""")
+def _(v):
+    return readers.objects(listed_objects(v)).drop("path")
+
+
+@query("h11_newest_versions", """SELECT network AS net, split_part(tid, '.', 2) AS sta, CAST(year(peak) AS INT) AS yr, CAST(dayofyear(peak) AS INT) AS doy, CAST(max(pick_id % 23) AS INT) AS version, count(*) AS versions,
+  concat(network, '/', strftime(CAST(peak AS DATE), '%Y/%j'), '/', split_part(tid, '.', 2), '.', network, '.', strftime(CAST(peak AS DATE), '%Y.%j'), '#', CAST(max(pick_id % 23) AS STRING)) AS path FROM fx_picks WHERE pick_id % 3 = 2 GROUP BY network, tid, CAST(peak AS DATE), year(peak), dayofyear(peak)""")
+def _(v):
+    return readers.newest_versions(readers.objects(listed_objects(v)))
+
+
+@query("h11_objects_for_work", """WITH k AS (SELECT *, CAST(peak AS DATE) AS d, split_part(tid, '.', 2) AS sta FROM fx_picks)
+SELECT network AS net, sta, CAST(year(d) AS INT) AS yr, CAST(dayofyear(d) AS INT) AS doy, concat(cha, 'Z') AS channel, count(*) AS n FROM k WHERE pick_id % 3 < 2 AND day(d) <= 5 GROUP BY ALL
+UNION ALL SELECT network, sta, CAST(year(d) AS INT), CAST(dayofyear(d) AS INT), NULL, 1 FROM k WHERE pick_id % 3 = 2 AND day(d) <= 5 GROUP BY network, sta, d""")
+def _(v):
+    """Station-days of the month's first five days, and the objects that hold them."""
+    days = v.picks.where(F.dayofmonth("peak") <= 5).select(F.col("network").alias("net"), C.id_part(F.col("tid"), 1).alias("sta"), F.year("peak").alias("yr"), F.dayofyear("peak").alias("doy"))
+    return readers.objects_for(days, readers.objects(listed_objects(v))).groupBy("net", "sta", "yr", "doy", "channel").agg(F.count("*").alias("n"))
+
+
 @query("a13_location_codes", """SELECT net, sta, channel, yr, doy, min(path) AS path FROM (
   SELECT network AS net, split_part(tid, '.', 2) AS sta, concat(cha, 'Z') AS channel, CAST(year(peak) AS INT) AS yr, CAST(dayofyear(peak) AS INT) AS doy,
   concat(strftime(peak, '%Y'), '/', strftime(peak, '%Y_%j'), '/', network, rpad(split_part(tid, '.', 2), 5, '_'), cha, 'Z', rpad(lpad(CAST(pick_id % 3 AS STRING), 2, '0'), 3, '_'), strftime(peak, '%Y%j'), '.ms') AS path FROM fx_picks) x GROUP BY 1, 2, 3, 4, 5""")

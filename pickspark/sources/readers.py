@@ -108,6 +108,27 @@ def parsed_inventory(files: DataFrame) -> DataFrame:
     return files.withColumns(parts).withColumns({"cha": C.band_of(F.col("channel")), "component": F.right("channel", F.lit(1))})
 
 
+def objects(files: DataFrame) -> DataFrame:
+    """``files`` (path and more) with what their names say, in any layout; others are left out."""
+    return files.withColumn("_key", C.parse_key(F.col("path"))).where("_key IS NOT NULL").select(*files.columns, "_key.*")
+
+
+def newest_versions(found: DataFrame) -> DataFrame:
+    """Of each station-day the object of the highest version (of equal ones the last in order of paths), and how many
+    there are. Versions are numbers: 10 is newer than 9."""
+    latest = F.max_by("path", F.struct("version", "path"))
+    return found.where("layout = 'versioned'").groupBy("net", "sta", "yr", "doy").agg(latest.alias("path"), F.max("version").alias("version"), F.count("*").alias("versions"))
+
+
+def objects_for(work: DataFrame, found: DataFrame) -> DataFrame:
+    """The objects that hold the station-days of ``work`` (net, sta, yr, doy), by key: all channels of the layouts that
+    have an object for each, else the newest version. One join, whatever the number of names listed."""
+    day = ["net", "sta", "yr", "doy"]
+    each = found.where("layout <> 'versioned'").select(*day, "path", "channel", "loc")
+    whole = newest_versions(found).select(*day, "path", F.lit(None).cast("string").alias("channel"), F.lit(None).cast("string").alias("loc"))
+    return work.select(*day).distinct().join(each.unionByName(whole), day)
+
+
 def location_codes(objects: DataFrame) -> DataFrame:
     """The first location code, in order of paths, of each station, channel and day."""
     return objects.groupBy("net", "sta", "channel", "yr", "doy").agg(F.min_by("loc", "path").alias("loc"), F.min("path").alias("path"))

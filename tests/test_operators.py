@@ -288,3 +288,19 @@ def test_grouped_quantiles_equal_numpy(spark):
     assert "nothing" not in got
     # No aggregate holds the values of a group.
     assert "percentile(" not in quantiles.quantiles(df, ["k"], "x", {"m": 0.5})._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_object_names_of_all_layouts(spark):
+    names = ["2019/2019_187/CICLC__HHZ___2019187.ms", "CISRT__HNE01_2019001.ms", "CLC.CI.HHZ..D.2019.187", "x/CLC.CI.HHZ.00.D.2019.187", "CI/2019/187/CLC.CI.2019.187#9", "CLC.CI.2019.187#10", "CLC.CI.2019.188#x", "index.html", "CLC.CI.2019.187", "", None]
+    df = spark.createDataFrame([(n,) for n in names], "path string")
+    got = {r.path: tuple(r)[1:] for r in readers.objects(df).collect()}
+    assert got == {
+        names[0]: ("padded", "CI", "CLC", "HHZ", "", 2019, 187, None),
+        names[1]: ("padded", "CI", "SRT", "HNE", "01", 2019, 1, None),
+        names[2]: ("dotted", "CI", "CLC", "HHZ", "", 2019, 187, None),
+        names[3]: ("dotted", "CI", "CLC", "HHZ", "00", 2019, 187, None),
+        names[4]: ("versioned", "CI", "CLC", None, None, 2019, 187, 9),
+        names[5]: ("versioned", "CI", "CLC", None, None, 2019, 187, 10),
+    }
+    newest = readers.newest_versions(readers.objects(df)).collect()
+    assert [(r.path, r.version, r.versions) for r in newest] == [(names[5], 10, 2)]
