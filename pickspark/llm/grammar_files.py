@@ -33,6 +33,8 @@ from .hashing import PAD, names
 BLOCK_TOKENS = 1 << 20
 #: Stretches whose ids a worker remembers (some 30 bytes each), and pre-tokens of texts with runs of blanks.
 MEMO, PIECES = 2_500_000, 50_000
+#: Pre-tokens whose ids are kept for the next stretches, which often differ in punctuation only.
+KNOWN = 250_000
 #: Bytes of a stretch that is hashed.
 LONGEST = 1 << 16
 #: A pair is replaced while it occurs so often.
@@ -107,6 +109,7 @@ class LibraryEncoder:
         self.find = regex.compile(PATTERN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo, self.pieces = Memo(), {}
+        self.known: dict[str, list[int]] = {}  # ids of pre-tokens of the stretches asked for last
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.vocabulary)]
         if self.ask(self.find(PROBE)) != np.array(self.whole(PROBE), "<u4").tobytes():
@@ -126,7 +129,9 @@ class LibraryEncoder:
         """Ids of stretches (after a space, but for heads), one after the other, and how many each has."""
         ids: list[int] = []
         ends: list[int] = []
-        known: dict[str, list[int]] = {}
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        known = self.known
         find, get = self.find, known.get
         gc.disable()  # no cycles are made, and looking for them among so many lists takes long
         try:
