@@ -122,6 +122,19 @@ def stage_times(log: DataFrame) -> DataFrame:
     return stages.withColumn("share", C.ratio(F.col("seconds"), F.sum("seconds").over(Window.partitionBy(F.lit(1))))).orderBy(F.desc("seconds"), "stage")
 
 
+def stage_report(log: DataFrame, wall: float) -> DataFrame:
+    """Where the ``wall`` seconds of a run went. ``log``: stage, seconds, and what a call has worked on: units (or null)
+    and unit (name). By stage seconds, share of the wall clock, calls, seconds a call, units and their rate (MB/s of
+    bytes, else ms a unit); then rows of the accounted, the whole and the unaccounted time."""
+    stages = log.groupBy("stage").agg(F.sum("seconds").alias("seconds"), F.count("*").alias("calls"), F.sum("units").alias("units"), F.max("unit").alias("unit"))
+    rate = F.when(F.col("unit") == "bytes", C.ratio(F.col("units"), F.col("seconds")) / 1e6).otherwise(C.ratio(F.col("seconds") * 1000, F.col("units")))
+    each = stages.withColumns({"per_call": C.ratio(F.col("seconds"), F.col("calls")), "rate": F.when(F.col("unit").isNotNull(), rate)})
+    total = log.agg(F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("s"))
+    lines = F.array(F.struct(F.lit("accounted").alias("stage"), F.col("s").alias("seconds")), F.struct(F.lit("wall clock").alias("stage"), F.lit(float(wall)).alias("seconds")), F.struct(F.lit("unaccounted").alias("stage"), (F.lit(float(wall)) - F.col("s")).alias("seconds")))
+    out = each.unionByName(total.select(F.explode(lines).alias("x")).select("x.*"), allowMissingColumns=True)
+    return out.withColumn("share", C.ratio(F.col("seconds"), F.lit(float(wall))))
+
+
 def insert_new(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows to insert so that the target has each key once."""
     return rows.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")

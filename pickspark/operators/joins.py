@@ -8,26 +8,36 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 
 
+def outer_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, before: float, after: float, how: str) -> DataFrame:
+    """Each left row in each bucket its range touches, joined (``how``) with the right rows there that are in the range.
+    ``_nth``: which of its buckets; ``_rt``: null where the bucket has no partner."""
+    size = max(before + after, 1e-6)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    l = left.withColumn("_lt", micros(left_time))  # noqa: E741
+    r = right.withColumns({"_rt": micros(right_time), "_rbucket": F.floor(micros(right_time) / (size * 1e6)), **{f"_k_{k}": F.col(k) for k in keys}}).drop(*keys)
+    buckets = F.sequence(F.floor((F.col("_lt") / 1e6 - before) / size), F.floor((F.col("_lt") / 1e6 + after) / size))
+    l = l.select("*", F.posexplode_outer(buckets).alias("_nth", "_bucket"))  # noqa: E741
+    dt = (F.col("_rt") - F.col("_lt")) / F.lit(1e6)
+    on = [F.col("_bucket") == F.col("_rbucket"), dt.between(-before, after), *(F.col(k) == F.col(f"_k_{k}") for k in keys)]
+    return l.join(r, on, how).withColumn("dt", dt).drop("_lt", "_bucket", "_rbucket", *(f"_k_{k}" for k in keys))
+
+
 def range_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, before: float, after: float, how: str = "inner") -> DataFrame:
-    """Pairs with equal ``keys`` and right - left in [-before, after] seconds, with ``dt`` (right - left).
+    """Pairs with equal ``keys`` and right - left in [-before, after] seconds, with ``dt`` (right - left); ``left``: also
+    left rows without a partner.
 
     Time is cut into buckets as long as the range; a left row meets the buckets its range touches (two, or
-    three at the rim). So it is an equi-join with a residual condition: it is shuffled by key and bucket,
-    never a nested loop, and a busy key is spread over its buckets.
+    three at the rim). So it is an equi-join with a residual condition: each side is shuffled once by key and bucket,
+    never a nested loop, and a busy key is spread over its buckets. A left row that finds no partner in one bucket may
+    find one in another: rows are brought together once more by their columns, and of those without any the
+    first bucket's stays.
     """
-    size = max(before + after, 1e-6)
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    l = left.withColumn("_lt", micros(left_time))  # noqa: E741
-    r = right.withColumn("_rt", micros(right_time)).withColumn("_bucket", F.floor(F.col("_rt") / (size * 1e6)))
-    l = l.withColumn("_bucket", F.explode(F.sequence(F.floor((F.col("_lt") / 1e6 - before) / size), F.floor((F.col("_lt") / 1e6 + after) / size))))  # noqa: E741
-    pairs = l.join(r, [*keys, "_bucket"]).withColumn("dt", (F.col("_rt") - F.col("_lt")) / F.lit(1e6))
-    pairs = pairs.where(F.col("dt").between(-before, after)).drop("_bucket", "_lt", "_rt")
+    pairs = outer_pairs(left, right, keys, left_time, right_time, before, after, how)
     if how == "inner":
-        return pairs
-    # Rows without a pair, by all columns, nulls included; repeated rows have pairs each or none each.
-    paired = pairs.select(*(F.col(c).alias(f"_p_{c}") for c in left.columns)).distinct()
-    same = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in left.columns]
-    return pairs.unionByName(left.join(paired, same, "left_anti"), allowMissingColumns=True)
+        return pairs.drop("_nth", "_rt")
+    own = Window.partitionBy(*left.columns)
+    found = pairs.withColumn("_found", F.count("_rt").over(own))
+    return found.where(F.col("_rt").isNotNull() | ((F.col("_found") == 0) & (F.coalesce("_nth", F.lit(0)) == 0))).drop("_nth", "_rt", "_found")
 
 
 def nearest_in_space_time(origins: DataFrame, curated: DataFrame, seconds: float, km: float) -> DataFrame:
@@ -85,7 +95,8 @@ def best_in_window(expected: DataFrame, picks: DataFrame, tol: float) -> DataFra
     own = expected.columns
     right = picks.select("tid", "pha", "peak", "conf", "pick_id")
     once = expected.groupBy(*own).agg(F.count("*").alias("_copies"))
-    pairs = range_join(once, right, ["tid", "pha"], "expected_at", "peak", tol, tol, "left")
+    # Buckets without a pick add nothing to the counts of their rows.
+    pairs = outer_pairs(once, right, ["tid", "pha"], "expected_at", "peak", tol, tol, "left")
     best = pairs.groupBy(*own, "_copies").agg(F.count("pick_id").alias("n_picks"), F.max_by(F.struct("dt", "conf"), F.when(F.col("pick_id").isNotNull(), F.struct(F.col("conf"), -F.col("pick_id")))).alias("b"))
     each = best.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int"))))
     return each.select(*own, "n_picks", F.col("b.dt").alias("dt"), F.coalesce("b.conf", F.lit(0.0)).alias("conf"))

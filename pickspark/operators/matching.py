@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..sources.shared import cut
 from .quantiles import quantiles, with_keys
+from .scoring import at_weights
 
 
 def islands(rows: DataFrame, keys: list[str], tol: float | str, time: str = "t") -> DataFrame:
@@ -193,6 +194,16 @@ def sweep(reference: DataFrame, picks: DataFrame, thresholds: list[float], keys:
     return score(match(ref, cand, ["threshold", *keys], tol), ["threshold"]).withColumn("emitted", F.col("matched") + F.col("extra"))
 
 
+def model_sweep(reference: DataFrame, picks: DataFrame, thresholds: list[float], keys: list[str], tol: float, by: list[str], least: int = 20) -> DataFrame:
+    """As ``sweep``, for each model (``weight``) and group ``by``, in one job. Groups with fewer than ``least`` analyst
+    picks say nothing and have no row."""
+    grid = F.array(*map(F.lit, thresholds))
+    cand = picks.withColumn("threshold", F.explode(F.filter(grid, lambda t: F.col("conf") >= t)))
+    ref = at_weights(reference, picks.select("weight").distinct()).withColumn("threshold", F.explode(grid))
+    found = score(match(ref, cand, ["weight", "threshold", *keys], tol), ["weight", "threshold", *by])
+    return found.where(F.col("analyst") >= least).withColumn("emitted", F.col("matched") + F.col("extra"))
+
+
 def tolerance_sweep(reference: DataFrame, picks: DataFrame, tols: list[float], keys: list[str]) -> DataFrame:
     """Scores at each tolerance, in one job."""
     each = lambda df: df.withColumn("tol", F.explode(F.array(*map(F.lit, tols))))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,7 +24,7 @@ def pick_checks(picks: DataFrame) -> DataFrame:
         "peak_in_window": (F.col("peak") < F.col("start_ts")) | (F.col("peak") > F.col("end_ts")),
         "amp_null": F.col("amp").isNull(),
         "amp_nan": F.isnan("amp"),
-        "fields_present": reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("tid", "cha", "pha", "peak", "rid")]),
+        "fields_present": functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ("tid", "cha", "pha", "peak", "rid")]),
     }
     sums = picks.agg(*(F.count_if(t).alias(n) for n, t in tests.items()))
     long = sums.unpivot([], list(tests), "check", "offending")
@@ -45,9 +45,25 @@ def coverage_complete(coverage: DataFrame, work: DataFrame) -> DataFrame:
     return lost.agg(F.count("*").alias("expected"), F.count("_there").alias("present")).withColumn("passed", F.col("present") >= F.col("expected"))
 
 
-def verify(picks: DataFrame, coverage: DataFrame, work: DataFrame, reference: DataFrame, rid: str | None = None) -> DataFrame:
-    """All checks as rows (check, offending, passed), scoped to one run if given."""
-    own = picks if rid is None else picks.where(F.col("rid") == rid)
+def class_records(classes: DataFrame, fields: tuple[str, ...] = ("eq", "px", "su")) -> DataFrame:
+    """Checks of a classifier's records: that there are any, that probabilities are in [0, 1], that no field is missing."""
+    outside = functools.reduce(lambda a, b: a | b, [F.coalesce(~F.col(c).between(0, 1), F.lit(False)) for c in fields])
+    missing = functools.reduce(lambda a, b: a | b, [F.col(c).isNull() for c in (*fields, "start_ts")])
+    sums = classes.agg((F.count("*") == 0).cast("long").alias("classes_written"), F.count_if(outside).alias("class_probabilities"), F.count_if(missing).alias("class_fields"))
+    return sums.unpivot([], ["classes_written", "class_probabilities", "class_fields"], "check", "offending").withColumn("passed", F.col("offending") == 0)
+
+
+def verify(picks: DataFrame, coverage: DataFrame, work: DataFrame, reference: DataFrame, rid: str | None = None, classes: DataFrame | None = None, request: tuple[Column, Column] | None = None) -> DataFrame:
+    """All checks as rows (check, offending, passed), scoped to one run if given. ``classes``: what a classifier has
+    written, if it was asked to; ``request``: begin and end (exclusive) of the requested time."""
+    scoped = lambda df: df if rid is None else df.where(F.col("rid") == rid)
+    own = scoped(picks)
     counts = against_reference(own, reference).agg(F.lit("counts").alias("check"), F.count_if(~F.col("passed")).alias("offending")).withColumn("passed", F.col("offending") == 0)
     cover = coverage_complete(coverage, work).select(F.lit("coverage").alias("check"), (F.col("expected") - F.col("present")).alias("offending"), "passed")
-    return pick_checks(own).unionByName(counts).unionByName(cover)
+    parts = [pick_checks(own), counts, cover]
+    if request is not None:
+        out = (F.col("peak") < request[0]) | (F.col("peak") >= request[1])
+        parts.append(own.agg(F.lit("peak_in_request").alias("check"), F.count_if(out).alias("offending")).withColumn("passed", F.col("offending") == 0))
+    if classes is not None:
+        parts.append(class_records(scoped(classes)))
+    return functools.reduce(DataFrame.unionByName, parts)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,6 +153,27 @@ def horizontal_amplitudes(peaks: DataFrame, by: list[str]) -> DataFrame:
     return peaks.groupBy(*by).agg(F.coalesce(mean, F.lit(float("nan"))).alias("amp"), F.coalesce(most, F.lit(float("nan"))).alias("amp_raw"))
 
 
+def moveout(traces: DataFrame, stations: DataFrame, event: tuple[float, float, float], gain: float = 3.0, vp: float = 6.0, ratio: float = 1.75) -> DataFrame:
+    """A record section as a table, in order of distance: each trace (of a station, ``tid``) with its distance from the
+    event (latitude, longitude, depth) in km, its largest amplitude, the samples scaled to ``gain`` and shifted to the
+    distance (a trace of zeros stays a line there), and the expected seconds of P and S."""
+    km = C.haversine_km(F.lit(event[0]), F.lit(event[1]), F.col("latitude"), F.col("longitude"))
+    placed = traces.join(stations.select(F.col("id").alias("tid"), "latitude", "longitude"), "tid").withColumn("km", km).drop("latitude", "longitude")
+    tp, ts = C.travel_seconds(C.hypocentral_km(F.col("km"), F.lit(event[2])), vp, ratio)
+    scaled = placed.withColumn("_x", C.doubles(F.col("samples"))).withColumn("peak", F.array_max(F.transform("_x", lambda v: F.abs(v))))
+    line = F.transform("_x", lambda v: F.coalesce(v / F.nullif(F.col("peak"), F.lit(0.0)), F.lit(0.0)) * gain + F.col("km"))
+    return scaled.withColumns({"line": line, "p_seconds": tp, "s_seconds": ts}).drop("_x", "samples").orderBy("km", "tid")
+
+
+def moveout_picks(picks: DataFrame, section: DataFrame, time: Column, before: float = 5.0, after: float = 45.0) -> DataFrame:
+    """The picks of a section's stations from ``before`` to ``after`` seconds around the event, with their distance and
+    how late they are after the expected time."""
+    places = section.select("tid", "km", "p_seconds", "s_seconds").distinct()
+    seconds = C.epoch_seconds(F.col("peak")) - C.epoch_seconds(time)
+    found = picks.join(places, "tid").withColumn("seconds", seconds).where(F.col("seconds").between(-before, after))
+    return found.withColumn("late", F.col("seconds") - F.when(F.col("pha") == "P", F.col("p_seconds")).otherwise(F.col("s_seconds"))).drop("p_seconds", "s_seconds")
+
+
 def merged(segments: DataFrame, keys: list[str], length: int) -> DataFrame:
     """One trace of ``length`` samples for each of ``keys``, from segments (offset in samples, samples): gaps become 0,
     what reaches beyond the ends is trimmed, and where segments overlap the earlier one stays. A trace has few

@@ -74,3 +74,11 @@ def first_complete_band(have: DataFrame, priority: list[str] = C.BAND_PRIORITY)
     """The best band that has complete data. ``have``: tid, cha, complete."""
     rank = F.array_position(F.array(*map(F.lit, priority)), F.col("cha"))
     return have.where(F.col("complete") & (rank > 0)).groupBy("tid").agg(F.min_by("cha", rank).alias("band"))
+
+
+def station_days(stations: DataFrame, start: datetime.date, end: datetime.date, by: list[str]) -> DataFrame:
+    """Stations, station-days of [start, end) by their operating windows, and days a station, by campaign, region or both,
+    with totals (null) of each. Stations without a day in the window count as stations."""
+    days = C.overlap_days(C.parse_year_day(F.col("start_date")), C.parse_year_day(F.col("end_date")), F.lit(start), F.lit(end))
+    found = stations.withColumn("_days", days).rollup(*by).agg(F.countDistinct("id").alias("stations"), F.sum("_days").alias("station_days"))
+    return found.withColumn("days_a_station", C.ratio(F.col("station_days"), F.col("stations")))

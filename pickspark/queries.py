@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions import columns as C
-from .operators import associate, bench, catalog, classify, filters, joins, matching, quality, recursive, scoring, signal
+from .operators import associate, bench, catalog, classify, filters, joins, matching, quality, recursive, scoring, signal, travel
 from .plans import planning
-from .plans.fixtures import Views
+from .plans.fixtures import VIEWS, Views
 from .registry import query
 from .sources import jobs, readers, shared, writers
 from .streaming import ingest
@@ -662,13 +662,6 @@ def _(v):
     return bench.pivot_recall(scores(v, ["weight", "pha"]), "pha", ["weight_a", "weight_b"]).select("pha", r("weight_a").alias("weight_a"), r("weight_b").alias("weight_b"))
 
 
-def threshold_curve(v: Views) -> DataFrame:
-    """A row for each model and threshold: emitted picks and the share of all its picks."""
-    picks = joins.with_run(v.picks, v.runs).withColumn("threshold", F.explode(F.filter(F.array(*[F.lit(x / 10) for x in range(10)]), lambda t: F.col("conf") >= t)))
-    emitted = picks.groupBy("weight", "threshold").agg(F.count("*").cast("double").alias("emitted"), F.countDistinct("tid").cast("double").alias("stations"))
-    return emitted.select("weight", "emitted", (F.col("stations") / 1000).alias("recall"))
-
-
 THRESHOLDS = [0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7]
 LEVELS = f"(SELECT unnest([{', '.join(f'{x}e0' for x in THRESHOLDS)}]) AS threshold) h"
 SWEPT = greedy_sql("threshold, tid, pha", ANALYST.format(keys="threshold, tid, pha", more=f", {LEVELS}"), f"SELECT threshold, tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks JOIN {LEVELS} ON conf >= threshold", 6 * HOURS)
@@ -679,7 +672,25 @@ def _(v):
     return matching.sweep(filters.analyst_only(v.analyst), v.picks, THRESHOLDS, ["tid", "pha"], 6 * HOURS).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
 
 
-BUDGET = """WITH c AS (SELECT weight, t / 10e0 AS threshold, CAST(count(*) AS DOUBLE) AS emitted, count(DISTINCT tid) / 1000e0 AS recall FROM fx_picks JOIN fx_runs USING (rid) JOIN range(10) g(t) ON conf >= t / 10e0 GROUP BY 1, 2),
+BY_MODEL = greedy_sql("weight, threshold, tid, pha", ANALYST.format(keys="weight, threshold, tid, pha", more=f", (SELECT DISTINCT weight FROM fx_runs) w, {LEVELS}"), f"SELECT weight, threshold, tid, pha, pick_id AS id, epoch_us(peak) / 1e6 AS t FROM fx_picks JOIN fx_runs USING (rid) JOIN {LEVELS} ON conf >= threshold", 6 * HOURS)
+CURVE = f"{BY_MODEL}, curve AS (SELECT weight, pha, threshold, {SCORED} FROM matched GROUP BY 1, 2, 3 HAVING count(arrival_id) >= 20)"
+
+
+def model_curve(v: Views) -> DataFrame:
+    """Recall and emitted picks of each model, phase and threshold."""
+    return matching.model_sweep(filters.analyst_only(v.analyst), joins.with_run(v.picks, v.runs), THRESHOLDS, ["tid", "pha"], 6 * HOURS, ["pha"])
+
+
+def budget_curve(v: Views) -> DataFrame:
+    return model_curve(v).where("pha = 'S'").select("weight", F.col("emitted").cast("double").alias("emitted"), "recall")
+
+
+@query("d14_model_sweep", f"WITH RECURSIVE {CURVE} SELECT weight, pha, threshold, {ROUNDED}, matched + extra AS emitted FROM curve")
+def _(v):
+    return model_curve(v).withColumns({c: r(c) for c in ("mae", "bias", "recall")})
+
+
+BUDGET = f"""WITH RECURSIVE {CURVE}, c AS (SELECT weight, CAST(matched + extra AS DOUBLE) AS emitted, recall FROM curve WHERE pha = 'S'),
 b AS (SELECT max(lo) AS lo, min(hi) AS hi FROM (SELECT weight, min(emitted) AS lo, max(emitted) AS hi FROM c GROUP BY 1) x), grid AS (SELECT lo + (hi - lo) * i / 4e0 AS budget FROM b, range(5) q(i) WHERE hi >= lo),
 s AS (SELECT weight, emitted, recall, lead(emitted) OVER w AS e1, lead(recall) OVER w AS r1 FROM c WINDOW w AS (PARTITION BY weight ORDER BY emitted, recall))
 SELECT round(budget, 4) AS budget, weight, round(max(recall + coalesce((budget - emitted) / nullif(e1 - emitted, 0) * (r1 - recall), 0e0)), 6) AS recall FROM s JOIN grid ON budget >= emitted AND (budget < e1 OR (e1 IS NULL AND budget = emitted)) GROUP BY 1, 2"""
@@ -687,7 +698,7 @@ SELECT round(budget, 4) AS budget, weight, round(max(recall + coalesce((budget -
 
 @query("d15_matched_budget", BUDGET)
 def _(v):
-    return bench.matched_budget(threshold_curve(v)).select(r("budget", 4).alias("budget"), "weight", r("recall").alias("recall"))
+    return bench.matched_budget(budget_curve(v)).select(r("budget", 4).alias("budget"), "weight", r("recall").alias("recall"))
 
 
 @query("d16_saturation", "SELECT weight, count(*) FILTER (WHERE conf >= 0.02e0) AS at_0_02, count(*) FILTER (WHERE conf >= 0.1e0) AS at_0_1, count(*) FILTER (WHERE conf >= 0.3e0) AS at_0_3 FROM fx_picks JOIN fx_runs USING (rid) WHERE pha = 'S' GROUP BY 1")
@@ -796,6 +807,14 @@ def _(v):
     return planning.selected_bands(v.stations).groupBy("network_code", "band").agg(F.count("*").alias("n"))
 
 
+@query("d29_station_days", f"""WITH s AS (SELECT id, network_code, CASE WHEN longitude < -120 THEN 'offshore' ELSE 'onshore' END AS campaign, greatest(0, date_diff('day', greatest(DATE '2024-01-01', coalesce(s, DATE '2024-01-01')), least(DATE '2024-02-01', coalesce(e, DATE '2024-01-31') + 1))) AS days FROM {STATION_DAYS})
+SELECT campaign, network_code AS region, count(DISTINCT id) AS stations, CAST(sum(days) AS BIGINT) AS station_days, round(sum(days) / CAST(count(DISTINCT id) AS DOUBLE), 6) AS days_a_station FROM s GROUP BY ROLLUP (campaign, network_code)""")
+def _(v):
+    campaign = F.when(F.col("longitude") < -120, F.lit("offshore")).otherwise(F.lit("onshore"))
+    found = planning.station_days(v.stations.withColumns({"campaign": campaign, "region": F.col("network_code")}), DAY0, DAY1, ["campaign", "region"])
+    return found.withColumn("days_a_station", r("days_a_station"))
+
+
 @query("d30_cost", f"WITH {PLAN} SELECT count(*) AS units, CAST(sum(n_station_days) AS BIGINT) AS station_days, round(sum(n_station_days) * 34e0 / 3600 * 8, 4) AS vcpu_hours, round(sum(n_station_days) * 34e0 / 3600 * 0.4e0, 4) AS dollars FROM units")
 def _(v):
     return planning.cost(planning.plan(v.stations, DAY0, DAY1), 34.0, 8, 0.4).withColumns({c: r(c, 4) for c in ("vcpu_hours", "dollars")})
@@ -820,6 +839,17 @@ def _(v):
     return catalog.stage_times(v.picks.select(F.col("cha").alias("stage"), F.col("conf").alias("seconds"))).select("stage", r("seconds", 4).alias("seconds"), "calls", r("share").alias("share"))
 
 
+@query("d33_stage_report", """WITH l AS (SELECT cha AS stage, conf AS seconds, CASE WHEN cha <> 'HN' THEN pick_id % 100 END AS units, CASE cha WHEN 'HH' THEN 'bytes' WHEN 'HN' THEN NULL ELSE 'picks' END AS unit FROM fx_picks),
+s AS (SELECT stage, sum(seconds) AS s, count(*) AS calls, CAST(sum(units) AS BIGINT) AS units, max(unit) AS unit FROM l GROUP BY 1)
+SELECT stage, round(s, 4) AS seconds, calls, units, unit, round(s / calls, 8) AS per_call, round(CASE unit WHEN 'bytes' THEN units / s / 1e6 WHEN 'picks' THEN s * 1000 / units END, 8) AS rate, round(s / 5000e0, 6) AS share FROM s
+UNION ALL SELECT unnest(['accounted', 'wall clock', 'unaccounted']), round(unnest([t, 5000e0, 5000e0 - t]), 4), NULL, NULL, NULL, NULL, NULL, round(unnest([t, 5000e0, 5000e0 - t]) / 5000e0, 6) FROM (SELECT sum(s) AS t FROM s) x""")
+def _(v):
+    units = F.when(F.col("cha") != "HN", F.col("pick_id") % 100)
+    unit = F.when(F.col("cha") == "HH", F.lit("bytes")).when(F.col("cha") != "HN", F.lit("picks"))
+    log = v.picks.select(F.col("cha").alias("stage"), F.col("conf").alias("seconds"), units.alias("units"), unit.alias("unit"))
+    return catalog.stage_report(log, 5000.0).withColumns({"seconds": r("seconds", 4), "per_call": r("per_call", 8), "rate": r("rate", 8), "share": r("share")})
+
+
 @query("d34_partition_remainder", "SELECT DISTINCT network_code, 'rest' AS kind FROM fx_stations WHERE network_code NOT IN ('N0', 'N1', 'N2') UNION ALL SELECT DISTINCT network_code, 'shared' FROM fx_stations WHERE network_code = 'N1'")
 def _(v):
     nets = v.stations.select("network_code").distinct()
@@ -1023,18 +1053,24 @@ def _(v):
 f AS (SELECT *, x / 10 - floor(x / 10) AS u, y / 5 - floor(y / 5) AS w FROM q)
 SELECT origin_id, round(a.tt * (1 - u) * (1 - w) + b.tt * u * (1 - w) + c.tt * (1 - u) * w + e.tt * u * w, 6) AS tt FROM f JOIN t a ON a.dist = floor(x / 10) AND a.depth = floor(y / 5) JOIN t b ON b.dist = a.dist + 1 AND b.depth = a.depth JOIN t c ON c.dist = a.dist AND c.depth = a.depth + 1 JOIN t e ON e.dist = a.dist + 1 AND e.depth = a.depth + 1""")
 def _(v):
-    table = v.spark.range(20).select(F.col("id").alias("i")).join(v.spark.range(6).select(F.col("id").alias("k"))).select("i", "k", (F.sqrt(F.col("i") * F.col("i") * 100.0 + F.col("k") * F.col("k") * 25.0) / 6).alias("tt"))
-    points = v.origins.select("origin_id", ((F.col("origin_id") * 13 % 1800) / 10).alias("x"), F.col("depth_km").alias("y"))
-    return planning_lookup(points, table, 10.0, 5.0).select("origin_id", r("tt").alias("tt"))
+    grid = v.spark.range(20).select((F.col("id") * 10.0).alias("distance")).join(v.spark.range(6).select((F.col("id") * 5.0).alias("depth")))
+    table = travel.table_of(travel.layered_table(grid, [0.0], {"P": [6.0]}))
+    points = v.origins.select("origin_id", F.lit("P").alias("pha"), ((F.col("origin_id") * 13 % 1800) / 10).alias("distance"), F.col("depth_km").alias("depth"))
+    return travel.looked_up(points, table).where("NOT outside").select("origin_id", r("seconds").alias("tt"))
 
 
-def planning_lookup(points: DataFrame, table: DataFrame, dx: float, dy: float) -> DataFrame:
-    """Travel times of a regular table (i, k, tt), bilinear between its cells; points outside it are left out."""
-    cells = table.select(F.explode(F.array(*[F.struct((F.col("i") - a).alias("ci"), (F.col("k") - b).alias("ck"), F.lit(2 * a + b).alias("corner"), "tt") for a in (0, 1) for b in (0, 1)])).alias("c")).select("c.*")
-    corners = cells.groupBy("ci", "ck").pivot("corner", [0, 1, 2, 3]).agg(F.first("tt")).dropna()
-    u, w = F.col("x") / dx - F.floor(F.col("x") / dx), F.col("y") / dy - F.floor(F.col("y") / dy)
-    found = points.withColumns({"ci": F.floor(F.col("x") / dx), "ck": F.floor(F.col("y") / dy)}).join(corners, ["ci", "ck"])
-    return found.withColumn("tt", F.col("0") * (1 - u) * (1 - w) + F.col("1") * (1 - u) * w + F.col("2") * u * (1 - w) + F.col("3") * u * w)
+@query("h09_uneven_table", """WITH d AS (SELECT i, i * i * 0.5e0 AS x0, (i + 1) * (i + 1) * 0.5e0 AS x1 FROM range(19) a(i)), z AS (SELECT k, k * k * 1e0 AS y0, (k + 1) * (k + 1) * 1e0 AS y1 FROM range(4) b(k)),
+q AS (SELECT arrival_id, pha, (arrival_id * 13 % 2000) / 10e0 AS x, (arrival_id * 7 % 180) / 10e0 AS y, CASE pha WHEN 'P' THEN 6e0 ELSE 3.5e0 END AS v FROM fx_analyst),
+f AS (SELECT q.*, x0, x1, y0, y1, (x - x0) / (x1 - x0) AS u, (y - y0) / (y1 - y0) AS w FROM q LEFT JOIN d ON (x >= x0 AND x < x1) OR (x = x1 AND i = 18) LEFT JOIN z ON (y >= y0 AND y < y1) OR (y = y1 AND k = 3))
+SELECT arrival_id, round((sqrt(x0 * x0 + y0 * y0) * (1 - u) * (1 - w) + sqrt(x1 * x1 + y0 * y0) * u * (1 - w) + sqrt(x0 * x0 + y1 * y1) * (1 - u) * w + sqrt(x1 * x1 + y1 * y1) * u * w) / v, 6) AS seconds, x0 IS NULL OR y0 IS NULL AS outside FROM f""")
+def _(v):
+    """A table of growing steps, written, read again and looked up; a tenth of the points is outside."""
+    path = scratch(v, "travel-times")
+    grid = v.spark.range(20 * 5).select((F.pow(F.floor(F.col("id") / 5), F.lit(2)) * 0.5).alias("distance"), F.pow(F.col("id") % 5, F.lit(2)).alias("depth"))
+    travel.write_table(travel.layered_table(grid, [0.0], {"P": [6.0], "S": [3.5]}), path)
+    points = v.analyst.select("arrival_id", "pha", ((F.col("arrival_id") * 13 % 2000) / 10).alias("distance"), ((F.col("arrival_id") * 7 % 180) / 10).alias("depth"))
+    found = travel.looked_up(points, travel.read_table(v.spark, path))
+    return found.select("arrival_id", r("seconds").alias("seconds"), "outside")
 
 
 @query("h12_ratios", "SELECT tid, round(count(*) FILTER (WHERE pha = 'P') / CAST(nullif(count(*) FILTER (WHERE pha = 'S'), 0) AS DOUBLE), 4) AS p_to_s FROM fx_picks GROUP BY 1")
@@ -1200,6 +1236,28 @@ def _(v):
     return x.select("trace_id", r("peak").alias("peak"), r(C.total(F.col("x")) / F.col("peak"), 4).alias("total"))
 
 
+EVENT = (37.0, -120.0, 10.0)
+SECTION = f"""SELECT t.trace_id, s.id AS tid, {KM.format(a='37e0', b='s.latitude', c='-120e0', d='s.longitude')} AS km, samples, list_max(list_transform(samples, lambda x: abs(CAST(x AS DOUBLE)))) AS peak FROM fx_traces t JOIN fx_stations s ON CAST(regexp_extract(s.id, 'S(\\d+)', 1) AS INT) = t.station_no"""
+
+
+def section_of(v: Views) -> DataFrame:
+    ids = v.stations.select(F.col("id").alias("tid"), F.regexp_extract("id", "S(\\d+)", 1).cast("int").alias("station_no"))
+    return signal.moveout(v.traces.join(ids, "station_no").select("trace_id", "tid", "samples"), v.stations, EVENT)
+
+
+@query("i13_moveout_by_distance", f"""SELECT trace_id, tid, round(km, 4) AS km, round(peak, 6) AS peak, round(samples[1] / peak * 3 + km, 4) AS first_point, round(samples[64] / peak * 3 + km, 4) AS last_point, round(sqrt(km * km + 100) / 6, 4) AS p_seconds, round(sqrt(km * km + 100) * 1.75e0 / 6, 4) AS s_seconds FROM ({SECTION}) x""")
+def _(v):
+    point = lambda i: r(F.get("line", F.lit(i)), 4)
+    return section_of(v).select("trace_id", "tid", r("km", 4).alias("km"), r("peak").alias("peak"), point(0).alias("first_point"), point(63).alias("last_point"), r("p_seconds", 4).alias("p_seconds"), r("s_seconds", 4).alias("s_seconds"))
+
+
+@query("i13_moveout_picks", f"""WITH s AS (SELECT DISTINCT tid, km, CASE WHEN true THEN sqrt(km * km + 100) / 6 END AS tp FROM ({SECTION}) x), p AS (SELECT pick_id, p.tid, pha, km, tp, (epoch_us(peak) - epoch_us(TIMESTAMP '2024-01-10')) / 1e6 AS seconds FROM fx_picks p JOIN s USING (tid))
+SELECT pick_id, pha, round(km, 4) AS km, round(seconds, 3) AS seconds, round(seconds - CASE pha WHEN 'P' THEN tp ELSE tp * 1.75e0 END, 3) AS late FROM p WHERE seconds BETWEEN -18000 AND 162000""")
+def _(v):
+    found = signal.moveout_picks(v.picks, section_of(v), time("2024-01-10"), 5 * HOURS, 45 * HOURS)
+    return found.select("pick_id", "pha", r("km", 4).alias("km"), r("seconds", 3).alias("seconds"), r("late", 3).alias("late"))
+
+
 # Models, association, jobs
 
 
@@ -1314,17 +1372,17 @@ def _(v):
     return associate.travel_table(v.stations, cells, 150.0, 6.0, 1.75).where("pha = 'P'").select("tid", "cell", r("tt", 4).alias("tt"))
 
 
+def picks_stream(v: Views) -> DataFrame:
+    stream = v.spark.readStream.schema(v.table("events").schema).option("pathGlobFilter", "events.parquet").parquet(v.dir)
+    stream.createOrReplaceTempView("events_stream")
+    return v.spark.sql(VIEWS["fx_picks"].replace("FROM events", "FROM events_stream"))
+
+
 @query("k02_stream_ingest", "SELECT tid, cha, pha, peak, count(*) AS copies FROM (SELECT DISTINCT tid, cha, pha, peak FROM fx_picks) x GROUP BY 1, 2, 3, 4")
 def _(v):
     """The events file as a stream: keyed picks without duplicates, then the catalog they make."""
     root, cover = scratch(v, "catalog"), scratch(v, "coverage")
-    schema = v.table("events").schema
-    stream = v.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(v.dir)
-    from .plans.fixtures import VIEWS
-
-    stream.createOrReplaceTempView("events_stream")
-    picks = v.spark.sql(VIEWS["fx_picks"].replace("FROM events", "FROM events_stream"))
-    job = ingest.ingest(ingest.deduplicated(picks, "400 days"), ingest.picks_then_coverage(root, cover), scratch(v, "progress"))
+    job = ingest.ingest(ingest.deduplicated(picks_stream(v), "400 days"), ingest.picks_then_coverage(root, cover), scratch(v, "progress"))
     job.awaitTermination()
     return readers.picks(v.spark, root).groupBy("tid", "cha", "pha", "peak").agg(F.count("*").alias("copies"))
 
@@ -1339,16 +1397,32 @@ def _(v):
     return readers.coverage(v.spark, cover)
 
 
+@query("k03_closed_days", """WITH d AS (SELECT DISTINCT tid, cha, pha, peak FROM fx_picks), m AS (SELECT max(peak) - INTERVAL 6 HOUR AS mark FROM d)
+SELECT tid, cha, CAST(year(peak) AS INT) AS yr, CAST(dayofyear(peak) AS INT) AS doy, count(*) AS npks FROM d, m WHERE CAST(peak AS DATE) + INTERVAL 1 DAY <= mark GROUP BY ALL""")
+def _(v):
+    """The events file as a stream: station-days that a watermark of six hours has closed, each written once."""
+    path = scratch(v, "coverage")
+    ingest.coverage_of_closed_days(picks_stream(v), path, scratch(v, "progress"), "6 hours").awaitTermination()
+    return readers.coverage(v.spark, path)
+
+
 @query("k04_plan", f"WITH {PLAN} SELECT shard_id, array_to_string(stations, ',') AS stations, \"start\", \"end\", n_station_days FROM units")
 def _(v):
     return planning.plan(v.stations, DAY0, DAY1).withColumn("stations", F.array_join("stations", ","))
 
 
+K5_CLASSES = "(SELECT trace_id, 2 * abs(samples[1]) AS eq, 2 * abs(samples[2]) AS px, CASE WHEN trace_id % 9 > 0 THEN 2 * abs(samples[3]) END AS su FROM fx_traces) c"
+
+
 @query("k05_verification", f"""SELECT "check", offending, offending = 0 OR "check" = 'amp_nan' AS passed FROM ({CHECKS} UNION ALL SELECT 'counts', (SELECT count(*) FILTER (WHERE NOT passed) FROM ({AGAINST_REFERENCE}) r) UNION ALL
-  SELECT 'coverage', (SELECT count(*) FROM (SELECT DISTINCT id, i FROM fx_stations, range(5) t(i)) w LEFT JOIN (SELECT DISTINCT tid, CAST(peak AS DATE) AS day FROM fx_picks) h ON h.tid = w.id AND h.day = DATE '2024-01-01' + CAST(i AS INT) WHERE h.tid IS NULL)) c""")
+  SELECT 'coverage', (SELECT count(*) FROM (SELECT DISTINCT id, i FROM fx_stations, range(5) t(i)) w LEFT JOIN (SELECT DISTINCT tid, CAST(peak AS DATE) AS day FROM fx_picks) h ON h.tid = w.id AND h.day = DATE '2024-01-01' + CAST(i AS INT) WHERE h.tid IS NULL)
+  UNION ALL SELECT 'peak_in_request', count(*) FROM fx_picks WHERE peak < TIMESTAMP '2024-01-02' OR peak >= TIMESTAMP '2024-02-01'
+  UNION ALL SELECT 'classes_written', CAST(count(*) = 0 AS BIGINT) FROM {K5_CLASSES} UNION ALL SELECT 'class_probabilities', count(*) FROM {K5_CLASSES} WHERE eq > 1 OR px > 1 OR su > 1 UNION ALL SELECT 'class_fields', count(*) FROM {K5_CLASSES} WHERE su IS NULL) c""")
 def _(v):
     work = joins.work_list(v.stations.select(F.col("id").alias("tid")), F.lit(DAY0), 5)
-    return quality.verify(v.picks, catalog.coverage(v.picks), work, reference_counts(v))
+    part = lambda i: 2 * F.abs(F.get("samples", F.lit(i)))
+    classes = v.traces.select("trace_id", part(0).alias("eq"), part(1).alias("px"), F.when(F.col("trace_id") % 9 > 0, part(2)).alias("su"), time("2024-01-01").alias("start_ts"))
+    return quality.verify(v.picks, catalog.coverage(v.picks), work, reference_counts(v), classes=classes, request=(time("2024-01-02"), time("2024-02-01")))
 
 
 K6 = f"""SELECT concat_ws('/', 'recall', weight, pha) AS metric, round(recall, 6) AS value FROM (WITH RECURSIVE {BY_WEIGHT} SELECT weight, pha, {SCORED} FROM matched GROUP BY 1, 2) a
@@ -1370,5 +1444,5 @@ def _(v):
         matching.sweep(filters.analyst_only(v.analyst), v.picks, THRESHOLDS, ["tid", "pha"], 6 * HOURS).select(named("emitted", F.round(F.col("threshold") * 100).cast("int").cast("string")), F.col("emitted").cast("double").alias("value")),
     ]
     place = F.row_number().over(Window.partitionBy("weight").orderBy("budget"))  # a few rows a model
-    parts.append(bench.matched_budget(threshold_curve(v)).withColumn("place", place).select(named("budget", F.col("weight"), F.col("place").cast("string")), r("recall").alias("value")))
+    parts.append(bench.matched_budget(budget_curve(v)).withColumn("place", place).select(named("budget", F.col("weight"), F.col("place").cast("string")), r("recall").alias("value")))
     return functools.reduce(DataFrame.unionByName, parts)

@@ -14,11 +14,35 @@ from ..operators import catalog, joins
 from ..sources import writers
 
 
+def watermarked(stream: DataFrame, late: str = "10 minutes", keys: list[str] | None = None, time: str = "peak") -> DataFrame:
+    """``stream`` with a watermark on ``time``, without repeated keys if they are given. Watermarks need a time with
+    zone; the session's zone is UTC."""
+    zoned = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+    return zoned if keys is None else zoned.dropDuplicatesWithinWatermark(keys)
+
+
 def deduplicated(stream: DataFrame, late: str = "10 minutes", keys: list[str] = schemas.PICK_KEY, time: str = "peak") -> DataFrame:
     """Rows with a new key; keys are remembered as long as late data may come, so state stays bounded."""
-    # Watermarks need a time with zone; the session's zone is UTC.
-    zoned = stream.withColumn(time, F.col(time).cast("timestamp"))
-    return zoned.withWatermark(time, late).dropDuplicatesWithinWatermark(keys).withColumn(time, F.col(time).cast("timestamp_ntz"))
+    return watermarked(stream, late, keys, time).withColumn(time, F.col(time).cast("timestamp_ntz"))
+
+
+def closed_days(picks: DataFrame, time: str = "peak") -> DataFrame:
+    """Picks (``watermarked``) by station, band and day, each row once: when the watermark has passed the day's end,
+    so that no pick can change it any more. What comes later than that is dropped; state holds the open days only.
+    For append mode."""
+    by_day = picks.groupBy("tid", "cha", F.window(time, "1 day").alias("_day")).agg(F.count("*").alias("npks"))
+    return by_day.select("tid", "cha", F.year("_day.start").alias("yr"), F.dayofyear("_day.start").alias("doy"), "npks")
+
+
+def coverage_of_closed_days(stream: DataFrame, path: str, checkpoint: str, late: str = "10 minutes", keys: list[str] | None = None, available_now: bool = True) -> StreamingQuery:
+    """Write each station-day's coverage once it is closed. A batch that comes again takes the place of what it
+    wrote before."""
+    days = closed_days(watermarked(stream, late, schemas.PICK_KEY if keys is None else keys))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writers.write_coverage(batch, path, batch_id)
+
+    return ingest(days, write, checkpoint, available_now)
 
 
 def ingest(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True, interval: str = "30 seconds") -> StreamingQuery:
