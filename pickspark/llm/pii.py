@@ -4,11 +4,12 @@ Validated values are found by pattern and check (Luhn sum, octets, calendar, IBA
 permuted within its own format by a keyed Feistel network: digits stay digits, letters letters, separators
 stay, check digits are computed anew, dates stay dates. The permutation depends on the key and the kind
 alone, so equal values stay equal across documents, different ones stay different, and no table of values
-is kept or shuffled. Letters of an e-mail address change regardless of case. Whoever has the key can undo it (``restore``, by the places found). Cards of one value
-written with different separators share their digits' pseudonym.
+is kept or shuffled. Letters of an e-mail address change regardless of case. Whoever has the key can undo it
+(``restore``, by the places found). Values written in several ways share a pseudonym: cards with different separators,
+phone numbers with and without country code and leading zeros, dates with and without zeros, IPv6 addresses.
 
-The pattern of a card or IBAN may take in a short token that follows. Shorter matches that end at a separator
-are tried too: cards grouped as on cards first, IBANs of their country's length first, then the longest. Dates
+The pattern of a card, IBAN or phone number may take in a short token that follows. Shorter matches that end at a
+separator are tried too: cards grouped as on cards first, IBANs of their country's length first, then the longest. Dates
 with slashes are read month first where day first is no date.
 
 Edge cases: a null text stays null, an empty one empty; numbers that fail validation stay as they are; whole
@@ -40,19 +41,22 @@ DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKL
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-])",
+    "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])",
+    "ip6": r"(?<![\w:.])(?=[0-9A-Fa-f]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]{6,39}(?![\w:])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
-    "phone": r"(?<![\d])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}|\+\d{8,15}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}([.-])\d{3}\1\d{4})(?!\d)",
+    "phone": r"(?<![\d+])(?:(?:\+\d{1,3}[ .-]?|00\d{1,3}[ .-])(?:\(\d{1,4}\)[ .-]?)?\d{1,8}(?:[ ./-]\d{2,8}){0,5}|\+\d{8,15}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}([.-])\d{3}\1\d{4}|0\d{1,4}(?: \d{2,4}){2,4}|0\d{1,4}(?:-\d{2,4}){2,4}|0\d{1,4}[ /-]\d{5,8})(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
 }
 #: IBAN lengths of countries, and how digits are grouped on cards.
 IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 LENGTH_OF = {country: n for n, countries in IBAN_LENGTHS.items() for country in countries.split()}
+#: The country codes of one and of two digits; all others have three.
+COUNTRY_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 CARD_FORM = re.compile(r"\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5}", re.ASCII)
 CARD = re.compile(KINDS["card"], re.ASCII)
 FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()).replace(r"([.-])\d{3}\1", r"(?P<_sep>[.-])\d{3}(?P=_sep)"), re.ASCII)
-MAY = re.compile(r"\d|@", re.ASCII)
+MAY = re.compile(r"\d|@|::", re.ASCII)
 
 
 def permute(value: int, size: int, key: bytes, kind: str, back: bool = False) -> int:
@@ -117,13 +121,26 @@ def card(text: str, key: bytes, back: bool) -> str | None:
 
 
 def phone(text: str, key: bytes, back: bool) -> str | None:
+    """The number in its country is permuted, the same however it is written: with a country code after + or 00, with
+    zeros before it, or alone. Country code, zeros and separators stay, and it does not begin with a zero after."""
     digits = re.sub(r"\D", "", text)
-    if not 7 <= len(digits) <= 15:
+    abroad = "" if text[0] != "+" and text[:2] != "00" else "+" if text[0] == "+" else "00"
+    head = 2 if abroad == "00" else 0
+    if abroad:
+        head += next((len(c) for c in COUNTRY_CODES if digits.startswith(c, head)), 3)
+    own = digits[head:].lstrip("0")
+    total = len(digits) - (2 if abroad == "00" else 0)
+    if digits[:head].endswith("1") and len(digits[:head].lstrip("0")) == 1:
+        valid = len(digits) == head + 10
+    elif not abroad and text[0] == "0":
+        valid = 10 <= total <= 12 and len(own) == total - 1
+    else:
+        valid = 8 <= total <= 15 if abroad else len(digits) == 10
+    if not valid or len(own) < 5:
         return None
-    country = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-    head = country[0] if country else ""
-    own = re.sub(r"\D", "", text[len(head) :])
-    return head + _put(spelled(own, key, "phone" + head, back), text[len(head) :])
+    least = 10 ** (len(own) - 1)
+    new = least + permute(int(own) - least, 9 * least, key, "phone", back)
+    return _put(digits[: len(digits) - len(own)] + str(new), text)
 
 
 def ssn(text: str, key: bytes, back: bool) -> str | None:
@@ -147,20 +164,49 @@ def ip(text: str, key: bytes, back: bool) -> str | None:
     return str(ipaddress.IPv4Address(permute(value, 1 << 32, key, "ip", back)))
 
 
+def ip6(text: str, key: bytes, back: bool) -> str | None:
+    """In canonical spelling. Addresses without a prefix, such as ::1, say nothing of a person and stay."""
+    try:
+        value = int(ipaddress.IPv6Address(text))
+    except ValueError:
+        return None
+    if value >> 96 == 0:
+        return None
+    while (value := permute(value, 1 << 128, key, "ip6", back)) >> 96 == 0:
+        pass
+    return str(ipaddress.IPv6Address(value))
+
+
+def short(day: datetime.date) -> bool:
+    """Whether a day or month of one digit tells if a date is written with zeros before them."""
+    return day.day < 10 or day.month < 10
+
+
 def date(text: str, key: bytes, back: bool) -> str | None:
-    for form in (f"%Y{text[4]}%m{text[4]}%d",) if text[4] in "-/" else ("%d/%m/%Y", "%m/%d/%Y") if text[2] == "/" else ("%d.%m.%Y",):
+    """Dates with a short day or month stay such, so that one written without zeros is read that way again; others stay
+    without, so that all spellings of a date go the same way."""
+    first, middle, last = re.split(r"[./-]", text)
+    if any(len(p) == 1 for p in (first, middle)) and any(p[0] == "0" for p in (first, middle)):
+        return None
+    bare = len(first) == 1 or len(middle) == 1
+    mark = text[len(first)]
+    for order in ("ymd",) if len(first) == 4 else ("dmy", "mdy") if mark == "/" else ("dmy",):
+        part = dict(zip(order, map(int, (first, middle, last))))
         try:
-            day = datetime.datetime.strptime(text, form).toordinal()
+            day = datetime.date(part["y"], part["m"], part["d"])
         except ValueError:
             continue
-        if not FIRST_DAY <= day <= LAST_DAY:
+        at = day.toordinal()
+        if not FIRST_DAY <= at <= LAST_DAY:
             return None
         while True:
-            day = FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
-            moved = datetime.date.fromordinal(day)
+            at = FIRST_DAY + permute(at - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
+            moved = datetime.date.fromordinal(at)
             # What is read month first has a day over 12, and keeps one: else it would be read day first.
-            if form != "%m/%d/%Y" or moved.day > 12:
-                return moved.strftime(form)
+            if short(moved) == short(day) and (order != "mdy" or moved.day > 12):
+                break
+        wide = {"y": f"{moved.year}", "m": f"{moved.month}" if bare else f"{moved.month:02d}", "d": f"{moved.day}" if bare else f"{moved.day:02d}"}
+        return mark.join(wide[c] for c in order)
     return None
 
 
@@ -181,14 +227,16 @@ def email(text: str, key: bytes, back: bool) -> str | None:
     return "".join(n.upper() if c.isupper() else n for c, n in zip(local, new)) + f"@{domain}"
 
 
-MAKERS: dict[str, Callable[[str, bytes, bool], str | None]] = {"email": email, "iban": iban, "date": date, "ip": ip, "phone": phone, "ssn": ssn, "card": card}
+MAKERS: dict[str, Callable[[str, bytes, bool], str | None]] = {"email": email, "iban": iban, "date": date, "ip6": ip6, "ip": ip, "phone": phone, "ssn": ssn, "card": card}
 
 
 def readings(kind: str, text: str) -> list[str]:
     """``text`` and its beginnings that end at a separator, in the order in which they are tried."""
-    if kind not in ("card", "iban"):
+    if kind not in ("card", "iban", "phone"):
         return [text]
-    parts = [text[:i] for i in range(len(text), 0, -1) if i == len(text) or text[i] in " -"]
+    parts = [text[:i] for i in range(len(text), 0, -1) if i == len(text) or text[i] in " -" or kind == "phone" and text[i] in "./"]
+    if kind == "phone":
+        return parts
     if kind == "card":
         return sorted((p for p in parts if sum(c in DIGITS for c in p) >= 13), key=lambda p: not CARD_FORM.fullmatch(p))
     return sorted(parts, key=lambda p: len(p.replace(" ", "")) != LENGTH_OF.get(p[:2]))

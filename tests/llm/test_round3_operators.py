@@ -291,3 +291,110 @@ def test_alignment_of_nothing(spark):
     assert alignment.aligned(spark.createDataFrame([], schema), queries.BYTE_BPE, queries.PIECES).count() == 0
     none = alignment.aligned(spark.createDataFrame([(1, None), (1, ""), (None, "▁")], schema), queries.BYTE_BPE, queries.PIECES).collect()
     assert sorted((r.doc_id or 0, r.n_a, r.n_links, r.groups_sha256) for r in none) == [(0, 0, 0, ""), (1, 0, 0, ""), (1, 0, 0, "")]
+
+
+# Personal data in several spellings
+
+FORMS = {
+    "phone": [["+1 415 555 0199", "+14155550199", "415-555-0199", "415.555.0199", "(415) 555-0199", "001 415 555 0199"], ["+44 20 7946 0958", "0044 20 7946 0958", "020 7946 0958", "+442079460958", "+44 (0)20 7946 0958"], ["+33 6 12 34 56 78", "06 12 34 56 78", "+33612345678"], ["+49 30 901820"], ["+358 9 1234567"]],
+    "date": [["3.2.1990", "03.02.1990", "1990-02-03", "3/2/1990", "03/02/1990"], ["25.12.1990", "12/25/1990", "1990/12/25", "25/12/1990"]],
+    "ip6": [["2001:db8::ff00:42:8329", "2001:0DB8:0:0:0:ff00:42:8329"]],
+}
+
+
+def test_spellings_of_one_value_stay_linked():
+    from pickspark.llm import pii
+
+    plain = {
+        "phone": lambda s: re.sub(r"\D", "", s)[-9:].lstrip("0")[-9:],
+        "date": lambda s: s,
+        "ip6": lambda s: s,
+    }
+    for kind, groups in FORMS.items():
+        for group in groups:
+            made = []
+            for text in group:
+                new, spans = pii.replace(f"see {text}, please", b"key")
+                assert [k for k, _, _ in spans] == [kind] and text not in new, text
+                back, _ = pii.undone(new, spans, b"key")
+                assert back == f"see {text}, please" or kind == "ip6", text
+                made.append(new[spans[0][1] : spans[0][2]])
+            if kind == "phone":
+                assert len({plain[kind](m) for m in made}) == 1, made
+            elif kind == "ip6":
+                assert len(set(made)) == 1
+    spelled = [pii.replace(t, b"key")[0] for t in FORMS["date"][0]]
+    assert len({tuple(map(int, sorted(re.split(r"[./-]", t), key=int))) for t in spelled}) == 1
+
+
+def test_what_looks_like_a_value_stays():
+    from pickspark.llm import pii
+
+    for text in ("::1", "12:30:45", "std::vector", "00:1B:44:11:3A:B7", "030 901820", "1/2", "32.13.1990", "03.2.1990", "+1 415 555 01", "version 1.2.3", "0 12 34"):
+        assert pii.replace(text, b"key") == (text, []), text
+
+
+def test_benchmark_with_text_ids(spark):
+    from pickspark.llm import decontamination
+
+    words = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "none of it"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([("b-10", " ".join(words[3:15])), ("b-9", " ".join(words[10:24])), ("c", "absent " * 12), (None, " ".join(words))], "item_id string, text string")
+    got = {r.doc_id: r for r in decontamination.documents_against_benchmark(docs, bench).collect()}
+    assert (got[1].n_items, got[1].n_hit, got[1].items_sha256) == (2, 21, hashlib.sha256(b"b-10,b-9").hexdigest())
+    assert not got[2].contaminated and got[3].n_words == 0
+
+
+def test_empty_tables(spark):
+    from pickspark.llm import bpe, decontamination, ngram_join, quality_rules, token_counts
+
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert bpe.documents_round_trip(docs, queries.BYTE_BPE).count() == 0
+    assert ngram_join.similarity_components(docs, 3, 90, 100).count() == 0 and ngram_join.one_of_each(docs).count() == 0
+    assert token_counts.documents_token_counts(docs, queries.PIECES).count() == 0
+    assert decontamination.documents_against_benchmark(docs, spark.createDataFrame([(1, "a b")], "item_id long, text string")).count() == 0
+    assert quality_rules.documents_kept(docs, labels).count() == 0
+
+
+def test_texts_longer_than_a_slab(spark, monkeypatch):
+    from pickspark.llm import decontamination, grammar_files, ngram_join
+
+    monkeypatch.setattr(ngram_join, "SLAB", 1 << 12)
+    rng = random.Random(12)
+    words = [f"{rng.randrange(10**7)}" for _ in range(4000)]
+    other = list(words)
+    other[2000] = "x" * 9000  # longer than two slabs
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words[::-1])), (None, " ".join(words)), (4, " ".join(words))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.similarity_components(df.where("doc_id IS NOT NULL"), 3, 90, 100).collect()}
+    assert got == {(1, 3998): 1, (2, 3998): 1, (3, 3998): 3, (4, 3998): 1}
+    assert ngram_join.similarity_components(df, 3, 90, 100).count() == len(rows)
+    long = " ".join(words) * 40  # over a megabyte
+    whole = Tokenizer.from_file(queries.BYTE_BPE).encode(long, add_special_tokens=False).ids
+    assert grammar_files.LibraryEncoder(queries.BYTE_BPE).encode(long).tolist() == whole
+    found = decontamination.documents_against_benchmark(spark.createDataFrame([(1, long * 7)], "doc_id long, text string"), spark.createDataFrame([(5, " ".join(words[1:13]))], "item_id long, text string")).first()
+    assert found.n_hit == 12 * 280 and found.n_items == 1
+
+
+def test_jump_hash_equals_a_scalar_loop(spark):
+    from pickspark.llm import sharding
+
+    def jump(key, buckets):
+        b, j = -1, 0
+        while j < buckets:
+            b = j
+            key = (key * 2862933555777941757 + 1) & (1 << 64) - 1
+            j = int((b + 1) * (2.0**31 / ((key >> 33) + 1)))
+        return b
+
+    rng = random.Random(13)
+    docs = spark.createDataFrame([(None if i == 7 else rng.randrange(-(1 << 62), 1 << 62), "same" if i % 3 else f"t{i}") for i in range(300)] + [(5, "a"), (5, "a")], "doc_id long, text string")
+    hashed = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    rows = sharding.documents_to_shards(docs).collect()
+    assert len(rows) == 302
+    for r in rows:
+        if r.doc_id is None:  # rows without a key share a shard
+            assert (r.shard, r.grown_shard) == (0, 0)
+            continue
+        assert (r.shard, r.grown_shard) == (jump(hashed[r.doc_id] & (1 << 64) - 1, 40), jump(hashed[r.doc_id] & (1 << 64) - 1, 41))
