@@ -16,6 +16,7 @@ repeated rows are judged alike; extra columns of the documents stay, those named
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,8 +33,14 @@ PASS_BYTES = 16 << 20
 #: All ASCII characters other than letters and digits separate words.
 TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
-MATCH = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("item_id", "at", "length")]))
-FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("hits", T.BinaryType()), T.StructField("matches", MATCH)]
+
+
+def fields(item: T.DataType) -> list[T.StructField]:
+    match = T.StructType([T.StructField("item_id", item), T.StructField("at", T.LongType()), T.StructField("length", T.LongType())])
+    return [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("hits", T.BinaryType()), T.StructField("matches", T.ArrayType(match))]
+
+
+NAMES = ["n_words", "n_hit", "hits", "matches"]
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -45,13 +52,13 @@ def words_of(text: str | None) -> list[bytes]:
 class Items:
     """Benchmark items as word numbers; the windows by length, distinct, with where they come from."""
 
-    ids: list[int]
+    ids: list  # numbers or texts
     number: dict[bytes, int]
     words: np.ndarray  # all items' words, 0 after each item
     windows: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # length, starts of distinct windows, group ends, (item, start) of each group
 
     @staticmethod
-    def of(rows: list[tuple[int, str]], window: int) -> Items:
+    def of(rows: list[tuple], window: int) -> Items:
         number: dict[bytes, int] = {}
         words, ids, begins = [], [], {}
         for item, text in rows:
@@ -130,10 +137,21 @@ def search(texts: list[str | None], items: Items) -> list[tuple[int, np.ndarray,
     return [(n, hit[b : b + n], by_doc.get(i, [])) for i, (n, b) in enumerate(zip(sizes, begins.tolist()))]
 
 
-def passes(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+_items: dict[str, Items] = {}
+
+
+def items_of(name: str, rows: list[tuple], window: int) -> Items:
+    """A lot's items, made once in each Python worker; one lot is kept."""
+    if name not in _items:
+        _items.clear()
+        _items[name] = Items.of(rows, window)
+    return _items[name]
+
+
+def passes(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple]]:
     """The benchmark's items in lots of ``PASS_BYTES``; one lot at a time is held by the driver."""
-    rows = benchmark.select(F.col(item_col).cast("long"), F.col(text_col)).where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
-    lot: list[tuple[int, str]] = []
+    rows = benchmark.select(F.col(item_col), F.col(text_col)).where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull())
+    lot: list[tuple] = []
     held = 0
     for item, text in rows.toLocalIterator():
         if held > PASS_BYTES:
@@ -146,17 +164,21 @@ def passes(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[
 
 def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Add ``n_words``, ``n_hit``, ``hits`` (a bit for each word, little-endian) and ``matches``: the longest verbatim
-    match of each item that has a window here, as item id, first word and number of words."""
+    match of each item that has a window here, as item id (a number or a text), first word and number of words."""
     spark = df.sparkSession
-    out = df.drop(*(f.name for f in FIELDS))
+    out = df.drop(*NAMES)
     base = out.schema.fields
     names = [f.name for f in base]
-    schema = T.StructType([*base, *FIELDS])
+    whole = isinstance(benchmark.schema[item_col].dataType, T.IntegralType)
+    benchmark = benchmark.withColumn(item_col, F.col(item_col).cast("long" if whole else "string"))
+    schema = T.StructType([*base, *fields(T.LongType() if whole else T.StringType())])
+    kinds = pa.list_(pa.struct([("item_id", pa.int64() if whole else pa.string()), ("at", pa.int64()), ("length", pa.int64())]))
     for nth, lot in enumerate(passes(benchmark, item_col, item_text_col)):
         sent = spark.sparkContext.broadcast(lot)  # PASS_BYTES at most, and its last item
+        name = uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent, nth=nth) -> Iterator[pa.RecordBatch]:
-            items = Items.of(sent.value, window)
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, nth=nth, name=name) -> Iterator[pa.RecordBatch]:
+            items = items_of(name, sent.value, window)
             for batch in batches:
                 for part in chunks(batch, text_col):
                     rows = search(part.column(text_col).to_pylist(), items)
@@ -166,10 +188,9 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
                         old = part.column("hits").to_pylist()
                         hits = [(np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes() for a, b in zip(hits, old)]
                         found = [a + b for a, b in zip(part.column("matches").to_pylist(), found)]
-                    kinds = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "at", "length")]))
                     yield pa.RecordBatch.from_arrays(
                         [part.column(n) for n in names] + [pa.array([r[0] for r in rows], pa.int64()), pa.array([int(np.bitwise_count(np.frombuffer(h, np.uint8)).sum()) for h in hits], pa.int64()), pa.array(hits, pa.binary()), pa.array(found, kinds)],
-                        names=[*names, *(f.name for f in FIELDS)],
+                        names=[*names, *NAMES],
                     )
 
         out = out.mapInArrow(run, schema)
@@ -178,7 +199,7 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
 
 def clean(df: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``df`` in which no window of the benchmark occurs."""
-    own = {f.name: f"_own_{f.name}" for f in FIELDS if f.name in df.columns}
+    own = {n: f"_own_{n}" for n in NAMES if n in df.columns}
     marked = matches(df.withColumnsRenamed(own), benchmark, window).where(F.size("matches") == 0)
     return marked.select(*(F.col(own.get(c, c)).alias(c) for c in df.columns))
 
