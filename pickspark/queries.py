@@ -48,13 +48,6 @@ def _(v):
     return filters.in_networks(readers.stations(v.spark, path), " N1 , N2").select("id", "network_code", r("latitude").alias("latitude"), r("longitude").alias("longitude"))
 
 
-@query("a05_unit_round_trip", None)
-def _(v):
-    path = scratch(v, "units")
-    writers.write_units(planning.plan(v.stations, DAY0, DAY1), path)
-    return readers.units(v.spark, path)
-
-
 @query("a03_id_lists", "SELECT id, kind FROM (SELECT DISTINCT id FROM fx_stations) s, (SELECT unnest(['text', 'csv']) AS kind) k")
 def _(v):
     """A text list with comments, blank lines and more columns, and a CSV file."""
@@ -1406,6 +1399,13 @@ def _(v):
     return readers.coverage(v.spark, path)
 
 
+@query("a05_unit_round_trip", f"WITH {PLAN} SELECT shard_id, array_to_string(stations, ',') AS stations, \"start\", \"end\", n_station_days FROM units")
+def _(v):
+    path = scratch(v, "units")
+    writers.write_units(planning.plan(v.stations, DAY0, DAY1), path)
+    return readers.units(v.spark, path).withColumn("stations", F.array_join("stations", ","))
+
+
 @query("k04_plan", f"WITH {PLAN} SELECT shard_id, array_to_string(stations, ',') AS stations, \"start\", \"end\", n_station_days FROM units")
 def _(v):
     return planning.plan(v.stations, DAY0, DAY1).withColumn("stations", F.array_join("stations", ","))

@@ -41,10 +41,9 @@ def test_same_as_sql(spark, duck, name):
     assert mine == sorted(tuple(plain(r[c]) for c in columns) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES.keys() - registry.ORACLES.keys()))
-def test_runs(spark, name):
-    df = registry.QUERIES[name](spark, SF)
-    assert df.columns and df.count() >= 0
+def test_queries_without_sql_have_a_plain_version():
+    """The classification chain is compared with plain steps in test_signal_chain.py."""
+    assert registry.QUERIES.keys() - registry.ORACLES.keys() == {"j03_classification_job"}
 
 
 def test_listings_are_whole(spark):
