@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, text_or_empty
+from .common import chunks, lean, text_or_empty
 
 #: The pre-token pattern of byte-level BPE vocabularies, and the bytes that stand for
 #: themselves in their files (the others are numbered from 256 in order).
@@ -36,7 +36,7 @@ PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 CUT = re.compile(r" (?=\S)")
 UNSAFE = re.compile(r" (?=\s)| $")
 #: Entries kept in each memo table before it is emptied.
-MEMO = 300_000
+MEMO = 150_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -242,7 +242,7 @@ def encode(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str
                 ids = [c.encode(t or "") for t in part.column(text_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(ids, pa.binary())], names=[*names, ids_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -257,7 +257,7 @@ def decode(df: DataFrame, vocabulary: str, ids_col: str = "ids", text_col: str =
                 texts = [c.decode(i or b"") for i in part.column(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(texts, pa.string())], names=[*names, text_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:
@@ -273,7 +273,7 @@ def round_trip(df: DataFrame, vocabulary: str, text_col: str = "text", ids_col:
                 texts = [c.decode(i) for i in ids]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(ids, pa.binary()), pa.array(texts, pa.string())], names=[*names, ids_col, decoded_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def digest(encoded: DataFrame, ids_col: str = "ids", decoded_col: str = "decoded") -> DataFrame:

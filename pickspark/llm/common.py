@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -102,6 +104,26 @@ def chunks(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Ite
         yield batch.slice(start)
 
 
+def release() -> None:
+    """Give back to the system what this Python worker has freed. Workers go on from stage to stage, and what one
+    stage's arrays took would else count beside the tables of the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, and ``release`` when a task is through."""
+
+    def through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return through
+
+
 def text_or_empty(column: str = "text"):
     """The whole text, where null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

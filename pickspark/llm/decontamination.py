@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import chunks, lean
 
 #: UTF-8 bytes of benchmark text that are sent to the executors at a time; more takes more passes.
 PASS_BYTES = 16 << 20
@@ -193,7 +193,7 @@ def matches(df: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str
                         names=[*names, *NAMES],
                     )
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(lean(run), schema)
     return out
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, chunks
+from .common import Scratch, chunks, lean
 from .components import connected_components
 from .hashing import IS_SPACE, PAD, U, mix, word_names
 
@@ -166,7 +166,7 @@ def keyed(df: DataFrame, words: int, num: int, den: int) -> DataFrame:
                     keys = [tile_keys(h, bands).view(np.int64) if len(h) else np.zeros(0, np.int64) for h in shingle_sets(part.column("text").to_pylist(), words)]
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("doc_id").to_numpy(), [len(k) for k in keys])), pa.array(np.concatenate(keys))], names=["node", "key"])
 
-    return df.where("doc_id IS NOT NULL").mapInArrow(run, "node long, key long")
+    return df.where("doc_id IS NOT NULL").mapInArrow(lean(run), "node long, key long")
 
 
 def described(df: DataFrame, words: int) -> DataFrame:
@@ -181,7 +181,7 @@ def described(df: DataFrame, words: int) -> DataFrame:
                 columns = [part.column("doc_id").cast(pa.int64()), pa.array([len(h) for h in sets], pa.int64()), *(pa.array(prints[:, i]) for i in range(2)), pa.array([bitmap(h) for h in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "fa", "fb", "bits"])
 
-    return df.mapInArrow(run, "doc_id long, n long, fa long, fb long, bits binary")
+    return df.mapInArrow(lean(run), "doc_id long, n long, fa long, fb long, bits binary")
 
 
 def only(df: DataFrame, ids: DataFrame, column: str = "doc_id", how: str = "left_semi", most: int = MOST_SENT) -> DataFrame:
@@ -225,7 +225,7 @@ def compared(scratch: Scratch, pairs: DataFrame, payloads: DataFrame, prepare: C
 
     sent = only(payloads, asked, "id", "inner")
     dealt = sent.repartition("a", "block").sortWithinPartitions("a", "block", "role", "id")
-    return scratch.put(dealt.select("a", "block", "role", "id", "payload").mapInArrow(run, "a long, b long").distinct(), "passed")
+    return scratch.put(dealt.select("a", "block", "role", "id", "payload").mapInArrow(lean(run), "a long, b long").distinct(), "passed")
 
 
 def by_bitmap(num: int, den: int) -> Test:
@@ -303,7 +303,7 @@ def candidates(members: DataFrame, marks: DataFrame, num: int, den: int, limit:
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = members.withColumn("block", own).withColumn("other", other).withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
     rows = dealt.select(*names[:-1]).join(marks, "node").select(*names)
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block", "node").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block", "node").mapInArrow(lean(run), "a long, b long").distinct()
 
 
 def similarity_components(df: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

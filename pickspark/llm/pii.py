@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import chunks, lean
 
 ROUNDS = 8
 #: Dates are permuted within these years.
@@ -316,7 +316,7 @@ def pseudonymise(df: DataFrame, key: bytes, text_col: str = "text", spans_col: s
                 found = pa.array([[{"kind": k, "begin": b, "end": e} for k, b, e in r[1]] for r in rows], pa.list_(span))
                 yield pa.RecordBatch.from_arrays([*columns.values(), found], names=[*names, spans_col])
 
-    return df.select(*names, *([spans_col] if placed else [])).mapInArrow(run, T.StructType([*base, T.StructField(spans_col, SPANS)]))
+    return df.select(*names, *([spans_col] if placed else [])).mapInArrow(lean(run), T.StructType([*base, T.StructField(spans_col, SPANS)]))
 
 
 def restore(df: DataFrame, key: bytes, text_col: str = "text", spans_col: str = "pii") -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, written
+from .common import chunks, lean, written
 
 MAX_LABELLED = 10_000
 FEATURES = 2048
@@ -157,7 +157,7 @@ def learn(documents: DataFrame, labels: DataFrame, categories: dict[str, str], i
 
     # The sample is bounded, so it may be sent everywhere instead of shuffling texts.
     picked = documents.select(F.col(id_col), F.col(text_col)).join(F.broadcast(written(sample, "labelled")), id_col).drop(id_col)
-    rows = written(picked.mapInArrow(run, ", ".join(f"_y{i} int" for i in range(len(names))) + ", features array<string>"), "features")
+    rows = written(picked.mapInArrow(lean(run), ", ".join(f"_y{i} int" for i in range(len(names))) + ", features array<string>"), "features")
     sums = rows.agg(F.count("*").alias("n"), *(F.count(y).alias(f"n{y}") for y in ys), *(F.sum(y).alias(y) for y in ys)).first()
     if not sums["n"]:
         return train_chain([], np.zeros((0, len(names))), names, {})
@@ -210,7 +210,7 @@ def score(df: DataFrame, chain: Chain, text_col: str = "text", prefix: str = "p_
                 p = model.scores(rows)
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *(pa.array(p[:, i]) for i in range(len(outs)))], names=[*names, *outs])
 
-    return df.select(*names).mapInArrow(run, T.StructType([*base, *(T.StructField(o, T.DoubleType()) for o in outs)]))
+    return df.select(*names).mapInArrow(lean(run), T.StructType([*base, *(T.StructField(o, T.DoubleType()) for o in outs)]))
 
 
 #: The chain over the ``labels`` table.
