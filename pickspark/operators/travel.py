@@ -17,7 +17,7 @@ MOST_VALUES = 1 << 20
 
 def layered_seconds(km: np.ndarray, depth: np.ndarray, tops: list[float], speeds: list[float]) -> np.ndarray:
     """First arrivals at the surface, ``km`` away from sources at ``depth``: the direct ray, and head waves along the
-    top of each faster layer below the source. ``tops`` begin with 0; the last layer has no bottom."""
+    top of each layer below the source that is faster than all above it. ``tops`` begin with 0; the last layer has no bottom."""
     km, depth = (np.asarray(x, float) for x in np.broadcast_arrays(km, depth))
     edges = np.array([*tops[1:], np.inf])
     v = np.array(speeds, float)
@@ -45,17 +45,15 @@ def layered_seconds(km: np.ndarray, depth: np.ndarray, tops: list[float], speeds
     out = np.where(used.any(-1), out, km / v[np.maximum(own, 0)])
     for n in range(1, len(v)):
         down = np.clip(edges[:n] - np.maximum(np.array(tops[:n]), depth[..., None]), 0, None)
+        # Only a layer that is faster than all above it carries a wave whose legs reach it at the critical angle.
         if not np.all(v[n] > v[:n]):
-            crossed = (np.minimum(edges[:n], np.maximum(depth[..., None], 0)) > np.array(tops[:n])) | (down > 0)
-            slower = np.all((v[n] > v[:n]) | ~crossed, axis=-1)
-        else:
-            slower = np.ones(km.shape, bool)
+            continue
         root = np.sqrt(np.maximum(1 / v[:n] ** 2 - 1 / v[n] ** 2, 0))
-        legs = above[..., :n] + down
+        legs = down + (edges[:n] - np.array(tops[:n]))  # down from the source, and up through all
         tan = 1 / v[n] / np.maximum(root, 1e-300)
         least = (legs * tan).sum(-1)
         wave = km / v[n] + (legs * root).sum(-1)
-        out = np.where(slower & (depth <= tops[n]) & (km >= least), np.minimum(out, wave), out)
+        out = np.where((depth <= tops[n]) & (km >= least), np.minimum(out, wave), out)
     return out
 
 
