@@ -131,26 +131,31 @@ def raw_amplitudes(picks: DataFrame, traces: DataFrame, keys: list[str], before:
     component has the whole window outside the taper."""
     tapered = C.taper(F.col("samples"), F.col("rate_hz"), taper_seconds)
     prepared = traces.withColumn("samples", C.doubles(F.col("samples"))).withColumn("samples", C.detrend(F.col("samples"))).withColumn("samples", tapered)
-    peaks = window_peaks(picks, high_pass(prepared, low), keys, before, after, taper_seconds)
-    return peaks.groupBy(*picks.columns).agg(F.coalesce(F.max("peak_abs"), F.lit(float("nan"))).alias("amp_raw_peak"))
+    found = amplitudes(picks, high_pass(prepared, low), keys, before, after, taper_seconds, traces)
+    return found.withColumnRenamed("amp_raw", "amp_raw_peak").drop("amp")
 
 
-def window_peaks(picks: DataFrame, traces: DataFrame, keys: list[str], before: float = 3.0, after: float = 10.0, taper_seconds: float = 60.0) -> DataFrame:
-    """``peak_abs`` of each pick and trace of its keys, both ends of the window included; null where the window
-    leaves the trace or reaches into the taper."""
+def amplitudes(picks: DataFrame, traces: DataFrame, keys: list[str], before: float = 3.0, after: float = 10.0, taper_seconds: float = 60.0, times: DataFrame | None = None) -> DataFrame:
+    """For each pick the mean of the horizontals' peaks (as for magnitudes) and the largest of all components' (``amp``,
+    ``amp_raw``), both ends of the window included; NaN where no trace of its keys has the whole window outside the
+    taper. ``times``: traces of the same keys, times and lengths that are cheaper to read than ``traces``.
+
+    A window is measured once for each trace, for all picks that have it, and its measures are joined back. So the work
+    grows with the picks and with the samples (a trace has no more windows than samples), not with pairs of picks and traces."""
+    grid, window = [*keys, "t0", "rate_hz"], ["_start", "_length"]
+    lengths = (traces if times is None else times).groupBy(*grid).agg(F.max(F.size("samples")).alias("_most"))
     first = C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0"))
     start = F.round((first - before) * F.col("rate_hz")).cast("int")
-    length = F.round((first + after) * F.col("rate_hz")).cast("int") + 1 - start
+    length = F.round((first + after) * F.col("rate_hz")).cast("int") + 1 - F.col("_start")
+    placed = picks.join(lengths, keys, "left").withColumn("_start", start).withColumn("_length", length)
+    asked = placed.where("_start >= 0 AND _length > 0 AND _start + _length <= _most").select(*grid, *window).distinct()
     margin = F.ceil(F.least(F.col("rate_hz") * taper_seconds, (F.size("samples") - 1) * F.lit(0.05)) - 1e-9).cast("int")
-    return picks.join(traces, keys, "left").withColumn("peak_abs", C.peak_in_window(F.col("samples"), start, length, margin)).drop("samples")
-
-
-def horizontal_amplitudes(peaks: DataFrame, by: list[str]) -> DataFrame:
-    """Mean of the horizontals' peaks (as for magnitudes) and the largest of all components; NaN where none could
-    be measured."""
-    flat = F.col("component").isin("N", "E", "1", "2")
-    mean, most = F.avg(F.when(flat, F.col("peak_abs"))), F.max("peak_abs")
-    return peaks.groupBy(*by).agg(F.coalesce(mean, F.lit(float("nan"))).alias("amp"), F.coalesce(most, F.lit(float("nan"))).alias("amp_raw"))
+    peaks = traces.join(asked, grid).select(*grid, *window, "component", C.peak_in_window(F.col("samples"), F.col("_start"), F.col("_length"), margin).alias("peak_abs"))
+    flat = F.when(F.col("component").isin("N", "E", "1", "2"), F.col("peak_abs"))
+    measured = peaks.groupBy(*grid, *window).agg(F.sum(flat).alias("_sum"), F.count(flat).alias("_n"), F.max("peak_abs").alias("_top"))
+    found = placed.join(measured, [*grid, *window], "left").groupBy(*picks.columns)
+    nan = F.lit(float("nan"))
+    return found.agg(F.coalesce(C.ratio(F.sum("_sum"), F.sum("_n")), nan).alias("amp"), F.coalesce(F.max("_top"), nan).alias("amp_raw"))
 
 
 def moveout(traces: DataFrame, stations: DataFrame, event: tuple[float, float, float], gain: float = 3.0, vp: float = 6.0, ratio: float = 1.75) -> DataFrame:
