@@ -4,9 +4,11 @@ import datetime
 import math
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from pickspark.operators import signal
+from pickspark.functions import columns as C
+from pickspark.operators import joins, signal
 
 T0 = datetime.datetime(2024, 1, 8)
 
@@ -57,3 +59,15 @@ def test_amplitudes_are_measured_once_a_window(spark):
     assert len(found) == len(wanted) == 2003
     for row in found:
         assert (row.amp, row.amp_raw) == pytest.approx(wanted[row.pick_id], abs=1e-12, nan_ok=True)
+
+
+def test_raw_amplitudes_are_measured_once_a_window(spark):
+    traces, picks = hourly(spark, 30, 2000)
+    found, most = ran(signal.raw_amplitudes(picks, traces, ["station_no"], 3 * 3600.0, 5 * 3600.0, 1e-5))
+    assert most < 30 * 64 + 2 * 2000
+    flat = traces.withColumn("samples", C.taper(C.detrend(F.col("samples")), F.col("rate_hz"))).collect()
+    kept = [t.asDict() | {"samples": signal.filtered(t.samples, t.rate_hz, 1e-5).tolist()} for t in flat]
+    wanted = plain_amplitudes([Row(**t) for t in kept], picks.collect(), 3, 5, 1)
+    assert len(found) == len(wanted) == 2000
+    for row in found:
+        assert row.amp_raw_peak == pytest.approx(wanted[row.pick_id][1], abs=1e-9, nan_ok=True)
