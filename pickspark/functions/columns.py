@@ -170,17 +170,19 @@ def travel_seconds(km: Column, vp: float = 6.0, ratio: float = 1.75) -> tuple[Co
 
 
 def in_polygon(lat: Column, lon: Column, ring: Column) -> Column:
-    """Whether the point is inside ``ring`` (array of structs lon, lat, closed or not), by ray casting."""
+    """Whether the point is inside ``ring`` (array of structs lon, lat, closed or not), by ray casting. Points on its
+    edges and corners are not inside."""
     n = F.size(ring)
 
-    def crosses(p: Column, i: Column) -> Column:
+    def met(p: Column, i: Column) -> Column:
         q = F.get(ring, F.pmod(i + 1, n))
         straddles = (p["lat"] > lat) != (q["lat"] > lat)
         at = p["lon"] + (lat - p["lat"]) * (q["lon"] - p["lon"]) / F.nullif(q["lat"] - p["lat"], F.lit(0.0))
-        return F.when(straddles & (lon < at), 1).otherwise(0)
+        level = (p["lat"] == lat) & (q["lat"] == lat) & lon.between(F.least(p["lon"], q["lon"]), F.greatest(p["lon"], q["lon"]))
+        corner = (p["lat"] == lat) & (p["lon"] == lon)
+        return F.struct(F.when(straddles & (lon < at), 1).otherwise(0).alias("crossed"), (F.coalesce(straddles & (lon == at), F.lit(False)) | level | corner).alias("edge"))
 
-    hits = F.transform(ring, crosses)
-    return F.aggregate(hits, F.lit(0), lambda a, x: a + x) % 2 == 1
+    return let(F.transform(ring, met), lambda hits: ~F.exists(hits, lambda x: x["edge"]) & (F.aggregate(hits, F.lit(0), lambda a, x: a + x["crossed"]) % 2 == 1))
 
 
 # Numbers

@@ -71,3 +71,13 @@ def test_raw_amplitudes_are_measured_once_a_window(spark):
     assert len(found) == len(wanted) == 2000
     for row in found:
         assert row.amp_raw_peak == pytest.approx(wanted[row.pick_id][1], abs=1e-9, nan_ok=True)
+
+
+def test_points_on_an_edge_are_not_inside(spark):
+    triangle = [(-124.0, 33.0), (-116.0, 33.0), (-124.0, 41.0)]
+    points = {"corner": (33.0, -124.0), "south": (33.0, -120.0), "west": (35.0, -124.0), "slope": (37.0, -120.0), "top": (41.0, -124.0), "in": (33.01, -123.99), "out": (32.99, -120.0), "beyond": (33.0, -115.0), "before": (33.0, -125.0)}
+    for closed in (triangle, [*triangle, triangle[0]], triangle[::-1]):
+        ring = F.array(*[F.struct(F.lit(x).alias("lon"), F.lit(y).alias("lat")) for x, y in closed])
+        rings = spark.range(1).select(F.lit("triangle").alias("region"), ring.alias("ring"))
+        stations = spark.createDataFrame([(k, *v) for k, v in points.items()], "id string, latitude double, longitude double")
+        assert [x.id for x in joins.in_regions(stations, rings).collect()] == ["in"]
