@@ -17,7 +17,8 @@ RANGE_ROWS, MOST_RANGES = 50_000, 1000
 def grouped_stations(stations: DataFrame, size: int, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Add ``station_group``: sorted ids in blocks of ``size``. Ids are numbered within ranges, to which the counts
     of the ranges before are added. Borders come from a sample and stay fixed, so a range is the same wherever
-    the stations are read again."""
+    the stations are read again. Stations of one id are in order of their other columns, so a plan that is computed
+    again is the same plan."""
     ranges = min(MOST_RANGES, -(-stations.count() // range_rows))
     borders = []
     if ranges > 1:
@@ -27,7 +28,8 @@ def grouped_stations(stations: DataFrame, size: int, range_rows: int = RANGE_ROW
     ranged = stations.withColumn("_range", place)
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")  # a row a range
-    at = F.row_number().over(Window.partitionBy("_range").orderBy("id")) - 1
+    others = [c for c in stations.columns if c != "id"]
+    at = F.row_number().over(Window.partitionBy("_range").orderBy("id", *others)) - 1
     numbered = ranged.withColumn("_at", at).join(F.broadcast(counts.select("_range", before.alias("_before"))), "_range")
     return numbered.withColumn("station_group", F.floor((F.col("_before") + F.col("_at")) / size)).drop("_range", "_at", "_before")
 

@@ -3,13 +3,17 @@
 import datetime
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from pickspark import registry
 from pickspark.functions import columns as C
 from pickspark.operators import joins, signal
+from pickspark.plans import planning
 
+SF = "/root/testdata/sf0.001"
 T0 = datetime.datetime(2024, 1, 8)
 
 
@@ -81,3 +85,29 @@ def test_points_on_an_edge_are_not_inside(spark):
         rings = spark.range(1).select(F.lit("triangle").alias("region"), ring.alias("ring"))
         stations = spark.createDataFrame([(k, *v) for k, v in points.items()], "id string, latitude double, longitude double")
         assert [x.id for x in joins.in_regions(stations, rings).collect()] == ["in"]
+
+
+def test_groups_of_equal_ids_do_not_depend_on_the_order_of_rows(spark):
+    rows = [(f"N.S{i // 5:02d}.", f"2024.{1 + i * 7 % 30:03d}") for i in range(400)]
+    groups = []
+    for order in (rows, rows[::-1], sorted(rows, key=lambda x: hash(x[1]))):
+        stations = spark.createDataFrame(order, "id string, start_date string").repartition(7)
+        groups.append(sorted(tuple(r) for r in planning.grouped_stations(stations, 13, 60).collect()))
+    assert groups[0] == groups[1] == groups[2]
+    assert groups[0] == sorted((*x, k // 13) for k, x in enumerate(sorted(rows)))
+
+
+@pytest.fixture(scope="module")
+def many_users(spark, tmp_path_factory):
+    """The events with users from 10,000 on, whose stations have equal ids (ids have four digits)."""
+    root = tmp_path_factory.mktemp("tables")
+    spark.read.parquet(f"{SF}/events.parquet").withColumn("user_id", F.col("user_id") * 3 + 12340).write.parquet(f"{root}/events.parquet")
+    return str(root)
+
+
+def test_difference_keeps_copies(spark, many_users):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{many_users}/events.parquet/*.parquet'")
+    wanted = sorted(con.execute(registry.ORACLES["g02_difference"]).fetchall())
+    assert sorted(tuple(x) for x in registry.QUERIES["g02_difference"](spark, many_users).collect()) == wanted
+    assert len(set(wanted)) < len(wanted)
