@@ -53,12 +53,20 @@ def mean_and_max(rows: DataFrame, by: list[str], columns: list[str]) -> DataFram
 
 def lead_sweep(picks: DataFrame, traces: DataFrame, keys: list[str], leads: list[float], samples: int, predicted: Column, expected: Column) -> DataFrame:
     """Share of right decisions by lead and expected class. Windows of ``samples`` samples that begin each of ``leads``
-    seconds before a P are cut, and ``predicted`` is evaluated on ``window``."""
-    each = picks.where("pha = 'P'").withColumn("lead", F.explode(F.array(*map(F.lit, leads))))
+    seconds before a P are cut; ``predicted`` is evaluated on ``window``, both it and ``expected`` on columns of the traces.
+
+    A window is decided once for each trace, and counts for every pick and lead that has it. So the work grows with the
+    picks and with the samples (a trace has no more windows than samples), not with pairs of picks and traces."""
+    grid = [*keys, "t0", "rate"]
+    lengths = traces.groupBy(*grid).agg(F.max(F.size("samples")).alias("_most"))
+    each = picks.where("pha = 'P'").select(*keys, "peak").join(lengths, keys).withColumn("lead", F.explode(F.array(*map(F.lit, leads))))
     start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - F.col("lead")) * F.col("rate")).cast("int")
-    cut = each.join(traces, keys).withColumn("start", start).where((F.col("start") >= 0) & (F.col("start") + samples <= F.size("samples")))
-    decided = cut.withColumn("window", F.slice("samples", F.col("start") + 1, samples)).select("lead", expected.alias("expected"), predicted.alias("predicted"))
-    return decided.groupBy("lead", "expected").agg(F.count("*").alias("n"), F.avg((F.col("expected") == F.col("predicted")).cast("double")).alias("agreement"))
+    asked = each.withColumn("start", start).where((F.col("start") >= 0) & (F.col("start") + samples <= F.col("_most"))).groupBy(*grid, "start", "lead").agg(F.count("*").alias("_picks"))
+    cut_ = traces.join(asked.select(*grid, "start").distinct(), grid).where(F.col("start") + samples <= F.size("samples"))
+    decided = cut_.withColumn("window", F.slice("samples", F.col("start") + 1, samples)).select(*grid, "start", expected.alias("expected"), predicted.alias("predicted"))
+    counts = decided.groupBy(*grid, "start", "expected").agg(F.count("*").alias("_n"), F.count(F.col("expected") == F.col("predicted")).alias("_known"), F.count_if(F.col("expected") == F.col("predicted")).alias("_right"))
+    total = lambda c: F.sum(F.col("_picks") * F.col(c))
+    return asked.join(counts, [*grid, "start"]).groupBy("lead", "expected").agg(total("_n").alias("n"), C.ratio(total("_right"), total("_known")).alias("agreement"))
 
 
 def detection(rows: DataFrame, by: list[str]) -> DataFrame:

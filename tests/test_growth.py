@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pickspark import registry
 from pickspark.functions import columns as C
-from pickspark.operators import joins, signal
+from pickspark.operators import bench, joins, signal
 from pickspark.plans import planning
 
 SF = "/root/testdata/sf0.001"
@@ -124,3 +124,23 @@ def test_days_without_a_component_have_no_amplitudes(spark, tmp_path):
     found = registry.QUERIES["j04_picking_job"](spark, str(tmp_path))
     wanted = con.execute(f"SELECT {', '.join(found.columns)} FROM ({registry.ORACLES['j04_picking_job']}) x").fetchall()
     assert sorted(tuple(x) for x in found.collect()) == sorted(wanted)
+
+
+def test_lead_sweep_decides_once_a_window(spark):
+    traces, picks = hourly(spark, 30, 2000)
+    traces = traces.withColumnRenamed("rate_hz", "rate").withColumn("label", F.col("id") % 4)
+    picks = picks.withColumn("pha", F.when(F.col("pick_id") % 3 == 0, "S").otherwise("P"))
+    expected = F.element_at(F.array(*map(F.lit, C.CLASS_ORDER)), (F.col("label") + 1).cast("int"))
+    predicted = C.argmax_label(C.CLASS_ORDER, [F.array_max(F.slice("window", 5 * i + 1, 5)) for i in range(4)])
+    found, most = ran(bench.lead_sweep(picks, traces, ["station_no"], [3 * 3600.0, 9 * 3600.0], 20, predicted, expected))
+    assert most < 2 * 2000 + 30 * 64
+    wanted, every = {}, traces.collect()
+    for p in picks.where("pha = 'P'").collect():
+        for t in every:
+            for lead in (3, 9):
+                i = round((p.peak - T0).total_seconds() / 3600) - lead
+                if 0 <= i <= 44:
+                    top = [max(t.samples[i + 5 * k : i + 5 * k + 5]) for k in range(4)]
+                    n = wanted.setdefault((lead * 3600.0, C.CLASS_ORDER[t.label]), [0, 0])
+                    n[0], n[1] = n[0] + 1, n[1] + (top.index(max(top)) == t.label)
+    assert {(x.lead, x.expected): [x.n, round(x.n * x.agreement)] for x in found} == wanted
