@@ -113,19 +113,32 @@ def reconcile(manifest: DataFrame, coverage: DataFrame, keys: list[str], value:
     return both.where(~F.col("in_manifest").eqNullSafe(F.col("in_coverage")))
 
 
-def cut_windows(picks: DataFrame, traces: DataFrame, keys: list[str], before: float, after: float) -> DataFrame:
-    """For each pick and trace of its keys, ``start`` and ``length`` in samples of [peak - before, peak + after);
-    windows that leave the trace are left out. The samples are not exploded."""
-    start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - before) * F.col("rate")).cast("int")
-    length = F.round((before + after) * F.col("rate")).cast("int")
-    return picks.join(traces, keys).withColumn("start", start).withColumn("length", length).where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.size("samples")))
-
-
-def anchored_windows(picks: DataFrame, traces: DataFrame, keys: list[str], lead: float, samples: int) -> DataFrame:
-    """Fixed windows of ``samples`` samples that begin ``lead`` seconds before each P."""
-    start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - lead) * F.col("rate")).cast("int")
-    found = picks.where("pha = 'P'").join(traces, keys).withColumn("start", start).where((F.col("start") >= 0) & (F.col("start") + samples <= F.size("samples")))
-    return found.withColumn("window", F.slice("samples", F.col("start") + 1, samples)).drop("samples")
+def windows(picks: DataFrame, traces: DataFrame, keys: list[str], start: Column, length: Column, values: dict[str, Column] | None) -> DataFrame:
+    """For each pick and trace of its keys ``start`` and ``length`` in samples, and ``values``, which are made once for
+    each window of a trace, however many picks have it (none: the samples of the trace). Windows that leave the trace
+    are left out; picks meet traces by window, so only pairs that come out are made. ``start`` and ``length`` may use
+    ``peak``, ``t0`` and ``rate``."""
+    grid = [*keys, "t0", "rate"]
+    window = [*grid, "start", "length"]
+    lengths = traces.groupBy(*grid).agg(F.max(F.size("samples")).alias("_most"))
+    placed = picks.join(lengths, keys).withColumns({"start": start.cast("int"), "length": length.cast("int")})
+    placed = placed.where((F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("_most"))).drop("_most")
+    made = traces.join(placed.select(*window).distinct(), grid).where(F.col("start") + F.col("length") <= F.size("samples"))
+    return placed.join(made.withColumns(values).drop("samples") if values else made, window)
+
+
+def cut_windows(picks: DataFrame, traces: DataFrame, keys: list[str], before: float, after: float, values: dict[str, Column] | None = None) -> DataFrame:
+    """``windows`` of [peak - before, peak + after). The samples are not exploded."""
+    start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - before) * F.col("rate"))
+    return windows(picks, traces, keys, start, F.round((before + after) * F.col("rate")), values)
+
+
+def anchored_windows(picks: DataFrame, traces: DataFrame, keys: list[str], lead: float, samples: int, values: dict[str, Column] | None = None) -> DataFrame:
+    """Fixed ``windows`` of ``samples`` samples that begin ``lead`` seconds before each P; without ``values`` they come
+    as ``window``."""
+    start = F.round((C.epoch_seconds(F.col("peak")) - C.epoch_seconds(F.col("t0")) - lead) * F.col("rate"))
+    values = values or {"window": F.slice("samples", F.col("start") + 1, samples)}
+    return windows(picks.where("pha = 'P'"), traces, keys, start, F.lit(samples), values).drop("length")
 
 
 def routed(stations: DataFrame, routes: DataFrame, default: str = "unrouted") -> DataFrame:

@@ -144,3 +144,16 @@ def test_lead_sweep_decides_once_a_window(spark):
                     n = wanted.setdefault((lead * 3600.0, C.CLASS_ORDER[t.label]), [0, 0])
                     n[0], n[1] = n[0] + 1, n[1] + (top.index(max(top)) == t.label)
     assert {(x.lead, x.expected): [x.n, round(x.n * x.agreement)] for x in found} == wanted
+
+
+def test_windows_make_only_pairs_that_come_out(spark):
+    traces, picks = hourly(spark, 30, 2000)
+    traces, picks = traces.withColumnRenamed("rate_hz", "rate"), picks.withColumn("pha", F.when(F.col("pick_id") % 3 == 0, "S").otherwise("P"))
+    every, own = traces.collect(), picks.collect()
+    at = lambda p: round((p.peak - T0).total_seconds() / 3600)
+    found, most = ran(joins.cut_windows(picks, traces, ["station_no"], 3 * 3600.0, 5 * 3600.0, {"first": F.get("samples", F.col("start"))}))
+    wanted = sorted((p.pick_id, t.id, at(p) - 3, 8, t.samples[at(p) - 3]) for p in own for t in every if 0 <= at(p) - 3 <= 56)
+    assert sorted((x.pick_id, x.id, x.start, x.length, x["first"]) for x in found) == wanted and most == len(wanted)
+    found, most = ran(joins.anchored_windows(picks, traces, ["station_no"], 15 * 3600.0, 20))
+    wanted = sorted((p.pick_id, t.id, at(p) - 15, t.samples[at(p) - 15 : at(p) + 5]) for p in own for t in every if p.pha == "P" and 0 <= at(p) - 15 <= 44)
+    assert sorted((x.pick_id, x.id, x.start, x.window) for x in found) == wanted and most == len(wanted)
