@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..sources.shared import cut
 
 
 def outer_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, before: float, after: float, how: str) -> DataFrame:
@@ -40,14 +43,28 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: st
     return found.where(F.col("_rt").isNotNull() | ((F.col("_found") == 0) & (F.coalesce("_nth", F.lit(0)) == 0))).drop("_nth", "_rt", "_found")
 
 
-def nearest_in_space_time(origins: DataFrame, curated: DataFrame, seconds: float, km: float) -> DataFrame:
-    """For each origin the curated one nearest in time within both limits (smaller id on ties)."""
+def nearest_in_space_time(origins: DataFrame, curated: DataFrame, seconds: float, km: float, near: int = 32) -> DataFrame:
+    """For each origin the curated one nearest in time within both limits (smaller id on ties).
+
+    The range in time begins with one that holds about ``near`` curated origins and widens eightfold, for the origins
+    that have found none: one found in a range is the nearest. So pairs grow with the origins, not with their square;
+    only origins without a curated one near by meet all of the whole range."""
     right = curated.select(*(F.col(c).alias(f"c_{c}") for c in ("origin_id", "time", "latitude", "longitude")))
-    pairs = range_join(origins, right, [], "time", "c_time", seconds, seconds)
-    dist = C.haversine_km(F.col("latitude"), F.col("longitude"), F.col("c_latitude"), F.col("c_longitude"))
-    close = pairs.withColumn("km", dist).where(F.col("km") <= km)
-    rank = F.row_number().over(Window.partitionBy("origin_id").orderBy(F.abs("dt"), "c_origin_id"))
-    return close.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    time = C.epoch_seconds(F.col("c_time"))
+    span = right.agg(F.count("c_time").alias("n"), (F.max(time) - F.min(time)).alias("seconds")).first()
+    width = min(seconds, max((span.seconds or 0.0) * near / max(span.n, 1) / 2, seconds / 8**6))
+    rest, parts = origins, []
+    while True:
+        pairs = range_join(rest, right, [], "time", "c_time", width, width)
+        dist = C.haversine_km(F.col("latitude"), F.col("longitude"), F.col("c_latitude"), F.col("c_longitude"))
+        close = pairs.withColumn("km", dist).where(F.col("km") <= km)
+        rank = F.row_number().over(Window.partitionBy("origin_id").orderBy(F.abs("dt"), "c_origin_id"))
+        found = close.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+        if width >= seconds:
+            return functools.reduce(DataFrame.unionByName, [*parts, found])
+        parts.append(cut(found, "nearest"))
+        rest = cut(rest.join(parts[-1].select(F.col("origin_id").alias("_found")), F.col("origin_id").eqNullSafe(F.col("_found")), "left_anti"), "rest")
+        width = min(seconds, width * 8)
 
 
 def assigned_picks(events: DataFrame, assignments: DataFrame, picks: DataFrame) -> DataFrame:

@@ -157,3 +157,18 @@ def test_windows_make_only_pairs_that_come_out(spark):
     found, most = ran(joins.anchored_windows(picks, traces, ["station_no"], 15 * 3600.0, 20))
     wanted = sorted((p.pick_id, t.id, at(p) - 15, t.samples[at(p) - 15 : at(p) + 5]) for p in own for t in every if p.pha == "P" and 0 <= at(p) - 15 <= 44)
     assert sorted((x.pick_id, x.id, x.start, x.window) for x in found) == wanted and most == len(wanted)
+
+
+def test_nearest_in_space_time_makes_few_pairs(spark):
+    """Many origins of a month, some far away from all curated ones, and some with curated ones of one time."""
+    place = lambda n: spark.range(n).select("id", (F.col("id") * 7919 % 2592000).alias("s"), (F.col("id") % 97 / 20.0).alias("latitude"), (F.col("id") % 89 / 20.0).alias("longitude"))
+    named = lambda df: df.select(F.col("id").alias("origin_id"), (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("s").cast("decimal(18,6)"))).alias("time"), "latitude", "longitude")
+    origins = named(place(600).withColumn("latitude", F.when(F.col("id") % 100 == 0, 60.0).when(F.col("id") % 50 == 0, 20.0).otherwise(F.col("latitude"))))
+    curated = named(place(5000).withColumns({"s": F.floor(F.col("s") / 60) * 60, "latitude": F.when(F.col("id") == 3, 20.0).otherwise(F.col("latitude"))}))
+    found = joins.nearest_in_space_time(origins, curated, 43200.0, 150.0)
+    pairs = joins.range_join(origins, curated.select(*(F.col(c).alias(f"c_{c}") for c in curated.columns)), [], "time", "c_time", 43200.0, 43200.0)
+    km = C.haversine_km(F.col("latitude"), F.col("longitude"), F.col("c_latitude"), F.col("c_longitude"))
+    wanted = pairs.where(km <= 150.0).groupBy("origin_id").agg(F.min(F.struct(F.abs("dt").alias("dt"), "c_origin_id")).alias("x")).select("origin_id", "x.c_origin_id").collect()
+    rows, most = ran(found)
+    assert sorted((x.origin_id, x.c_origin_id) for x in rows) == sorted(tuple(x) for x in wanted) and len(rows) > 580
+    assert most < 5000 + 12 * 200
