@@ -24,6 +24,8 @@ from ..sources.shared import cut
 KM_PER_DEGREE = math.pi * C.EARTH_KM / 180
 #: Widens intervals by more than rounding can move an origin time, in seconds.
 SLACK = 1e-3
+#: Picks for each task of a step that sorts their rows. A pick has a row for each cell and bin within reach.
+TASK_PICKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -122,13 +124,19 @@ def coarsest(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
     return reached(cast, s, s.levels).withColumn("bin", F.explode(F.sequence("first", "last"))).drop("first", "last")
 
 
-def bounded(cast: DataFrame, s: Search) -> DataFrame:
+def dealt(rows: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
+    """Rows dealt out by ``keys`` over at least ``tasks`` tasks, so that what a task sorts does not grow with the picks."""
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, *keys) if tasks > usual else rows.repartition(*keys)
+
+
+def bounded(cast: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
     """The rows of the blocks and bins that may hold an event: stations with P, with S and with both are counted over
     all picks that may count there, each once."""
     where = ["by", "bx", "bin"]
     station, whole = Window.partitionBy(*where, "tid"), Window.partitionBy(*where)
     has = lambda pha: F.max((F.col("pha") == pha).cast("int")).over(station)
-    own = cast.repartition(*where).withColumns({"_p": has("P"), "_s": has("S"), "_one": (F.row_number().over(station.orderBy("pick_id")) == 1).cast("int")})
+    own = dealt(cast, tasks, where).withColumns({"_p": has("P"), "_s": has("S"), "_one": (F.row_number().over(station.orderBy("pick_id")) == 1).cast("int")})
     n = lambda c: F.sum(F.col("_one") * c).over(whole)
     return own.withColumns({"n_p": n(F.col("_p")), "n_s": n(F.col("_s")), "n_both": n(F.col("_p") * F.col("_s"))}).where(s.enough()).select(cast.columns)
 
@@ -143,15 +151,15 @@ def divided(cast: DataFrame, s: Search, level: int) -> DataFrame:
     return rows.where(begin <= end).withColumn("bin", F.explode(F.sequence(begin, end))).drop("first", "last", "_begin")
 
 
-def votes(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
+def votes(picks: DataFrame, stations: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
     """Rows of a pick and a cell and bin that may hold an event."""
-    cast = bounded(coarsest(picks, stations, s), s)
+    cast = bounded(coarsest(picks, stations, s), s, tasks)
     for level in reversed(range(s.levels)):
-        cast = bounded(divided(cast, s, level), s)
+        cast = bounded(divided(cast, s, level), s, tasks)
     return cast
 
 
-def candidates(cast: DataFrame, s: Search) -> DataFrame:
+def candidates(cast: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
     """(cell, shift, bin) that make an event, with its picks: of each station and phase the one next to the middle of the
     bin, and of these the ones within the tolerance of their mean. Bins are twice the tolerance wide, and lie once
     more shifted by half."""
@@ -166,6 +174,7 @@ def candidates(cast: DataFrame, s: Search) -> DataFrame:
     late = F.col("origin") - (F.col("x.own") - F.col("x.shift") * 0.5) * size
     where = ["cell", "lat", "lon", "depth", "shift", "bin"]
     one = at.select("cell", "lat", "lon", "depth", "x.shift", F.col("x.own").alias("bin"), "tid", "pha", F.struct(F.abs(late - s.tolerance).alias("off"), "pick_id", late.alias("late")).alias("x"))
+    one = dealt(one, tasks, where)  # the steps below group by these and more, so rows move once
     chosen = one.groupBy(*where, "tid", "pha").agg(F.min("x").alias("x")).select(*where, "tid", "pha", "x.pick_id", "x.late")
     chosen = chosen.withColumn("mean", F.avg("late").over(Window.partitionBy(*where))).where(F.abs(F.col("late") - F.col("mean")) <= s.tolerance)
     by_station = chosen.groupBy(*where, "mean", "tid").agg(
@@ -200,7 +209,8 @@ def associate(picks: DataFrame, stations: DataFrame, search: Search) -> tuple[Da
     each station and phase an event has one pick at most, within the tolerance of its origin time. A pick that several
     events have goes to the one of most picks, then least spread; an event that keeps too few is dropped. The counts
     are those of the assignments."""
-    found = cut(candidates(votes(picks, stations, search), search), "candidates")
+    tasks = -(-picks.count() // TASK_PICKS)
+    found = cut(candidates(votes(picks, stations, search, tasks), search, tasks), "candidates")
     events = cut(strongest(found, 4 * search.tolerance, 10 * search.step), "events")
     order = ["event_id", "n_picks", "spread", "cell", "shift", "bin"]
     own = events.select(*order, F.explode("stations").alias("x")).select(*order, "x.tid", F.explode("x.picks").alias("y"))

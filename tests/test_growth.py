@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pickspark import registry
 from pickspark.functions import columns as C
-from pickspark.operators import bench, joins, signal
+from pickspark.operators import associate, bench, joins, signal
 from pickspark.plans import planning
 
 SF = "/root/testdata/sf0.001"
@@ -172,3 +172,9 @@ def test_nearest_in_space_time_makes_few_pairs(spark):
     rows, most = ran(found)
     assert sorted((x.origin_id, x.c_origin_id) for x in rows) == sorted(tuple(x) for x in wanted) and len(rows) > 580
     assert most < 5000 + 12 * 200
+
+
+def test_association_spreads_over_more_tasks(spark):
+    rows = spark.range(1000)
+    assert associate.dealt(rows, 9, ["id"]).rdd.getNumPartitions() == 9
+    assert associate.dealt(rows, 1, ["id"]).rdd.getNumPartitions() <= 4
