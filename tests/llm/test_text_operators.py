@@ -64,6 +64,24 @@ def test_bpe_random_strings():
         assert np.frombuffer(c.encode(s), "<u4").tolist() == t.encode(s, add_special_tokens=False).ids, s
 
 
+def test_bpe_searches_new_words_together(monkeypatch):
+    """New words are searched in step, few of them one by one, and a full table forgets none of the first third."""
+    rng = random.Random(2)
+    c, t = bpe.Codec(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    alone, ranks = [], c.ranks
+    monkeypatch.setattr(c, "ranks", lambda text: alone.append(text) or ranks(text))
+    monkeypatch.setattr(bpe, "MEMO", 9000)
+    alphabet = [*"ab's tTé ß\n\t\r  　\x1c\x85 12²Ⅷ一.,!?-_😀́'", "<|endoftext|>", "'ll", " the", "loooool", "x" * 120]
+    word = lambda: "".join(rng.choices("abcdeénorst", k=rng.randint(1, 12))) + rng.choice(["", "", ".", "***", ".\nThe", "é\x00"])
+    c.encode("a frequent word")
+    for _ in range(3):
+        texts = [*(" ".join(["x", *(word() for _ in range(80)), "Ā" * 150]) for _ in range(100)), *("".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(200))]
+        for text, own in zip(texts, c.encode_all(texts)):
+            assert np.frombuffer(own, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, text
+    assert len(alone) < 3 * 80 * 100 / 4 and "frequent" in c.spaced and len(c.spaced) < 16_000
+    assert c.encode_all([]) == [] and c.searched(["a", "\n", " the"]) == [c.piece(x) for x in ("a", "\n", " the")]
+
+
 def test_grammar_files(spark, texts, ids, tmp_path):
     start, want = 0, []
     for i, w in enumerate(ids[1]):
