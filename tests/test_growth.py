@@ -2,15 +2,17 @@
 
 import datetime
 import math
+import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from pickspark import registry
 from pickspark.functions import columns as C
-from pickspark.operators import associate, bench, joins, signal
+from pickspark.operators import associate, bench, joins, matching, signal
 from pickspark.plans import planning
 
 SF = "/root/testdata/sf0.001"
@@ -178,3 +180,63 @@ def test_association_spreads_over_more_tasks(spark):
     rows = spark.range(1000)
     assert associate.dealt(rows, 9, ["id"]).rdd.getNumPartitions() == 9
     assert associate.dealt(rows, 1, ["id"]).rdd.getNumPartitions() <= 4
+
+
+def streamed(t, ref, new, tol):
+    """What each reference takes, by one queue a group."""
+    out, bounds = [-1] * len(t), [*np.flatnonzero(new).tolist(), len(t)]
+    for lo, hi in zip(bounds, bounds[1:]):
+        m, got = matching.Matching(float(tol[lo])), []
+        for k in range(lo, hi):
+            got += m.push(float(t[k]), k, 0 if ref[k] else 1)
+        for i, c, _ in got + m.end():
+            if i is not None and c is not None:
+                out[i] = c
+    return out
+
+
+@pytest.mark.parametrize("alone", [0, 3, 40])
+def test_chains_in_step_match_as_streamed(monkeypatch, alone):
+    monkeypatch.setattr(matching, "ALONE", alone)
+    rng = np.random.default_rng(1)
+    for trial in range(120):
+        n = int(rng.integers(1, 400))
+        group = np.sort(rng.integers(0, int(rng.integers(1, 30)), n))
+        t = rng.integers(0, int(rng.choice([5, 50, 500])), n).astype(float) if trial % 2 else rng.uniform(0, 100, n)
+        t = (t + 1.7e9 * (trial % 3 == 0))[np.lexsort((t, group))]
+        new = np.concatenate([[True], np.diff(group) != 0])
+        ref, tol = rng.random(n) < rng.choice([0.2, 0.5, 0.8]), np.array([1.0, 3.0, 10.0])[group % 3]
+        assert matching.greedy(t, ref, new, tol).tolist() == streamed(t, ref, new, tol)
+
+
+def test_levels_of_a_sweep_share_their_rows(spark, monkeypatch):
+    rng = random.Random(7)
+    time = lambda: T0 + datetime.timedelta(seconds=rng.randrange(0, 900))
+    ref = [(f"s{k % 3}" if k % 9 else None, time(), k) for k in range(300)]
+    cand = [(f"s{k % 3}" if k % 7 else None, time(), k, rng.choice([0.1, 0.3, 0.6, math.nan, None])) for k in range(400)]
+    r = spark.createDataFrame(ref, "tid string, time timestamp_ntz, arrival_id long")
+    c = spark.createDataFrame(cand, "tid string, peak timestamp_ntz, pick_id long, conf double")
+    seen, islands = [], matching.islands
+    monkeypatch.setattr(matching, "islands", lambda rows, *a: seen.append(rows.count()) or islands(rows, *a))
+    monkeypatch.setattr(matching, "ROWS", 30, raising=False)  # islands are settled in parts
+    monkeypatch.setattr(matching, "LEVELS", 3, raising=False)
+    levels = [0.05, 0.2, 0.5]
+
+    def wanted(cand, tol):
+        rows = sorted([((x[1] - T0).total_seconds(), x[2], 0, x[0] or "") for x in ref] + [((x[1] - T0).total_seconds(), x[2], 1, x[0] or "") for x in cand], key=lambda x: (x[3], *x[:3]))
+        t, side = np.array([x[0] for x in rows]), np.array([x[2] for x in rows])
+        took = np.array(streamed(t, side == 0, np.array([i == 0 or rows[i][3] != rows[i - 1][3] for i in range(len(rows))]), np.full(len(rows), tol)))
+        off = [abs(t[c] - t[i]) for i, c in enumerate(took) if c >= 0]
+        return len(ref), len(off), len(cand) - len(off), sum(off) / len(off)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = {x.threshold: (x.analyst, x.matched, x.extra, x.mae) for x in matching.sweep(r, c, levels, ["tid"], 4.0).collect()}
+        tols = {x.tol: (x.analyst, x.matched, x.extra, x.mae) for x in matching.tolerance_sweep(r, c, [1.0, 4.0, 9.0], ["tid"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for x in levels:  # NaN is over every threshold, null over none
+        assert found[x] == pytest.approx(wanted([y for y in cand if y[3] is not None and not y[3] < x], 4.0))
+    for x in (1.0, 4.0, 9.0):
+        assert tols[x] == pytest.approx(wanted(cand, x))
+    assert len(seen) == 2 and max(seen) <= len(ref) + len(cand)
