@@ -16,6 +16,7 @@ has used up its 65,536 symbols keeps the rest of its sequence as it is.
 from __future__ import annotations
 
 import gc
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +34,15 @@ from .hashing import PAD, names
 BLOCK_TOKENS = 1 << 20
 #: Stretches whose ids a worker remembers (some 30 bytes each), and pre-tokens of texts with runs of blanks.
 MEMO, PIECES = 2_500_000, 50_000
-#: Pre-tokens whose ids are kept for the next stretches, which often differ in punctuation only.
-KNOWN = 250_000
 #: Bytes of a stretch that is hashed.
 LONGEST = 1 << 16
 #: A pair is replaced while it occurs so often.
 LEAST = 24
 #: First bytes of blanks in UTF-8 (and of other letters).
 MAY_BE_BLANK = np.isin(np.arange(256), [*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3])
+#: ASCII letters, and what of ASCII is neither letter nor space.
+LETTER = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8))
+OTHER = (np.arange(256) < 128) & ~LETTER & (np.arange(256) != 32)
 #: Pairs are counted by hashes of so many bits.
 SLOTS = 18
 #: Letters of several scripts and kinds, on which the pattern must cut as the library does.
@@ -58,6 +60,14 @@ def spread(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return flat[np.repeat((starts - ends + sizes).astype(kind), sizes) + np.arange(ends[-1], dtype=kind)]
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where pre-tokens begin inside a stretch whatever is around: behind an ASCII letter what is none, and behind a single
+    line break what is no blank. So words are the same stretch with and without the punctuation that follows."""
+    line = np.flatnonzero(data[1:-1] == 10) + 1
+    line = line[(data[line - 1] > 32) & (data[line - 1] < 127) & ~MAY_BE_BLANK[data[line + 1]]]
+    return np.sort(np.concatenate([np.flatnonzero(LETTER[data[:-1]] & OTHER[data[1:]]), line]), kind="stable") + 1
+
+
 class Memo:
     """Ids of stretches by name, in sorted arrays, with a second name that is compared when a stretch is found. When it
     is full, what was not asked for again goes."""
@@ -96,7 +106,7 @@ class Memo:
 
 
 class LibraryEncoder:
-    """The library's ids. Texts are cut at spaces (where pre-tokens always begin). The distinct stretches of many texts
+    """The library's ids. Texts are cut at spaces and behind words (where pre-tokens always begin). The distinct stretches of many texts
     are found by their names; those not known yet are cut into pre-tokens, each of which is given to the library's
     model. Texts with special strings go to the library whole."""
 
@@ -106,10 +116,10 @@ class LibraryEncoder:
         self.tokenizer.no_padding()
         self.tokenize = self.tokenizer.model.tokenize
         self.letters = {b: c for c, b in byte_letters().items()}
+        self.letter_of = np.array([ord(self.letters[b]) for b in range(256)], "<u4")
         self.find = regex.compile(PATTERN).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo, self.pieces = Memo(), {}
-        self.known: dict[str, list[int]] = {}  # ids of pre-tokens of the stretches asked for last
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.id_bytes = [i.to_bytes(4, "little") for i in range(self.vocabulary)]
         if self.ask(self.find(PROBE)) != np.array(self.whole(PROBE), "<u4").tobytes():
@@ -125,25 +135,34 @@ class LibraryEncoder:
     def ask(self, pieces: list[str]) -> bytes:
         return b"".join([self.id_bytes[i] for p in pieces for i in self.of_model(p)])
 
-    def ask_all(self, stretches: list[str], heads: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of stretches (after a space, but for heads), one after the other, and how many each has."""
+    def models(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, one after the other, and where each ends, after a 0. Their bytes are made letters together;
+        0xFF, which UTF-8 has not, comes after each."""
+        raw = np.frombuffer(b"".join([p.encode() + b"\xff" for p in pieces]), np.uint8)
         ids: list[int] = []
-        ends: list[int] = []
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        known = self.known
-        find, get = self.find, known.get
+        ends = [0]
+        for letters in self.letter_of[raw].tobytes().decode("utf-32-le").split(self.letters[0xFF])[:-1]:
+            ids += [t.id for t in self.tokenize(letters)]
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.array(ends, np.int64)
+
+    def ask_all(self, stretches: list[str], glued: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of stretches (after a space, but for glued ones), one after the other, and how many each has."""
+        find = self.find
         gc.disable()  # no cycles are made, and looking for them among so many lists takes long
         try:
-            for u, head in zip(stretches, heads):
-                for p in find(u) if head else pre_tokens(find, u):
-                    if (found := get(p)) is None:
-                        found = known[p] = self.of_model(p)
-                    ids += found
-                ends.append(len(ids))
+            cut = [pre_tokens(find, u) if not joined else [u] if u.isalpha() else find(u) for u, joined in zip(stretches, glued)]
+            pieces = list(itertools.chain.from_iterable(cut))
+            number = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
+            if often := 4 * len(number) < 3 * len(pieces):
+                which = np.fromiter(map(number.__getitem__, pieces), np.int64, len(pieces))
+            ids, ends = self.models(list(number) if often else pieces)
         finally:
             gc.enable()
-        return np.array(ids, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
+        if often:
+            sizes = np.diff(ends)[which]
+            ids, ends = spread(ids, ends[which], sizes), np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(ends[np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))], prepend=0)
 
     def slowly(self, text: str) -> np.ndarray:
         """A text with runs of blanks or very long stretches."""
@@ -175,7 +194,8 @@ class LibraryEncoder:
         data = np.frombuffer(blob, np.uint8)
         ends = np.flatnonzero(data == 32)
         begins = np.concatenate([[0], ends[:-1] + 1])
-        heads = np.searchsorted(begins, np.cumsum([0, *(len(r) + 1 for r in raw[:-1])]))
+        firsts = np.cumsum([0, *(len(r) + 1 for r in raw[:-1])])
+        heads = np.searchsorted(begins, firsts)
         odd = MAY_BE_BLANK[data[begins]]
         odd[heads] = False
         odd |= ends - begins > LONGEST
@@ -189,8 +209,13 @@ class LibraryEncoder:
                 for i, found in zip(quick, self.encode_all([texts[i] for i in quick])):
                     out[i] = found
                 return out
+        inner = cuts(data)
+        begins, ends = (np.sort(np.concatenate([x, inner]), kind="stable") for x in (begins, ends))
+        glued = np.zeros(len(begins), bool)  # what has no space before it
+        heads = np.searchsorted(begins, firsts)
+        glued[heads] = glued[np.searchsorted(begins, inner)] = True
         hashes, checks = names(np.frombuffer(blob + PAD, np.uint8), begins, ends - begins, 2)
-        hashes[heads] ^= np.uint64(0x5851F42D4C957F2D)  # what a text begins with has no space before it
+        hashes[glued] ^= np.uint64(0x5851F42D4C957F2D)
         codes, distinct = pd.factorize(hashes)
         order = np.argsort(distinct)
         keys = distinct[order]
@@ -200,9 +225,7 @@ class LibraryEncoder:
         new = self.memo.missing(keys)
         if new.any():
             at = first[order[new]]
-            is_head = np.zeros(len(codes), bool)
-            is_head[heads] = True
-            self.memo.put(keys[new], checks[at], *self.ask_all([blob[b:e].decode() for b, e in zip(begins[at].tolist(), ends[at].tolist())], is_head[at].tolist()))
+            self.memo.put(keys[new], checks[at], *self.ask_all([blob[b:e].decode() for b, e in zip(begins[at].tolist(), ends[at].tolist())], glued[at].tolist()))
             again = self.memo.missing(keys)
             if again.any():  # the table was emptied meanwhile
                 return self.in_halves(texts, out, plain)

@@ -120,6 +120,17 @@ def test_library_encoder_random_strings(monkeypatch):
             assert got.tolist() == t.encode(s, add_special_tokens=False).ids, s
 
 
+def test_words_are_asked_for_once_whatever_follows():
+    e, t = grammar_files.LibraryEncoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    asked, ask = [], e.ask_all
+    e.ask_all = lambda u, glued: asked.extend(u) or ask(u, glued)
+    words = [f"stretch{chr(97 + i)}" for i in range(20)]
+    texts = ["It said " + end.join(words) + end + "it's don't." for end in (" ", ", ", ". ", "! ", ".\nX ", "1 ", "; ", ") ", "%% ")]
+    for s, got in zip(texts, e.encode_all(texts)):
+        assert got.tolist() == t.encode(s, add_special_tokens=False).ids, s
+    assert len(asked) < 3 * len(words)  # before: each word with what follows it
+
+
 def thue_morse():
     """A word and its letter-swapped twin: every sum of powers of an odd base modulo 2**64 is the same for both."""
     word = "a"
