@@ -68,13 +68,15 @@ def amplitude_completeness(picks: DataFrame) -> DataFrame:
     )
 
 
-def coverage(picks: DataFrame, work: DataFrame | None = None) -> DataFrame:
-    """Picks by station, band and day; with a work list (tid, cha, day) days without picks have a row too."""
-    found = picks.groupBy("tid", "cha", F.year("peak").alias("yr"), F.dayofyear("peak").alias("doy")).agg(F.count("*").alias("npks"))
+def coverage(picks: DataFrame, work: DataFrame | None = None, **counted: Column) -> DataFrame:
+    """Picks by station, band and day; with a work list (tid, cha, day) days without picks have a row too. ``counted``:
+    conditions whose picks are counted besides."""
+    counts = [F.count("*").alias("npks"), *(F.count_if(c).alias(n) for n, c in counted.items())]
+    found = picks.groupBy("tid", "cha", F.year("peak").alias("yr"), F.dayofyear("peak").alias("doy")).agg(*counts)
     if work is None:
         return found
     days = work.select("tid", "cha", F.year("day").alias("yr"), F.dayofyear("day").alias("doy")).distinct()
-    return days.join(found, ["tid", "cha", "yr", "doy"], "left").fillna(0, ["npks"])
+    return days.join(found, ["tid", "cha", "yr", "doy"], "left").fillna(0, ["npks", *counted])
 
 
 def coverage_by_year(cover: DataFrame) -> DataFrame:

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..sources.shared import cut
 
+#: Rows that a task makes, about, where stations get the rows they share.
+TASK_ROWS = 500_000
+
 
 def outer_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, before: float, after: float, how: str) -> DataFrame:
     """Each left row in each bucket its range touches, joined (``how``) with the right rows there that are in the range.
@@ -82,6 +85,38 @@ def remaining(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return work.join(done.select(*keys).distinct(), keys, "left_anti")
 
 
+def months_left(stations: DataFrame, days: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """``stations`` by year and month with the ``days`` (an array) of their ``keys`` that ``done`` (tid, day) does not
+    have. ``days``: keys, day. A row holds a month of a station, so a station and day costs a value, not a row."""
+    month = [F.year("day").alias("year"), F.month("day").alias("month")]
+    every = days.groupBy(*keys, *month).agg(F.collect_set("day").alias("days"))
+    have = done.groupBy("tid", *month).agg(F.collect_set("day").alias("_done"))
+    both = stations.join(every, keys).join(have, ["tid", "year", "month"], "left")
+    left = F.when(F.col("_done").isNull(), F.col("days")).otherwise(F.array_except("days", "_done"))
+    return both.withColumn("days", left).where(F.size("days") > 0).drop("_done")
+
+
+def days_of(left: DataFrame) -> DataFrame:
+    """A row for each station and day of ``left`` (of ``months_left``), in as many tasks as the rows need."""
+    n = left.agg(F.sum(F.size("days"))).first()[0] or 0
+    return left.repartition(max(1, -(-n // TASK_ROWS)), "tid", "year", "month").withColumn("day", F.explode("days")).drop("days")
+
+
+def to_stations(rows: DataFrame, left: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (keys, day and more) for each station of ``left`` (of ``months_left``) whose days they are. Rows meet
+    stations by network and month, as arrays of a month, and are repeated where the catalog is written from, so
+    repeated rows are not moved. Tasks are as many as the rows that come out need."""
+    at, month = ["network", *keys, "year", "month"], ["year", "month"]
+    months = rows.groupBy(*keys, F.year("day").alias("year"), F.month("day").alias("month")).agg(F.collect_list(F.struct(*(c for c in rows.columns if c not in keys))).alias("_rows"))
+    work = left.withColumn("network", C.network_of(F.col("tid")))
+    sizes = work.groupBy(*at).agg(F.count("*").alias("_n")).join(months.select(*keys, *month, F.size("_rows").alias("_m")), [*keys, *month])
+    made = sizes.agg(F.sum(F.col("_n") * F.col("_m"))).first()[0] or 0
+    tasks = max(1, -(-made // TASK_ROWS))
+    held = months.join(work.select(*at).distinct(), [*keys, *month])
+    pairs = work.repartition(tasks, *at).join(held.repartition(tasks, *at), at)
+    return pairs.select(*left.columns, F.explode(F.filter("_rows", lambda x: F.array_contains("days", x["day"]))).alias("_row")).drop("days").select("*", "_row.*").drop("_row")
+
+
 def of_keys(rows: DataFrame, asked: DataFrame, keys: list[str]) -> DataFrame:
     """The rows whose keys are asked for."""
     return rows.join(asked.select(*keys).distinct(), keys, "left_semi")

@@ -14,16 +14,17 @@ def placed(rows: DataFrame, day: str) -> DataFrame:
     return rows.withColumns({"network": C.network_of(F.col("tid")), "year": F.year(day), "month": F.month(day)})
 
 
-def write_catalog(rows: DataFrame, root: str, order: tuple[str, ...] = ("tid", "peak"), mode: str = "append", most_rows: int = 4_000_000) -> None:
+def write_catalog(rows: DataFrame, root: str, order: tuple[str, ...] = ("tid", "peak"), mode: str = "append", most_rows: int = 4_000_000, dealt: bool = False) -> None:
     """Hive partitions network, year, month; zstd. Rows are balanced over tasks by partition and split where
-    one is large, and sorted by station in each file so that row groups can be skipped."""
-    balanced = rows.hint("rebalance", *map(F.col, schemas.PARTITIONS))
+    one is large (unless they are ``dealt`` that way already), and sorted by station in each file so that row groups
+    can be skipped."""
+    balanced = rows if dealt else rows.hint("rebalance", *map(F.col, schemas.PARTITIONS))
     balanced.sortWithinPartitions(*schemas.PARTITIONS, *order).write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", most_rows).partitionBy(*schemas.PARTITIONS).parquet(root)
 
 
-def write_picks(picks: DataFrame, root: str, day: str = "peak", mode: str = "append") -> None:
+def write_picks(picks: DataFrame, root: str, day: str = "peak", mode: str = "append", dealt: bool = False) -> None:
     typed = placed(picks, day).selectExpr(*(f"cast({n} as {t}) as {n}" for n, t in (f.split(" ") for f in schemas.PICK.split(", "))))
-    write_catalog(typed, root, mode=mode)
+    write_catalog(typed, root, mode=mode, dealt=dealt)
 
 
 def write_classifications(rows: DataFrame, root: str, day: str = "start_ts", mode: str = "append") -> None:

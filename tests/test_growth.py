@@ -14,6 +14,7 @@ from pickspark import registry
 from pickspark.functions import columns as C
 from pickspark.operators import associate, bench, joins, matching, signal
 from pickspark.plans import planning
+from pickspark.sources import writers
 
 SF = "/root/testdata/sf0.001"
 T0 = datetime.datetime(2024, 1, 8)
@@ -128,6 +129,28 @@ def test_days_without_a_component_have_no_amplitudes(spark, tmp_path):
     assert sorted(tuple(x) for x in found.collect()) == sorted(wanted)
 
 
+def test_shared_traces_are_measured_once(spark, tmp_path, monkeypatch):
+    """Forty stations of each number, some listed twice: traces, scores and amplitudes are those of the numbers, and the
+    catalog has the picks of each station."""
+    events, sql = spark.read.parquet(f"{SF}/events.parquet"), registry.ORACLES["j04_picking_job"]
+    number = F.col("event_id") % 1000 * 2 + 1000
+    users = events.withColumn("user_id", F.explode(F.array(number, number * 10)))
+    users.write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet(f"{SF}/embeddings.parquet").where("vec_id < 206").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    for name in ("events", "embeddings"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    simulated, dealt = [], []
+    monkeypatch.setattr(signal, "simulate", lambda traces, *a, f=signal.simulate: simulated.append(traces.count()) or f(traces, *a))
+    monkeypatch.setattr(writers, "write_picks", lambda rows, *a, f=writers.write_picks, **b: dealt.append(rows.rdd.getNumPartitions()) or f(rows, *a, **b))
+    monkeypatch.setattr(joins, "TASK_ROWS", 1000)
+    found = registry.QUERIES["j04_picking_job"](spark, str(tmp_path))
+    wanted = con.execute(f"SELECT {', '.join(found.columns)} FROM ({sql}) x").fetchall()
+    rows = sorted(tuple(x) for x in found.collect())
+    assert rows == sorted(wanted) and len(rows) > 400
+    assert simulated[0] <= 206 and dealt[0] >= -(-sum(x[4] for x in rows) // 1000)
+
+
 def test_lead_sweep_decides_once_a_window(spark):
     traces, picks = hourly(spark, 30, 2000)
     traces = traces.withColumnRenamed("rate_hz", "rate").withColumn("label", F.col("id") % 4)
