@@ -25,7 +25,10 @@ KM_PER_DEGREE = math.pi * C.EARTH_KM / 180
 #: Widens intervals by more than rounding can move an origin time, in seconds.
 SLACK = 1e-3
 #: Picks for each task of a step that sorts their rows. A pick has a row for each cell and bin within reach.
-TASK_PICKS = 20_000
+TASK_PICKS = 5_000
+#: A block and bin of the search, and the coarsest one around it. All rows that meet in a cell and bin have the same
+#: coarsest one, so they are dealt by it once, before they are divided, and stay in their task to the candidates.
+PLACE, TOP = ["by", "bx", "bin"], ["top_y", "top_x", "top_bin"]
 
 
 @dataclass(frozen=True)
@@ -125,18 +128,19 @@ def coarsest(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
 
 
 def dealt(rows: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
-    """Rows dealt out by ``keys`` over at least ``tasks`` tasks, so that what a task sorts does not grow with the picks."""
-    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, *keys) if tasks > usual else rows.repartition(*keys)
+    """Rows dealt out by ``keys`` over at least ``tasks`` tasks, so that what a task sorts does not grow with the picks.
+    Few small rows come in, so the number is given: Spark would put them together."""
+    return rows.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism), *keys)
 
 
-def bounded(cast: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
+def bounded(cast: DataFrame, s: Search) -> DataFrame:
     """The rows of the blocks and bins that may hold an event: stations with P, with S and with both are counted over
     all picks that may count there, each once."""
-    where = ["by", "bx", "bin"]
-    station, whole = Window.partitionBy(*where, "tid"), Window.partitionBy(*where)
-    has = lambda pha: F.max((F.col("pha") == pha).cast("int")).over(station)
-    own = dealt(cast, tasks, where).withColumns({"_p": has("P"), "_s": has("S"), "_one": (F.row_number().over(station.orderBy("pick_id")) == 1).cast("int")})
+    where = [*TOP, *PLACE]
+    station, whole = Window.partitionBy(*where, "tid").orderBy("pick_id"), Window.partitionBy(*where)
+    every = station.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    has = lambda pha: F.max((F.col("pha") == pha).cast("int")).over(every)
+    own = cast.withColumns({"_p": has("P"), "_s": has("S"), "_one": (F.row_number().over(station) == 1).cast("int")})
     n = lambda c: F.sum(F.col("_one") * c).over(whole)
     return own.withColumns({"n_p": n(F.col("_p")), "n_s": n(F.col("_s")), "n_both": n(F.col("_p") * F.col("_s"))}).where(s.enough()).select(cast.columns)
 
@@ -151,19 +155,24 @@ def divided(cast: DataFrame, s: Search, level: int) -> DataFrame:
     return rows.where(begin <= end).withColumn("bin", F.explode(F.sequence(begin, end))).drop("first", "last", "_begin")
 
 
-def votes(picks: DataFrame, stations: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
-    """Rows of a pick and a cell and bin that may hold an event."""
-    cast = bounded(coarsest(picks, stations, s), s, tasks)
+def votes(picks: DataFrame, stations: DataFrame, s: Search, tasks: int = 1, events: DataFrame | None = None) -> DataFrame:
+    """Rows of a pick and a cell and bin that may hold an event; of those of ``events`` (cell, shift, bin) alone, if given."""
+    cast = coarsest(picks, stations, s)
+    if events is not None:
+        flat = F.floor(F.col("cell") / len(s.depths))
+        at = events.select(F.floor(flat / s.shape[1]).alias("by"), F.pmod(flat, F.lit(s.shape[1])).alias("bx"), (F.col("bin") - F.col("shift")).alias("bin")).distinct()
+        cast = cast.join(at.select(*(F.shiftright(c, s.levels).alias(c) for c in PLACE)).distinct(), PLACE, "left_semi")
+    cast = bounded(dealt(cast, tasks, PLACE).withColumns(dict(zip(TOP, map(F.col, PLACE)))), s)
     for level in reversed(range(s.levels)):
-        cast = bounded(divided(cast, s, level), s, tasks)
-    return cast
+        cast = bounded(divided(cast, s, level), s)
+    return cast if events is None else cast.join(at, PLACE, "left_semi")
 
 
-def candidates(cast: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
-    """(cell, shift, bin) that make an event, with its picks: of each station and phase the one next to the middle of the
-    bin, and of these the ones within the tolerance of their mean. Bins are twice the tolerance wide, and lie once
-    more shifted by half."""
-    nx, size = s.shape[1], 2 * s.tolerance
+def members(cast: DataFrame, s: Search) -> DataFrame:
+    """The picks of each (cell, shift, bin): of each station and phase the one next to the middle of the bin, and of
+    these the ones within the tolerance of their ``mean``. Bins are twice the tolerance wide, and lie once more shifted
+    by half."""
+    nx, size, top = s.shape[1], 2 * s.tolerance, [c for c in TOP if c in cast.columns]
     depths = F.posexplode(F.array(*map(F.lit, s.depths))).alias("_k", "depth")
     lat, lon = F.col("by") * s.step + s.extent[0], F.col("bx") * s.step + s.extent[2]
     at = cast.select("*", lat.alias("lat"), lon.alias("lon"), depths).withColumn("km", C.haversine_km(F.col("lat"), F.col("lon"), F.col("latitude"), F.col("longitude"))).where(F.col("km") <= s.cutoff_km)
@@ -172,18 +181,22 @@ def candidates(cast: DataFrame, s: Search, tasks: int = 1) -> DataFrame:
     shifts = F.explode(F.array(F.struct(F.lit(0).alias("shift"), F.floor(F.col("origin") / size).alias("own")), F.struct(F.lit(1).alias("shift"), F.floor(F.col("origin") / size + 0.5).alias("own"))))
     at = at.withColumn("x", shifts).where(F.col("x.own") - F.col("x.shift") == F.col("bin"))
     late = F.col("origin") - (F.col("x.own") - F.col("x.shift") * 0.5) * size
-    where = ["cell", "lat", "lon", "depth", "shift", "bin"]
-    one = at.select("cell", "lat", "lon", "depth", "x.shift", F.col("x.own").alias("bin"), "tid", "pha", F.struct(F.abs(late - s.tolerance).alias("off"), "pick_id", late.alias("late")).alias("x"))
-    one = dealt(one, tasks, where)  # the steps below group by these and more, so rows move once
+    where = [*top, "cell", "lat", "lon", "depth", "shift", "bin"]
+    one = at.select(*top, "cell", "lat", "lon", "depth", "x.shift", F.col("x.own").alias("bin"), "tid", "pha", F.struct(F.abs(late - s.tolerance).alias("off"), "pick_id", late.alias("late")).alias("x"))
     chosen = one.groupBy(*where, "tid", "pha").agg(F.min("x").alias("x")).select(*where, "tid", "pha", "x.pick_id", "x.late")
-    chosen = chosen.withColumn("mean", F.avg("late").over(Window.partitionBy(*where))).where(F.abs(F.col("late") - F.col("mean")) <= s.tolerance)
-    by_station = chosen.groupBy(*where, "mean", "tid").agg(
-        F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"), F.sum(F.pow(F.col("late") - F.col("mean"), F.lit(2))).alias("q"), F.collect_list(F.struct("pick_id", "pha", (F.col("late") - F.col("mean")).alias("residual"))).alias("picks")
-    )  # two picks at most
-    found = by_station.groupBy(*where, "mean").agg(
-        F.sum("p").alias("n_p"), F.sum("s").alias("n_s"), F.sum(F.col("p") * F.col("s")).alias("n_both"), F.sqrt(F.sum("q") / F.sum(F.col("p") + F.col("s"))).alias("spread"), F.collect_list(F.struct("tid", "picks")).alias("stations")
-    )  # the stations within the cutoff at most
-    begin = (F.col("bin") - F.col("shift") * 0.5) * size
+    return chosen.withColumn("mean", F.avg("late").over(Window.partitionBy(*where))).where(F.abs(F.col("late") - F.col("mean")) <= s.tolerance)
+
+
+def candidates(cast: DataFrame, s: Search) -> DataFrame:
+    """(cell, shift, bin) that make an event: how many picks of which kinds it has, their spread and its origin time. Its
+    picks (``members``) are not kept: few candidates become events."""
+    own = members(cast, s)
+    where = [*(c for c in TOP if c in cast.columns), "cell", "lat", "lon", "depth", "shift", "bin", "mean"]
+    off = F.pow(F.col("late") - F.col("mean"), F.lit(2))
+    by_station = own.groupBy(*where, "tid").agg(F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"), F.sum(off).alias("q"))
+    n = {"n_p": F.sum("p"), "n_s": F.sum("s"), "n_both": F.sum(F.col("p") * F.col("s")), "spread": F.sqrt(F.sum("q") / F.sum(F.col("p") + F.col("s")))}
+    found = by_station.groupBy(*where).agg(*(c.alias(k) for k, c in n.items())).drop(*TOP)
+    begin = (F.col("bin") - F.col("shift") * 0.5) * 2 * s.tolerance
     return found.where(s.enough()).withColumns({"n_picks": F.col("n_p") + F.col("n_s"), "origin": begin + F.col("mean")}).drop("mean")
 
 
@@ -210,11 +223,12 @@ def associate(picks: DataFrame, stations: DataFrame, search: Search) -> tuple[Da
     events have goes to the one of most picks, then least spread; an event that keeps too few is dropped. The counts
     are those of the assignments."""
     tasks = -(-picks.count() // TASK_PICKS)
-    found = cut(candidates(votes(picks, stations, search, tasks), search, tasks), "candidates")
+    found = cut(candidates(votes(picks, stations, search, tasks), search), "candidates")
     events = cut(strongest(found, 4 * search.tolerance, 10 * search.step), "events")
-    order = ["event_id", "n_picks", "spread", "cell", "shift", "bin"]
-    own = events.select(*order, F.explode("stations").alias("x")).select(*order, "x.tid", F.explode("x.picks").alias("y"))
-    best = own.groupBy("y.pick_id").agg(F.min(F.struct(-F.col("n_picks"), F.round("spread", 6), "cell", "shift", "bin", "event_id", "tid", "y")).alias("x")).select("x.event_id", "x.y.pick_id", "x.tid", "x.y.pha", "x.y.residual")
+    order = ["cell", "shift", "bin", "event_id", "n_picks", "spread"]
+    own = members(votes(picks, stations, search, tasks, events), search).join(events.select(*order), order[:3])
+    first = F.struct(-F.col("n_picks"), F.round("spread", 6), *order[:3], "event_id", "tid", "pha", (F.col("late") - F.col("mean")).alias("residual"))
+    best = cut(own.groupBy("pick_id").agg(F.min(first).alias("x")).select("x.event_id", "pick_id", "x.tid", "x.pha", "x.residual"), "assignments")
     by_station = best.groupBy("event_id", "tid").agg(F.count_if(F.col("pha") == "P").alias("p"), F.count_if(F.col("pha") == "S").alias("s"))
     kept = by_station.groupBy("event_id").agg(F.sum("p").alias("n_p"), F.sum("s").alias("n_s"), F.sum(F.col("p") * F.col("s")).alias("n_both")).where(search.enough())
     out = events.select("event_id", F.timestamp_micros((F.col("origin") * 1e6).cast("long")).cast("timestamp_ntz").alias("time"), "lat", "lon", "depth").join(kept, "event_id")

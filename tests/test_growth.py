@@ -14,6 +14,7 @@ from pickspark import registry
 from pickspark.functions import columns as C
 from pickspark.operators import associate, bench, joins, matching, signal
 from pickspark.plans import planning
+from pickspark.plans.fixtures import Views
 from pickspark.sources import writers
 
 SF = "/root/testdata/sf0.001"
@@ -205,6 +206,17 @@ def test_association_spreads_over_more_tasks(spark):
     assert associate.dealt(rows, 1, ["id"]).rdd.getNumPartitions() <= 4
 
 
+def test_association_moves_its_rows_once(spark):
+    """Blocks are divided and picks chosen where the rows of the coarsest block lie, and candidates hold no picks."""
+    v, search = Views(spark, SF), associate.Search((32.0, 42.0, -125.0, -115.0), 1.0, (10.0,), 7200.0, 300.0, n_picks=2, n_p=1, n_s=1, n_both=0)
+    picks, stations = (df.localCheckpoint() for df in (v.picks, v.stations))
+    found = associate.candidates(associate.votes(picks, stations, search, 3), search)
+    assert search.levels == 2 and len(found.collect()) > 0
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(by") == plan.count("Exchange hashpartitioning(") - plan.count("Exchange hashpartitioning(tid") == 1
+    assert "stations" not in found.columns
+
+
 def streamed(t, ref, new, tol):
     """What each reference takes, by one queue a group."""
     out, bounds = [-1] * len(t), [*np.flatnonzero(new).tolist(), len(t)]
