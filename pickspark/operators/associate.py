@@ -29,6 +29,8 @@ TASK_PICKS = 5_000
 #: A block and bin of the search, and the coarsest one around it. All rows that meet in a cell and bin have the same
 #: coarsest one, so they are dealt by it once, before they are divided, and stay in their task to the candidates.
 PLACE, TOP = ["by", "bx", "bin"], ["top_y", "top_x", "top_bin"]
+#: Places of stations that are sent to every task, at most.
+MOST_PLACES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -96,23 +98,33 @@ def slowness(s: Search) -> Column:
     return F.when(F.col("pha") == "P", F.lit(1 / s.vp)).otherwise(F.lit(s.ratio / s.vp))
 
 
-def reached(rows: DataFrame, s: Search, level: int) -> DataFrame:
-    """Rows (of a pick and a block ``by``, ``bx``) within the cutoff, with the first and last bin of this level in which
-    an event at a cell of the block may begin: the pick's earliest and latest origin time there."""
+def reach(s: Search, level: int) -> tuple[Column, Column]:
+    """Of a station and a block ``by``, ``bx`` the least and (within the cutoff) the largest distance to its cells."""
     size, half = 1 << level, ((1 << level) - 1) / 2
     lat, lon = (F.col(b) * size * s.step + (o + half * s.step) for b, o in (("by", s.extent[0]), ("bx", s.extent[2])))
     km = C.haversine_km(F.col("latitude"), F.col("longitude"), lat, lon)
     # From the middle along the parallel and the meridian to any cell of the block.
-    reach = half * s.step * KM_PER_DEGREE * (1 + F.cos(F.radians(lat)))
-    near, far = F.greatest(km - reach, F.lit(0.0)), F.least(km + reach, F.lit(s.cutoff_km))
+    wide = half * s.step * KM_PER_DEGREE * (1 + F.cos(F.radians(lat)))
+    return F.greatest(km - wide, F.lit(0.0)), F.least(km + wide, F.lit(s.cutoff_km))
+
+
+def begins(rows: DataFrame, s: Search, level: int, near: Column, far: Column) -> DataFrame:
+    """Rows (of a pick) with the first and last bin of this level in which an event between ``near`` and ``far`` may
+    begin: the pick's earliest and latest origin time there."""
     first = F.col("t") - C.hypocentral_km(far, F.lit(max(s.depths))) * slowness(s) - 2 * s.tolerance - SLACK
     last = F.col("t") - C.hypocentral_km(near, F.lit(min(s.depths))) * slowness(s) + SLACK
-    width = 2 * s.tolerance * size
-    return rows.where(near <= s.cutoff_km + SLACK).withColumns({"first": F.floor(first / width), "last": F.floor(last / width)})
+    width = 2 * s.tolerance * (1 << level)
+    return rows.withColumns({"first": F.floor(first / width), "last": F.floor(last / width)})
 
 
-def coarsest(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
-    """Picks with the coarsest blocks around their stations, and the bins in which they may count."""
+def reached(rows: DataFrame, s: Search, level: int) -> DataFrame:
+    """Rows (of a pick and a block ``by``, ``bx``) within the cutoff, with the first and last bin (``begins``)."""
+    near, far = reach(s, level)
+    return begins(rows.where(near <= s.cutoff_km + SLACK), s, level, near, far)
+
+
+def blocks(stations: DataFrame, s: Search) -> DataFrame:
+    """Stations with the coarsest blocks around them."""
     size = (1 << s.levels) * s.step
     margin = s.cutoff_km / KM_PER_DEGREE
     places = stations.select(F.col("id").alias("tid"), "latitude", "longitude")
@@ -123,10 +135,33 @@ def coarsest(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
         most = -(-n // (1 << s.levels)) - 1
         begin, end = F.greatest(F.floor((c - m - low) / size) - 1, F.lit(0)), F.least(F.floor((c + m - low) / size) + 1, F.lit(most))
         places = places.withColumns({"_b": begin, "_e": end}).where("_b <= _e").withColumn(name, F.explode(F.sequence("_b", "_e"))).drop("_b", "_e")
-    cast = picks.select("pick_id", "tid", "pha", C.epoch_seconds(F.col("peak")).alias("t")).where(F.col("pha").isin("P", "S") & F.col("t").isNotNull()).join(places, "tid")
+    return places
+
+
+def timed(picks: DataFrame) -> DataFrame:
+    return picks.select("pick_id", "tid", "pha", C.epoch_seconds(F.col("peak")).alias("t")).where(F.col("pha").isin("P", "S") & F.col("t").isNotNull())
+
+
+def coarsest(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
+    """Picks with the coarsest blocks around their stations, and the bins in which they may count."""
+    cast = timed(picks).join(blocks(stations, s), "tid")
     return reached(cast, s, s.levels).withColumn("bin", F.explode(F.sequence("first", "last"))).drop("first", "last")
 
 
+def unplaced(picks: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
+    """The rows of ``coarsest`` without places: one row for all places that a station is listed at."""
+    near, far = reach(s, s.levels)
+    hull = blocks(stations, s).withColumns({"near": near, "far": far}).where(F.col("near") <= s.cutoff_km + SLACK).groupBy("tid", "by", "bx").agg(F.min("near").alias("near"), F.max("far").alias("far"))
+    cast = begins(timed(picks).join(hull, "tid"), s, s.levels, F.col("near"), F.col("far"))
+    return cast.withColumn("bin", F.explode(F.sequence("first", "last"))).drop("first", "last", "near", "far")
+
+
+def placed(cast: DataFrame, stations: DataFrame, s: Search) -> DataFrame:
+    """Rows of ``unplaced`` as those of ``coarsest``; the places (checked to be few) go to every task."""
+    places = stations.select(F.col("id").alias("tid"), "latitude", "longitude")
+    return reached(cast.join(F.broadcast(places), "tid"), s, s.levels).where(F.col("bin").between(F.col("first"), F.col("last"))).drop("first", "last")
+
+
 def dealt(rows: DataFrame, tasks: int, keys: list[str]) -> DataFrame:
     """Rows dealt out by ``keys`` over at least ``tasks`` tasks, so that what a task sorts does not grow with the picks.
     Few small rows come in, so the number is given: Spark would put them together."""
@@ -157,12 +192,14 @@ def divided(cast: DataFrame, s: Search, level: int) -> DataFrame:
 
 def votes(picks: DataFrame, stations: DataFrame, s: Search, tasks: int = 1, events: DataFrame | None = None) -> DataFrame:
     """Rows of a pick and a cell and bin that may hold an event; of those of ``events`` (cell, shift, bin) alone, if given."""
-    cast = coarsest(picks, stations, s)
+    few = stations.count() <= MOST_PLACES
+    cast = (unplaced if few else coarsest)(picks, stations, s)
     if events is not None:
         flat = F.floor(F.col("cell") / len(s.depths))
         at = events.select(F.floor(flat / s.shape[1]).alias("by"), F.pmod(flat, F.lit(s.shape[1])).alias("bx"), (F.col("bin") - F.col("shift")).alias("bin")).distinct()
         cast = cast.join(at.select(*(F.shiftright(c, s.levels).alias(c) for c in PLACE)).distinct(), PLACE, "left_semi")
-    cast = bounded(dealt(cast, tasks, PLACE).withColumns(dict(zip(TOP, map(F.col, PLACE)))), s)
+    cast = dealt(cast, tasks, PLACE).withColumns(dict(zip(TOP, map(F.col, PLACE))))
+    cast = bounded(placed(cast, stations, s) if few else cast, s)
     for level in reversed(range(s.levels)):
         cast = bounded(divided(cast, s, level), s)
     return cast if events is None else cast.join(at, PLACE, "left_semi")
@@ -222,7 +259,7 @@ def associate(picks: DataFrame, stations: DataFrame, search: Search) -> tuple[Da
     each station and phase an event has one pick at most, within the tolerance of its origin time. A pick that several
     events have goes to the one of most picks, then least spread; an event that keeps too few is dropped. The counts
     are those of the assignments."""
-    tasks = -(-picks.count() // TASK_PICKS)
+    tasks, stations = -(-picks.count() // TASK_PICKS), cut(stations.select("id", "latitude", "longitude"), "places")
     found = cut(candidates(votes(picks, stations, search, tasks), search), "candidates")
     events = cut(strongest(found, 4 * search.tolerance, 10 * search.step), "events")
     order = ["cell", "shift", "bin", "event_id", "n_picks", "spread"]

@@ -217,6 +217,19 @@ def test_association_moves_its_rows_once(spark):
     assert "stations" not in found.columns
 
 
+def test_association_moves_a_pick_once_for_all_places(spark, monkeypatch):
+    """Every station is listed at thirty places around its own."""
+    v, search = Views(spark, SF), associate.Search((32.0, 42.0, -125.0, -115.0), 1.0, (10.0,), 7200.0, 300.0, n_picks=4, n_p=1, n_s=1, n_both=1)
+    picks, own = (df.localCheckpoint() for df in (v.picks, v.stations.select("id", "latitude", "longitude")))
+    listed = own.withColumn("_n", F.explode(F.sequence(F.lit(0), F.lit(29)))).withColumn("latitude", F.col("latitude") + F.col("_n") / 100).drop("_n").localCheckpoint()
+    assert associate.unplaced(picks, listed, search).count() < 1.5 * associate.coarsest(picks, own, search).count()
+    some = []
+    for most in (10**6, 0):
+        monkeypatch.setattr(associate, "MOST_PLACES", most)
+        some.append([sorted(map(tuple, df.collect())) for df in associate.associate(picks, listed, search)])
+    assert some[0] == some[1] and len(some[0][0]) > 0
+
+
 def streamed(t, ref, new, tol):
     """What each reference takes, by one queue a group."""
     out, bounds = [-1] * len(t), [*np.flatnonzero(new).tolist(), len(t)]
